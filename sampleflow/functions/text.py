@@ -9,11 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The characters Unicode text splitting treats as white space.
-WHITESPACE = (
-    r"[\t-\r\x1c-\x20\x85\xa0"
-    r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
-)
+# Unicode white space as Python's str.split sees it: Java's class lacks four separators.
+WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
 def _col(value: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sampleflow.functions.answers import answer_match, boxed_answer
 from sampleflow.functions.prompts import chat_unwrap
 
-SALTS = 16
+SALTS = 16  # a power of two
 
 
 def pass_rate(
@@ -20,24 +20,24 @@ def pass_rate(
 ) -> DataFrame:
     """Passed and total responses per problem and their ratio.
 
-    The gold answer of a problem is the one its first row expects.  Equal answers
-    to a problem are counted before anything moves and compared once; a problem
-    with very many different answers is spread over several tasks.
+    The gold answer of a problem is the one its first row expects; finding it does
+    not read the responses.  Equal answers to a problem are counted before anything
+    moves and compared once; a problem with very many different answers is spread
+    over several tasks.
     """
-    first = F.struct(*order_columns, F.col(expected).alias("gold"))
-    # A reply without text has no box, whatever its kind.
+    first = F.min(F.struct(*order_columns, F.col(expected).alias("gold")))
+    gold = df.groupBy(problem).agg(first.getField("gold").alias("gold"))
+    gold = gold.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     answers = (
-        df.select(problem, boxed_answer(response).alias("answer"), first.alias("first"))
+        df.select(problem, boxed_answer(response).alias("answer"))
         .groupBy(problem, "answer")
-        .agg(F.count("*").alias("n"), F.min("first").alias("first"))
+        .agg(F.count("*").alias("n"))
+        .withColumn("salt", F.xxhash64("answer").bitwiseAND(SALTS - 1).cast("int"))
     )
-    gold = answers.groupBy(problem).agg(F.min("first").getField("gold").alias("gold"))
-    gold = gold.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = answers.withColumn("salt", F.pmod(F.xxhash64("answer"), F.lit(SALTS)).cast("int"))
-    compared = salted.join(gold, [problem, "salt"])
     passed = F.when(answer_match("answer", "gold"), F.col("n")).otherwise(0)
     return (
-        compared.groupBy(problem)
+        answers.join(gold, [problem, "salt"])
+        .groupBy(problem)
         .agg(F.sum(passed).alias("num_pass"), F.sum("n").alias("num_total"))
         .withColumn("pass_rate", F.col("num_pass") / F.col("num_total"))
     )
@@ -50,18 +50,19 @@ def join_embedding(
     strict: bool = True,
     wrapped: bool = False,
 ) -> DataFrame:
-    """Add the vector of each row's text; in strict mode a text without one is an error.
+    """Add the vector of each row's text.
 
     ``embeddings`` has ``text`` and ``embedding``; chat-form texts are unwrapped
-    first when ``wrapped`` is set.
+    first when ``wrapped`` is set.  A text without a vector makes a strict join
+    fail when it runs; otherwise its rows are left out.
     """
     key = chat_unwrap("text") if wrapped else F.col("text")
     vectors = embeddings.select(key.alias(text), "embedding")
-    if strict:
-        missing = df.join(vectors, text, "left_anti").limit(1).count()
-        if missing:
-            raise KeyError(f"some values of {text!r} have no embedding")
-    return df.join(vectors, text)
+    if not strict:
+        return df.join(vectors, text)
+    missing = F.raise_error(F.concat(F.lit("no embedding for: "), F.coalesce(text, F.lit("null"))))
+    checked = F.when(F.col("embedding").isNull(), missing).otherwise(F.col("embedding"))
+    return df.join(vectors, text, "left").withColumn("embedding", checked)
 
 
 def training_set(rates: DataFrame, embeddings: DataFrame, problem: str = "problem", **options) -> DataFrame:

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FILE_COLUMNS = ("src_file", "src_row")
-MAX_BUCKETS = 8192
+MAX_BUCKETS = 1 << 16
+SAMPLES_PER_BUCKET = 100
 
 
 def shuffle_buckets(df: DataFrame) -> int:
@@ -39,18 +40,26 @@ def quantile_bucket(
 
     Buckets hold about the same number of rows.  A value that alone fills more
     than one bucket gets a bucket to itself; those values are returned as well.
+    The cuts come from a sample: it decides how even the buckets are, and nothing
+    that is computed with them.
     """
+    values = df.select(value).where(F.col(value).isNotNull())
+    rows = values.count()
+    fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / max(rows, 1))
+    sample = values if fraction == 1.0 else values.sample(fraction, seed=1)
     ranks = [i / buckets for i in range(1, buckets)]
-    cuts = df.approxQuantile(value, ranks, 1 / (4 * buckets))
+    cuts = sample.approxQuantile(value, ranks, 1 / (4 * buckets))
     heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
     edges = sorted({*cuts, *(math.nextafter(v, math.inf) for v in heavy)} - {-math.inf, math.inf})
+    edges = edges or [0.0]
     bucketizer = Bucketizer(
         splits=[-math.inf, *edges, math.inf],
         inputCol=value,
         outputCol=out,
         handleInvalid="keep",
     )
-    return bucketizer.transform(df), heavy
+    # Missing values sort first.
+    return bucketizer.transform(df).withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(-1))), heavy
 
 
 @dataclass(frozen=True)
@@ -65,7 +74,7 @@ class FileOrder:
 
     def bucketed(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
         block = F.floor(F.col("src_row") / F.lit(self.block_rows))
-        return df.withColumn("_bucket", F.struct("src_file", block.alias("block"))), ["_bucket"]
+        return df.withColumn("_block", block), ["src_file", "_block"]
 
 
 @dataclass(frozen=True)
@@ -144,11 +153,12 @@ def with_row_pos(df: DataFrame, order: RowOrder, name: str = "row_pos") -> DataF
         .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .drop("_rows")
     )
-    # The join and the window share their partitioning: the rows move once.
+    # Window and join share partitioning and sort order: the rows move and sort once.
     inside = Window.partitionBy(*buckets).orderBy(*order.columns)
-    position = F.col("_start") + F.row_number().over(inside) - 1
+    numbered = bucketed.withColumn("_nth", F.row_number().over(inside))
+    position = F.col("_start") + F.col("_nth") - 1
     keep = [c for c in df.columns if c != name]
-    return bucketed.join(starts, buckets).select(*keep, position.cast("long").alias(name))
+    return numbered.join(starts, buckets).select(*keep, position.cast("long").alias(name))
 
 
 @dataclass(frozen=True)

@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def attach_responses(
-    df: DataFrame, responses: DataFrame, output_column: str = "response", check: bool = True
-) -> DataFrame:
-    """Give every row the response at its ``row_pos``; the counts must match."""
-    if check:
-        rows, given = df.count(), responses.count()
-        if rows != given:
-            raise ValueError(f"{given} responses given for {rows} rows")
-    return df.join(responses.select("row_pos", output_column), "row_pos")
+def attach_responses(df: DataFrame, responses: DataFrame, output_column: str = "response") -> DataFrame:
+    """Give every row the response at its ``row_pos``.
+
+    There must be as many responses as rows: a position that only one side has
+    fails the job when it runs.
+    """
+    rows = df.withColumn("_row", F.lit(True))
+    given = responses.select("row_pos", output_column, F.lit(True).alias("_given"))
+    unpaired = F.col("_row").isNull() | F.col("_given").isNull()
+    position = F.col("row_pos").cast("string")
+    error = F.raise_error(F.concat(F.lit("rows and responses differ in number at "), position))
+    checked = F.when(unpaired, error).otherwise(F.col(output_column))
+    joined = rows.join(given, "row_pos", "full")
+    return joined.withColumn(output_column, checked).drop("_row", "_given")
 
 
 def update_responses(df: DataFrame, responses: DataFrame, output_column: str = "response") -> DataFrame:

@@ -78,10 +78,12 @@ def index_percentiles(
 
     # A range of one value answers by itself, however many rows it has.
     settled = hits.where("_low = _high").select(*by, "p", F.col("_low").alias(value))
-    opened = hits.where("_low < _high").select(*by, "_bucket", "p", "_nth")
+    opened = hits.where("_low < _high").select(*by, F.col("_bucket").alias("_hit"), "p", "_nth")
+    opened = opened.withColumnsRenamed({c: f"_{c}" for c in by})
+    same = [F.col("_bucket") == F.col("_hit"), *(F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by)]
     inside = Window.partitionBy(*by, "_bucket", "p").orderBy("_value")
     searched = (
-        bucketed.join(opened, [*by, "_bucket"])
+        bucketed.join(opened, same)
         .groupBy(*by, "_bucket", "p", "_nth", "_value")
         .agg(F.count("*").alias("_rows"))
         .withColumn("_upto", F.sum("_rows").over(inside))
