@@ -59,10 +59,34 @@ def target_range(spark, sf):
     return rounded(vectors.target_range(examples(spark, sf)))
 
 
-@register()
+MODEL = mlp.Mlp.init(64, 8, seed=42)
+
+
+def _forward_sql(model):
+    """The network written out in SQL, its weights as numbers."""
+    w1, b1, w2, b2 = model.layers()
+    vector = "CAST(embedding AS DOUBLE[])"
+
+    def numbers(values):
+        return "[" + ", ".join(f"{v!r}::DOUBLE" for v in map(float, values)) + "]"
+
+    units = ", ".join(f"list_dot_product({vector}, {numbers(w)}) + {float(b)!r}" for w, b in zip(w1, b1))
+    # The error function by the rational approximation, on z / sqrt(2).
+    t = "(1 / (1 + 0.3275911::DOUBLE * abs(z) / sqrt(2::DOUBLE)))"
+    terms = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+    series = " + ".join(f"{a!r}::DOUBLE * pow({t}, {i})" for i, a in enumerate(terms, 1))
+    erf = f"sign(z) * (1 - ({series}) * exp(-z * z / 2))"
+    return f"""
+        WITH h AS (SELECT vec_id, [{units}] AS zs FROM embeddings),
+             g AS (SELECT vec_id, list_transform(zs, lambda z: z * 0.5 * (1 + {erf})) AS hidden FROM h)
+        SELECT vec_id, round(1 / (1 + exp(-(list_dot_product(hidden, {numbers(w2)}) + {float(b2)!r}))), 6) AS score
+        FROM g
+    """
+
+
+@register(_forward_sql(MODEL))
 def mlp_score(spark, sf):
-    """Scores of seeded weights; the tests compare them with a plain forward pass."""
-    return mlp.mlp_score(examples(spark, sf), mlp.Mlp.init(64, 64, seed=42)).select("vec_id", "score")
+    return rounded(mlp.mlp_score(examples(spark, sf), MODEL).select("vec_id", "score"))
 
 
 @register("""

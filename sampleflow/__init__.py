@@ -1,7 +1,12 @@
 """Sample-generation jobs over tables of prompts, and the evaluation of their answers."""
 
 from sampleflow.plans.evaluation import evaluate_answers, score_prompts
-from sampleflow.plans.generation import preview_generation, run_all_splits, run_generation
+from sampleflow.plans.generation import (
+    preview_generation,
+    run_all_splits,
+    run_generation,
+    run_incremental,
+)
 from sampleflow.spec import (
     DataOptions,
     JobSpec,
@@ -20,5 +25,6 @@ __all__ = [
     "preview_generation",
     "run_all_splits",
     "run_generation",
+    "run_incremental",
     "score_prompts",
 ]

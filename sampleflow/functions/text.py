@@ -121,8 +121,6 @@ def one_decimal(value: Column) -> Column:
 def format_duration(seconds: Column | str) -> Column:
     """Seconds as ``12.3s``, ``4.5m`` or ``6.7h``."""
     seconds = _col(seconds).cast("double")
-    return (
-        F.when(seconds < 60, F.concat(one_decimal(seconds), F.lit("s")))
-        .when(seconds < 3600, F.concat(one_decimal(seconds / 60), F.lit("m")))
-        .otherwise(F.concat(one_decimal(seconds / 3600), F.lit("h")))
-    )
+    size = F.when(seconds < 60, 1.0).when(seconds < 3600, 60.0).otherwise(3600.0)
+    unit = F.when(seconds < 60, "s").when(seconds < 3600, "m").otherwise("h")
+    return F.concat(one_decimal(seconds / size), unit)

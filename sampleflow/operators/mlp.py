@@ -206,9 +206,10 @@ def _epoch(
         )
 
     partials = df.mapInArrow(work, _PARTIAL_DDL)
-    if tasks > 16:
-        # Add up in about sqrt(tasks) places first, so the driver sees few vectors.
-        partials = partials.repartition(math.isqrt(tasks)).mapInArrow(_add_up, _PARTIAL_DDL)
+    while tasks > 16:
+        # Add up in ever fewer places, so the driver sees few vectors.
+        tasks = math.isqrt(tasks)
+        partials = partials.repartition(tasks).mapInArrow(_add_up, _PARTIAL_DDL)
     rows = partials.collect()
     shared.unpersist()
     counts = np.sum([[r.rows, r.squared, r.val_rows, r.val_squared, r.val_absolute] for r in rows], axis=0)

@@ -124,6 +124,7 @@ _CALL_DDL = (
     "completion_tokens INT, total_tokens INT, prompt_length INT, response_length INT, "
     "latency DOUBLE, success BOOLEAN, timestamp TIMESTAMP, attempts INT"
 )
+OUTCOME = ["finish_reason", "prompt_tokens", "completion_tokens", "total_tokens"]
 TELEMETRY = ["prompt_length", "response_length", "latency", "success", "error", "timestamp", "attempts"]
 
 

@@ -18,6 +18,7 @@ from sampleflow.operators.ordering import (
 )
 
 MAX_SHORT_PROMPT = 1_000_000
+MAX_COMPARED_SPLITS = 256
 
 
 def filter_rows(df: DataFrame, condition: str | None) -> DataFrame:
@@ -45,10 +46,17 @@ def split_rows(df: DataFrame, num_splits: int, order: RowOrder) -> DataFrame:
     """Add ``split_id``: contiguous balanced splits, numbered from 1.
 
     The split boundaries are found on the order columns alone; the rows
-    themselves are compared with them in place and do not move.
+    themselves are compared with them in place and do not move.  Where there are
+    too many boundaries to compare with, rows get positions instead.
     """
     if num_splits < 1:
         raise ValueError("num_splits must be positive")
+    if num_splits > MAX_COMPARED_SPLITS:
+        size, extra = divmod(df.count(), num_splits)
+        pos, longer = F.col("_pos"), extra * (size + 1)
+        short = F.floor((pos - longer) / max(size, 1)) + extra
+        split = F.when(pos < longer, F.floor(pos / (size + 1))).otherwise(short) + 1
+        return with_row_pos(df, order, "_pos").withColumn("split_id", split.cast("int")).drop("_pos")
     counted = ordered_counts(df, order)
     starts = [split_start(counted.total, num_splits, i) for i in range(2, num_splits + 1)]
     # Splits that start past the last row are empty and have no cut.

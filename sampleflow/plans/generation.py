@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,16 +9,20 @@ from sampleflow.functions.prompts import build_prompt
 from sampleflow.functions.text import input_text
 from sampleflow.operators.ordering import FILE_COLUMNS, FileOrder, HashOrder, RowOrder
 from sampleflow.operators.sampling import (
+    OUTCOME,
+    TELEMETRY,
     BackendFactory,
-    generate,
+    generate_with_errors,
     preview_generate,
     sample_fanout,
     temperature_schedule,
 )
 from sampleflow.operators.select import filter_rows, limit_rows, select_split, split_rows
 from sampleflow.sources.sinks import split_path, write_splits, write_table
+from sampleflow.sources.storage import exists, remove
 from sampleflow.sources.tables import check_columns, scan_prompts
 from sampleflow.spec import JobSpec
+from sampleflow.streaming.incremental import incremental_save, read_prompt_stream, stage_prompts
 
 
 def _ordered(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, RowOrder]:
@@ -32,6 +34,8 @@ def _ordered(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, RowOrder]:
     rows = scan_prompts(spark, data.input_path, data.input_column, positions=True)
     check_columns(rows, data.input_column, data.copy_columns or ())
     rows = limit_rows(filter_rows(rows, data.filter_condition), data.limit, FileOrder())
+    if data.copy_columns is not None:
+        rows = rows.select(*dict.fromkeys([data.input_column, *data.copy_columns, *FILE_COLUMNS]))
     if data.shuffle_seed is None:
         return rows, FileOrder()
     return rows, HashOrder(FILE_COLUMNS, data.shuffle_seed)
@@ -55,7 +59,7 @@ def _answer(rows: DataFrame, spec: JobSpec, factory: BackendFactory) -> DataFram
     if spec.partitions:
         # After the fan-out, so that the samples of one prompt spread too.
         asked = asked.repartition(spec.partitions)
-    answered = generate(
+    answered = generate_with_errors(
         asked,
         factory,
         "_prompt",
@@ -64,7 +68,8 @@ def _answer(rows: DataFrame, spec: JobSpec, factory: BackendFactory) -> DataFram
         concurrency=spec.concurrency,
     )
     index = ["sample_idx"] if sampling.num_samples > 1 else []
-    return answered.select(*columns, data.output_column, "thinking_text", *index)
+    calls = ["temperature", *OUTCOME, *TELEMETRY] if spec.keep_telemetry else []
+    return answered.select(*columns, data.output_column, "thinking_text", *index, *calls)
 
 
 def run_generation(spark: SparkSession, spec: JobSpec, factory: BackendFactory) -> DataFrame:
@@ -73,6 +78,36 @@ def run_generation(spark: SparkSession, spec: JobSpec, factory: BackendFactory)
     return write_table(answered, split_path(spec.data.output_path, spec.split))
 
 
+def run_incremental(
+    spark: SparkSession,
+    spec: JobSpec,
+    factory: BackendFactory,
+    rows_per_file: int = 1000,
+    files_per_batch: int = 100,
+    cleanup: bool = True,
+) -> DataFrame:
+    """``run_generation`` that saves as it goes and, called again, goes on where it stopped.
+
+    The selected prompts are first stored as files of ``rows_per_file`` rows; every
+    ``files_per_batch`` of them are answered and committed together.  The stored
+    prompts and the record of progress lie next to the output until it is whole.
+    An output that is already whole is returned as it is.
+    """
+    output = split_path(spec.data.output_path, spec.split)
+    work = f"{output}.work"
+    if exists(spark, output) and not exists(spark, work):
+        return spark.read.parquet(output)
+    if not exists(spark, f"{work}/prompts/_SUCCESS"):
+        remove(spark, f"{work}/prompts")
+        stage_prompts(select_prompts(spark, spec), f"{work}/prompts", rows_per_file)
+    schema = spark.read.parquet(f"{work}/prompts").schema
+    prompts = read_prompt_stream(spark, f"{work}/prompts", schema, files_per_batch)
+    saved = incremental_save(prompts, lambda rows: _answer(rows, spec, factory), output, f"{work}/state")
+    if cleanup:
+        remove(spark, work)
+    return saved
+
+
 def run_all_splits(
     spark: SparkSession, spec: JobSpec, num_splits: int, factory: BackendFactory
 ) -> DataFrame:
@@ -84,7 +119,7 @@ def run_all_splits(
 
 def preview_generation(spark: SparkSession, spec: JobSpec) -> DataFrame:
     """The rows a run would give, with placeholder answers; nothing is written."""
-    rows = select_prompts(spark, replace(spec))
+    rows = select_prompts(spark, spec)
     previewed = preview_generate(
         rows, spec.data.input_column, spec.sampling.num_samples, spec.data.output_column
     )

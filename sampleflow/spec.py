@@ -13,7 +13,7 @@ def _require(holds: bool, message: str) -> None:
 
 @dataclass(frozen=True)
 class DataOptions:
-    """What to read and write."""
+    """What to read and write; without ``copy_columns`` every input column is kept."""
 
     input_path: str
     output_path: str
@@ -106,3 +106,4 @@ class JobSpec:
     system_prompt: str | None = None
     concurrency: int = 1
     partitions: int | None = None
+    keep_telemetry: bool = False

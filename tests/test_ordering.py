@@ -163,3 +163,14 @@ def test_position_plan_moves_rows_once(spark):
     above = plan.split("Exchange hashpartitioning(_bucket0")
     # One exchange for the rows, one for the bucket starts and one for their counts.
     assert len(above) - 1 == 3
+
+
+@pytest.mark.parametrize("rows", [100, 1000, 1300])
+def test_more_splits_than_are_compared(spark, rows):
+    parts = ops.MAX_COMPARED_SPLITS + 44
+    got = ops.split_rows(spark.range(rows), parts, BY_ID).collect()
+    want = {}
+    for i in range(1, parts + 1):
+        for pos in range(ops.split_start(rows, parts, i), ops.split_start(rows, parts, i + 1)):
+            want[pos] = i
+    assert {r.id: r.split_id for r in got} == want

@@ -2,10 +2,11 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from sampleflow import DataOptions, JobSpec, RetryOptions, SamplingOptions, SplitOptions
-from sampleflow import preview_generation, run_all_splits, run_generation
+from sampleflow import preview_generation, run_all_splits, run_generation, run_incremental
 from sampleflow.operators import sampling as ops
 
 NO_WAIT = RetryOptions(retry_delay=0.0)
@@ -181,6 +182,42 @@ def test_splits_run_apart_or_together(spark, prompt_folder, seed):
     assert counts == {1: 34, 2: 34, 3: 32}
 
 
+def test_kept_columns_and_telemetry(spark, prompt_folder):
+    from dataclasses import replace
+
+    from sampleflow.operators.telemetry import run_stats
+
+    spec = job(prompt_folder, keep_telemetry=True)
+    spec = replace(spec, data=replace(spec.data, copy_columns=[]))
+    out = run_generation(spark, spec, Echo)
+    assert out.columns[:4] == ["q", "response", "thinking_text", "sample_idx"] and "latency" in out.columns
+    stats = run_stats(out, ["q"]).first()
+    assert (stats.total_items, stats.total_responses) == (50, 100) and stats.processing_time > 0
+
+
+class Tripwire(Echo):
+    """Stops the whole job at one prompt, as a lost machine would."""
+
+    def generate(self, prompt, temperature, sample_idx):
+        if prompt == "q40":
+            raise SystemExit("stopped")
+        return super().generate(prompt, temperature, sample_idx)
+
+
+def test_incremental_job_goes_on_after_a_stop(spark, prompt_folder):
+    spec = job(prompt_folder)
+    size = {"rows_per_file": 6, "files_per_batch": 2}
+    with pytest.raises(StreamingQueryException):
+        run_incremental(spark, spec, Tripwire, **size)
+    done = spark.read.parquet(f"{prompt_folder}/out.parquet").count()
+    assert 0 < done < 100
+    out = run_incremental(spark, spec, Echo, **size)
+    rows = {(r.id, r.sample_idx): r.response for r in out.collect()}
+    assert rows == {(i, s): f"q{i}/{[0.1, 0.2][s]}/{s}" for i in range(10, 60) for s in range(2)}
+    assert out.count() == 100 and not Path(f"{prompt_folder}/out.parquet.work").exists()
+    assert run_incremental(spark, spec, Tripwire, **size).count() == 100
+
+
 def test_job_errors(spark, prompt_folder):
     spec = JobSpec(DataOptions(f"{prompt_folder}/in.parquet", f"{prompt_folder}/o.parquet"))
     with pytest.raises(ValueError, match="question"):
