@@ -9,6 +9,9 @@ answer, and each one holds a small share of the rows, so no task sees the table.
 * ``with_row_pos`` - dense 0-based positions; one shuffle of the rows.
 * ``rows_at`` - the order values at given ranks; reads the order columns only.
   Cutting a table at such values needs no shuffle at all.
+
+The order columns and whatever filters the rows are computed a few times over, so
+they should be cheap to read.
 """
 
 from __future__ import annotations
@@ -132,9 +135,11 @@ def _digits(name: str, kind: T.DataType) -> list[Column]:
         return [column.cast("double")]
     if isinstance(kind, T.StringType):
         # Strings sort by their UTF-8 bytes: six bytes make one exact double.
-        bytes_ = F.rpad(F.hex(F.encode(column, "UTF-8")), 48, "0")
+        # Later ones are looked at only where many keys share all earlier ones.
+        bytes_ = F.encode(column, "UTF-8")
         return [
-            F.conv(F.substring(bytes_, 12 * i + 1, 12), 16, 10).cast("double") for i in range(4)
+            F.conv(F.rpad(F.hex(F.substring(bytes_, 6 * i + 1, 6)), 12, "0"), 16, 10).cast("double")
+            for i in range(64)
         ]
     raise TypeError(f"cannot order by column {name!r} of type {kind.simpleString()}")
 

@@ -59,7 +59,7 @@ def group_responses(
         raise ValueError("num_samples must be positive")
     group = F.floor(F.col(pos) / num_samples).alias("group_pos")
     # A list never holds more than num_samples items.
-    items = F.sort_array(F.collect_list(F.struct(pos, F.coalesce(response, F.lit("")).alias("r"))))
+    items = F.sort_array(F.collect_list(F.struct(pos, F.col(response).alias("r"))))
     return df.groupBy(group).agg(F.transform(items, lambda i: i["r"]).alias("responses"))
 
 

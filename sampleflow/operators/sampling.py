@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from itertools import islice
 from typing import Any, Protocol
 
 import pyarrow as pa
@@ -188,10 +189,11 @@ def _answered(
         try:
             with ThreadPoolExecutor(concurrency) as pool:
                 for batch in batches:
-                    # Long answers: hand on a few rows at a time.
+                    answers = pool.map(lambda call: _ask(backend, retry, *call), calls(batch))
+                    # Answers can be long: hand on a few rows at a time.
                     for start in range(0, batch.num_rows, batch_rows):
                         part = batch.slice(start, batch_rows)
-                        records = list(pool.map(lambda c: _ask(backend, retry, *c), calls(part)))
+                        records = list(islice(answers, part.num_rows))
                         added = pa.RecordBatch.from_pylist(records, schema=_CALL_FIELDS)
                         yield pa.RecordBatch.from_arrays(
                             [*part.columns, *added.columns],

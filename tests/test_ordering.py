@@ -79,6 +79,15 @@ def test_positions_by_text(spark):
     assert got == {v: i for i, v in enumerate(want)}
 
 
+def test_keys_with_a_long_shared_prefix_spread(spark):
+    prefix = "https://www.example.org/" + "section/" * 8
+    keys = spark.range(2000).select(F.format_string(prefix + "%06d", "id").alias("id"))
+    counts = ordered_counts(keys, BY_ID).counts
+    assert max(c[-1] for c in counts) < 200
+    got = with_row_pos(keys, BY_ID).agg(F.sum(F.when(F.substring("id", -6, 6).cast("int") == F.col("row_pos"), 1)))
+    assert got.first()[0] == 2000
+
+
 def test_one_leading_value_with_a_third_of_the_rows(spark):
     rows = [(5, i) for i in range(1000)] + [(i % 200, 10_000 + i) for i in range(2000)]
     random.Random(1).shuffle(rows)
