@@ -24,25 +24,36 @@ def boxed_answer(text: Column | str) -> Column:
     return F.when(F.contains(text, F.lit(BOX)), F.regexp_replace(closed, r"\}\z", ""))
 
 
+_NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
+
+
 def normal_answer(answer: Column) -> Column:
     """An answer without dollar signs and surplus white space."""
     return clean_text(F.replace(answer, F.lit("$"), F.lit("")))
 
 
-def answer_number(answer: Column) -> Column:
-    """The number an answer spells: plain, with thousands commas, or a fraction."""
-    digits = F.regexp_replace(normal_answer(answer), r"(?<=\d),(?=\d{3})", "")
+def _plain_number(text: Column) -> Column:
+    """Digits as a double; words a cast would also take (NaN, 1d) are not numbers here."""
+    return F.when(F.rlike(text, F.lit(_NUMBER)), text.try_cast("double"))
+
+
+def answer_number(normal: Column) -> Column:
+    """The number a normalised answer spells: plain, with thousands commas, or a fraction."""
+    digits = F.regexp_replace(normal, r"(?<=\d),(?=\d{3})", "")
     spelled = F.regexp_replace(digits, r"^(-?)\\[dt]?frac\{([^{}]+)\}\{([^{}]+)\}$", "$1$2/$3")
     parts = F.split(spelled, "/", -1)
-    top = F.get(parts, F.lit(0)).try_cast("double")
-    bottom = F.get(parts, F.lit(1)).try_cast("double")
-    return F.when(F.size(parts) == 1, top).when(F.size(parts) == 2, F.try_divide(top, bottom))
+    top, bottom = (_plain_number(F.get(parts, F.lit(i))) for i in (0, 1))
+    divided = F.when(F.size(parts) == 1, top).when(F.size(parts) == 2, F.try_divide(top, bottom))
+    # Most answers need no more than one look.
+    return F.coalesce(_plain_number(normal), F.when(F.rlike(normal, F.lit(r"[,/\\]")), divided))
+
+
+def same_answer(text: Column, number: Column, gold_text: Column, gold_number: Column) -> Column:
+    """Whether two normalised answers, with the numbers they spell, say the same."""
+    return F.coalesce(text == gold_text, F.lit(False)) | F.coalesce(number == gold_number, F.lit(False))
 
 
 def answer_match(answer: Column | str, gold: Column | str) -> Column:
     """Whether an answer says the same as the gold answer; a missing one never does."""
-    answer = F.col(answer) if isinstance(answer, str) else answer
-    gold = F.col(gold) if isinstance(gold, str) else gold
-    same_text = normal_answer(answer) == normal_answer(gold)
-    same_number = answer_number(answer) == answer_number(gold)
-    return F.coalesce(same_text, F.lit(False)) | F.coalesce(same_number, F.lit(False))
+    a, g = (normal_answer(F.col(c) if isinstance(c, str) else c) for c in (answer, gold))
+    return same_answer(a, answer_number(a), g, answer_number(g))

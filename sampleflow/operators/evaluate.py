@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sampleflow.functions.answers import answer_match, boxed_answer
+from sampleflow.functions.answers import answer_number, boxed_answer, normal_answer, same_answer
 from sampleflow.functions.prompts import chat_unwrap
 
 SALTS = 16  # a power of two
@@ -25,8 +25,8 @@ def pass_rate(
     moves and compared once; a problem with very many different answers is spread
     over several tasks.
     """
-    first = F.min(F.struct(*order_columns, F.col(expected).alias("gold")))
-    gold = df.groupBy(problem).agg(first.getField("gold").alias("gold"))
+    first = F.min(F.struct(*order_columns, F.col(expected).alias("answer")))
+    gold = _with_forms(df.groupBy(problem).agg(first.getField("answer").alias("answer")), "gold")
     gold = gold.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     answers = (
         df.select(problem, boxed_answer(response).alias("answer"))
@@ -34,15 +34,21 @@ def pass_rate(
         .agg(F.count("*").alias("n"))
         .withColumn("salt", F.xxhash64("answer").bitwiseAND(SALTS - 1).cast("int"))
     )
-    passed = F.when(answer_match("answer", "gold"), F.col("n")).otherwise(0)
+    joined = _with_forms(answers, "own").join(gold, [problem, "salt"])
+    same = same_answer(*map(F.col, ("own_text", "own_number", "gold_text", "gold_number")))
     return (
-        answers.join(gold, [problem, "salt"])
-        .groupBy(problem)
-        .agg(F.sum(passed).alias("num_pass"), F.sum("n").alias("num_total"))
+        joined.groupBy(problem)
+        .agg(F.sum(F.when(same, F.col("n")).otherwise(0)).alias("num_pass"), F.sum("n").alias("num_total"))
         .withColumn("pass_rate", F.col("num_pass") / F.col("num_total"))
     )
 
 
+def _with_forms(df: DataFrame, name: str) -> DataFrame:
+    """Replace ``answer`` by its normalised text and the number it spells."""
+    text = df.withColumn(f"{name}_text", normal_answer(F.col("answer"))).drop("answer")
+    return text.withColumn(f"{name}_number", answer_number(F.col(f"{name}_text")))
+
+
 def join_embedding(
     df: DataFrame,
     embeddings: DataFrame,

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,7 +72,7 @@ class FileOrder:
     Needs the ``src_file`` and ``src_row`` columns a scan adds on request.
     """
 
-    block_rows: int = 1 << 20
+    block_rows: int = 1 << 18
     columns: tuple[str, ...] = FILE_COLUMNS
 
     def bucketed(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -93,11 +93,9 @@ class HashOrder:
         return F.md5(F.concat_ws("|", F.lit(str(self.seed)), *parts))
 
     def bucketed(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
-        # Digests are spread evenly, so equal ranges of their prefix are equal shares.
-        buckets = shuffle_buckets(df)
-        prefix = F.conv(F.substring("_hash", 1, 6), 16, 10).cast("long")
+        # Digests are spread evenly: four leading hex digits cut into 65,536 like shares.
         hashed = df.withColumn("_hash", self.hash_column())
-        return hashed.withColumn("_bucket", F.floor(prefix * buckets / F.lit(1 << 24))), ["_bucket"]
+        return hashed.withColumn("_bucket", F.substring("_hash", 1, 4)), ["_bucket"]
 
 
 @dataclass(frozen=True)
@@ -147,6 +145,11 @@ def _digits(name: str, kind: T.DataType) -> list[Column]:
 RowOrder = FileOrder | HashOrder | KeyOrder
 
 
+def _inside(order: RowOrder, buckets: list[str]) -> WindowSpec:
+    """The rows of each bucket, in order."""
+    return Window.partitionBy(*buckets).orderBy(*(c for c in order.columns if c not in buckets))
+
+
 def with_row_pos(df: DataFrame, order: RowOrder, name: str = "row_pos") -> DataFrame:
     """Add the dense 0-based position of every row in ``order``."""
     bucketed, buckets = order.bucketed(df)
@@ -159,7 +162,7 @@ def with_row_pos(df: DataFrame, order: RowOrder, name: str = "row_pos") -> DataF
         .drop("_rows")
     )
     # Window and join share partitioning and sort order: the rows move and sort once.
-    inside = Window.partitionBy(*buckets).orderBy(*order.columns)
+    inside = _inside(order, buckets)
     numbered = bucketed.withColumn("_nth", F.row_number().over(inside))
     position = F.col("_start") + F.col("_nth") - 1
     keep = [c for c in df.columns if c != name]
@@ -197,11 +200,12 @@ class OrderedCounts:
         )
         wanted_rows = self.bucketed.sparkSession.createDataFrame(wanted, schema)
         columns = list(self.order.columns)
-        inside = Window.partitionBy(*self.buckets).orderBy(*columns)
+        rows = self.bucketed.select(*dict.fromkeys([*columns, *self.buckets]))
+        for i, name in enumerate(self.buckets):
+            rows = rows.where(F.col(name).isin(sorted({w[i] for w in wanted})))
         found = (
-            self.bucketed.select(*dict.fromkeys([*columns, *self.buckets]))
-            .join(wanted_rows.select(*self.buckets).distinct(), self.buckets, "left_semi")
-            .withColumn("_nth", F.row_number().over(inside).cast("long"))
+            rows.join(wanted_rows.select(*self.buckets).distinct(), self.buckets, "left_semi")
+            .withColumn("_nth", F.row_number().over(_inside(self.order, self.buckets)).cast("long"))
             .join(wanted_rows, [*self.buckets, "_nth"])
             .select("_rank", *columns)
         )

@@ -129,6 +129,7 @@ def test_answer_match(spark):
         ("1", "1.0", True), (" $x + 1$ ", "x +  1", True), ("1,000", "1000", True), ("\\frac{1}{2}", "0.5", True),
         ("-\\dfrac{1}{4}", "-0.25", True), ("3/4", "0.75", True), ("1/0", "1/0", True), ("1/0", "2/0", False),
         ("a", "b", False), (None, "1", False), ("1", None, False), (None, None, False), ("", "", True), ("10", "1", False),
+        ("1d", "1", False), ("NaN", "nan", False), ("+1e3", "1000", True), (".5", "1/2", True), ("1/2/3", "1/6", False),
     ]
     df = spark.createDataFrame([(i, a, g) for i, (a, g, _) in enumerate(pairs)], "i INT, a STRING, g STRING")
     got = [r[0] for r in df.orderBy("i").select(answers.answer_match("a", "g")).collect()]
