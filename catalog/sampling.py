@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalog import register
 from catalog.selection import documents
 from sampleflow.operators import sampling as ops
-from sampleflow.operators.ordering import FileOrder
+from sampleflow.operators.ordering import FileOrder, shuffle_partitions
 from sampleflow.operators.select import filter_rows, limit_rows, split_rows
 from sampleflow.spec import RetryOptions, SamplingOptions
 
@@ -108,7 +108,9 @@ _CALLS = """
 
 
 def _asked(spark, sf):
-    return ops.sample_fanout(documents(spark, sf).select("doc_id", "text"), 2)
+    """Two samples of every text, spread over as many tasks as a shuffle has."""
+    asked = ops.sample_fanout(documents(spark, sf).select("doc_id", "text"), 2)
+    return asked.repartition(shuffle_partitions(asked), "doc_id", "sample_idx")
 
 
 @register(

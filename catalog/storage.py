@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import register
 from catalog.selection import documents
-from sampleflow.operators.ordering import FileOrder, KeyOrder
+from sampleflow.operators.ordering import FileOrder
 from sampleflow.operators.sampling import preview_generate
 from sampleflow.operators.select import chunk_rows, select_split, split_rows
 from sampleflow.sources import sinks, tables
@@ -14,9 +14,6 @@ from sampleflow.sources.storage import work_dir
 from sampleflow.spec import SplitOptions
 from sampleflow.streaming import incremental
 
-BY_ID = KeyOrder(("doc_id",))
-
-
 @register("SELECT * FROM documents")
 def write_table(spark, sf):
     return sinks.write_table(documents(spark, sf), work_dir(spark, "table") + ".parquet")
@@ -58,7 +55,8 @@ def merge_splits(spark, sf):
     """Four separate runs, one split each, merged."""
     out = work_dir(spark, "runs") + ".parquet"
     for i in range(1, 5):
-        sinks.write_split(select_split(documents(spark, sf), i, 4, BY_ID), out, SplitOptions(i, 4))
+        part = select_split(documents(spark, sf, positions=True), i, 4, FileOrder())
+        sinks.write_split(part.drop("src_file", "src_row"), out, SplitOptions(i, 4))
     return sinks.merge_splits(spark, out, 4)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sampleflow.functions.prompts import USER_END, USER_START, chat_wrap
+from sampleflow.operators.ordering import shuffle_partitions
 from sampleflow.operators.select import distinct_texts
 
 # Opens a model; the model turns an array of texts into a matrix of vectors.
@@ -24,10 +25,16 @@ def embed_texts(
     prefix: str | None = USER_START,
     suffix: str = USER_END,
     batch_size: int = 64,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Distinct texts of a column in chat form, each with its vector."""
+    """Distinct texts of a column in chat form, each with its vector.
+
+    The model is the costly step, so the texts are spread over ``partitions`` tasks
+    (by default as many as a shuffle has), however small they are.
+    """
     embed = predict_batch_udf(factory, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
     wrapped = distinct_texts(df, column).select(chat_wrap(column, prefix, suffix).alias("text"))
+    wrapped = wrapped.repartition(partitions or shuffle_partitions(df), "text")
     return wrapped.withColumn("embedding", embed("text"))
 
 

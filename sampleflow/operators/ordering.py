@@ -17,8 +17,10 @@ they should be cheap to read.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -30,10 +32,13 @@ MAX_BUCKETS = 1 << 16
 SAMPLES_PER_BUCKET = 100
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shuffle_buckets(df: DataFrame) -> int:
     """Four buckets per shuffle partition, within fixed bounds."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_BUCKETS, 4 * partitions))
+    return max(2, min(MAX_BUCKETS, 4 * shuffle_partitions(df)))
 
 
 def quantile_bucket(
@@ -183,33 +188,35 @@ class OrderedCounts:
         """The order values of the rows at the given 0-based ranks.
 
         Only the buckets that hold such a rank are sorted.  Ranks outside the
-        table are left out of the answer.
+        table are left out of the answer.  Meant for a few hundred ranks.
         """
-        wanted, start, left = [], 0, sorted(set(ranks))
+        wanted, start, left = {}, 0, sorted(r for r in set(ranks) if r >= 0)
         for *bucket, rows in self.counts:
             while left and left[0] < start + rows:
                 rank = left.pop(0)
-                if rank >= 0:
-                    wanted.append((*bucket, rank, rank - start + 1))
+                wanted[(*bucket, rank - start + 1)] = rank
             start += rows
         if not wanted:
             return {}
-        schema = T.StructType(
-            [T.StructField(b, self.bucketed.schema[b].dataType) for b in self.buckets]
-            + [T.StructField("_rank", T.LongType()), T.StructField("_nth", T.LongType())]
-        )
-        wanted_rows = self.bucketed.sparkSession.createDataFrame(wanted, schema)
         columns = list(self.order.columns)
         rows = self.bucketed.select(*dict.fromkeys([*columns, *self.buckets]))
         for i, name in enumerate(self.buckets):
+            # Plain value lists are what a scan can skip files by.
             rows = rows.where(F.col(name).isin(sorted({w[i] for w in wanted})))
-        found = (
-            rows.join(wanted_rows.select(*self.buckets).distinct(), self.buckets, "left_semi")
-            .withColumn("_nth", F.row_number().over(_inside(self.order, self.buckets)).cast("long"))
-            .join(wanted_rows, [*self.buckets, "_nth"])
-            .select("_rank", *columns)
+        numbered = rows.where(_any_of(self.buckets, {w[:-1] for w in wanted})).withColumn(
+            "_nth", F.row_number().over(_inside(self.order, self.buckets))
         )
-        return {row[0]: tuple(row[1:]) for row in found.collect()}
+        names = [*self.buckets, "_nth"]
+        found = numbered.where(_any_of(names, wanted)).select(
+            F.struct(*names).alias("place"), F.struct(*columns).alias("values")
+        )
+        return {wanted[tuple(row.place)]: tuple(row.values) for row in found.collect()}
+
+
+def _any_of(names: list[str], places: Iterable[tuple]) -> Column:
+    """True where the named columns hold one of the given rows of values."""
+    same = (reduce(and_, (F.col(n) == F.lit(v) for n, v in zip(names, place))) for place in places)
+    return reduce(or_, same)
 
 
 def ordered_counts(df: DataFrame, order: RowOrder) -> OrderedCounts:

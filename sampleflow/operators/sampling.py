@@ -188,8 +188,9 @@ def _answered(
         backend = factory()
         try:
             with ThreadPoolExecutor(concurrency) as pool:
+                in_turn = pool.map if concurrency > 1 else map
                 for batch in batches:
-                    answers = pool.map(lambda call: _ask(backend, retry, *call), calls(batch))
+                    answers = in_turn(lambda call: _ask(backend, retry, *call), calls(batch))
                     # Answers can be long: hand on a few rows at a time.
                     for start in range(0, batch.num_rows, batch_rows):
                         part = batch.slice(start, batch_rows)

@@ -209,6 +209,15 @@ def batch_summary(batches: DataFrame) -> DataFrame:
     )
 
 
+def telemetry_summary(df: DataFrame) -> dict[str, DataFrame]:
+    """All three summaries of a table of requests that were made in batches."""
+    return {
+        "request_summary": request_summary(df),
+        "batch_summary": batch_summary(batch_rollup(df)),
+        "endpoint_summary": endpoint_summary(df),
+    }
+
+
 def run_stats(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Items, responses, seconds and rates of a finished run with telemetry."""
     per_item = df.groupBy(*key).agg(

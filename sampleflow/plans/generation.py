@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from sampleflow.functions.prompts import build_prompt
 from sampleflow.functions.text import input_text
-from sampleflow.operators.ordering import FILE_COLUMNS, FileOrder, HashOrder, RowOrder
+from sampleflow.operators.ordering import (
+    FILE_COLUMNS,
+    FileOrder,
+    HashOrder,
+    RowOrder,
+    shuffle_partitions,
+)
 from sampleflow.operators.sampling import (
     OUTCOME,
     TELEMETRY,
@@ -56,9 +62,9 @@ def _answer(rows: DataFrame, spec: JobSpec, factory: BackendFactory) -> DataFram
     prompt = build_prompt(text, spec.prompt_template, spec.system_prompt)
     asked = sample_fanout(rows.withColumn("_prompt", prompt), sampling.num_samples)
     asked = temperature_schedule(asked, sampling.temperature)
-    if spec.partitions:
-        # After the fan-out, so that the samples of one prompt spread too.
-        asked = asked.repartition(spec.partitions)
+    # Calls cost far more than a shuffle: spread them widely, after the fan-out so
+    # that the samples of one prompt spread too.  A given number is not merged again.
+    asked = asked.repartition(spec.partitions or shuffle_partitions(rows))
     answered = generate_with_errors(
         asked,
         factory,

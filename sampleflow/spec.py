@@ -96,7 +96,11 @@ class RetryOptions:
 
 @dataclass(frozen=True)
 class JobSpec:
-    """A whole generation job."""
+    """A whole generation job.
+
+    ``concurrency`` calls run at a time in each of ``partitions`` tasks, by default
+    as many as a shuffle has.
+    """
 
     data: DataOptions
     sampling: SamplingOptions = field(default_factory=SamplingOptions)

@@ -131,7 +131,9 @@ def test_request_and_endpoint_summaries(spark):
     }
     assert got.keys() == want.keys()
     assert all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
-    got = {r.model_endpoint: r for r in telemetry.endpoint_summary(df).collect()}
+    together = telemetry.telemetry_summary(df)
+    assert together["batch_summary"].first().total_batches == 6
+    got = {r.model_endpoint: r for r in together["endpoint_summary"].collect()}
     assert set(got) == {"a", "b"}
     for name, row in got.items():
         mine = [r for r in rows if r[3] == name]
