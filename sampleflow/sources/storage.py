@@ -11,9 +11,9 @@ from pyspark.sql import SparkSession
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder name in the shared folder the session's ``spark.checkpoint.dir`` names.
 
-    Only a local session without that setting gets a machine-local folder.
+    Only a local session without a checkpoint folder gets a machine-local one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
