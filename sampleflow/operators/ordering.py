@@ -227,17 +227,28 @@ def ordered_counts(df: DataFrame, order: RowOrder) -> OrderedCounts:
     return OrderedCounts(bucketed, buckets, order, counts, sum(c[-1] for c in counts))
 
 
+def _pairs(order: RowOrder, cut: tuple) -> list[tuple[Column, Column]]:
+    columns = [order.hash_column()] if isinstance(order, HashOrder) else map(F.col, order.columns)
+    return [(c, F.lit(v)) for c, v in zip(columns, cut)]
+
+
 def at_or_after(order: RowOrder, cut: tuple) -> Column:
     """True for rows at or after the row with the order values ``cut``."""
-    columns = [order.hash_column()] if isinstance(order, HashOrder) else map(F.col, order.columns)
-    pairs = [(c, F.lit(v)) for c, v in zip(columns, cut)]
-    column, value = pairs.pop()
-    beyond = column >= value
-    while pairs:
-        column, value = pairs.pop()
-        # The first conjunct is what the scan can use to skip row groups.
-        beyond = (column >= value) & ((column > value) | beyond)
-    return beyond
+    *leading, (column, value) = _pairs(order, cut)
+    test = column >= value
+    for column, value in reversed(leading):
+        # The first conjunct alone is what a scan can skip files and row groups by.
+        test = (column >= value) & ((column > value) | test)
+    return test
+
+
+def before(order: RowOrder, cut: tuple) -> Column:
+    """True for rows before the row with the order values ``cut``."""
+    *leading, (column, value) = _pairs(order, cut)
+    test = column < value
+    for column, value in reversed(leading):
+        test = (column <= value) & ((column < value) | test)
+    return test
 
 
 def before_rank(df: DataFrame, order: RowOrder, rank: int) -> DataFrame:
@@ -248,4 +259,4 @@ def before_rank(df: DataFrame, order: RowOrder, rank: int) -> DataFrame:
     if rank == 0:
         return df.limit(0)
     cut = counted.rows_at([rank]).get(rank)
-    return df if cut is None else df.where(~at_or_after(order, cut))
+    return df if cut is None else df.where(before(order, cut))

@@ -12,6 +12,7 @@ from sampleflow.operators.ordering import (
     HashOrder,
     RowOrder,
     at_or_after,
+    before,
     before_rank,
     ordered_counts,
     with_row_pos,
@@ -86,7 +87,7 @@ def select_split(df: DataFrame, split_id: int, num_splits: int, order: RowOrder)
         return df.limit(0)
     cuts = counted.rows_at([start, end])
     rows = df.where(at_or_after(order, cuts[start]))
-    return rows.where(~at_or_after(order, cuts[end])) if end in cuts else rows
+    return rows.where(before(order, cuts[end])) if end in cuts else rows
 
 
 def split_bounds(df: DataFrame, num_splits: int) -> DataFrame:
@@ -171,5 +172,5 @@ def train_val_split(
     counted = ordered_counts(df, order)
     train = int(train_fraction * counted.total)
     cut = counted.rows_at([train]).get(train)
-    is_train = F.lit(True) if cut is None else ~at_or_after(order, cut)
+    is_train = F.lit(True) if cut is None else before(order, cut)
     return df.withColumn("is_train", is_train)

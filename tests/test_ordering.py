@@ -183,3 +183,16 @@ def test_more_splits_than_are_compared(spark, rows):
         for pos in range(ops.split_start(rows, parts, i), ops.split_start(rows, parts, i + 1)):
             want[pos] = i
     assert {r.id: r.split_id for r in got} == want
+
+
+def test_file_order_split_reads_only_its_files(spark, folder):
+    path = f"{folder}/t.parquet"
+    spark.range(0, 1000, 1, 10).write.parquet(path)
+    part = ops.select_split(scan_prompts(spark, path, positions=True), 3, 10, FileOrder())
+    assert ids(part) == list(range(200, 300))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("DataFilters: [")[1]
+    assert filters.count("part-") >= 1 and "Exchange" not in plan
+    # Both bounds stand alone, so the scan can leave out files on either side.
+    text = part._jdf.queryExecution().optimizedPlan().toString()
+    assert ".file_path >= " in text and ".file_path <= " in text
