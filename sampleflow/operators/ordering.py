@@ -99,8 +99,7 @@ class HashOrder:
 
     def bucketed(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
         # Digests are spread evenly: four leading hex digits cut into 65,536 like shares.
-        hashed = df.withColumn("_hash", self.hash_column())
-        return hashed.withColumn("_bucket", F.substring("_hash", 1, 4)), ["_bucket"]
+        return keyed(df, self).withColumn("_bucket", F.substring("_hash", 1, 4)), ["_bucket"]
 
 
 @dataclass(frozen=True)
@@ -227,13 +226,21 @@ def ordered_counts(df: DataFrame, order: RowOrder) -> OrderedCounts:
     return OrderedCounts(bucketed, buckets, order, counts, sum(c[-1] for c in counts))
 
 
+def keyed(df: DataFrame, order: RowOrder) -> DataFrame:
+    """The rows with all columns that ``order`` compares; ``unkeyed`` takes them off again."""
+    return df.withColumn("_hash", order.hash_column()) if isinstance(order, HashOrder) else df
+
+
+def unkeyed(df: DataFrame) -> DataFrame:
+    return df.drop("_hash")
+
+
 def _pairs(order: RowOrder, cut: tuple) -> list[tuple[Column, Column]]:
-    columns = [order.hash_column()] if isinstance(order, HashOrder) else map(F.col, order.columns)
-    return [(c, F.lit(v)) for c, v in zip(columns, cut)]
+    return [(F.col(c), F.lit(v)) for c, v in zip(order.columns, cut)]
 
 
 def at_or_after(order: RowOrder, cut: tuple) -> Column:
-    """True for rows at or after the row with the order values ``cut``."""
+    """True for (keyed) rows at or after the row with the order values ``cut``."""
     *leading, (column, value) = _pairs(order, cut)
     test = column >= value
     for column, value in reversed(leading):
@@ -243,7 +250,7 @@ def at_or_after(order: RowOrder, cut: tuple) -> Column:
 
 
 def before(order: RowOrder, cut: tuple) -> Column:
-    """True for rows before the row with the order values ``cut``."""
+    """True for (keyed) rows before the row with the order values ``cut``."""
     *leading, (column, value) = _pairs(order, cut)
     test = column < value
     for column, value in reversed(leading):
@@ -259,4 +266,4 @@ def before_rank(df: DataFrame, order: RowOrder, rank: int) -> DataFrame:
     if rank == 0:
         return df.limit(0)
     cut = counted.rows_at([rank]).get(rank)
-    return df if cut is None else df.where(before(order, cut))
+    return df if cut is None else unkeyed(keyed(df, order).where(before(order, cut)))

@@ -14,7 +14,9 @@ from sampleflow.operators.ordering import (
     at_or_after,
     before,
     before_rank,
+    keyed,
     ordered_counts,
+    unkeyed,
     with_row_pos,
 )
 
@@ -63,7 +65,8 @@ def split_rows(df: DataFrame, num_splits: int, order: RowOrder) -> DataFrame:
     # Splits that start past the last row are empty and have no cut.
     cuts = sorted(counted.rows_at(starts).items())
     beyond = [at_or_after(order, cut) for _, cut in cuts]
-    return df.withColumn("split_id", _count_true(beyond, 0, len(beyond)) + 1)
+    numbered = keyed(df, order).withColumn("split_id", _count_true(beyond, 0, len(beyond)) + 1)
+    return unkeyed(numbered)
 
 
 def _count_true(tests: list[Column], low: int, high: int) -> Column:
@@ -86,8 +89,8 @@ def select_split(df: DataFrame, split_id: int, num_splits: int, order: RowOrder)
     if start == end:
         return df.limit(0)
     cuts = counted.rows_at([start, end])
-    rows = df.where(at_or_after(order, cuts[start]))
-    return rows.where(before(order, cuts[end])) if end in cuts else rows
+    rows = keyed(df, order).where(at_or_after(order, cuts[start]))
+    return unkeyed(rows.where(before(order, cuts[end])) if end in cuts else rows)
 
 
 def split_bounds(df: DataFrame, num_splits: int) -> DataFrame:
@@ -173,4 +176,4 @@ def train_val_split(
     train = int(train_fraction * counted.total)
     cut = counted.rows_at([train]).get(train)
     is_train = F.lit(True) if cut is None else before(order, cut)
-    return df.withColumn("is_train", is_train)
+    return unkeyed(keyed(df, order).withColumn("is_train", is_train))

@@ -196,3 +196,13 @@ def test_file_order_split_reads_only_its_files(spark, folder):
     # Both bounds stand alone, so the scan can leave out files on either side.
     text = part._jdf.queryExecution().optimizedPlan().toString()
     assert ".file_path >= " in text and ".file_path <= " in text
+
+
+def test_shuffled_splits_hash_each_row_once(spark):
+    df = spark.range(1000)
+    split = ops.split_rows(df, 16, HashOrder(("id",), 3))
+    assert split.columns == ["id", "split_id"]
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("md5(") == 1
+    sizes = [r["count"] for r in split.groupBy("split_id").count().orderBy("split_id").collect()]
+    assert sizes == [63] * 8 + [62] * 8
