@@ -115,16 +115,17 @@ class KeyOrder:
 
     def bucketed(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
         buckets = self.buckets or shuffle_buckets(df)
-        digits = [d for c in self.columns for d in _digits(c, df.schema[c].dataType)]
+        kinds = [df.schema[c].dataType for c in self.columns]
+        digits = [(d, k) for c, k in zip(self.columns, kinds) for d in _digits(c, k)]
         out, names, undecided = df, [], F.lit(True)
-        for i, digit in enumerate(digits):
+        for i, (digit, kind) in enumerate(digits):
             value, name = f"_digit{i}", f"_bucket{i}"
             out = out.withColumn(value, F.when(undecided, digit))
             out, heavy = quantile_bucket(out, value, name, buckets)
             names.append(name)
-            # Beyond 2**53 a double can stand for several numbers, so stop there.
+            # Where a double can stand for several numbers, later columns do not decide.
             heavy = [v for v in heavy if abs(v) < 2**53]
-            if not heavy:
+            if not heavy or isinstance(kind, T.DecimalType):
                 break
             undecided = F.col(value).isin(heavy)
         return out.drop(*[c for c in out.columns if c.startswith("_digit")]), names

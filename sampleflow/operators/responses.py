@@ -12,7 +12,7 @@ def attach_responses(df: DataFrame, responses: DataFrame, output_column: str = "
     There must be as many responses as rows: a position that only one side has
     fails the job when it runs.
     """
-    rows = df.withColumn("_row", F.lit(True))
+    rows = df.drop(output_column).withColumn("_row", F.lit(True))
     given = responses.select("row_pos", output_column, F.lit(True).alias("_given"))
     unpaired = F.col("_row").isNull() | F.col("_given").isNull()
     position = F.col("row_pos").cast("string")
@@ -36,7 +36,7 @@ def expand_responses(df: DataFrame, list_column: str, output_column: str = "resp
 
     A row with an empty list goes away.
     """
-    kept = [c for c in df.columns if c != list_column]
+    kept = [c for c in df.columns if c not in (list_column, output_column, "sample_idx")]
     return df.select(*kept, F.posexplode(list_column).alias("sample_idx", output_column))
 
 

@@ -103,10 +103,10 @@ def preview_generate(
     return rows.withColumn(output_column, answer).withColumn("thinking_text", thinking)
 
 
-_CALL_FIELDS = pa.schema(
+_CALL = pa.struct(
     [
-        ("_text", pa.string()),
-        ("_thinking", pa.string()),
+        ("text", pa.string()),
+        ("thinking", pa.string()),
         ("finish_reason", pa.string()),
         ("error", pa.string()),
         ("prompt_tokens", pa.int32()),
@@ -121,9 +121,9 @@ _CALL_FIELDS = pa.schema(
     ]
 )
 _CALL_DDL = (
-    "_text STRING, _thinking STRING, finish_reason STRING, error STRING, prompt_tokens INT, "
+    "_call STRUCT<text STRING, thinking STRING, finish_reason STRING, error STRING, prompt_tokens INT, "
     "completion_tokens INT, total_tokens INT, prompt_length INT, response_length INT, "
-    "latency DOUBLE, success BOOLEAN, timestamp TIMESTAMP, attempts INT"
+    "latency DOUBLE, success BOOLEAN, timestamp TIMESTAMP, attempts INT>"
 )
 OUTCOME = ["finish_reason", "prompt_tokens", "completion_tokens", "total_tokens"]
 TELEMETRY = ["prompt_length", "response_length", "latency", "success", "error", "timestamp", "attempts"]
@@ -149,8 +149,8 @@ def _ask(
     usage = (reply or {}).get("usage") or {}
     text = first.get("text") or ""
     return {
-        "_text": text,
-        "_thinking": first.get("thinking_text") or "",
+        "text": text,
+        "thinking": first.get("thinking_text") or "",
         "finish_reason": "error" if reply is None else first.get("finish_reason"),
         "error": error if reply is None else None,
         "prompt_tokens": usage.get("prompt_tokens"),
@@ -169,11 +169,12 @@ def _answered(
     df: DataFrame,
     factory: BackendFactory,
     prompt: str,
-    index: str,
-    retry: RetryOptions,
-    concurrency: int,
-    batch_rows: int,
+    index: str = "sample_idx",
+    retry: RetryOptions = RetryOptions(),
+    concurrency: int = 1,
+    batch_rows: int = 64,
 ) -> DataFrame:
+    """The rows, each with the record of its call as ``_call``."""
     has_index, has_temperature = index in df.columns, "temperature" in df.columns
 
     def calls(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -195,11 +196,7 @@ def _answered(
                     for start in range(0, batch.num_rows, batch_rows):
                         part = batch.slice(start, batch_rows)
                         records = list(islice(answers, part.num_rows))
-                        added = pa.RecordBatch.from_pylist(records, schema=_CALL_FIELDS)
-                        yield pa.RecordBatch.from_arrays(
-                            [*part.columns, *added.columns],
-                            names=[*part.schema.names, *added.schema.names],
-                        )
+                        yield part.append_column("_call", pa.array(records, _CALL))
         finally:
             if hasattr(backend, "close"):
                 backend.close()
@@ -208,42 +205,46 @@ def _answered(
     return df.mapInArrow(answer, schema)
 
 
+def _with_answers(answered: DataFrame, columns: list[str], output: str, extra: list[str]) -> DataFrame:
+    kept = [c for c in columns if c not in (output, "thinking_text")]
+    answer = [F.col("_call.text").alias(output), F.col("_call.thinking").alias("thinking_text")]
+    return answered.select(*kept, *answer, *(F.col(f"_call.{name}").alias(name) for name in extra))
+
+
+def generate(
+    df: DataFrame, factory: BackendFactory, prompt: str, output_column: str = "response", **options: Any
+) -> DataFrame:
+    """One answer per row: the output column and ``thinking_text``; a failed call reads empty.
+
+    ``factory`` opens a backend once per partition.  Options are ``index`` (the
+    column with the sample number), ``retry``, ``concurrency`` (calls at a time) and
+    ``batch_rows`` (answers handed on together).  All columns of ``df`` travel with
+    the row, so select what is needed first.  Answers are not repeatable: write the
+    result before using it twice.
+    """
+    answered = _answered(df, factory, prompt, **options)
+    return _with_answers(answered, df.columns, output_column, [])
+
+
 def generate_with_errors(
-    df: DataFrame,
-    factory: BackendFactory,
-    prompt: str,
-    output_column: str = "response",
-    index: str = "sample_idx",
-    retry: RetryOptions = RetryOptions(),
-    concurrency: int = 1,
-    batch_rows: int = 64,
+    df: DataFrame, factory: BackendFactory, prompt: str, output_column: str = "response", **options: Any
 ) -> DataFrame:
-    """One answer per row, with how each call ended and its telemetry.
+    """``generate`` with how each call ended and its telemetry.
 
-    ``factory`` opens a backend once per partition.  A call that fails for good
-    gives an empty answer, ``finish_reason`` ``error`` and the message.  All
-    columns of ``df`` travel with the row, so select what is needed first.
-    Answers are not repeatable: write the result before using it twice.
+    A call that fails for good has ``finish_reason`` ``error`` and the message.
     """
-    answered = _answered(df, factory, prompt, index, retry, concurrency, batch_rows)
-    renamed = {"_text": output_column, "_thinking": "thinking_text"}
-    clash = {*renamed.values(), *_CALL_FIELDS.names} & set(df.columns)
+    extra = [*OUTCOME, *TELEMETRY]
+    clash = set(extra) & set(df.columns)
     if clash:
         raise ValueError(f"input columns would be overwritten: {sorted(clash)}")
-    return answered.withColumnsRenamed(renamed)
-
-
-def generate(df: DataFrame, factory: BackendFactory, prompt: str, **options: Any) -> DataFrame:
-    """One answer per row: the output column and ``thinking_text``, failures left empty."""
-    answered = generate_with_errors(df, factory, prompt, **options)
-    output = options.get("output_column", "response")
-    return answered.select(*df.columns, output, "thinking_text")
+    return _with_answers(_answered(df, factory, prompt, **options), df.columns, output_column, extra)
 
 
 def request_telemetry(
     df: DataFrame, factory: BackendFactory, prompt: str, keep: Sequence[str] = (), **options: Any
 ) -> DataFrame:
     """Call telemetry per row; an ``endpoint`` column of the input names the endpoint."""
-    answered = generate_with_errors(df, factory, prompt, **options)
+    answered = _answered(df, factory, prompt, **options)
+    calls = (F.col(f"_call.{name}").alias(name) for name in TELEMETRY)
     endpoint = F.col("endpoint") if "endpoint" in df.columns else F.lit(None).cast("string")
-    return answered.select(*keep, *TELEMETRY, endpoint.alias("model_endpoint"))
+    return answered.select(*keep, *calls, endpoint.alias("model_endpoint"))

@@ -18,6 +18,7 @@ from sampleflow.operators.sampling import (
     OUTCOME,
     TELEMETRY,
     BackendFactory,
+    generate,
     generate_with_errors,
     preview_generate,
     sample_fanout,
@@ -57,7 +58,7 @@ def select_prompts(spark: SparkSession, spec: JobSpec) -> DataFrame:
 
 def _answer(rows: DataFrame, spec: JobSpec, factory: BackendFactory) -> DataFrame:
     data, sampling = spec.data, spec.sampling
-    columns = rows.columns
+    columns = [c for c in rows.columns if c not in (data.output_column, "thinking_text")]
     text = input_text(data.input_column)
     prompt = build_prompt(text, spec.prompt_template, spec.system_prompt)
     asked = sample_fanout(rows.withColumn("_prompt", prompt), sampling.num_samples)
@@ -65,7 +66,8 @@ def _answer(rows: DataFrame, spec: JobSpec, factory: BackendFactory) -> DataFram
     # Calls cost far more than a shuffle: spread them widely, after the fan-out so
     # that the samples of one prompt spread too.  A given number is not merged again.
     asked = asked.repartition(spec.partitions or shuffle_partitions(rows))
-    answered = generate_with_errors(
+    ask = generate_with_errors if spec.keep_telemetry else generate
+    answered = ask(
         asked,
         factory,
         "_prompt",

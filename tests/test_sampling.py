@@ -113,8 +113,12 @@ def test_generate_columns_and_clashes(spark):
     got = ops.generate(df, Echo, "q", output_column="answer")
     assert got.columns == ["id", "q", "sample_idx", "temperature", "answer", "thinking_text"]
     assert sorted(r.answer for r in got.collect()) == ["a/0.1/0", "a/0.2/1"]
+    # Old answers are replaced; columns named like telemetry are the user's own.
+    old = df.withColumn("response", F.lit("x")).withColumn("latency", F.lit("mine"))
+    got = ops.generate(old, Echo, "q").collect()
+    assert {r.response for r in got} == {"a/0.1/0", "a/0.2/1"} and {r.latency for r in got} == {"mine"}
     with pytest.raises(ValueError):
-        ops.generate(df.withColumn("response", F.lit("x")), Echo, "q")
+        ops.generate_with_errors(old, Echo, "q")
     assert ops.generate(df.limit(0), Echo, "q").collect() == []
 
 
