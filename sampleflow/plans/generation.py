@@ -48,24 +48,45 @@ def _ordered(spark: SparkSession, spec: JobSpec) -> tuple[DataFrame, RowOrder]:
     return rows, HashOrder(FILE_COLUMNS, data.shuffle_seed)
 
 
+def _selected(spark: SparkSession, spec: JobSpec) -> DataFrame:
+    rows, order = _ordered(spark, spec)
+    if spec.split.split_id is None:
+        return rows
+    return select_split(rows, spec.split.split_id, spec.split.num_splits, order)
+
+
 def select_prompts(spark: SparkSession, spec: JobSpec) -> DataFrame:
     """The rows a job works on: filter, then limit, then shuffle, then split."""
-    rows, order = _ordered(spark, spec)
-    if spec.split.split_id is not None:
-        rows = select_split(rows, spec.split.split_id, spec.split.num_splits, order)
-    return rows.drop(*FILE_COLUMNS)
+    return _selected(spark, spec).drop(*FILE_COLUMNS)
 
 
-def _answer(rows: DataFrame, spec: JobSpec, factory: BackendFactory) -> DataFrame:
+def _spread(asked: DataFrame, tasks: int, index: list[str], num_splits: int) -> DataFrame:
+    """Deal calls out over the tasks: they cost far more than a shuffle.
+
+    This comes after the fan-out, so that the samples of one prompt spread too, and
+    goes by where a row is stored, so that equal prompts do.  When several splits
+    are written, each task gets rows of few of them and so writes few files.
+    """
+    if not set(FILE_COLUMNS) <= set(asked.columns):
+        return asked.repartition(tasks)
+    place = [*FILE_COLUMNS, *index]
+    if num_splits > 1:
+        parts = max(1, 4 * tasks // num_splits)
+        asked = asked.repartition(tasks, "split_id", F.pmod(F.xxhash64(*place), F.lit(parts)))
+    else:
+        asked = asked.repartition(tasks, *place)
+    return asked.drop(*FILE_COLUMNS)
+
+
+def _answer(rows: DataFrame, spec: JobSpec, factory: BackendFactory, num_splits: int = 1) -> DataFrame:
     data, sampling = spec.data, spec.sampling
-    columns = [c for c in rows.columns if c not in (data.output_column, "thinking_text")]
+    index = ["sample_idx"] if sampling.num_samples > 1 else []
+    columns = [c for c in rows.columns if c not in (data.output_column, "thinking_text", *FILE_COLUMNS)]
     text = input_text(data.input_column)
     prompt = build_prompt(text, spec.prompt_template, spec.system_prompt)
     asked = sample_fanout(rows.withColumn("_prompt", prompt), sampling.num_samples)
     asked = temperature_schedule(asked, sampling.temperature)
-    # Calls cost far more than a shuffle: spread them widely, after the fan-out so
-    # that the samples of one prompt spread too.  A given number is not merged again.
-    asked = asked.repartition(spec.partitions or shuffle_partitions(rows))
+    asked = _spread(asked, spec.partitions or shuffle_partitions(rows), index, num_splits)
     ask = generate_with_errors if spec.keep_telemetry else generate
     answered = ask(
         asked,
@@ -75,14 +96,13 @@ def _answer(rows: DataFrame, spec: JobSpec, factory: BackendFactory) -> DataFram
         retry=spec.retry,
         concurrency=spec.concurrency,
     )
-    index = ["sample_idx"] if sampling.num_samples > 1 else []
     calls = ["temperature", *OUTCOME, *TELEMETRY] if spec.keep_telemetry else []
     return answered.select(*columns, data.output_column, "thinking_text", *index, *calls)
 
 
 def run_generation(spark: SparkSession, spec: JobSpec, factory: BackendFactory) -> DataFrame:
     """Answer every selected prompt and write the result; returns it read back."""
-    answered = _answer(select_prompts(spark, spec), spec, factory)
+    answered = _answer(_selected(spark, spec), spec, factory)
     return write_table(answered, split_path(spec.data.output_path, spec.split))
 
 
@@ -121,8 +141,8 @@ def run_all_splits(
 ) -> DataFrame:
     """All splits in one job, written by ``split_id``."""
     rows, order = _ordered(spark, spec)
-    rows = split_rows(rows, num_splits, order).drop(*FILE_COLUMNS)
-    return write_splits(_answer(rows, spec, factory), spec.data.output_path)
+    answered = _answer(split_rows(rows, num_splits, order), spec, factory, num_splits)
+    return write_splits(answered, spec.data.output_path)
 
 
 def preview_generation(spark: SparkSession, spec: JobSpec) -> DataFrame:
@@ -131,5 +151,6 @@ def preview_generation(spark: SparkSession, spec: JobSpec) -> DataFrame:
     previewed = preview_generate(
         rows, spec.data.input_column, spec.sampling.num_samples, spec.data.output_column
     )
-    index = [F.col("sample_idx")] if spec.sampling.num_samples > 1 else []
-    return previewed.select(*rows.columns, spec.data.output_column, "thinking_text", *index)
+    columns = [c for c in rows.columns if c not in (spec.data.output_column, "thinking_text")]
+    index = ["sample_idx"] if spec.sampling.num_samples > 1 else []
+    return previewed.select(*columns, spec.data.output_column, "thinking_text", *index)

@@ -182,6 +182,8 @@ def test_splits_run_apart_or_together(spark, prompt_folder, seed):
         assert Path(f"{prompt_folder}/out-{i}-of-3.parquet").exists()
     assert sorted(seen) == list(range(10, 60))
     together = run_all_splits(spark, job(prompt_folder, shuffle_seed=seed), 3, Echo)
+    files = list(Path(f"{prompt_folder}/out.parquet").glob("split_id=*/*.parquet"))
+    assert len(files) <= 24  # eight tasks with a few splits each
     counts = {r["split_id"]: r["count"] for r in together.groupBy("split_id").count().collect()}
     assert counts == {1: 34, 2: 34, 3: 32}
 
