@@ -95,6 +95,9 @@ class HashOrder:
 
     def hash_column(self) -> Column:
         parts = [F.col(k).cast("string") for k in self.key]
+        if len(parts) > 1:
+            # Different keys must not read the same once they are joined.
+            parts = [F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for p in parts]
         return F.md5(F.concat_ws("|", F.lit(str(self.seed)), *parts))
 
     def bucketed(self, df: DataFrame) -> tuple[DataFrame, list[str]]:

@@ -206,3 +206,10 @@ def test_shuffled_splits_hash_each_row_once(spark):
     assert plan.count("md5(") == 1
     sizes = [r["count"] for r in split.groupBy("split_id").count().orderBy("split_id").collect()]
     assert sizes == [63] * 8 + [62] * 8
+
+
+def test_hash_keys_of_several_columns_do_not_run_together(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("a\\", "b|c"), ("a\\|b", "c"), ("a", "\\|b|c"), ("", "a|b|c")]
+    df = spark.createDataFrame(rows, "x STRING, y STRING")
+    hashed = df.select(HashOrder(("x", "y"), 1).hash_column())
+    assert hashed.distinct().count() == len(rows)
