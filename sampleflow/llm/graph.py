@@ -16,6 +16,15 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A written table of a few short columns up to so many rows is broadcast, a larger one is joined by shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if it has few rows."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -3,7 +3,9 @@
 All n-grams have one global order: rare before common, by counts in hashed buckets.
 A text is dealt out by its first n-grams only: two sets that are similar enough share one
 of them. Texts that share such an n-gram meet at the smallest of them, in a *cluster*,
-once, however many n-grams they share. Each cluster stores its whole sets in a compressed
+once, however many n-grams they share. Counts of each set's n-grams by 64 hashed cells
+bound the difference of two sets from below; members whose counts differ too much from
+all others' leave, before whole sets are read. Then each cluster stores its whole sets in a compressed
 trie, common n-grams first, so that near copies share long paths; a set walks the trie
 with the overlap counted so far, and leaves a subtree when the n-grams that remain cannot
 bring the overlap up, or when all in it are linked with it already.
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sampleflow.llm.graph import components, kept
+from sampleflow.llm.graph import components, kept, small
 from sampleflow.llm.words import BASES, Words, digests, long_lists, mix, pieces, sort_by_row, span_hashes, window_hashes
 
 U = np.uint64
@@ -31,6 +33,7 @@ CHUNK = 4096
 #: A cluster above either goes in blocks.
 BLOCK_GRAMS = 1 << 20
 BLOCK_SETS = 2000
+CELLS = 64
 
 
 def gram_sets(texts: pa.Array, size: int, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -112,6 +115,15 @@ def _signatures(grams: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
     return tuple(span_hashes(mix(grams ^ U(base)), ends - lengths, ends, base) for base in BASES)
 
 
+def _cells(grams: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """How many of a set's n-grams fall into each of 64 cells, as 64 two-byte numbers."""
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    counts = np.bincount(row * CELLS + (mix(grams) >> U(58)).astype(np.int64), minlength=len(lengths) * CELLS)
+    raw = np.minimum(counts, 65535).astype("<u2").tobytes()
+    fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * CELLS), len(lengths), [None, pa.py_buffer(raw)])
+    return fixed.cast(pa.binary())
+
+
 def _sketch(size: int, percent: int, order):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
@@ -126,9 +138,10 @@ def _sketch(size: int, percent: int, order):
                     pa.array(lengths.astype(np.int64)),
                     pa.array(high.view(np.int64)),
                     digests(high, low),
+                    _cells(grams, lengths),
                     long_lists(grams[place < np.repeat(prefix, lengths)], prefix),
                 ],
-                names=["row_key", "doc_id", "n", "short", "node", "prefix"],
+                names=["row_key", "doc_id", "n", "short", "node", "cells", "prefix"],
             )
 
     return sketch
@@ -250,6 +263,39 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list
         yield rows
 
 
+def _may_link(n: np.ndarray, cells: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets could be similar to another one, by size and cells."""
+    hit = np.zeros(len(n), bool)
+    for i in range(len(n) - 1):
+        most = (100 - percent) * (n[i] + n[i + 1 :]) // (100 + percent)
+        near = np.flatnonzero(np.abs(n[i] - n[i + 1 :]) <= most)
+        if len(near):
+            near = near[np.abs(cells[i + 1 :][near] - cells[i]).sum(axis=1) <= most[near]]
+            hit[i] |= len(near) > 0
+            hit[i + 1 + near] = True
+    return hit
+
+
+def _prune(percent: int, block_sets: int):
+    """Drops members of a cluster that no other one can be similar to. Very large clusters stay whole."""
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, shorts = [], []
+        for rows in _groups(batches, ["key"]):
+            if len(rows) <= block_sets:
+                cells = np.array([np.frombuffer(r["cells"], "<u2") for r in rows], np.int32)
+                hit = _may_link(np.array([r["n"] for r in rows]), cells, percent)
+                rows = [r for r, h in zip(rows, hit.tolist()) if h]
+            keys += [r["key"] for r in rows]
+            shorts += [r["short"] for r in rows]
+            if len(keys) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(shorts, pa.int64())], names=["key", "short"])
+                keys, shorts = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(shorts, pa.int64())], names=["key", "short"])
+
+    return prune
+
+
 def _links(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([a for a, _ in found], pa.binary()), pa.array([b for _, b in found], pa.binary())], names=["u", "v"]
@@ -314,31 +360,34 @@ def ngram_classes(
     sketch = kept(
         docs.mapInArrow(
             _sketch(size, percent, order),
-            "row_key long, doc_id long, n long, short long, node binary, prefix array<long>",
+            "row_key long, doc_id long, n long, short long, node binary, cells binary, prefix array<long>",
         ),
         "sketch",
     )
     classes = sketch.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.first("n").alias("n"),
-        F.first("short").alias("short"), F.first("prefix").alias("prefix"),
+        F.first("short").alias("short"), F.first("cells").alias("cells"), F.first("prefix").alias("prefix"),
     )
     grams = classes.select("short", F.explode("prefix").alias("gram"))
     shared = grams.groupBy("gram").agg(F.count("*").alias("sets"), F.min("short").alias("key")).where("sets > 1")
-    members = kept(grams.join(shared, "gram").select("key", "short").distinct(), "members")
+    members = grams.join(shared, "gram").select("key", "short").distinct()
+    members = members.join(classes.select("short", "n", "cells"), "short").repartition("key").sortWithinPartitions("key")
+    members = kept(members.mapInArrow(_prune(percent, block_sets), "key long, short long"), "members")
 
     wanted = members.select("short").distinct().join(classes.select("short", "row_key"), "short")
-    texts = docs.join(wanted.select("row_key").distinct(), "row_key").select("text")
+    wanted = small(kept(wanted.select("row_key").distinct(), "wanted"))
+    texts = docs.join(wanted, "row_key").select("text")
     sets = texts.mapInArrow(_whole_sets(size, order), "short long, node binary, grams binary").dropDuplicates(["node"])
     full = members.join(sets, "short")
     sizes = classes.select("short", "n").join(members, "short").groupBy("key").agg(
-        F.count("*").alias("sets"), F.sum("n").alias("total")
-    ).select("key", F.ceil(F.greatest(F.col("sets") / block_sets, F.col("total") / block_grams)).cast("int").alias("blocks"))
-    sizes = kept(sizes, "sizes")
+        F.min("short").alias("least"), F.greatest(F.count("*") / block_sets, F.sum("n") / block_grams).alias("blocks")
+    )
+    sizes = kept(sizes.select("key", "least", F.ceil("blocks").cast("int").alias("blocks")), "sizes")
 
-    small = full.join(sizes.where("blocks <= 1").select("key"), "key").select(
+    single = full.join(sizes.where("blocks <= 1").select("key"), "key").select(
         "key", "node", "grams", F.lit(False).alias("joined"), F.lit(0).alias("i"), F.lit(0).alias("j")
     )
-    links = _joined(small, percent)
+    links = _joined(single, percent)
     if sizes.where("blocks > 1").limit(1).count():
         links = links.union(_large_clusters(full, sets, sizes.where("blocks > 1"), percent))
     found = components(links)
@@ -361,13 +410,13 @@ def _joined(blocks: DataFrame, percent: int) -> DataFrame:
 
 def _large_clusters(full: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Links within clusters of several blocks."""
-    least = sets.select(F.col("short").alias("key"), F.col("grams").alias("least_grams"), F.col("node").alias("least"))
-    dealt = full.join(sizes, "key").join(least, "key")
+    least = sets.select(F.col("short").alias("least"), F.col("grams").alias("least_grams"), F.col("node").alias("least_node"))
+    dealt = full.join(sizes, "key").join(least, "least").drop("least")
     marked = dealt.mapInArrow(
-        _compare(percent), "key long, short long, node binary, grams binary, blocks int, least binary, joined boolean"
+        _compare(percent), "key long, short long, node binary, grams binary, blocks int, least_node binary, joined boolean"
     )
     marked = kept(marked, "marked")
-    links = marked.where("joined AND node <> least").select(F.col("least").alias("u"), F.col("node").alias("v"))
+    links = marked.where("joined AND node <> least_node").select(F.col("least_node").alias("u"), F.col("node").alias("v"))
     # Blocks 0 .. blocks - 1 hold what is linked with the smallest set, the next ones the others.
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     own = F.when(F.col("joined"), block).otherwise(block + F.col("blocks"))
