@@ -5,7 +5,8 @@ A text is dealt out by its first n-grams only: two sets that are similar enough
 of them. Texts that share such an n-gram meet at the smallest of them, in a *cluster*,
 once, however many n-grams they share. Counts of each set's n-grams by 64 hashed cells
 bound the difference of two sets from below; members whose counts differ too much from
-all others' leave, before whole sets are read. Then each cluster stores its whole sets in a compressed
+all others' leave, and clusters part where no two members fit, before whole sets are
+read. Then each cluster stores its whole sets in a compressed
 trie, common n-grams first, so that near copies share long paths; a set walks the trie
 with the overlap counted so far, and leaves a subtree when the n-grams that remain cannot
 bring the overlap up, or when all in it are linked with it already.
@@ -34,6 +35,8 @@ CHUNK = 4096
 BLOCK_GRAMS = 1 << 20
 BLOCK_SETS = 2000
 CELLS = 64
+#: A set with more others of fitting size in its cluster is not compared by cells: it stays.
+MOST_PARTNERS = 5000
 
 
 def gram_sets(texts: pa.Array, size: int, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -248,46 +251,71 @@ def join_sets(sets: list[np.ndarray], percent: int, joined: np.ndarray | None =
     return out
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[dict]]:
-    """Rows of sorted batches, a list for each run of equal keys."""
-    now, rows = None, []
+def _groups(
+    batches: Iterator[pa.RecordBatch], keys: list[str], most: int | None = None
+) -> Iterator[tuple[list[dict], bool]]:
+    """Rows of sorted batches, a list for each run of equal keys, and whether it is the whole run (with over ``most`` rows it comes in parts)."""
+    now, rows, whole = None, [], True
     for batch in batches:
         for row in batch.to_pylist():
             key = tuple(row[k] for k in keys)
-            if key != now and rows:
-                yield rows
+            if key != now:
+                if rows:
+                    yield rows, whole
+                now, rows, whole = key, [], True
+            elif most and len(rows) >= most:
+                whole = False
+                yield rows, whole
                 rows = []
-            now = key
             rows.append(row)
     if rows:
-        yield rows
+        yield rows, whole
 
 
-def _may_link(n: np.ndarray, cells: np.ndarray, percent: int) -> np.ndarray:
-    """Which sets could be similar to another one, by size and cells."""
-    hit = np.zeros(len(n), bool)
-    for i in range(len(n) - 1):
-        most = (100 - percent) * (n[i] + n[i + 1 :]) // (100 + percent)
-        near = np.flatnonzero(np.abs(n[i] - n[i + 1 :]) <= most)
+def _may_link(n: np.ndarray, cells: np.ndarray, percent: int, most_partners: int) -> np.ndarray:
+    """A label for each set (ascending by size): equal where sets could be linked by size and cells, -1 for a set alone.
+
+    A set with more than ``most_partners`` others of fitting size counts as one that could be linked with all of them.
+    """
+    labels, alone = np.arange(len(n)), np.ones(len(n), bool)
+    ends = np.searchsorted(n, 100 * n // percent, "right").tolist()
+    for i, end in enumerate(ends):
+        if end <= i + 1:
+            continue
+        near = np.arange(i + 1, end)
+        if len(near) <= most_partners:
+            differ = np.abs(cells[i + 1 : end] - cells[i]).sum(axis=1)
+            near = near[differ <= (100 - percent) * (n[i] + n[i + 1 : end]) // (100 + percent)]
         if len(near):
-            near = near[np.abs(cells[i + 1 :][near] - cells[i]).sum(axis=1) <= most[near]]
-            hit[i] |= len(near) > 0
-            hit[i + 1 + near] = True
-    return hit
+            alone[i] = alone[near] = False
+            if (labels[near] != labels[i]).any():
+                both = np.append(labels[near], labels[i])
+                labels[np.isin(labels, both)] = both.min()
+    return np.where(alone, -1, labels)
 
 
-def _prune(percent: int, block_sets: int):
-    """Drops members of a cluster that no other one can be similar to. Very large clusters stay whole."""
+def _prune(percent: int, most_partners: int):
+    """Drops members of a cluster that no other one can be similar to, and parts it where no two can; rows come by key and size.
+
+    Each part is named by its smallest set, so that parts which meet in many clusters become one.
+    A cluster too long for a worker's memory goes through in pieces, whole.
+    """
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, shorts = [], []
-        for rows in _groups(batches, ["key"]):
-            if len(rows) <= block_sets:
+        for rows, whole in _groups(batches, ["key"], 4 * most_partners):
+            own = [r["short"] for r in rows]
+            if whole:
                 cells = np.array([np.frombuffer(r["cells"], "<u2") for r in rows], np.int32)
-                hit = _may_link(np.array([r["n"] for r in rows]), cells, percent)
-                rows = [r for r, h in zip(rows, hit.tolist()) if h]
-            keys += [r["key"] for r in rows]
-            shorts += [r["short"] for r in rows]
+                labels = _may_link(np.array([r["n"] for r in rows]), cells, percent, most_partners).tolist()
+                least: dict[int, int] = {}
+                for label, short in zip(labels, own):
+                    least[label] = min(short, least.get(label, short))
+                found = [(least[label], short) for label, short in zip(labels, own) if label >= 0]
+            else:
+                found = [(rows[0]["key"], short) for short in own]
+            keys += [k for k, _ in found]
+            shorts += [s for _, s in found]
             if len(keys) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(shorts, pa.int64())], names=["key", "short"])
                 keys, shorts = [], []
@@ -305,7 +333,7 @@ def _links(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 def _join_clusters(percent: int):
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[bytes, bytes]] = []
-        for rows in _groups(batches, ["key", "i", "j"]):
+        for rows, _ in _groups(batches, ["key", "i", "j"]):
             labels = join_sets([np.frombuffer(r["grams"], U) for r in rows], percent, np.array([r["joined"] for r in rows]))
             first: dict[int, bytes] = {}
             for r, label in zip(rows, labels.tolist()):
@@ -344,6 +372,7 @@ def ngram_classes(
     percent: int = 80,
     block_grams: int = BLOCK_GRAMS,
     block_sets: int = BLOCK_SETS,
+    most_partners: int = MOST_PARTNERS,
 ) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` for every row of ``docs``.
 
@@ -371,8 +400,8 @@ def ngram_classes(
     grams = classes.select("short", F.explode("prefix").alias("gram"))
     shared = grams.groupBy("gram").agg(F.count("*").alias("sets"), F.min("short").alias("key")).where("sets > 1")
     members = grams.join(shared, "gram").select("key", "short").distinct()
-    members = members.join(classes.select("short", "n", "cells"), "short").repartition("key").sortWithinPartitions("key")
-    members = kept(members.mapInArrow(_prune(percent, block_sets), "key long, short long"), "members")
+    members = members.join(classes.select("short", "n", "cells"), "short").repartition("key").sortWithinPartitions("key", "n")
+    members = kept(members.mapInArrow(_prune(percent, most_partners), "key long, short long").distinct(), "members")
 
     wanted = members.select("short").distinct().join(classes.select("short", "row_key"), "short")
     wanted = small(kept(wanted.select("row_key").distinct(), "wanted"))
