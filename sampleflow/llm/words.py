@@ -73,7 +73,7 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if texts.null_count:
-        texts = pc.fill_null(texts, "")
+        texts = pc.fill_null(texts, b"" if pa.types.is_binary(texts.type) else "")
     kind = np.int64 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else np.int32
     if not len(texts):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
