@@ -15,41 +15,33 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def _measured(docs: DataFrame, prefix_chars: int) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.withColumns(
-        {
-            "_text": text,
-            "_size": F.octet_length(text),
-            "_head": F.xxhash64(ascii_lower(F.substring(text, 1, prefix_chars))),
-        }
+def _marked(rows: DataFrame, prefix_chars: int, all_hashes: bool) -> DataFrame:
+    """``rows`` (``doc_id``, ``text``, others) with ``hash`` (of the whole text, if one of a group that survives the first steps), ``keep_id``, ``n`` and ``kept``."""
+    others = rows.columns[2:]
+    rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
+    rows = rows.withColumns(
+        {"size": F.octet_length("text"), "head": F.xxhash64(ascii_lower(F.substring("text", 1, prefix_chars)))}
     )
-
-
-def _marked(docs: DataFrame, prefix_chars: int, all_hashes: bool) -> DataFrame:
-    """``docs`` with ``_hash`` (of the whole text, if one of a group that survives the first steps), ``_keep_id``, ``_n`` and ``_ties``."""
-    rows = _measured(docs, prefix_chars)
-    lengths = rows.groupBy("_size").count().where("count > 1").select("_size")
-    heads = rows.select("_size", "_head").join(lengths, "_size", "left_semi")
-    heads = kept(heads.groupBy("_size", "_head").count().where("count > 1").drop("count"), "heads")
-    survivors = small(heads.withColumn("_alike", F.lit(True)))
-    whole = F.sha2(ascii_lower(F.col("_text")).cast("binary"), 256)
-    rows = rows.join(survivors, ["_size", "_head"], "left")
-    rows = rows.withColumn("_hash", whole if all_hashes else F.when(F.col("_alike"), whole))
-    by_id = rows.where("_alike").groupBy("_size", "_hash", "doc_id").agg(F.count("*").alias("_ties"))
-    groups = by_id.groupBy("_size", "_hash").agg(
-        F.sum("_ties").alias("_n"), F.max(F.struct("doc_id", "_ties")).alias("_last")
+    lengths = rows.groupBy("size").count().where("count > 1").select("size")
+    heads = rows.select("size", "head").join(lengths, "size", "left_semi")
+    heads = kept(heads.groupBy("size", "head").count().where("count > 1").drop("count"), "heads")
+    rows = rows.join(small(heads.withColumn("alike", F.lit(True))), ["size", "head"], "left")
+    whole = F.sha2(ascii_lower(F.col("text")).cast("binary"), 256)
+    rows = rows.select(
+        "doc_id", *others, "size", "alike", (whole if all_hashes else F.when(F.col("alike"), whole)).alias("hash")
     )
-    groups = groups.where("_n > 1").select("_size", "_hash", "_n", F.col("_last.doc_id").alias("_keep_id"), "_last._ties")
+    by_id = rows.where("alike").groupBy("size", "hash", "doc_id").agg(F.count("*").alias("ties"))
+    groups = by_id.groupBy("size", "hash").agg(F.sum("ties").alias("n"), F.max(F.struct("doc_id", "ties")).alias("last"))
+    groups = groups.where("n > 1").select("size", "hash", "n", F.col("last.doc_id").alias("keep_id"), "last.ties")
     groups = kept(groups, "groups")
-    rows = rows.join(small(groups), ["_size", "_hash"], "left")
-    mine = F.col("doc_id").eqNullSafe(F.col("_keep_id"))
-    rows = rows.withColumn("_kept", F.col("_n").isNull() | mine)
-    if groups.where("_ties > 1").limit(1).count():  # rows that repeat a doc_id and its text
-        tied = mine & (F.coalesce("_ties", F.lit(1)) > 1)
-        one = Window.partitionBy("_size", "_hash").orderBy(F.xxhash64(*docs.columns))
-        first = rows.where(tied).withColumn("_kept", F.row_number().over(one) == 1)
-        rows = rows.where(~tied).unionByName(first)
+    rows = rows.join(small(groups), ["size", "hash"], "left")
+    mine = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    rows = rows.withColumn("kept", F.col("n").isNull() | mine)
+    if groups.where("ties > 1").limit(1).count():  # rows that repeat a doc_id and its text: one stays
+        tied = F.col("n").isNotNull() & mine & (F.coalesce("ties", F.lit(1)) > 1)
+        order = [F.to_json(c) for c in others] or ["doc_id"]
+        one = F.row_number().over(Window.partitionBy("size", "hash").orderBy(*order)) == 1
+        rows = rows.where(~tied).unionByName(rows.where(tied).withColumn("kept", one))
     return rows
 
 
@@ -65,13 +57,14 @@ def exact_groups(docs: DataFrame, prefix_chars: int = 64, all_hashes: bool = Fal
     """
     return _marked(docs.select("doc_id", "text"), prefix_chars, all_hashes).select(
         "doc_id",
-        F.when(F.col("_n").isNull(), F.col("doc_id")).otherwise(F.col("_keep_id")).alias("keep_id"),
-        F.coalesce("_n", F.lit(1).cast("long")).alias("group_size"),
-        F.col("_kept").alias("kept"),
-        F.col("_hash").alias("text_sha256"),
+        F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
+        "kept",
+        F.col("hash").alias("text_sha256"),
     )
 
 
 def exact_dedup(docs: DataFrame, prefix_chars: int = 64) -> DataFrame:
     """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns."""
-    return _marked(docs, prefix_chars, False).where("_kept").select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select("doc_id", "text", F.struct("*").alias("row"))
+    return _marked(rows, prefix_chars, False).where("kept").select("row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sampleflow.llm.graph import kept
+from sampleflow.llm.graph import kept, small
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -41,65 +41,58 @@ def water_fill(sources: DataFrame, max_epochs: int = 3) -> DataFrame:
     return shares.withColumn("target", target).drop("_cap", "_left", "_weights")
 
 
+def _mixed(rows: DataFrame, weights: tuple[int, ...], max_epochs: int, seed: int) -> DataFrame:
+    """``rows`` (``doc_id``, ``source``, ``text``, others) with ``size``, ``source_size``, ``target``, ``repeats``, without ``text``."""
+    others = rows.columns[3:]
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    rows = rows.select("doc_id", "source", *others, word_count(F.col("text")).alias("size"), key.alias("key"))
+    light = kept(rows.select("source", "size", "key", F.substring("key", 1, 3).alias("cell")), "sizes")
+    cells = light.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
+    sources = cells.groupBy("source").agg(F.sum("cell_size").alias("source_size"))
+    turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
+    sources = sources.withColumn("weight", F.get(F.array(*(F.lit(w).cast("long") for w in weights)), turn))
+    sources = water_fill(sources, max_epochs)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
+    rest = F.col("target") - (F.col("whole") * F.col("source_size")).cast("double")
+    sources = kept(sources.withColumn("whole", whole.cast("long")).withColumn("rest", rest), "sources")
+    # In which cell of the seeded order a source's rest ends, then at which row of that cell.
+    named = sources.select(F.col("source").alias("of"), "rest")
+    up_to = Window.partitionBy("source").orderBy("cell")
+    filled = cells.withColumn("before", F.sum("cell_size").over(up_to) - F.col("cell_size"))
+    filled = filled.join(named, F.col("source").eqNullSafe(F.col("of"))).where("before < rest")
+    last = filled.groupBy("of", "rest").agg(F.max(F.struct("cell", "before")).alias("last"))
+    last = last.select("of", "rest", F.col("last.cell").alias("last_cell"), "last.before")
+    ends = light.join(last, F.col("source").eqNullSafe(F.col("of")) & (F.col("cell") == F.col("last_cell")))
+    upto = F.col("before") + F.sum("size").over(Window.partitionBy("of").orderBy("key"))
+    ends = ends.select("of", "key", "last_cell", (upto - F.col("size") / 2 <= F.col("rest")).alias("fits"))
+    # A cell's own name is below every key in it and above those of earlier cells.
+    ends = ends.groupBy("of").agg(F.coalesce(F.max(F.when(F.col("fits"), F.col("key"))), F.max("last_cell")).alias("until"))
+    plan = sources.select(F.col("source").alias("name"), "source_size", "target", "whole")
+    plan = plan.join(ends, F.col("name").eqNullSafe(F.col("of")), "left").drop("of")
+    plan = small(kept(plan, "plan"))
+    more = F.coalesce((F.col("key") <= F.col("until")).cast("long"), F.lit(0).cast("long"))
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("name"))).select(
+        "doc_id", "source", *others, "size", "source_size", "target", (F.col("whole") + more).alias("repeats")
+    )
+
+
 def mix_sources(
     docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 7
 ) -> DataFrame:
-    """``docs`` with ``_size``, ``_source_size``, ``_target`` and ``_repeats``: how often the mix takes each row.
+    """``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``repeats`` for every row of ``docs``: how often the mix takes it.
 
     Sizes are words (null text: none). Sources by code point, null last, get ``weights``
     in turn. A source that is to give r times its words gives each row floor(r) times, and
     rows in a seeded order once more until the rest is reached, to half a row: the sum is
     as near to the target as whole rows allow, and reruns agree. No row is taken more than
     ``max_epochs`` times. Rows that repeat a doc_id share a place in that order. A source
-    of empty texts has target 0 and is not taken. A null doc_id counts as an id.
+    of empty texts has target 0 and is not taken. A null doc_id counts as an id. The rows
+    that decide where a source's rest ends are those of one of 4,096 cells of the order.
     """
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rows = docs.withColumns({"_size": word_count(F.col("text")), "_key": key})
-    light = kept(rows.select("source", "_size", "_key", F.substring("_key", 1, 3).alias("_cell")), "sizes")
-    cells = light.groupBy("source", "_cell").agg(F.sum("_size").alias("_cell_size"))
-    by_source = Window.orderBy(F.col("source").asc_nulls_last())
-    sources = cells.groupBy("source").agg(F.sum("_cell_size").alias("source_size"))
-    turn = F.array(*(F.lit(w).cast("long") for w in weights))
-    sources = sources.withColumn("weight", F.get(turn, (F.row_number().over(by_source) - 1) % len(weights)))
-    sources = water_fill(sources, max_epochs)
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    sources = kept(
-        sources.withColumn("whole", whole.cast("long")).withColumn(
-            "rest", F.col("target") - (F.col("whole") * F.col("source_size")).cast("double")
-        ),
-        "sources",
-    )
-    # In which cell of the order a source's rest ends, then at which row of that cell.
-    up_to = Window.partitionBy("source").orderBy("_cell")
-    filled = cells.withColumn("_before", F.sum("_cell_size").over(up_to) - F.col("_cell_size"))
-    last = filled.join(sources, filled.source.eqNullSafe(sources.source)).where("_before < rest").groupBy(
-        filled.source.alias("source")
-    ).agg(F.max(F.struct("_cell", "_before", "rest")).alias("_last")).select("source", "_last.*")
-    ends = light.join(last, light.source.eqNullSafe(last.source) & (light._cell == last._cell)).select(
-        light.source, "_key", "_before", "rest", "_size", last._cell.alias("_cell")
-    )
-    ends = ends.withColumn("_sum", F.col("_before") + F.sum("_size").over(Window.partitionBy("source").orderBy("_key")))
-    # Keys below the cell are all taken; "_cell" itself is below every key in it.
-    ends = ends.groupBy("source").agg(
-        F.coalesce(F.max(F.when(F.col("_sum") - F.col("_size") / 2 <= F.col("rest"), F.col("_key"))), F.max("_cell")).alias("until")
-    )
-    plan = sources.join(ends, sources.source.eqNullSafe(ends.source), "left").select(
-        sources.source.alias("_source"), "source_size", "target", "whole", "until"
-    )
-    plan = kept(plan, "plan")
-    out = rows.join(plan, rows.source.eqNullSafe(plan._source), "left")
-    more = F.coalesce((F.col("_key") <= F.col("until")).cast("long"), F.lit(0).cast("long"))
-    return out.select(
-        *(rows[f"`{c}`"] for c in docs.columns),
-        "_size",
-        F.col("source_size").alias("_source_size"),
-        F.col("target").alias("_target"),
-        (F.col("whole") + more).alias("_repeats"),
-    )
+    return _mixed(docs.select("doc_id", "source", "text"), weights, max_epochs, seed)
 
 
-def repeated(docs: DataFrame, **options) -> DataFrame:
+def repeated(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 7) -> DataFrame:
     """The mix: each row of ``docs`` as often as ``mix_sources`` says, with its own columns."""
-    mixed = mix_sources(docs, **options)
-    times = F.explode(F.array_repeat(F.lit(0), F.col("_repeats").cast("int")))
-    return mixed.withColumn("_time", times).select(*(F.col(f"`{c}`") for c in docs.columns))
+    mixed = _mixed(docs.select("doc_id", "source", "text", F.struct("*").alias("row")), weights, max_epochs, seed)
+    return mixed.select("row", F.explode(F.array_repeat(F.lit(0), F.col("repeats").cast("int")))).select("row.*")

@@ -366,25 +366,12 @@ def _compare(percent: int):
     return compare
 
 
-def ngram_classes(
-    docs: DataFrame,
-    size: int = 5,
-    percent: int = 80,
-    block_grams: int = BLOCK_GRAMS,
-    block_sets: int = BLOCK_SETS,
-    most_partners: int = MOST_PARTNERS,
+def _classes(
+    docs: DataFrame, size: int, percent: int, block_grams: int, block_sets: int, most_partners: int
 ) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` for every row of ``docs``.
-
-    Texts link when the Jaccard similarity of their sets of ``size``-word n-grams is
-    ``percent`` / 100 or more (exactly, in whole numbers); ``component_id`` is the smallest
-    doc_id that links lead to. Texts that are null, empty or without words have no n-grams
-    and stay alone. Repeated rows, also of one doc_id, all come out. A null doc_id is
-    never the smallest; a component of nothing else gets null. Other columns are not used.
-    N-grams are compared by 64-bit, whole sets by 128-bit hashes.
-    """
+    """``row_key``, ``doc_id``, ``n`` of every row; its component's smallest ``component_id``, and the ``lead_key`` of that row."""
     spark = docs.sparkSession
-    docs = docs.select(F.coalesce("doc_id", F.xxhash64("text")).alias("row_key"), "doc_id", "text")
+    docs = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", "text")
     order = spark.sparkContext.broadcast(gram_order(docs, size))
     sketch = kept(
         docs.mapInArrow(
@@ -394,7 +381,7 @@ def ngram_classes(
         "sketch",
     )
     classes = sketch.where("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.first("n").alias("n"),
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("lead"), F.first("n").alias("n"),
         F.first("short").alias("short"), F.first("cells").alias("cells"), F.first("prefix").alias("prefix"),
     )
     grams = classes.select("short", F.explode("prefix").alias("gram"))
@@ -403,7 +390,7 @@ def ngram_classes(
     members = members.join(classes.select("short", "n", "cells"), "short").repartition("key").sortWithinPartitions("key", "n")
     members = kept(members.mapInArrow(_prune(percent, most_partners), "key long, short long").distinct(), "members")
 
-    wanted = members.select("short").distinct().join(classes.select("short", "row_key"), "short")
+    wanted = members.select("short").distinct().join(classes.select("short", "lead.row_key"), "short")
     wanted = small(kept(wanted.select("row_key").distinct(), "wanted"))
     texts = docs.join(wanted, "row_key").select("text")
     sets = texts.mapInArrow(_whole_sets(size, order), "short long, node binary, grams binary").dropDuplicates(["node"])
@@ -421,15 +408,53 @@ def ngram_classes(
         links = links.union(_large_clusters(full, sets, sizes.where("blocks > 1"), percent))
     found = components(links)
 
-    by_class = classes.select("node", "doc_id").join(found, "node", "left").withColumn(
+    by_class = classes.select("node", "lead").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
-    least = by_class.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_class = by_class.join(least, "component").select(F.col("node").alias("class"), "component_id")
-    out = sketch.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).alias("class"))
-    alone = F.col("n_shingles") == 0
-    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.join(by_class, "class", "left").select("doc_id", "n_shingles", component.alias("component_id"))
+    least = by_class.groupBy("component").agg(F.min("lead").alias("lead"))
+    by_class = by_class.select("node", "component").join(least, "component")
+    by_class = by_class.select(F.col("node").alias("class"), "lead.doc_id", F.col("lead.row_key").alias("lead_key"))
+    by_class = by_class.withColumnRenamed("doc_id", "component_id")
+    out = sketch.select("row_key", "doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("class"))
+    return out.join(by_class, "class", "left").drop("class")
+
+
+def ngram_classes(
+    docs: DataFrame,
+    size: int = 5,
+    percent: int = 80,
+    block_grams: int = BLOCK_GRAMS,
+    block_sets: int = BLOCK_SETS,
+    most_partners: int = MOST_PARTNERS,
+) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` for every row of ``docs``.
+
+    Texts link when the Jaccard similarity of their sets of ``size``-word n-grams is
+    ``percent`` / 100 or more (exactly, in whole numbers); ``component_id`` is the smallest
+    doc_id that links lead to. Texts that are null, empty or without words have no n-grams
+    and stay alone. Repeated rows, also of one doc_id, all come out. A null doc_id is
+    never the smallest; a component of nothing else gets null. Other columns are not used.
+    N-grams are compared by 64-bit, whole sets by 128-bit hashes. The last three options
+    bound what a task holds and do not change the result.
+    """
+    found = _classes(docs, size, percent, block_grams, block_sets, most_partners)
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One row of ``docs`` of each component: that of the smallest doc_id (null last), with all its columns. Texts without words all stay."""
+    found = kept(_classes(docs, size, percent, BLOCK_GRAMS, BLOCK_SETS, MOST_PARTNERS), "classes")
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.struct("*").alias("row"))
+    dropped = found.where("n > 0 AND row_key <> lead_key").select(F.col("row_key").alias("key")).distinct()
+    rows = rows.join(small(kept(dropped, "dropped")), "key", "left_anti")
+    twins = found.where("n > 0").groupBy("row_key").count().where("count > 1").select(F.col("row_key").alias("key"))
+    twins = kept(twins, "twins")
+    if twins.limit(1).count():  # rows that repeat a doc_id and its text
+        again = rows.join(twins, "key", "left_semi").withColumn("text", F.to_json("row"))
+        one = again.groupBy("key").agg(F.min_by("row", "text").alias("row"))
+        rows = rows.join(twins, "key", "left_anti").unionByName(one)
+    return rows.select("row.*")
 
 
 def _joined(blocks: DataFrame, percent: int) -> DataFrame:

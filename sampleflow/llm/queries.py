@@ -4,15 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sampleflow.llm.bpe import decode_ids, encode_texts
+from sampleflow.llm.chat import chat_digests, format_chat
+from sampleflow.llm.exact import exact_groups
+from sampleflow.llm.language import held_out, identify, train_network
+from sampleflow.llm.mixing import mix_sources
 from sampleflow.llm.ngram_join import ngram_classes
+from sampleflow.llm.quality import judge_quality, train_quality
+from sampleflow.llm.sharding import balanced_shards
+from sampleflow.llm.substrings import remove_repeats
+from sampleflow.llm.urls import Rule, url_verdicts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
+BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+CHAT_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+URL_RULES = (
+    Rule("net", "/", "block"),
+    Rule("example.net", "/en/", "allow"),
+    Rule("example.com", "/de/", "block"),
+    Rule("org", "/fr/", "allow"),
+)
+SEED = 7
+
 
 def register(sql: str | None = None) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
@@ -31,3 +53,124 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @register()
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+@register()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, train_network(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@register(
+    f"""
+    WITH sized AS (
+        SELECT doc_id, source,
+            coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+            md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS k
+        FROM documents
+    ),
+    sources AS (
+        SELECT source, sum(size)::BIGINT AS source_size,
+            [1, 2, 3][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS w
+        FROM sized GROUP BY source
+    ),
+    -- Sources in the order in which they are full; one is full if the share left for it would be above its cap.
+    shares AS (
+        SELECT *, 3 * source_size AS cap,
+            sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remain,
+            sum(w) OVER (f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+        FROM sources WINDOW f AS (ORDER BY (3 * source_size)::DOUBLE / w, source)
+    ),
+    level AS (
+        SELECT arg_min(remain, cap::DOUBLE / w) AS remain, arg_min(weights, cap::DOUBLE / w) AS weights
+        FROM shares WHERE remain * w < cap * weights
+    ),
+    targets AS (
+        SELECT s.source, s.source_size,
+            CASE WHEN s.remain * s.w >= s.cap * s.weights THEN s.cap::DOUBLE
+                 ELSE (l.remain * s.w)::DOUBLE / l.weights::DOUBLE END AS target
+        FROM shares s, level l
+    ),
+    plan AS (
+        SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM targets
+    ),
+    ordered AS (
+        SELECT d.doc_id, d.size, p.source_size, p.target, p.whole,
+            p.target - (p.whole * p.source_size)::DOUBLE AS rest,
+            sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k) AS upto,
+            sum(d.size) OVER (PARTITION BY d.source, substr(d.k, 1, 3)) AS cell
+        FROM sized d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
+    )
+    SELECT doc_id, size, source_size, target,
+        (size * (whole + CASE WHEN rest > 0 AND upto - size / 2.0 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken
+    FROM ordered
+    """
+)
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"), (1, 2, 3), max_epochs=3, seed=SEED)
+    taken = F.col("size") * F.col("repeats")
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+@register()
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return judge_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
+
+
+@register()
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@register()
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    own = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    formatted = format_chat(turns, CHAT_RANKS, public_tokenizers.PATTERN)
+    return chat_digests(formatted, CHAT_RANKS, public_tokenizers.PATTERN)
+
+
+@register()
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = encode_texts(table(spark, sf_dir, "documents"), BPE_RANKS, public_tokenizers.PATTERN)
+    return decode_ids(ids, BPE_RANKS, public_tokenizers.PATTERN).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@register()
+def op8_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards(table(spark, sf_dir, "documents"), shards=40)
+
+
+@register()
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), size=20, with_text=False)
+
+
+@register(
+    """
+    WITH normal AS (
+        SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+        FROM documents
+    )
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+        doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+    FROM normal WINDOW same AS (PARTITION BY t)
+    """
+)
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"), all_hashes=True)
+
+
+@register()
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

@@ -7,8 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sampleflow.llm.graph import kept
-from sampleflow.llm.mixing import WORD  # noqa: F401
+from sampleflow.llm.graph import kept, small
 
 
 @dataclass(frozen=True)
@@ -44,20 +43,84 @@ def matching_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column
 
 
 def segments(path: Column) -> Column:
-    """The path's segments; a last one's file ending stays apart from what varies in it (``123.html``: ``123``)."""
+    """The path's segments without a file's ending; one of digits only is ``*``."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    return F.transform(parts, lambda s: F.regexp_replace(s, r"\.[A-Za-z]{1,5}$", ""))
+    return F.transform(parts, lambda s: F.regexp_replace(F.regexp_replace(s, r"\.[A-Za-z]{1,5}$", ""), r"^[0-9]+$", "*"))
 
 
-def path_templates(urls: DataFrame, depth: int = 4, variable: int = 20, z: float = 2.0) -> DataFrame:
-    """``host``, ``template``, ``merged`` for each path shape of ``urls`` (``host``, ``path``, ``bad``: true, false or null).
+def _generalised(rows: DataFrame, depth: int, variable: int) -> DataFrame:
+    """``rows`` (``host``, ``segs``) with ``template``: from the root down, a segment is ``*`` where its parent has more than ``variable`` kinds."""
+    rows = rows.withColumn("template", F.lit(""))
+    for level in range(depth):
+        here = F.get("segs", F.lit(level))
+        kinds = rows.where(here.isNotNull()).groupBy("host", "template", here.alias("seg")).count()
+        wide = kinds.groupBy("host", "template").agg(F.count("*").alias("kinds")).where(F.col("kinds") > variable)
+        wide = small(kept(wide.select("host", "template", F.lit(True).alias("wide")), "wide"))
+        step = F.concat("template", F.lit("/"), F.when(F.col("wide"), F.lit("*")).otherwise(here))
+        rows = rows.join(wide, ["host", "template"], "left").withColumn(
+            "template", F.when(here.isNull(), F.col("template")).otherwise(step)
+        ).drop("wide")
+    deeper = F.size("segs") > depth
+    return rows.withColumn("template", F.when(deeper, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
+
+
+def _purity(bad: Column, labelled: Column, prior: float, weight: float) -> Column:
+    return (bad + prior * weight) / (labelled + weight)
 
-    The tree is generalised from the root down. A segment becomes ``*`` where its parent
-    has more than ``variable`` different ones, or where it is all digits. Sibling templates
-    whose shares of bad labels do not differ by ``z`` standard errors are merged: ``merged``
-    is the smallest of them, compared in order of that share. Segments beyond ``depth`` count as one ``**``.
-    """
-    raise NotImplementedError
 
+def judged_templates(stats: DataFrame, z: float, prior: float, weight: float) -> DataFrame:
+    """``host``, ``template``, ``branch``, ``purity`` from each template's ``labelled`` and ``bad`` counts.
 
-__all__ = ["Rule", "host_and_path", "matching_rule", "segments", "path_templates"]
+    Labelled templates of a host with as many segments stand in order of their share of
+    bad labels; neighbours whose shares differ by less than ``z`` standard errors are
+    merged into one branch, named by its smallest template. The purity is a branch's share
+    of bad labels, smoothed by ``weight`` labels of which ``prior`` are bad.
+    """
+    depth = F.size(F.split("template", "/"))
+    siblings = Window.partitionBy("host", depth, F.col("labelled") > 0).orderBy(_purity(F.col("bad"), F.col("labelled"), prior, weight), "template")
+    before = lambda c: F.lag(c).over(siblings)
+    both, all_bad = F.col("labelled") + before("labelled"), F.col("bad") + before("bad")
+    share = all_bad / both
+    error = F.sqrt(share * (1 - share) * (1 / F.col("labelled") + 1 / before("labelled")))
+    apart = F.abs(F.col("bad") / F.col("labelled") - before("bad") / before("labelled"))
+    new = F.when(before("template").isNull() | (F.col("labelled") == 0), F.lit(1)).otherwise((apart > z * error).cast("int"))
+    found = stats.withColumn("new", new).withColumn("run", F.sum("new").over(siblings)).withColumn("depth", depth)
+    branch = Window.partitionBy("host", "depth", F.col("labelled") > 0, "run")
+    purity = _purity(F.sum("bad").over(branch), F.sum("labelled").over(branch), prior, weight)
+    return found.select("host", "template", F.min("template").over(branch).alias("branch"), purity.alias("purity"))
+
+
+def url_verdicts(
+    pages: DataFrame,
+    rules: tuple[Rule, ...],
+    depth: int = 4,
+    variable: int = 20,
+    z: float = 2.0,
+    reject: float = 0.8,
+    prior: float = 0.5,
+    weight: float = 4.0,
+) -> DataFrame:
+    """``page_id``, ``host``, ``path``, ``rule``, ``template``, ``branch``, ``purity``, ``verdict`` for every row of ``pages``.
+
+    The longest rule that fits decides. It also labels the URL for the tree: block is
+    bad. Each host's paths are generalised into templates from the root down, similar
+    branches are merged, and URLs without a rule are blocked where the smoothed share of
+    bad labels of their branch is ``reject`` or more: by the defaults that takes six labels,
+    all bad. A URL that is null, or without ``://``, has an empty host and path, and is allowed.
+    Counts of a host, template and segment are all that meets in one place, so a host with
+    most of the rows is no larger there than its tree. Other columns are not used.
+    """
+    host, path = host_and_path(F.col("url"))
+    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    rows = rows.withColumn("found", matching_rule(F.col("host"), F.col("path"), rules)).withColumn("segs", segments(F.col("path")))
+    rows = _generalised(rows, depth, variable)
+    verdict = F.col("found.verdict")
+    stats = rows.groupBy("host", "template").agg(
+        F.count(verdict).alias("labelled"), F.count_if(verdict == "block").alias("bad")
+    )
+    judged = small(kept(judged_templates(stats, z, prior, weight), "judged"))
+    own = F.when(F.col("purity") >= reject, F.lit("block")).otherwise(F.lit("allow"))
+    return rows.join(judged, ["host", "template"]).select(
+        "page_id", "host", "path", F.col("found.rule").alias("rule"), "template", "branch", "purity",
+        F.coalesce(verdict, own).alias("verdict"),
+    )
