@@ -34,7 +34,9 @@ CHUNK = 4096
 #: A cluster above either goes in blocks.
 BLOCK_GRAMS = 1 << 20
 BLOCK_SETS = 2000
-CELLS = 64
+#: Cells by which sets are compared before they are read: the number for sets from each size on.
+#: Different sets of n differ by about the square root of n x cells, which must be above a tenth of n.
+CELLS = ((0, 64), (2_000, 1_024), (64_000, 16_384), (2_000_000, 262_144))
 #: A set with more others of fitting size in its cluster is not compared by cells: it stays.
 MOST_PARTNERS = 5000
 
@@ -118,13 +120,31 @@ def _signatures(grams: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
     return tuple(span_hashes(mix(grams ^ U(base)), ends - lengths, ends, base) for base in BASES)
 
 
-def _cells(grams: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    """How many of a set's n-grams fall into each of 64 cells, as 64 two-byte numbers."""
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    counts = np.bincount(row * CELLS + (mix(grams) >> U(58)).astype(np.int64), minlength=len(lengths) * CELLS)
-    raw = np.minimum(counts, 65535).astype("<u2").tobytes()
-    fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * CELLS), len(lengths), [None, pa.py_buffer(raw)])
-    return fixed.cast(pa.binary())
+def _cells(grams: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+    """How many of a set's n-grams fall into each of its cells, as four-byte numbers (two bytes below the first step)."""
+    place, row = mix(grams), np.repeat(np.arange(len(lengths)), lengths)
+    (_, few), (first_step, _) = CELLS[:2]
+    short = np.where(lengths < first_step, lengths, 0)
+    inside = short[row] > 0
+    counts = np.bincount(row[inside] * few + (place[inside] >> U(58)).astype(np.int64), minlength=len(lengths) * few)
+    out = [c.tobytes() for c in counts.astype("<u2").reshape(-1, few)]
+    ends = np.cumsum(lengths)
+    for i in np.flatnonzero(lengths >= first_step):
+        cells = max(c for least, c in CELLS if lengths[i] >= least)
+        own = place[ends[i] - lengths[i] : ends[i]] >> U(65 - cells.bit_length())
+        out[i] = np.bincount(own.astype(np.int64), minlength=cells).astype("<u4").tobytes()
+    return out
+
+
+def _read_cells(raw: list[bytes]) -> dict[int, tuple[int, np.ndarray]]:
+    """For each number of cells in use: the first row with as many (rows ascend by size), and all rows from there on, folded to it."""
+    few = CELLS[0][1]
+    own = [np.frombuffer(r, "<u2" if len(r) == 2 * few else "<u4").astype(np.int64) for r in raw]
+    out = {}
+    for cells in {len(o) for o in own}:
+        start = next(i for i, o in enumerate(own) if len(o) == cells)
+        out[cells] = start, np.array([o.reshape(cells, -1).sum(axis=1) for o in own[start:]])
+    return out
 
 
 def _sketch(size: int, percent: int, order):
@@ -141,7 +161,7 @@ def _sketch(size: int, percent: int, order):
                     pa.array(lengths.astype(np.int64)),
                     pa.array(high.view(np.int64)),
                     digests(high, low),
-                    _cells(grams, lengths),
+                    pa.array(_cells(grams, lengths), pa.binary()),
                     long_lists(grams[place < np.repeat(prefix, lengths)], prefix),
                 ],
                 names=["row_key", "doc_id", "n", "short", "node", "cells", "prefix"],
@@ -272,19 +292,23 @@ def _groups(
         yield rows, whole
 
 
-def _may_link(n: np.ndarray, cells: np.ndarray, percent: int, most_partners: int) -> np.ndarray:
+def _may_link(n: np.ndarray, raw: list[bytes], percent: int, most_partners: int) -> np.ndarray:
     """A label for each set (ascending by size): equal where sets could be linked by size and cells, -1 for a set alone.
 
     A set with more than ``most_partners`` others of fitting size counts as one that could be linked with all of them.
     """
     labels, alone = np.arange(len(n)), np.ones(len(n), bool)
     ends = np.searchsorted(n, 100 * n // percent, "right").tolist()
+    folded = _read_cells(raw)
+    steps = sorted((start, cells) for cells, (start, _) in folded.items())
     for i, end in enumerate(ends):
         if end <= i + 1:
             continue
         near = np.arange(i + 1, end)
         if len(near) <= most_partners:
-            differ = np.abs(cells[i + 1 : end] - cells[i]).sum(axis=1)
+            start, cells = max(s for s in steps if s[0] <= i)
+            rows = folded[cells][1]
+            differ = np.abs(rows[i + 1 - start : end - start] - rows[i - start]).sum(axis=1)
             near = near[differ <= (100 - percent) * (n[i] + n[i + 1 : end]) // (100 + percent)]
         if len(near):
             alone[i] = alone[near] = False
@@ -306,8 +330,7 @@ def _prune(percent: int, most_partners: int):
         for rows, whole in _groups(batches, ["key"], 4 * most_partners):
             own = [r["short"] for r in rows]
             if whole:
-                cells = np.array([np.frombuffer(r["cells"], "<u2") for r in rows], np.int32)
-                labels = _may_link(np.array([r["n"] for r in rows]), cells, percent, most_partners).tolist()
+                labels = _may_link(np.array([r["n"] for r in rows]), [r["cells"] for r in rows], percent, most_partners).tolist()
                 least: dict[int, int] = {}
                 for label, short in zip(labels, own):
                     least[label] = min(short, least.get(label, short))
@@ -393,19 +416,19 @@ def _classes(
     wanted = members.select("short").distinct().join(classes.select("short", "lead.row_key"), "short")
     wanted = small(kept(wanted.select("row_key").distinct(), "wanted"))
     texts = docs.join(wanted, "row_key").select("text")
-    sets = texts.mapInArrow(_whole_sets(size, order), "short long, node binary, grams binary").dropDuplicates(["node"])
-    full = members.join(sets, "short")
+    sets = texts.mapInArrow(_whole_sets(size, order), "short long, node binary, grams binary")
     sizes = classes.select("short", "n").join(members, "short").groupBy("key").agg(
         F.min("short").alias("least"), F.greatest(F.count("*") / block_sets, F.sum("n") / block_grams).alias("blocks")
     )
     sizes = kept(sizes.select("key", "least", F.ceil("blocks").cast("int").alias("blocks")), "sizes")
+    members = kept(members.join(sizes, "key"), "members")
 
-    single = full.join(sizes.where("blocks <= 1").select("key"), "key").select(
+    single = sets.join(small(members.where("blocks <= 1").select("key", "short")), "short").select(
         "key", "node", "grams", F.lit(False).alias("joined"), F.lit(0).alias("i"), F.lit(0).alias("j")
     )
     links = _joined(single, percent)
     if sizes.where("blocks > 1").limit(1).count():
-        links = links.union(_large_clusters(full, sets, sizes.where("blocks > 1"), percent))
+        links = links.union(_large_clusters(sets, members.where("blocks > 1"), percent))
     found = components(links)
 
     by_class = classes.select("node", "lead").join(found, "node", "left").withColumn(
@@ -462,10 +485,12 @@ def _joined(blocks: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(_join_clusters(percent), "u binary, v binary")
 
 
-def _large_clusters(full: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _large_clusters(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Links within clusters of several blocks."""
     least = sets.select(F.col("short").alias("least"), F.col("grams").alias("least_grams"), F.col("node").alias("least_node"))
-    dealt = full.join(sizes, "key").join(least, "least").drop("least")
+    dealt = sets.join(members, "short").join(least, "least").select(
+        "key", "short", "node", "grams", "blocks", "least_node", "least_grams"
+    )
     marked = dealt.mapInArrow(
         _compare(percent), "key long, short long, node binary, grams binary, blocks int, least_node binary, joined boolean"
     )

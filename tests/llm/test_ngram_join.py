@@ -1,7 +1,7 @@
 import pytest
 from tests.llm.cases import edge_docs, edge_rows, lower, no_docs, words
 
-from sampleflow.llm.ngram_join import near_dedup, ngram_classes, prefix_lengths
+from sampleflow.llm.ngram_join import _cells, _may_link, near_dedup, ngram_classes, prefix_lengths
 
 import numpy as np
 
@@ -12,7 +12,7 @@ def grams(text, size):
 
 
 def brute(rows, size, percent):
-    """Rows of (doc_id, set size, component_id), all pairs compared."""
+    """Rows of (doc_id, set size, component_id), all pairs compared; how many components there are."""
     sets = [grams(t, size) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -30,15 +30,14 @@ def brute(rows, size, percent):
     for i, (doc_id, _) in enumerate(rows):
         if doc_id is not None:
             least[root(i)] = min(doc_id, least.get(root(i), doc_id))
-    return sorted(
-        ((d, len(s), least.get(root(i)) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=repr
-    )
+    found = ((d, len(s), least.get(root(i)) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets)))
+    return sorted(found, key=repr), len({root(i) for i in range(len(rows))})
 
 
 @pytest.mark.parametrize("size,percent,blocks", [(3, 90, {}), (5, 80, {}), (2, 60, {"block_sets": 2, "block_grams": 300, "most_partners": 2})])
 def test_agrees_with_all_pairs(spark, size, percent, blocks):
     got = sorted((tuple(r) for r in ngram_classes(edge_docs(spark), size, percent, **blocks).collect()), key=repr)
-    assert got == brute([r[:2] for r in edge_rows()], size, percent)
+    assert got == brute([r[:2] for r in edge_rows()], size, percent)[0]
 
 
 def test_one_row_of_each_component_stays(spark):
@@ -46,11 +45,28 @@ def test_one_row_of_each_component_stays(spark):
     got = near_dedup(docs, 5, 80)
     assert got.columns == docs.columns
     stay = [(r.doc_id, r.text) for r in got.collect()]
-    found = brute([r[:2] for r in edge_rows()], 5, 80)
-    assert len(stay) == len({c for _, n, c in found if n and c is not None}) + sum(n > 0 and c is None for _, n, c in found) + sum(n == 0 for _, n, _ in found)
+    found, components = brute([r[:2] for r in edge_rows()], 5, 80)
+    assert len(stay) == components
     assert {c for _, n, c in found if n and c is not None} <= {d for d, _ in stay}
 
 
+def test_cells_bound_the_difference():
+    random = np.random.default_rng(2)
+    sizes = [5, 900, 1_950, 2_050, 2_100, 63_000, 66_000]
+    sets = [np.unique(random.integers(0, 1 << 63, n).astype(np.uint64)) for n in sizes]
+    sets += [np.unique(np.append(s[: len(s) - len(s) // 30], random.integers(0, 1 << 63, len(s) // 30).astype(np.uint64))) for s in sets]
+    sets.sort(key=len)
+    n = np.array([len(s) for s in sets])
+    raw = [_cells(s, np.array([len(s)]))[0] for s in sets]
+    assert _cells(np.concatenate(sets), n) == raw
+    labels = _may_link(n, raw, 90, 100)
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            linked = 100 * both >= 90 * (n[a] + n[b] - both)
+            assert (labels[a] == labels[b] >= 0) == linked  # unlike sets of random numbers are all told apart
+
+
 def test_empty_table(spark):
     assert ngram_classes(no_docs(spark)).collect() == [] and near_dedup(no_docs(spark)).collect() == []
 
