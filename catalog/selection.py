@@ -149,7 +149,7 @@ def distinct_texts(spark, sf):
 
 
 @register("""
-    SELECT text FROM documents WHERE length(text) < 1000000 ORDER BY length(text), doc_id LIMIT 1
+    SELECT text FROM documents WHERE text IS NOT NULL ORDER BY length(text), doc_id LIMIT 1
 """)
 def shortest_prompt(spark, sf):
     return ops.shortest_prompt(documents(spark, sf), "text", ["doc_id"])
@@ -163,3 +163,58 @@ def shortest_prompt(spark, sf):
 def train_val_split(spark, sf):
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "label")
     return ops.train_val_split(rows, ["vec_id"], seed=42)
+
+
+def judged(spark, sf):
+    """Documents with their label, where there is one."""
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    return documents(spark, sf).join(labels, "doc_id", "left").select("doc_id", "quality", "text")
+
+
+BY_QUALITY = KeyOrder(("quality", "doc_id"))
+JUDGED = "documents d LEFT JOIN labels l USING (doc_id)"
+NULLS_FIRST = "ORDER BY quality NULLS FIRST, doc_id"
+
+
+@register(f"SELECT doc_id, quality, text FROM {JUDGED} {NULLS_FIRST} LIMIT 150")
+def limit_rows_null_key(spark, sf):
+    return ops.limit_rows(judged(spark, sf), 150, BY_QUALITY)
+
+
+@register(f"""
+    SELECT doc_id, quality, CAST(ntile(7) OVER ({NULLS_FIRST}) AS INTEGER) AS split_id FROM {JUDGED}
+""")
+def split_rows_null_key(spark, sf):
+    return ops.split_rows(judged(spark, sf).drop("text"), 7, BY_QUALITY)
+
+
+@register(f"""
+    SELECT doc_id, quality FROM (SELECT doc_id, quality, ntile(4) OVER ({NULLS_FIRST}) AS split_id FROM {JUDGED})
+    WHERE split_id = 2
+""")
+def select_split_null_key(spark, sf):
+    return ops.select_split(judged(spark, sf).drop("text"), 2, 4, BY_QUALITY)
+
+
+@register("""
+    SELECT doc_id, CAST(ntile(300) OVER (ORDER BY doc_id) AS INTEGER) AS split_id FROM documents
+""")
+def split_rows_many(spark, sf):
+    return ops.split_rows(documents(spark, sf).select("doc_id"), 300, KeyOrder(("doc_id",)))
+
+
+@register("SELECT event_id, ts FROM events ORDER BY ts, event_id LIMIT 500")
+def limit_rows_by_time(spark, sf):
+    events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts")
+    return ops.limit_rows(events, 500, KeyOrder(("ts", "event_id")))
+
+
+@register("""
+    SELECT doc_id, CAST(ntile(5) OVER (ORDER BY encode(repeat('same ', 80) || text), doc_id) AS INTEGER) AS split_id
+    FROM documents
+""")
+def split_rows_by_text(spark, sf):
+    """Keys that share their first 400 bytes."""
+    prefixed = F.concat(F.lit("same " * 80), "text").alias("key")
+    rows = documents(spark, sf).select("doc_id", prefixed)
+    return ops.split_rows(rows, 5, KeyOrder(("key", "doc_id"))).select("doc_id", "split_id")

@@ -10,14 +10,20 @@ answer, and each one holds a small share of the rows, so no task sees the table.
 * ``rows_at`` - the order values at given ranks; reads the order columns only.
   Cutting a table at such values needs no shuffle at all.
 
+Nulls come first. Rows with equal order values are told apart by a hash of all their
+columns, so repeated keys lose no row; only rows that are equal throughout stay
+interchangeable.
+
 The order columns and whatever filters the rows are computed a few times over, so
-they should be cheap to read.
+they should be cheap to read: buckets take a count and a sample for each digit they are
+cut by, bounds one count of rows by bucket and one look into the buckets they fall in.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+import os
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -28,8 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FILE_COLUMNS = ("src_file", "src_row")
-MAX_BUCKETS = 1 << 16
 SAMPLES_PER_BUCKET = 100
+HASH_BUCKET_ROWS = 100_000
+# Stands before every number; a missing value that is cut by is this one.
+LOWEST = -1.79e308
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -37,8 +45,8 @@ def shuffle_partitions(df: DataFrame) -> int:
 
 
 def shuffle_buckets(df: DataFrame) -> int:
-    """Four buckets per shuffle partition, within fixed bounds."""
-    return max(2, min(MAX_BUCKETS, 4 * shuffle_partitions(df)))
+    """Four buckets per shuffle partition."""
+    return max(2, 4 * shuffle_partitions(df))
 
 
 def quantile_bucket(
@@ -94,23 +102,27 @@ class HashOrder:
     columns: tuple[str, ...] = ("_hash",)
 
     def hash_column(self) -> Column:
+        # Different keys must not read the same once they are joined, nor a null like any text.
         parts = [F.col(k).cast("string") for k in self.key]
-        if len(parts) > 1:
-            # Different keys must not read the same once they are joined.
-            parts = [F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for p in parts]
+        parts = [F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for p in parts]
+        parts = [F.coalesce(p, F.lit("\\N")) for p in parts]
         return F.md5(F.concat_ws("|", F.lit(str(self.seed)), *parts))
 
     def bucketed(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
-        # Digests are spread evenly: four leading hex digits cut into 65,536 like shares.
-        return keyed(df, self).withColumn("_bucket", F.substring("_hash", 1, 4)), ["_bucket"]
+        # Digests are spread evenly: leading hex digits, four or as many as the rows need, cut into like shares.
+        rows, digits = df.count(), 4
+        while 16**digits * HASH_BUCKET_ROWS < rows:
+            digits += 1
+        return keyed(df, self).withColumn("_bucket", F.substring("_hash", 1, digits)), ["_bucket"]
 
 
 @dataclass(frozen=True)
 class KeyOrder:
-    """Ascending order of one or more columns that together are unique.
+    """Ascending order of one or more columns, nulls first.
 
-    Numbers and strings are accepted.  A leading value that holds many rows is
-    cut further by the columns after it.
+    Numbers, strings, binaries, booleans, dates and timestamps are accepted. A value
+    that holds many rows is cut further: by what its digits leave out, then by the
+    columns after it.
     """
 
     columns: tuple[str, ...]
@@ -118,49 +130,101 @@ class KeyOrder:
 
     def bucketed(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
         buckets = self.buckets or shuffle_buckets(df)
-        kinds = [df.schema[c].dataType for c in self.columns]
-        digits = [(d, k) for c, k in zip(self.columns, kinds) for d in _digits(c, k)]
         out, names, undecided = df, [], F.lit(True)
-        for i, (digit, kind) in enumerate(digits):
-            value, name = f"_digit{i}", f"_bucket{i}"
-            out = out.withColumn(value, F.when(undecided, digit))
-            out, heavy = quantile_bucket(out, value, name, buckets)
-            names.append(name)
-            # Where a double can stand for several numbers, later columns do not decide.
-            heavy = [v for v in heavy if abs(v) < 2**53]
-            if not heavy or isinstance(kind, T.DecimalType):
-                break
-            undecided = F.col(value).isin(heavy)
-        return out.drop(*[c for c in out.columns if c.startswith("_digit")]), names
-
-
-def _digits(name: str, kind: T.DataType) -> list[Column]:
-    """Doubles that compare, one after the other, the way the column does."""
-    column = F.col(name)
-    if isinstance(kind, T.NumericType):
-        return [column.cast("double")]
-    if isinstance(kind, T.StringType):
-        # Strings sort by their UTF-8 bytes: six bytes make one exact double.
-        # Later ones are looked at only where many keys share all earlier ones.
-        bytes_ = F.encode(column, "UTF-8")
-        return [
-            F.conv(F.rpad(F.hex(F.substring(bytes_, 6 * i + 1, 6)), 12, "0"), 16, 10).cast("double")
-            for i in range(64)
-        ]
-    raise TypeError(f"cannot order by column {name!r} of type {kind.simpleString()}")
+        for column in self.columns:
+            digits = _digits(df, column)
+            digit = next(digits)
+            while digit is not None:
+                value, name = f"_digit{len(names)}", f"_bucket{len(names)}"
+                out = out.withColumn(value, F.when(undecided, F.coalesce(digit, F.lit(LOWEST))))
+                out, heavy = quantile_bucket(out, value, name, buckets)
+                names.append(name)
+                if not heavy:
+                    return _undigited(out), names
+                undecided = F.col(value).isin(heavy)
+                try:
+                    digit = digits.send(out.where(undecided))
+                except StopIteration:
+                    break
+        return _undigited(out), names
+
+
+def _undigited(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_digit")])
+
+
+def _digits(df: DataFrame, name: str) -> Iterator[Column]:
+    """Doubles that compare, one after the other, the way the column does.
+
+    Each stands for rows that agree in all earlier ones; those are sent in, so that
+    strings can go on behind what all of them share. All digits together are exact.
+    """
+    kind, column = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.StringType | T.BinaryType):
+        bytes_ = column.cast("binary")
+        at, rows = 0, df
+        while True:
+            # Six bytes make one exact double.
+            piece = F.rpad(F.hex(F.substring(bytes_, at + 1, 6)), 12, "0")
+            rows = yield F.conv(piece, 16, 10).cast("double")
+            # Zero bytes read like the end of a text: its length decides.
+            ends = rows.agg(F.min(bytes_).alias("low"), F.max(bytes_).alias("high")).first()
+            low, high = (bytes(ends.low), bytes(ends.high)) if ends.low is not None else (b"", b"")
+            if low == high:
+                return
+            at = max(at + 6, len(os.path.commonprefix([low, high])))
+            if at >= len(high):
+                yield F.octet_length(column).cast("double")
+                return
+    elif isinstance(kind, T.LongType | T.TimestampType):
+        number = F.unix_micros(column) if isinstance(kind, T.TimestampType) else column
+        yield F.shiftright(number, 32).cast("double")
+        yield number.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("double")
+    elif isinstance(kind, T.DecimalType):
+        # A double, then what it leaves out, twice: some 48 digits.
+        rest = column.cast(T.DecimalType(38, kind.scale))
+        for _ in range(3):
+            digit = rest.cast("double")
+            yield digit
+            rest = F.coalesce(rest - digit.try_cast(T.DecimalType(38, kind.scale)), F.lit(0)).cast(T.DecimalType(38, kind.scale))
+    elif isinstance(kind, T.DateType):
+        yield F.unix_date(column).cast("double")
+    elif isinstance(kind, T.BooleanType):
+        yield column.cast("int").cast("double")
+    elif isinstance(kind, T.FloatType | T.DoubleType):
+        # Minus infinity stands above a missing value, and below what is left of the numbers there.
+        yield F.greatest(column.cast("double"), F.lit(-1.78e308))
+        yield F.greatest(column.cast("double") / 2, F.lit(-1.7e308))
+    elif isinstance(kind, T.NumericType):
+        yield column.cast("double")
+    else:
+        raise TypeError(f"cannot order by column {name!r} of type {kind.simpleString()}")
 
 
 RowOrder = FileOrder | HashOrder | KeyOrder
 
 
-def _inside(order: RowOrder, buckets: list[str]) -> WindowSpec:
+def _inside(order: RowOrder, buckets: list[str], tie: Sequence[str] = ()) -> WindowSpec:
     """The rows of each bucket, in order."""
-    return Window.partitionBy(*buckets).orderBy(*(c for c in order.columns if c not in buckets))
+    return Window.partitionBy(*buckets).orderBy(*(c for c in order.columns if c not in buckets), *tie)
+
+
+def _ties(df: DataFrame, order: RowOrder) -> list[str]:
+    """Columns that tell rows with equal order values apart: none where there are no such rows."""
+    return [] if isinstance(order, FileOrder) else ["_tie"]
+
+
+def _with_tie(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    plain = [c for c in columns if "map<" not in df.schema[c].dataType.simpleString() and "variant" not in df.schema[c].dataType.simpleString()]
+    return df.withColumn("_tie", F.xxhash64(*plain))
 
 
 def with_row_pos(df: DataFrame, order: RowOrder, name: str = "row_pos") -> DataFrame:
     """Add the dense 0-based position of every row in ``order``."""
     bucketed, buckets = order.bucketed(df)
+    tie = _ties(df, order)
+    if tie:
+        bucketed = _with_tie(bucketed, df.columns)
     # One row per bucket, so this unpartitioned window is small by construction.
     before = Window.orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -170,7 +234,7 @@ def with_row_pos(df: DataFrame, order: RowOrder, name: str = "row_pos") -> DataF
         .drop("_rows")
     )
     # Window and join share partitioning and sort order: the rows move and sort once.
-    inside = _inside(order, buckets)
+    inside = _inside(order, buckets, tie)
     numbered = bucketed.withColumn("_nth", F.row_number().over(inside))
     position = F.col("_start") + F.col("_nth") - 1
     keep = [c for c in df.columns if c != name]
@@ -187,6 +251,13 @@ class OrderedCounts:
     counts: list[tuple]
     total: int
 
+    def cuts_at(self, ranks: Sequence[int]) -> dict[int, tuple] | None:
+        """``rows_at``, or None if one of the ranks cuts through rows with equal order values."""
+        found = self.rows_at([*ranks, *(r - 1 for r in ranks)])
+        if any(r in found and found.get(r - 1) == found[r] for r in ranks):
+            return None
+        return {r: found[r] for r in ranks if r in found}
+
     def rows_at(self, ranks: Sequence[int]) -> dict[int, tuple]:
         """The order values of the rows at the given 0-based ranks.
 
@@ -202,6 +273,7 @@ class OrderedCounts:
         if not wanted:
             return {}
         columns = list(self.order.columns)
+        values = [_comparable(self.bucketed, c) for c in columns]
         rows = self.bucketed.select(*dict.fromkeys([*columns, *self.buckets]))
         for i, name in enumerate(self.buckets):
             # Plain value lists are what a scan can skip files by.
@@ -211,7 +283,7 @@ class OrderedCounts:
         )
         names = [*self.buckets, "_nth"]
         found = numbered.where(_any_of(names, wanted)).select(
-            F.struct(*names).alias("place"), F.struct(*columns).alias("values")
+            F.struct(*names).alias("place"), F.struct(*values).alias("values")
         )
         return {wanted[tuple(row.place)]: tuple(row.values) for row in found.collect()}
 
@@ -222,11 +294,16 @@ def _any_of(names: list[str], places: Iterable[tuple]) -> Column:
     return reduce(or_, same)
 
 
+def _comparable(df: DataFrame, name: str) -> Column:
+    """An order column as it reaches the driver: a timestamp as microseconds, which no time zone changes."""
+    return F.unix_micros(name).alias(name) if isinstance(df.schema[name].dataType, T.TimestampType) else F.col(name)
+
+
 def ordered_counts(df: DataFrame, order: RowOrder) -> OrderedCounts:
     """Count the rows of every bucket; one row per bucket reaches the driver."""
     bucketed, buckets = order.bucketed(df)
     rows = bucketed.groupBy(*buckets).agg(F.count("*").alias("_rows")).collect()
-    counts = sorted(tuple(r) for r in rows)
+    counts = sorted(tuple(r) for r in rows)  # bucket numbers and paths are never null
     return OrderedCounts(bucketed, buckets, order, counts, sum(c[-1] for c in counts))
 
 
@@ -239,26 +316,39 @@ def unkeyed(df: DataFrame) -> DataFrame:
     return df.drop("_hash")
 
 
-def _pairs(order: RowOrder, cut: tuple) -> list[tuple[Column, Column]]:
-    return [(F.col(c), F.lit(v)) for c, v in zip(order.columns, cut)]
-
-
-def at_or_after(order: RowOrder, cut: tuple) -> Column:
-    """True for (keyed) rows at or after the row with the order values ``cut``."""
-    *leading, (column, value) = _pairs(order, cut)
-    test = column >= value
-    for column, value in reversed(leading):
-        # The first conjunct alone is what a scan can skip files and row groups by.
-        test = (column >= value) & ((column > value) | test)
+def _pairs(df: DataFrame, order: RowOrder, cut: tuple) -> list[tuple[Column, Column | None, bool]]:
+    """Each order column, the literal it is compared with (None for null), and whether it can be null."""
+    out = []
+    for name, value in zip(order.columns, cut):
+        kind = T.StringType() if name == "_hash" else df.schema[name].dataType
+        literal = None
+        if value is not None:
+            literal = F.timestamp_micros(F.lit(value)) if isinstance(kind, T.TimestampType) else F.lit(value).cast(kind)
+        out.append((F.col(name), literal, isinstance(order, KeyOrder) and df.schema[name].nullable))
+    return out
+
+
+def at_or_after(df: DataFrame, order: RowOrder, cut: tuple) -> Column:
+    """True for (keyed) rows of ``df`` at or after the row with the order values ``cut``; nulls come first."""
+    test = None
+    for column, value, _ in reversed(_pairs(df, order, cut)):
+        if value is None:
+            test = F.lit(True) if test is None else column.isNotNull() | test
+        else:
+            # The first conjunct alone is what a scan can skip files and row groups by.
+            test = column >= value if test is None else (column >= value) & ((column > value) | test)
     return test
 
 
-def before(order: RowOrder, cut: tuple) -> Column:
-    """True for (keyed) rows before the row with the order values ``cut``."""
-    *leading, (column, value) = _pairs(order, cut)
-    test = column < value
-    for column, value in reversed(leading):
-        test = (column <= value) & ((column < value) | test)
+def before(df: DataFrame, order: RowOrder, cut: tuple) -> Column:
+    """True for (keyed) rows of ``df`` before the row with the order values ``cut``; nulls come first."""
+    test = None
+    for column, value, nullable in reversed(_pairs(df, order, cut)):
+        if value is None:
+            test = F.lit(False) if test is None else column.isNull() & test
+        else:
+            test = column < value if test is None else (column <= value) & ((column < value) | test)
+            test = column.isNull() | test if nullable else test
     return test
 
 
@@ -269,5 +359,9 @@ def before_rank(df: DataFrame, order: RowOrder, rank: int) -> DataFrame:
         rank = max(counted.total + rank, 0)
     if rank == 0:
         return df.limit(0)
-    cut = counted.rows_at([rank]).get(rank)
-    return df if cut is None else unkeyed(keyed(df, order).where(before(order, cut)))
+    if rank >= counted.total:
+        return df
+    cuts = counted.cuts_at([rank])
+    if cuts is None:
+        return with_row_pos(df, order, "_pos").where(F.col("_pos") < rank).drop("_pos")
+    return unkeyed(keyed(df, order).where(before(df, order, cuts[rank])))

@@ -20,8 +20,8 @@ from sampleflow.operators.ordering import (
     with_row_pos,
 )
 
-MAX_SHORT_PROMPT = 1_000_000
-MAX_COMPARED_SPLITS = 256
+# More bounds than this are not compared with in place; the splits are the same.
+COMPARED_SPLITS = 256
 
 
 def filter_rows(df: DataFrame, condition: str | None) -> DataFrame:
@@ -50,21 +50,23 @@ def split_rows(df: DataFrame, num_splits: int, order: RowOrder) -> DataFrame:
 
     The split boundaries are found on the order columns alone; the rows
     themselves are compared with them in place and do not move.  Where there are
-    too many boundaries to compare with, rows get positions instead.
+    too many boundaries to compare with, or one of them falls between rows with equal
+    order values, rows get positions instead; the sizes are the same.
     """
     if num_splits < 1:
         raise ValueError("num_splits must be positive")
-    if num_splits > MAX_COMPARED_SPLITS:
+    cuts = None
+    if num_splits <= COMPARED_SPLITS:
+        counted = ordered_counts(df, order)
+        # Splits that start past the last row are empty and have no cut.
+        cuts = counted.cuts_at([split_start(counted.total, num_splits, i) for i in range(2, num_splits + 1)])
+    if cuts is None:
         size, extra = divmod(df.count(), num_splits)
         pos, longer = F.col("_pos"), extra * (size + 1)
         short = F.floor((pos - longer) / max(size, 1)) + extra
         split = F.when(pos < longer, F.floor(pos / (size + 1))).otherwise(short) + 1
         return with_row_pos(df, order, "_pos").withColumn("split_id", split.cast("int")).drop("_pos")
-    counted = ordered_counts(df, order)
-    starts = [split_start(counted.total, num_splits, i) for i in range(2, num_splits + 1)]
-    # Splits that start past the last row are empty and have no cut.
-    cuts = sorted(counted.rows_at(starts).items())
-    beyond = [at_or_after(order, cut) for _, cut in cuts]
+    beyond = [at_or_after(df, order, cut) for _, cut in sorted(cuts.items())]
     numbered = keyed(df, order).withColumn("split_id", _count_true(beyond, 0, len(beyond)) + 1)
     return unkeyed(numbered)
 
@@ -88,9 +90,15 @@ def select_split(df: DataFrame, split_id: int, num_splits: int, order: RowOrder)
     end = split_start(counted.total, num_splits, split_id + 1)
     if start == end:
         return df.limit(0)
-    cuts = counted.rows_at([start, end])
-    rows = keyed(df, order).where(at_or_after(order, cuts[start]))
-    return unkeyed(rows.where(before(order, cuts[end])) if end in cuts else rows)
+    bounds = [r for r in (start, end) if 0 < r < counted.total]
+    cuts = counted.cuts_at(bounds)
+    if cuts is None:
+        placed = with_row_pos(df, order, "_pos")
+        return placed.where((F.col("_pos") >= start) & (F.col("_pos") < end)).drop("_pos")
+    rows = keyed(df, order)
+    if start in cuts:
+        rows = rows.where(at_or_after(df, order, cuts[start]))
+    return unkeyed(rows.where(before(df, order, cuts[end])) if end in cuts else rows)
 
 
 def split_bounds(df: DataFrame, num_splits: int) -> DataFrame:
@@ -160,11 +168,9 @@ def distinct_texts(df: DataFrame, column: str) -> DataFrame:
 
 
 def shortest_prompt(df: DataFrame, column: str, order_columns: Sequence[str]) -> DataFrame:
-    """The first of the shortest texts; texts of a million characters or more never win."""
-    size = F.length(column)
-    short = df.where(size < MAX_SHORT_PROMPT)
-    best = F.min_by(F.col(column), F.struct(size, *order_columns))
-    return short.agg(best.alias(column)).where(F.col(column).isNotNull())
+    """The first of the shortest texts."""
+    best = F.min_by(F.col(column), F.struct(F.length(column), *order_columns))
+    return df.where(F.col(column).isNotNull()).agg(best.alias(column)).where(F.col(column).isNotNull())
 
 
 def train_val_split(
@@ -174,6 +180,8 @@ def train_val_split(
     order = HashOrder(tuple(key), seed)
     counted = ordered_counts(df, order)
     train = int(train_fraction * counted.total)
-    cut = counted.rows_at([train]).get(train)
-    is_train = F.lit(True) if cut is None else before(order, cut)
+    cuts = counted.cuts_at([train])
+    if cuts is None:
+        return with_row_pos(df, order, "_pos").withColumn("is_train", F.col("_pos") < train).drop("_pos")
+    is_train = before(df, order, cuts[train]) if train in cuts else F.lit(True)
     return unkeyed(keyed(df, order).withColumn("is_train", is_train))

@@ -176,7 +176,7 @@ def test_position_plan_moves_rows_once(spark):
 
 @pytest.mark.parametrize("rows", [100, 1000, 1300])
 def test_more_splits_than_are_compared(spark, rows):
-    parts = ops.MAX_COMPARED_SPLITS + 44
+    parts = ops.COMPARED_SPLITS + 44
     got = ops.split_rows(spark.range(rows), parts, BY_ID).collect()
     want = {}
     for i in range(1, parts + 1):
@@ -213,3 +213,65 @@ def test_hash_keys_of_several_columns_do_not_run_together(spark):
     df = spark.createDataFrame(rows, "x STRING, y STRING")
     hashed = df.select(HashOrder(("x", "y"), 1).hash_column())
     assert hashed.distinct().count() == len(rows)
+
+
+def test_null_keys_come_first_and_stay(spark):
+    rows = [(None if i % 10 < 3 else i % 7, i) for i in range(100)]
+    df = spark.createDataFrame(rows, "a INT, b INT")
+    order = KeyOrder(("a", "b"))
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert sorted(map(tuple, ops.limit_rows(df, 50, order).collect()), key=repr) == sorted(want[:50], key=repr)
+    for parts in (4, 300):
+        got = {r.b: r.split_id for r in ops.split_rows(df, parts, order).collect()}
+        starts = [ops.split_start(100, parts, i) for i in range(1, parts + 2)]
+        assert got == {want[p][1]: i for i in range(1, parts + 1) for p in range(starts[i - 1], starts[i])}
+    parts = [ops.select_split(df, i, 4, order).collect() for i in range(1, 5)]
+    assert [len(p) for p in parts] == [25] * 4 and len({r.b for p in parts for r in p}) == 100
+
+
+def test_repeated_keys_give_exact_sizes(spark):
+    df = spark.createDataFrame([(i % 3, i % 20) for i in range(100)], "a INT, b INT")
+    assert ops.limit_rows(df, 50, KeyOrder(("a",))).count() == 50
+    assert [ops.select_split(df, i, 4, KeyOrder(("a",))).count() for i in range(1, 5)] == [25] * 4
+    sizes = ops.split_rows(df, 7, KeyOrder(("a",))).groupBy("split_id").count().orderBy("split_id").collect()
+    assert [r["count"] for r in sizes] == [15, 15, 14, 14, 14, 14, 14]
+    assert ops.train_val_split(df, ["a"], 1).where("is_train").count() == 90
+
+
+def test_keys_of_other_types(spark):
+    from datetime import date, datetime, timedelta
+    from decimal import Decimal
+
+    n = 60
+    columns = {
+        "timestamp": [datetime(2024, 3, 31, 0, 30) + timedelta(minutes=7 * i, microseconds=i) for i in range(n)],
+        "date": [date(2024, 1, 1) + timedelta(days=i) for i in range(n)],
+        "boolean": [i >= n // 2 for i in range(n)],
+        "binary": [bytes([i // 8, i % 8, 0]) for i in range(n)],
+        "decimal(38,10)": [Decimal("1234567890123456789012345678") + Decimal(i) / 10**10 for i in range(n)],
+        "long": [2**62 + i for i in range(n)],
+        "double": [float("-inf"), *(float(i) for i in range(n - 2)), float("nan")],
+    }
+    for kind, values in columns.items():
+        rows = [(None, -1), *((v, i) for i, v in enumerate(values))]
+        df = spark.createDataFrame(rows, f"a {kind}, b INT").repartition(3)
+        order = KeyOrder(("a", "b"))
+        assert ids(ops.limit_rows(df, 40, order), "b") == list(range(-1, 39)), kind
+        assert {r.b: r.row_pos for r in with_row_pos(df, order).collect()} == {i: i + 1 for i in range(-1, n)}, kind
+
+
+def test_large_numbers_and_long_prefixes_are_cut_further(spark):
+    big = spark.range(3000).select((F.lit(2**62) + F.col("id")).alias("id"))
+    assert max(c[-1] for c in ordered_counts(big, BY_ID).counts) < 400
+    same = spark.range(3000).select(F.lit(2**62).alias("a"), "id")
+    assert max(c[-1] for c in ordered_counts(same, KeyOrder(("a", "id"))).counts) < 400
+    text = spark.range(3000).select(F.format_string("x" * 500 + "%06d", "id").alias("id"))
+    assert max(c[-1] for c in ordered_counts(text, BY_ID).counts) < 400
+    empty = spark.range(3000).select(F.lit(None).cast("int").alias("a"), "id")
+    assert max(c[-1] for c in ordered_counts(empty, KeyOrder(("a", "id"))).counts) < 400
+
+
+def test_null_parts_of_a_hash_key_stay_apart(spark):
+    rows = [(None, "x"), ("x", None), (None, None), ("\\N", "x"), ("", "x")]
+    hashed = spark.createDataFrame(rows, "x STRING, y STRING").select(HashOrder(("x", "y"), 1).hash_column())
+    assert hashed.distinct().count() == len(rows)
