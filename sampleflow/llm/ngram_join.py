@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sampleflow.llm.graph import components, kept, small
@@ -407,10 +407,15 @@ def _classes(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("lead"), F.first("n").alias("n"),
         F.first("short").alias("short"), F.first("cells").alias("cells"), F.first("prefix").alias("prefix"),
     )
-    grams = classes.select("short", F.explode("prefix").alias("gram"))
+    grams = classes.select("short", "n", F.explode("prefix").alias("gram"))
     shared = grams.groupBy("gram").agg(F.count("*").alias("sets"), F.min("short").alias("key")).where("sets > 1")
-    members = grams.join(shared, "gram").select("key", "short").distinct()
-    members = members.join(classes.select("short", "n", "cells"), "short").repartition("key").sortWithinPartitions("key", "n")
+    members = grams.join(shared, "gram").select("key", "short", "n").distinct()
+    # Members with no other one of fitting size leave before cells move.
+    by_size = Window.partitionBy("key").orderBy("n")
+    smaller, larger = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    fits = (100 * smaller >= percent * F.col("n")) | (100 * F.col("n") >= percent * larger)
+    members = members.select("key", "short", "n", fits.alias("fits")).where("fits").drop("fits")
+    members = members.join(classes.select("short", "cells"), "short").repartition("key").sortWithinPartitions("key", "n")
     members = kept(members.mapInArrow(_prune(percent, most_partners), "key long, short long").distinct(), "members")
 
     wanted = members.select("short").distinct().join(classes.select("short", "lead.row_key"), "short")
