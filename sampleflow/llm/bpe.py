@@ -17,9 +17,9 @@ from sampleflow.llm.words import bytes_of, pieces
 NONE = np.int32(2**31 - 1)
 #: Pieces above so many bytes are merged one by one, with a heap.
 LONGEST_ROW = 256
-MATRIX_CELLS = 1 << 21
+MATRIX_CELLS = 1 << 19
 #: Pieces that a worker remembers; then it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 class PairTable:
@@ -30,6 +30,7 @@ class PairTable:
         self.bits = max(4, (4 * len(pairs)).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.ranks = np.full(1 << self.bits, NONE, np.int32)
+        self.listed: dict[tuple[int, int], int] = {}
         both = np.array(list(pairs), np.int64).reshape(-1, 2)
         keys, ranks = both[:, 0] * self.tokens + both[:, 1], np.array(list(pairs.values()), np.int32)
         slots, self.probes = self._slot(keys), 0
@@ -46,6 +47,14 @@ class PairTable:
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
+    def as_dict(self) -> dict[tuple[int, int], int]:
+        """The pairs for one at a time; built when a worker first needs it."""
+        if not self.listed:
+            held = self.keys >= 0
+            a, b = np.divmod(self.keys[held], self.tokens)
+            self.listed = dict(zip(zip(a.tolist(), b.tolist()), self.ranks[held].tolist()))
+        return self.listed
+
     def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of each pair, ``NONE`` where it is no token; negative tokens are padding."""
         keys = a.astype(np.int64) * self.tokens + b
@@ -75,13 +84,15 @@ class Encoder:
         self.size = max(ranks.values()) + 1
         self.split = regex.compile(pattern).findall
         self.bytes_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.pairs = {
-            (ranks[t[:i]], ranks[t[i:]]): r
-            for t, r in ranks.items()
-            for i in range(1, len(t))
-            if t[:i] in ranks and t[i:] in ranks
-        }
-        self.table = PairTable(self.pairs, self.size)
+        self.table = PairTable(
+            {
+                (ranks[t[:i]], ranks[t[i:]]): r
+                for t, r in ranks.items()
+                for i in range(1, len(t))
+                if t[:i] in ranks and t[i:] in ranks
+            },
+            self.size,
+        )
         tokens = [b""] * self.size
         for token, rank in ranks.items():
             tokens[rank] = token
@@ -127,7 +138,7 @@ class Encoder:
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same for one long piece: the least rank, leftmost, from a heap."""
-        n, pairs = len(ids), self.pairs
+        n, pairs = len(ids), self.table.as_dict()
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(pairs[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in pairs]
         heapq.heapify(heap)
