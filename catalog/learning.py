@@ -9,6 +9,8 @@ from catalog import register, rounded
 from catalog.selection import documents
 from sampleflow.operators import embeddings as vectors
 from sampleflow.operators import mlp
+from sampleflow.operators.select import train_val_split
+from sampleflow.functions.prompts import USER_END, USER_START
 
 
 def letter_model():
@@ -21,9 +23,8 @@ def letter_model():
     return embed
 
 
-@register("""
-    WITH t AS (SELECT DISTINCT '<|im_start|>user' || chr(10) || text || '<|im_end|>' || chr(10)
-        || '<|im_start|>assistant' || chr(10) || '<think>' || chr(10) || chr(10) AS text FROM documents)
+@register(f"""
+    WITH t AS (SELECT DISTINCT '{USER_START}' || text || '{USER_END}' AS text FROM documents)
     SELECT text, CAST(length(text) AS DOUBLE) AS v0,
            CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS v1,
            CAST(length(text) - length(replace(text, chr(10), '')) AS DOUBLE) AS v2,
@@ -71,11 +72,10 @@ def _forward_sql(model):
         return "[" + ", ".join(f"{v!r}::DOUBLE" for v in map(float, values)) + "]"
 
     units = ", ".join(f"list_dot_product({vector}, {numbers(w)}) + {float(b)!r}" for w, b in zip(w1, b1))
-    # The error function by the rational approximation, on z / sqrt(2).
-    t = "(1 / (1 + 0.3275911::DOUBLE * abs(z) / sqrt(2::DOUBLE)))"
-    terms = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
-    series = " + ".join(f"{a!r}::DOUBLE * pow({t}, {i})" for i, a in enumerate(terms, 1))
-    erf = f"sign(z) * (1 - ({series}) * exp(-z * z / 2))"
+    # The error function by its power series around 0, on z / sqrt(2).
+    power = "pow(z / sqrt(2::DOUBLE), 2 * n + 1)"
+    series = f"list_sum(list_transform(range(0, 80), lambda n: pow(-1::DOUBLE, n) * {power} / (gamma(n + 1) * (2 * n + 1))))"
+    erf = f"(2 / sqrt(pi())) * {series}"
     return f"""
         WITH h AS (SELECT vec_id, [{units}] AS zs FROM embeddings),
              g AS (SELECT vec_id, list_transform(zs, lambda z: z * 0.5 * (1 + {erf})) AS hidden FROM h)
@@ -106,3 +106,28 @@ def mlp_train(spark, sf):
     """History of a short training run on all vectors."""
     options = mlp.TrainOptions(num_epochs=5, rows_per_task=512)
     return mlp.mlp_train(examples(spark, sf), ["vec_id"], options).history
+
+
+@register("""
+    WITH n AS (SELECT count(*) AS n FROM embeddings)
+    SELECT CAST(e AS INTEGER) AS epoch, round(0.001 * (1 - 0.9 * e / 12), 9) AS learning_rate,
+           CAST(floor(0.9::DOUBLE * n) AS BIGINT) AS train_rows, n - CAST(floor(0.9::DOUBLE * n) AS BIGINT) AS val_rows,
+           true AS has_losses, true AS learns
+    FROM n, range(12) AS r(e)
+""")
+def mlp_train_history(spark, sf):
+    """What a run must keep to whatever its weights are: epochs, rates, rows, and a falling loss."""
+    rows = examples(spark, sf)
+    history = mlp.mlp_train(rows, ["vec_id"], mlp.TrainOptions(num_epochs=12, rows_per_task=512)).history
+    split = train_val_split(rows, ["vec_id"], 42).agg(
+        F.count_if("is_train").alias("train_rows"), F.count_if(~F.col("is_train")).alias("val_rows")
+    )
+    first = history.agg(F.max_by("train_loss", -F.col("epoch")).alias("first"), F.max_by("train_loss", "epoch").alias("last"))
+    return history.join(split.join(first)).select(
+        "epoch",
+        F.round("learning_rate", 9).alias("learning_rate"),
+        "train_rows",
+        "val_rows",
+        (F.col("train_loss").isNotNull() & F.col("val_loss").isNotNull()).alias("has_losses"),
+        (F.col("last") < F.col("first")).alias("learns"),
+    )

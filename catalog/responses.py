@@ -188,3 +188,36 @@ def training_set(spark, sf):
     rates = evaluate.pass_rate(answered_problems(spark, sf, "text"), ["doc_id"])
     examples = evaluate.training_set(rates, text_vectors(spark, sf), strict=False)
     return rounded(examples.select(F.element_at("embedding", 1).cast("double").alias("first"), "target"), 6)
+
+
+_EVERY = "v AS (SELECT DISTINCT text, [length(text), length(text) % 7] AS embedding FROM documents)"
+
+
+def every_vector(spark, sf):
+    """A vector for every text."""
+    size = F.length("text")
+    return documents(spark, sf).select("text").distinct().withColumn("embedding", F.array(size, size % 7).cast("array<float>"))
+
+
+@register("WITH " + _EVERY + " SELECT doc_id, text, CAST(embedding[2] AS DOUBLE) AS last FROM documents JOIN v USING (text)")
+def join_embedding_strict(spark, sf):
+    """A join that fails if a text has no vector."""
+    rows = documents(spark, sf).select("doc_id", "text")
+    joined = evaluate.join_embedding(rows, every_vector(spark, sf), "text")
+    return joined.select("doc_id", "text", F.element_at("embedding", 2).cast("double").alias("last"))
+
+
+@register(
+    "WITH m AS ("
+    + _MATCH.format(problem="d.text")
+    + "),"
+    + _EVERY
+    + """
+    SELECT CAST(embedding[1] AS DOUBLE) AS first, pass_rate AS target
+    FROM m JOIN v ON problem = text WHERE pass_rate > 0
+"""
+)
+def training_set_strict(spark, sf):
+    rates = evaluate.pass_rate(answered_problems(spark, sf, "text"), ["doc_id"])
+    examples = evaluate.training_set(rates, every_vector(spark, sf))
+    return rounded(examples.select(F.element_at("embedding", 1).cast("double").alias("first"), "target"), 6)

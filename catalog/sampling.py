@@ -6,12 +6,15 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from catalog import register
+from catalog import register, rounded
 from catalog.selection import documents
 from sampleflow.operators import sampling as ops
 from sampleflow.operators.ordering import FileOrder, shuffle_partitions
 from sampleflow.operators.select import filter_rows, limit_rows, split_rows
-from sampleflow.spec import RetryOptions, SamplingOptions
+from sampleflow.operators.telemetry import endpoint_summary
+from sampleflow.plans import generation
+from sampleflow.sources.storage import work_dir
+from sampleflow.spec import DataOptions, JobSpec, RetryOptions, SamplingOptions
 
 TEMPERATURES = [0.2, 0.6, 1.0, 1.4]
 NO_WAIT = RetryOptions(retry_delay=0.0)
@@ -67,6 +70,7 @@ def preview_job(spark, sf):
     return previewed.select("doc_id", "split_id", "sample_idx", "temperature", "response", "thinking_text")
 
 
+# The words of dry runs and the field names of requests are fixed values.
 @register("""
     SELECT doc_id, 'Dry run response for: ' || substring(text, 1, 50) || '...' AS response,
            'Dry run thinking...' AS thinking_text
@@ -156,3 +160,66 @@ def request_telemetry(spark, sf):
     rows = ops.request_telemetry(asked, DigestBackend, "text", keep=["doc_id", "sample_idx"], retry=NO_WAIT)
     timed = (F.col("latency") >= 0) & F.col("timestamp").isNotNull()
     return rows.withColumn("timed", timed).drop("latency", "timestamp", "error")
+
+
+class RequestBackend:
+    """A stand-in model: says what it was asked for; some replies have not the form of one."""
+
+    def generate(self, prompt, temperature, sample_idx, request, endpoint=None):
+        digest = hashlib.md5(prompt.encode()).hexdigest()
+        if digest[0] == "0":
+            return "no record"
+        asked = f"{request['max_tokens']} {request['top_p']} {request['seed']} {request['stop'][0]} {request['messages'][0]['role']}"
+        text = f"{asked} {temperature} {sample_idx} {digest}"
+        return {"choices": [{"text": text}], "model": request["model"], "id": endpoint}
+
+
+def _job(spark, sf, name, **more):
+    data = DataOptions(f"{sf}/documents.parquet", work_dir(spark, name), input_column="text", copy_columns=["doc_id", "lang"])
+    sampling = SamplingOptions(2, [0.5, 0.7], max_tokens=77, top_p=0.5, seed=3, stop_sequences=["#"])
+    return JobSpec(data, sampling, retry=NO_WAIT, prompt_template="Q: {text}", model="m1", **more)
+
+
+_SAID = """
+    WITH c AS (
+        SELECT doc_id, lang, CAST(i AS INTEGER) AS sample_idx, md5('Q: ' || text) AS d,
+               CAST(ntile(3) OVER (PARTITION BY i ORDER BY doc_id) AS INTEGER) AS split_id
+        FROM documents, range(2) AS r(i)
+    ), a AS (
+        SELECT *, substring(d, 1, 1) = '0' AS failed, CASE WHEN substring(d, 1, 1) = '0' THEN '' ELSE
+               '77 0.5 3 # user ' || CASE sample_idx WHEN 0 THEN '0.5 0 ' ELSE '0.7 1 ' END || d END AS response
+        FROM c
+    )
+"""
+
+
+@register(_SAID + "SELECT doc_id, lang, sample_idx, response, '' AS thinking_text FROM a")
+def run_generation(spark, sf):
+    return generation.run_generation(spark, _job(spark, sf, "run"), RequestBackend).drop("text")
+
+
+@register(_SAID + "SELECT doc_id, lang, sample_idx, response, '' AS thinking_text, split_id FROM a")
+def run_all_splits(spark, sf):
+    return generation.run_all_splits(spark, _job(spark, sf, "splits"), 3, RequestBackend).drop("text")
+
+
+@register(
+    _SAID
+    + """
+    SELECT 'e' || split_id AS model_endpoint, count(*) AS total_requests, count(*) FILTER (NOT failed) AS named,
+           round(count(*) FILTER (NOT failed) / count(*), 6) AS success_rate
+    FROM a GROUP BY split_id
+"""
+)
+def run_with_telemetry(spark, sf):
+    """The summary of a run's endpoints, from the telemetry it keeps; ``named`` counts replies that name theirs."""
+    spec = _job(spark, sf, "telemetry", keep_telemetry=True, endpoints=["e1", "e2", "e3"])
+    run = generation.run_all_splits(spark, spec, 3, RequestBackend)
+    named = run.where("reply_id = model_endpoint").groupBy("model_endpoint").agg(F.count("*").alias("named"))
+    summary = endpoint_summary(run).select("model_endpoint", "total_requests", "success_rate")
+    return rounded(summary.join(named, "model_endpoint"))
+
+
+@register(_SAID + "SELECT doc_id, lang, sample_idx, response, '' AS thinking_text FROM a")
+def run_incremental(spark, sf):
+    return generation.run_incremental(spark, _job(spark, sf, "saved"), RequestBackend, 5000).drop("text")

@@ -153,10 +153,16 @@ def boxed_texts(spark, sf):
             '\boxed{N', '\boxed{a{b{N}}}', '\boxed{x \boxed{N}} z}'])[doc_id % 6 + 1],
             'N', CAST(n_chars AS VARCHAR)) AS response
         FROM documents
-    ), p AS (SELECT doc_id, contains(response, '\boxed{') AS has, string_split(response, '\boxed{')[-1] AS piece FROM t)
-    SELECT doc_id, CASE WHEN has AND regexp_matches(piece, '^(?:[^{}]|\{[^{}]*\})*\}')
-           THEN regexp_extract(piece, '^((?:[^{}]|\{[^{}]*\})*)\}', 1) END AS answer
-    FROM p
+    ), p AS (
+        SELECT doc_id, contains(response, '\boxed{') AS has, string_split(response, '\boxed{')[-1] AS piece FROM t
+    ), braces AS (
+        SELECT doc_id, i, sum(CASE c WHEN '{' THEN 1 ELSE -1 END) OVER (PARTITION BY doc_id ORDER BY i) AS depth
+        FROM (SELECT doc_id, unnest(range(1, length(piece) + 1)) AS i, unnest(string_split(piece, '')) AS c FROM p WHERE has)
+        WHERE c IN ('{', '}')
+    ), ends AS (SELECT doc_id, min(i) FILTER (depth < 0) AS close FROM braces GROUP BY doc_id),
+    deep AS (SELECT b.doc_id, max(depth) AS depth FROM braces b JOIN ends e ON b.doc_id = e.doc_id AND b.i < e.close GROUP BY b.doc_id)
+    SELECT p.doc_id, CASE WHEN coalesce(depth, 0) <= 1 AND close IS NOT NULL THEN substring(piece, 1, close - 1) END AS answer
+    FROM p LEFT JOIN ends USING (doc_id) LEFT JOIN deep USING (doc_id)
 """)
 def boxed_answer(spark, sf):
     return boxed_texts(spark, sf).select("doc_id", answers.boxed_answer("response").alias("answer"))
@@ -164,12 +170,14 @@ def boxed_answer(spark, sf):
 
 @register(r"""
     SELECT doc_id, quality, toxic, quality = 1 AS same_number, toxic = 1 AS same_fraction,
-           quality = toxic AS same_text, false AS missing
+           quality = toxic AS same_text, false AS missing, false AS next_integer, true AS same_integer,
+           false AS overflow, false AS bad_commas, true AS commas
     FROM labels
 """)
 def answer_match(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     quality, toxic = F.col("quality").cast("string"), F.col("toxic").cast("string")
+    big = F.concat(F.lit("12345678901234567890"), quality)
     fraction = F.concat(F.lit("\\frac{"), toxic, F.lit("}{2}"))
     return labels.select(
         "*",
@@ -177,6 +185,11 @@ def answer_match(spark, sf):
         answers.answer_match(fraction, F.lit("0.5")).alias("same_fraction"),
         answers.answer_match(F.concat(F.lit("x "), quality), F.concat(F.lit("x  "), toxic)).alias("same_text"),
         answers.answer_match(F.lit(None).cast("string"), quality).alias("missing"),
+        answers.answer_match(F.concat(F.lit("900719925474099"), quality), F.lit("9007199254740992")).alias("next_integer"),
+        answers.answer_match(F.concat(F.lit("+0"), big, F.lit(".0")), big).alias("same_integer"),
+        answers.answer_match(F.lit("1e400"), F.concat(F.lit("1e50"), quality)).alias("overflow"),
+        answers.answer_match(F.concat(quality, F.lit(",2345")), F.concat(quality, F.lit("2345"))).alias("bad_commas"),
+        answers.answer_match(F.concat(F.lit("1,23"), quality, F.lit(",567")), F.concat(F.lit("123"), quality, F.lit("567"))).alias("commas"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,7 +26,10 @@ def boxed_answer(text: Column | str) -> Column:
     return F.when(F.contains(text, F.lit(BOX)), F.regexp_replace(closed, r"\}\z", ""))
 
 
+# How numbers are spelled.
+_PLAIN = r"^[+-]?(?:\d+\.?\d*|\.\d+)$"
 _NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
+_GROUPED = r"^[+-]?[1-9]\d{0,2}(?:,\d{3})+(?:\.\d*)?$"
 
 
 def normal_answer(answer: Column) -> Column:
@@ -32,28 +37,66 @@ def normal_answer(answer: Column) -> Column:
     return clean_text(F.replace(answer, F.lit("$"), F.lit("")))
 
 
-def _plain_number(text: Column) -> Column:
-    """Digits as a double; words a cast would also take (NaN, 1d) are not numbers here."""
-    return F.when(F.rlike(text, F.lit(_NUMBER)), text.try_cast("double"))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _finite(text: Column) -> Column:
+    """Digits as a finite double; words a cast would also take (NaN, 1d) are not numbers here."""
+    value = F.when(F.rlike(text, F.lit(_NUMBER)), text.try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
+
+
+def _exact(text: Column) -> Column:
+    """The one spelling of a plain number: no sign of plus, no outer zeros."""
+    whole = F.regexp_extract(text, r"^[+-]?0*(\d*)", 1)
+    rest = F.regexp_extract(text, r"\.(\d*?)0*$", 1)
+    number = F.concat(F.when(whole == "", F.lit("0")).otherwise(whole), F.when(rest == "", F.lit("")).otherwise(F.concat(F.lit("."), rest)))
+    signed = F.when(text.startswith("-") & (number != "0"), F.concat(F.lit("-"), number)).otherwise(number)
+    return F.when(F.rlike(text, F.lit(_PLAIN)), signed)
 
 
 def answer_number(normal: Column) -> Column:
-    """The number a normalised answer spells: plain, with thousands commas, or a fraction."""
-    digits = F.regexp_replace(normal, r"(?<=\d),(?=\d{3})", "")
-    spelled = F.regexp_replace(digits, r"^(-?)\\[dt]?frac\{([^{}]+)\}\{([^{}]+)\}$", "$1$2/$3")
-    parts = F.split(spelled, "/", -1)
-    top, bottom = (_plain_number(F.get(parts, F.lit(i))) for i in (0, 1))
-    divided = F.when(F.size(parts) == 1, top).when(F.size(parts) == 2, F.try_divide(top, bottom))
-    # Most answers need no more than one look.
-    return F.coalesce(_plain_number(normal), F.when(F.rlike(normal, F.lit(r"[,/\\]")), divided))
+    """The number a normalised answer spells: plain, with thousands commas, or a fraction.
+
+    ``exact`` is the spelling of a plain number without what does not count, however
+    long; ``near`` is the closest double, null if it would not be finite.
+    """
+
+    def read(digits: Column) -> Column:
+        spelled = F.regexp_replace(digits, r"^(-?)\\[dt]?frac\{([^{}]+)\}\{([^{}]+)\}$", "$1$2/$3")
+
+        def divided(parts: Column) -> Column:
+            over = F.try_divide(_finite(F.get(parts, F.lit(0))), _finite(F.get(parts, F.lit(1))))
+            return F.when(F.size(parts) == 2, over)
+
+        fraction = F.when(F.rlike(digits, F.lit(r"[/\\]")), _let(F.split(spelled, "/", -1), divided))
+        return F.struct(_exact(digits).alias("exact"), F.coalesce(_finite(digits), fraction).alias("near"))
+
+    grouped = F.when(F.rlike(normal, F.lit(_GROUPED)), F.replace(normal, F.lit(","), F.lit(""))).otherwise(normal)
+    return _let(grouped, read)
 
 
 def same_answer(text: Column, number: Column, gold_text: Column, gold_number: Column) -> Column:
-    """Whether two normalised answers, with the numbers they spell, say the same."""
-    return F.coalesce(text == gold_text, F.lit(False)) | F.coalesce(number == gold_number, F.lit(False))
+    """Whether two normalised answers, with the numbers they spell, say the same.
+
+    Plain numbers are compared digit by digit; doubles decide only for fractions and powers of ten.
+    """
+    both = F.coalesce(number["exact"].isNotNull() & gold_number["exact"].isNotNull(), F.lit(False))
+    same = F.when(both, number["exact"] == gold_number["exact"]).otherwise(number["near"] == gold_number["near"])
+    return F.coalesce(text == gold_text, F.lit(False)) | F.coalesce(same, F.lit(False))
 
 
 def answer_match(answer: Column | str, gold: Column | str) -> Column:
     """Whether an answer says the same as the gold answer; a missing one never does."""
-    a, g = (normal_answer(F.col(c) if isinstance(c, str) else c) for c in (answer, gold))
-    return same_answer(a, answer_number(a), g, answer_number(g))
+
+    def forms(value: Column | str) -> Column:
+        text = normal_answer(F.col(value) if isinstance(value, str) else value)
+        return _let(text, lambda t: F.struct(t.alias("text"), answer_number(t).alias("number")))
+
+    def same(pair: Column) -> Column:
+        a, g = pair["a"], pair["g"]
+        return same_answer(a["text"], a["number"], g["text"], g["number"])
+
+    return _let(F.struct(forms(answer).alias("a"), forms(gold).alias("g")), same)

@@ -23,10 +23,20 @@ def extract_reply(df: DataFrame, column: str, field: str = "text") -> Column:
 
     The first choice wins; a reply without choices is read at its top-level
     ``field``; a plain string is the answer itself; anything missing reads empty.
+    A reply can be a struct, a variant, or a map of texts (read at ``field``).
     """
     kind = df.schema[column].dataType
     if isinstance(kind, T.StringType):
         return F.coalesce(F.col(column), F.lit(""))
+    if isinstance(kind, T.VariantType):
+        first = F.try_variant_get(column, "$.choices[0]", "variant")
+        text = F.try_variant_get(first, "$.text", "string")
+        top = F.try_variant_get(column, f"$.{field}", "string")
+        return F.coalesce(F.when(first.isNotNull(), F.coalesce(text, F.lit(""))).otherwise(top), F.lit(""))
+    if isinstance(kind, T.MapType):
+        if not isinstance(kind.valueType, T.AtomicType):
+            raise TypeError(f"a map of {kind.valueType.simpleString()} is no reply; give a struct or a variant")
+        return F.coalesce(F.try_element_at(F.col(column), F.lit(field)).cast("string"), F.lit(""))
     if not isinstance(kind, T.StructType):
         return F.lit("")
     names = kind.fieldNames()

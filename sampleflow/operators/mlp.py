@@ -22,16 +22,16 @@ from pyspark.sql import types as T
 
 from sampleflow.operators.select import train_val_split
 
-# Abramowitz and Stegun 7.1.26, error below 1.5e-7.
-_ERF_P = 0.3275911
-_ERF_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
-
-
 def _erf(x: np.ndarray) -> np.ndarray:
-    size = np.abs(x)
-    t = 1.0 / (1.0 + _ERF_P * size)
-    series = np.polyval((*reversed(_ERF_A), 0.0), t)
-    return np.sign(x) * (1.0 - series * np.exp(-size * size))
+    """The error function in double precision: a series of positive terms, so nothing cancels."""
+    size = np.minimum(np.abs(x), 6.0)  # erf(6) is 1 in double precision
+    term = size.astype(np.float64)
+    total, n = term.copy(), 0
+    while term.size and (term > 1e-17 * total).any():
+        n += 1
+        term = term * (2.0 * size * size / (2 * n + 1))
+        total += term
+    return np.sign(x) * np.minimum(total * (2.0 / math.sqrt(math.pi)) * np.exp(-size * size), 1.0)
 
 
 def _normal_cdf(x: np.ndarray) -> np.ndarray:
@@ -240,13 +240,17 @@ def mlp_train(
 
     An epoch's validation loss belongs to the weights that epoch ends with; the
     next epoch's job measures it on the way.  With ``output_dir`` the weights of
-    every epoch are kept there.
+    every epoch are kept there.  The final weights are the best ones; a loss is null
+    where no row took part.
     """
     spark = df.sparkSession
     marked = train_val_split(df, key, options.seed, options.train_fraction)
-    rows, dim = marked.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    sizes = F.size("embedding")
+    rows, vectors, least, dim = marked.agg(F.count("*"), F.count("embedding"), F.min(sizes), F.max(sizes)).first()
     if not rows:
         raise ValueError("the training set is empty")
+    if vectors < rows or least != dim:
+        raise ValueError(f"all vectors must have one size, got {least} to {dim} and {rows - vectors} missing ones")
     tasks = max(1, math.ceil(rows / options.rows_per_task))
     # Split by key and sorted, every run and every retry sees the same partitions.
     data = (
@@ -282,7 +286,8 @@ def mlp_train(
                 if waited >= options.patience:
                     state = state.unpack(np.concatenate([start.flat, state.m, state.v, [state.steps]]))
                     break
-            history.append([epoch, float(counts[1] / max(counts[0], 1)), None, None, options.rate(epoch)])
+            loss = float(counts[1] / counts[0]) if counts[0] else None
+            history.append([epoch, loss, None, None, options.rate(epoch)])
             if output_dir:
                 save_mlp(spark, state.model, f"{output_dir}/model-epoch-{epoch}")
         if history and history[-1][2] is None:
@@ -293,8 +298,8 @@ def mlp_train(
         data.unpersist()
     if output_dir:
         save_mlp(spark, best, f"{output_dir}/best_model")
-        save_mlp(spark, state.model, f"{output_dir}/final_model")
-    return Trained(best, state.model, spark.createDataFrame([tuple(h) for h in history], HISTORY))
+        save_mlp(spark, best, f"{output_dir}/final_model")
+    return Trained(best, best, spark.createDataFrame([tuple(h) for h in history], HISTORY))
 
 
 def mlp_score(df: DataFrame, model: Mlp, column: str = "embedding", batch_size: int = 1024) -> DataFrame:

@@ -25,6 +25,7 @@ import math
 import os
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 from functools import reduce
 from operator import and_, or_
 
@@ -34,8 +35,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FILE_COLUMNS = ("src_file", "src_row")
+TIMES = T.TimestampType | T.TimestampNTZType
 SAMPLES_PER_BUCKET = 100
 HASH_BUCKET_ROWS = 100_000
+# How often buckets are cut further; it decides how even they are, and nothing else.
+MAX_DIGITS = 12
 # Stands before every number; a missing value that is cut by is this one.
 LOWEST = -1.79e308
 
@@ -130,14 +134,19 @@ class KeyOrder:
 
     def bucketed(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
         buckets = self.buckets or shuffle_buckets(df)
-        out, names, undecided = df, [], F.lit(True)
+        out, names, undecided, share = df, [], F.lit(True), None
         for column in self.columns:
             digits = _digits(df, column)
             digit = next(digits)
             while digit is not None:
                 value, name = f"_digit{len(names)}", f"_bucket{len(names)}"
                 out = out.withColumn(value, F.when(undecided, F.coalesce(digit, F.lit(LOWEST))))
-                out, heavy = quantile_bucket(out, value, name, buckets)
+                rows = out.where(F.col(value).isNotNull()).count()
+                share = share or max(1.0, rows / buckets)
+                if names and (rows < 2 * share or len(names) >= MAX_DIGITS):
+                    return _undigited(out), names
+                # As many buckets as make them as large as those of the first digit.
+                out, heavy = quantile_bucket(out, value, name, max(2, math.ceil(rows / share)))
                 names.append(name)
                 if not heavy:
                     return _undigited(out), names
@@ -176,8 +185,8 @@ def _digits(df: DataFrame, name: str) -> Iterator[Column]:
             if at >= len(high):
                 yield F.octet_length(column).cast("double")
                 return
-    elif isinstance(kind, T.LongType | T.TimestampType):
-        number = F.unix_micros(column) if isinstance(kind, T.TimestampType) else column
+    elif isinstance(kind, T.LongType | TIMES):
+        number = _comparable(df, name)
         yield F.shiftright(number, 32).cast("double")
         yield number.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("double")
     elif isinstance(kind, T.DecimalType):
@@ -296,7 +305,21 @@ def _any_of(names: list[str], places: Iterable[tuple]) -> Column:
 
 def _comparable(df: DataFrame, name: str) -> Column:
     """An order column as it reaches the driver: a timestamp as microseconds, which no time zone changes."""
-    return F.unix_micros(name).alias(name) if isinstance(df.schema[name].dataType, T.TimestampType) else F.col(name)
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name).alias(name)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast(kind), F.col(name)).alias(name)
+    return F.col(name)
+
+
+def _literal(value: object, kind: T.DataType) -> Column:
+    """A value of ``_comparable`` as the column's own type."""
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    if isinstance(kind, T.TimestampNTZType):
+        return F.lit(str(datetime(1970, 1, 1) + timedelta(microseconds=value))).cast(kind)
+    return F.lit(value).cast(kind)
 
 
 def ordered_counts(df: DataFrame, order: RowOrder) -> OrderedCounts:
@@ -323,7 +346,7 @@ def _pairs(df: DataFrame, order: RowOrder, cut: tuple) -> list[tuple[Column, Col
         kind = T.StringType() if name == "_hash" else df.schema[name].dataType
         literal = None
         if value is not None:
-            literal = F.timestamp_micros(F.lit(value)) if isinstance(kind, T.TimestampType) else F.lit(value).cast(kind)
+            literal = _literal(value, kind)
         out.append((F.col(name), literal, isinstance(order, KeyOrder) and df.schema[name].nullable))
     return out
 

@@ -86,7 +86,12 @@ def resume_remaining(df: DataFrame, done: DataFrame, key: list[str]) -> DataFram
 
 
 def merge_stats(df: DataFrame, key: list[str]) -> DataFrame:
-    """Rows, samples per input, sample numbers in use, and distinct inputs of an output."""
+    """Rows, samples per input, sample numbers in use, and distinct inputs of an output.
+
+    An output of one sample each has no ``sample_idx``.
+    """
+    if "sample_idx" not in df.columns:
+        df = df.withColumn("sample_idx", F.lit(0))
     # Inputs first: a distinct count next to other totals would expand every row.
     per_input = df.groupBy(*key).agg(F.count("*").alias("rows"), F.max("sample_idx").alias("last"))
     inputs = per_input.agg(

@@ -82,10 +82,10 @@ def index_percentiles(
     opened = opened.withColumnsRenamed({c: f"_{c}" for c in by})
     same = [F.col("_bucket") == F.col("_hit"), *(F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by)]
     inside = Window.partitionBy(*by, "_bucket", "p").orderBy("_value")
+    # Equal values are counted before anything moves.
+    values = bucketed.groupBy(*by, "_bucket", "_value").agg(F.count("*").alias("_rows"))
     searched = (
-        bucketed.join(opened, same)
-        .groupBy(*by, "_bucket", "p", "_nth", "_value")
-        .agg(F.count("*").alias("_rows"))
+        values.join(opened, same)
         .withColumn("_upto", F.sum("_rows").over(inside))
         .where("_nth < _upto AND _nth >= _upto - _rows")
         .select(*by, "p", F.col("_value").alias(value))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+from dataclasses import fields
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sampleflow.functions.prompts import build_prompt
@@ -16,17 +19,18 @@ from sampleflow.operators.ordering import (
 )
 from sampleflow.operators.sampling import (
     OUTCOME,
+    REPLY,
     TELEMETRY,
     BackendFactory,
-    generate,
     generate_with_errors,
     preview_generate,
+    request_params,
     sample_fanout,
     temperature_schedule,
 )
 from sampleflow.operators.select import filter_rows, limit_rows, select_split, split_rows
 from sampleflow.sources.sinks import split_path, write_splits, write_table
-from sampleflow.sources.storage import exists, remove
+from sampleflow.sources.storage import exists, remove, stored_files
 from sampleflow.sources.tables import check_columns, scan_prompts
 from sampleflow.spec import JobSpec
 from sampleflow.streaming.incremental import incremental_save, read_prompt_stream, stage_prompts
@@ -78,26 +82,51 @@ def _spread(asked: DataFrame, tasks: int, index: list[str], num_splits: int) ->
     return asked.drop(*FILE_COLUMNS)
 
 
+def _endpoint(spec: JobSpec, rows: DataFrame) -> Column:
+    """Which endpoint serves a row: its split's, or one by where the row is stored."""
+    choices = F.array(*map(F.lit, spec.endpoints))
+    if "split_id" in rows.columns:
+        turn = F.col("split_id") - 1
+    elif spec.split.split_id is not None:
+        turn = F.lit(spec.split.split_id - 1)
+    else:
+        place = FILE_COLUMNS if set(FILE_COLUMNS) <= set(rows.columns) else ["_prompt"]
+        turn = F.xxhash64(*place)
+    return F.get(choices, F.pmod(turn, F.lit(len(spec.endpoints))).cast("int"))
+
+
 def _answer(rows: DataFrame, spec: JobSpec, factory: BackendFactory, num_splits: int = 1) -> DataFrame:
+    """The rows with their answers; the input's own columns travel as one, whatever they are called."""
     data, sampling = spec.data, spec.sampling
     index = ["sample_idx"] if sampling.num_samples > 1 else []
-    columns = [c for c in rows.columns if c not in (data.output_column, "thinking_text", *FILE_COLUMNS)]
-    text = input_text(data.input_column)
-    prompt = build_prompt(text, spec.prompt_template, spec.system_prompt)
-    asked = sample_fanout(rows.withColumn("_prompt", prompt), sampling.num_samples)
-    asked = temperature_schedule(asked, sampling.temperature)
+    split = ["split_id"] if num_splits > 1 else []
+    places = [c for c in FILE_COLUMNS if c in rows.columns]
+    replaced = {data.output_column, "thinking_text", *index, *split, *places}
+    columns = [c for c in rows.columns if c not in replaced]
+    prompt = build_prompt(input_text(data.input_column), spec.prompt_template, spec.system_prompt)
+    own = F.struct(*(F.col(c) for c in columns)).alias("_row")
+    asked = rows.select(own, *places, *split, prompt.alias("_prompt"))
+    if spec.endpoints:
+        asked = asked.withColumn("endpoint", _endpoint(spec, asked))
+    asked = temperature_schedule(sample_fanout(asked, sampling.num_samples), sampling.temperature)
     asked = _spread(asked, spec.partitions or shuffle_partitions(rows), index, num_splits)
-    ask = generate_with_errors if spec.keep_telemetry else generate
-    answered = ask(
+    # The request repeats the prompt: it is put together after the shuffle.
+    asked = request_params(asked, "_prompt", sampling, spec.model)
+    answered = generate_with_errors(
         asked,
         factory,
         "_prompt",
-        output_column=data.output_column,
+        output_column="_answer",
         retry=spec.retry,
         concurrency=spec.concurrency,
     )
-    calls = ["temperature", *OUTCOME, *TELEMETRY] if spec.keep_telemetry else []
-    return answered.select(*columns, data.output_column, "thinking_text", *index, *calls)
+    named = {"model_endpoint": F.col("endpoint")} if spec.endpoints else {}
+    # A batch is what one task answers.
+    named |= {"batch_id": F.spark_partition_id().cast("long")}
+    calls = ["temperature", *OUTCOME, *TELEMETRY, *(f"reply_{c}" for c in REPLY)]
+    extra = [*calls, *(c.alias(k) for k, c in named.items())] if spec.keep_telemetry else []
+    texts = [F.col("_answer").alias(data.output_column), F.col("thinking_text")]
+    return answered.select("_row.*", *split, *texts, *index, *extra)
 
 
 def run_generation(spark: SparkSession, spec: JobSpec, factory: BackendFactory) -> DataFrame:
@@ -106,6 +135,24 @@ def run_generation(spark: SparkSession, spec: JobSpec, factory: BackendFactory)
     return write_table(answered, split_path(spec.data.output_path, spec.split))
 
 
+def _claim(spark: SparkSession, spec: JobSpec, output: str) -> None:
+    """Note next to ``output`` which job it belongs to, or raise if it is another one's."""
+    asked = {f.name: getattr(spec, f.name) for f in fields(spec)}
+    for name in ("retry", "concurrency", "partitions", "endpoints"):  # they do not change what is asked
+        del asked[name]
+    files = sorted((f, length, changed) for f, length, changed in stored_files(spark, spec.data.input_path))
+    job = hashlib.md5(repr((asked, files)).encode()).hexdigest()
+    note = f"{output}.job"
+    if exists(spark, note):
+        known = spark.read.text(note).first()
+        if known is None or known.value != job:
+            raise ValueError(f"{output} belongs to another job: its data, prompts or sampling differ; remove it with {note} and {output}.work, or choose another output")
+    elif exists(spark, output) or exists(spark, f"{output}.work"):
+        raise ValueError(f"{output} was not written by an incremental run; choose another output")
+    else:
+        spark.range(1).select(F.lit(job).alias("value")).write.text(note)
+
+
 def run_incremental(
     spark: SparkSession,
     spec: JobSpec,
@@ -119,10 +166,12 @@ def run_incremental(
     The selected prompts are first stored as files of ``rows_per_file`` rows; every
     ``files_per_batch`` of them are answered and committed together.  The stored
     prompts and the record of progress lie next to the output until it is whole.
-    An output that is already whole is returned as it is.
+    An output that is already whole is returned as it is.  Output and stored prompts
+    belong to one job: a call with other data, prompts or sampling is refused.
     """
     output = split_path(spec.data.output_path, spec.split)
     work = f"{output}.work"
+    _claim(spark, spec, output)
     if exists(spark, output) and not exists(spark, work):
         return spark.read.parquet(output)
     if not exists(spark, f"{work}/prompts/_SUCCESS"):

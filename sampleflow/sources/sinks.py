@@ -109,13 +109,16 @@ def write_checkpoint(
 
     The notes come last, so a checkpoint that has them is whole.
     """
-    name = f"checkpoint_{checkpoint_id}" + ("" if split_id is None else f"_split{split_id}")
-    path = f"{base.rstrip('/')}/checkpoints/{name}"
-    notes = {k: str(v) for k, v in metadata.items()}
-    remove(df.sparkSession, f"{path}/metadata")
+    # Where a checkpoint lies and what it is called.
+    parts = ["checkpoint", checkpoint_id, *(f"split{i}" for i in (split_id,) if i is not None)]
+    path = f"{base.rstrip('/')}/checkpoints/{'_'.join(parts)}"
+    spark = df.sparkSession
+    remove(spark, f"{path}/metadata")
     write_table(df, f"{path}/data")
-    table = df.sparkSession.createDataFrame([(notes,)], "metadata MAP<STRING, STRING>")
-    write_table(table, f"{path}/metadata")
+    notes = [F.struct(F.lit(k).alias("key"), F.lit(str(v)).alias("value")) for k, v in metadata.items()]
+    entries = F.array(*notes) if notes else F.lit(None)
+    record = F.map_from_entries(entries.cast("array<struct<key: string, value: string>>"))
+    write_table(spark.range(1).select(record.alias("metadata")), f"{path}/metadata")
     return path
 
 

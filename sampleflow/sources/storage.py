@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_local: dict[str, str] = {}  # folder by application
+
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder name in the shared folder the session's ``spark.checkpoint.dir`` names.
 
-    Only a local session without a checkpoint folder gets a machine-local one.
+    Only a local session without a checkpoint folder gets a machine-local one; the
+    session's settings stay as they are.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="run-")
+        _local[spark.sparkContext.applicationId] = base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -35,3 +39,14 @@ def exists(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     target, files = _path(spark, path)
     files.delete(target, True)
+
+
+def stored_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Path, size and time of change of the files at ``path``, or below it."""
+    target, files = _path(spark, path)
+    found = files.listFiles(target, True)
+    out = []
+    while found.hasNext():
+        status = found.next()
+        out.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return out

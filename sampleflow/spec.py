@@ -78,17 +78,19 @@ class SplitOptions:
 
 @dataclass(frozen=True)
 class RetryOptions:
-    """Attempts per call and the growing wait between them, in seconds."""
+    """Attempts per call, the growing wait between them, and how long a call may take, in seconds."""
 
     max_attempts: int = 3
     retry_delay: float = 1.0
     backoff_factor: float = 2.0
     max_delay: float = 10.0
+    timeout: float | None = None
 
     def __post_init__(self) -> None:
         _require(self.max_attempts >= 1, "max_attempts must be at least 1")
         _require(self.retry_delay >= 0, "retry_delay must not be negative")
         _require(self.backoff_factor >= 1, "backoff_factor must be at least 1")
+        _require(self.timeout is None or self.timeout > 0, "timeout must be positive")
 
     def wait(self, attempt: int) -> float:
         return min(self.retry_delay * self.backoff_factor ** (attempt - 1), self.max_delay)
@@ -99,7 +101,8 @@ class JobSpec:
     """A whole generation job.
 
     ``concurrency`` calls run at a time in each of ``partitions`` tasks, by default
-    as many as a shuffle has.
+    as many as a shuffle has.  ``endpoints`` serve the splits in turn, or the rows of a
+    job that is not split.
     """
 
     data: DataOptions
@@ -111,3 +114,5 @@ class JobSpec:
     concurrency: int = 1
     partitions: int | None = None
     keep_telemetry: bool = False
+    model: str = ""
+    endpoints: Sequence[str] = ()

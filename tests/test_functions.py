@@ -143,6 +143,40 @@ def test_cosine(spark):
     )
     got = [r[0] for r in df.select(vectors.cosine_similarity("a", "b")).collect()]
     assert all(math.isclose(g, w, abs_tol=1e-12) for g, w in zip(got, [0.0, 1.0, 0.0]))
+    df = spark.createDataFrame([([1.0], None), ([], [])], "a ARRAY<FLOAT>, b ARRAY<FLOAT>")
+    assert [r[0] for r in df.select(vectors.cosine_similarity("a", "b")).collect()] == [None, 0.0]
+    uneven = spark.createDataFrame([([1.0], [1.0, 2.0])], "a ARRAY<FLOAT>, b ARRAY<FLOAT>")
+    with pytest.raises(Exception, match="vectors of different sizes: 1 and 2"):
+        uneven.select(vectors.cosine_similarity("a", "b")).collect()
+
+
+@pytest.mark.parametrize(
+    "answer,gold,same",
+    [
+        ("9007199254740993", "9007199254740992", False), ("123456789012345678901", "123456789012345678902", False),
+        ("123456789012345678901", "+0123456789012345678901.000", True), ("1e400", "1e500", False), ("1e400", "x", False),
+        ("1,2345", "12345", False), ("0,100", "100", False), ("1,234,567", "1234567", True), ("-1,234.50", "-1234.5", True),
+        ("-0.0", "0", True), (".5", "0.50", True), ("1/2", "0.5", True), ("\\frac{3}{4}", "0.75", True), ("1e3", "1000", True),
+        ("1/3", "0.3333", False), ("1/0", "1/0", True), ("1/0", "2/0", False), ("NaN", "nan", False), ("", "0", False),
+    ],
+)
+def test_answers_compare_exactly(spark, answer, gold, same):
+    df = spark.createDataFrame([(answer, gold)], "a STRING, g STRING")
+    assert df.select(answers.answer_match("a", "g")).first()[0] is same
+
+
+def test_replies_in_maps_and_variants(spark):
+    df = spark.range(1).select(
+        F.create_map(F.lit("text"), F.lit("hi")).alias("m"),
+        F.create_map(F.lit("other"), F.lit("hi")).alias("n"),
+        F.parse_json(F.lit('{"choices": [{"text": "first"}], "text": "top"}')).alias("v"),
+        F.parse_json(F.lit('{"choices": [], "text": "top"}')).alias("w"),
+        F.create_map(F.lit("text"), F.array(F.lit(1))).alias("bad"),
+    )
+    got = df.select(*(replies.extract_reply(df, c).alias(c) for c in "mnvw")).first()
+    assert tuple(got) == ("hi", "", "first", "top")
+    with pytest.raises(TypeError):
+        replies.extract_reply(df, "bad")
 
 
 assert sys.maxunicode == 0x10FFFF

@@ -245,6 +245,7 @@ def test_keys_of_other_types(spark):
     n = 60
     columns = {
         "timestamp": [datetime(2024, 3, 31, 0, 30) + timedelta(minutes=7 * i, microseconds=i) for i in range(n)],
+        "timestamp_ntz": [datetime(1969, 12, 31, 23, 59) + timedelta(seconds=9 * i, microseconds=i) for i in range(n)],
         "date": [date(2024, 1, 1) + timedelta(days=i) for i in range(n)],
         "boolean": [i >= n // 2 for i in range(n)],
         "binary": [bytes([i // 8, i % 8, 0]) for i in range(n)],

@@ -224,6 +224,94 @@ def test_incremental_job_goes_on_after_a_stop(spark, prompt_folder):
     assert run_incremental(spark, spec, Tripwire, **size).count() == 100
 
 
+def test_another_job_does_not_get_the_output(spark, prompt_folder):
+    from dataclasses import replace
+
+    spec = job(prompt_folder)
+    assert run_incremental(spark, spec, Echo).count() == 100
+    assert run_incremental(spark, replace(spec, concurrency=3), Echo).count() == 100
+    for other in (replace(spec, prompt_template="new {text}"), replace(spec, data=replace(spec.data, limit=5))):
+        with pytest.raises(ValueError, match="another job"):
+            run_incremental(spark, other, Echo)
+
+
+class Odd:
+    """Answers with what no reply should be; the prompt says which."""
+
+    replies = {
+        "string": "plain", "none choice": {"choices": [None]}, "number": {"choices": [{"text": 5}], "created": "x", "usage": {"total_tokens": "y"}},
+        "list": [1], "usage": {"choices": [{"text": "a"}], "usage": 3}, "none": None,
+        "whole": {"choices": [{"text": "a"}], "model": "m", "id": 7, "created": 2**40},
+    }
+
+    def generate(self, prompt, temperature, sample_idx):
+        return self.replies[prompt]
+
+
+@pytest.mark.parametrize("concurrency", [1, 3])
+def test_malformed_replies_keep_their_rows(spark, concurrency):
+    got = ops.generate_with_errors(prompts(spark, *Odd.replies), Odd, "q", retry=NO_WAIT, concurrency=concurrency)
+    rows = {r.q: r for r in got.collect()}
+    assert {q: (r.success, r.response) for q, r in rows.items()} == {
+        "string": (False, ""), "none choice": (False, ""), "number": (True, "5"), "list": (False, ""), "usage": (False, ""),
+        "none": (False, ""), "whole": (True, "a"),
+    }
+    assert all(r.error and r.finish_reason == "error" for r in rows.values() if not r.success)
+    assert rows["none"].attempts == 3 and rows["string"].attempts == 1
+    assert (rows["whole"].reply_model, rows["whole"].reply_id, rows["whole"].reply_created) == ("m", "7", 2**40)
+
+
+class Slow:
+    def generate(self, prompt, temperature, sample_idx):
+        import time
+
+        time.sleep(30 if prompt == "hangs" else 0)
+        return {"choices": [{"text": "done"}]}
+
+
+def test_a_call_that_hangs_ends(spark):
+    retry = RetryOptions(max_attempts=2, retry_delay=0.0, timeout=0.3)
+    got = ops.generate_with_errors(prompts(spark, "hangs", "fine"), Slow, "q", retry=retry).collect()
+    rows = {r.q: r for r in got}
+    assert rows["hangs"].error == "no reply within 0.3 s" and rows["hangs"].attempts == 2 and rows["fine"].success
+
+
+class Mirror:
+    """Answers with the request it got."""
+
+    def generate(self, prompt, temperature, sample_idx, request=None, endpoint=None):
+        return {"choices": [{"text": json.dumps({"request": request, "endpoint": endpoint})}], "model": request["model"]}
+
+
+def test_the_backend_gets_the_whole_request(spark, folder):
+    rows = spark.range(6).select("id", F.lit("say").alias("q"), F.lit(9.5).alias("temperature"), F.lit("own").alias("endpoint"), F.lit(3).alias("sample_idx"))
+    rows.write.parquet(f"{folder}/in.parquet")
+    sampling = SamplingOptions(num_samples=2, temperature=[0.3, 0.6], max_tokens=77, top_p=0.5, seed=3, stop_sequences=["#"])
+    data = DataOptions(f"{folder}/in.parquet", f"{folder}/out.parquet", input_column="q")
+    spec = JobSpec(data, sampling, retry=NO_WAIT, model="m1", endpoints=["e1", "e2"])
+    out = run_generation(spark, spec, Mirror).collect()
+    assert len(out) == 12 and {(r.temperature, r.endpoint) for r in out} == {(9.5, "own")}
+    assert sorted(r.sample_idx for r in out) == [0] * 6 + [1] * 6
+    for r in out:
+        said = json.loads(r.response)
+        assert said["endpoint"] in ("e1", "e2")
+        request = said["request"]
+        assert request["temperature"] == [0.3, 0.6][r.sample_idx] and request["model"] == "m1"
+        assert (request["max_tokens"], request["top_p"], request["seed"], request["stop"]) == (77, 0.5, 3, ["#"])
+        assert request["messages"] == [{"role": "user", "content": "say"}]
+
+
+def test_telemetry_names_endpoints_and_batches(spark, prompt_folder):
+    from sampleflow.operators.telemetry import endpoint_summary
+
+    spec = job(prompt_folder, keep_telemetry=True, endpoints=["e1", "e2", "e3"])
+    together = run_all_splits(spark, spec, 3, Echo)
+    served = {(r.split_id, r.model_endpoint) for r in together.select("split_id", "model_endpoint").distinct().collect()}
+    assert served == {(1, "e1"), (2, "e2"), (3, "e3")}
+    assert together.where("batch_id IS NULL").count() == 0
+    assert endpoint_summary(together).count() == 3
+
+
 def test_job_errors(spark, prompt_folder):
     spec = JobSpec(DataOptions(f"{prompt_folder}/in.parquet", f"{prompt_folder}/o.parquet"))
     with pytest.raises(ValueError, match="question"):
