@@ -10,7 +10,7 @@ from catalog.selection import documents
 from sampleflow.operators import embeddings as vectors
 from sampleflow.operators import mlp
 from sampleflow.operators.select import train_val_split
-from sampleflow.functions.prompts import USER_END, USER_START
+from sampleflow.functions.prompts import THINK_START, USER_END, USER_START
 
 
 def letter_model():
@@ -24,7 +24,7 @@ def letter_model():
 
 
 @register(f"""
-    WITH t AS (SELECT DISTINCT '{USER_START}' || text || '{USER_END}' AS text FROM documents)
+    WITH t AS (SELECT DISTINCT '{USER_START}' || text || '{USER_END}{THINK_START}' AS text FROM documents)
     SELECT text, CAST(length(text) AS DOUBLE) AS v0,
            CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS v1,
            CAST(length(text) - length(replace(text, chr(10), '')) AS DOUBLE) AS v2,
