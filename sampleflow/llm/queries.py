@@ -119,7 +119,69 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
 
 
-@register()
+def _url_sql(rules: tuple[Rule, ...], depth: int = 4, variable: int = 20) -> str:
+    """The whole of ``url_verdicts`` by its default options."""
+    cases = " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.name} {r.verdict}'"
+        for r in sorted(rules, key=lambda r: (-len(r.name), r.name))
+    )
+    levels = "".join(
+        f"""
+    kinds{d} AS (SELECT host, t, segs[{d + 1}] AS seg FROM r{d} WHERE len(segs) > {d} GROUP BY ALL),
+    wide{d} AS (SELECT host, t FROM kinds{d} GROUP BY ALL HAVING count(*) > {variable}),
+    r{d + 1} AS (
+        SELECT r.* EXCLUDE (t), CASE WHEN len(segs) <= {d} THEN r.t
+            ELSE r.t || '/' || CASE WHEN w.t IS NULL THEN segs[{d + 1}] ELSE '*' END END AS t
+        FROM r{d} r LEFT JOIN wide{d} w ON r.host = w.host AND r.t = w.t
+    ),"""
+        for d in range(depth)
+    )
+    return f"""
+    WITH rests AS (
+        SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+    ),
+    hosts AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS h FROM rests),
+    paths AS (
+        SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path
+        FROM hosts
+    ),
+    r0 AS (
+        SELECT *, CASE {cases} END AS found, '' AS t,
+            list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''),
+                lambda x: regexp_replace(regexp_replace(x, '\\.[A-Za-z]{{1,5}}$', ''), '^[0-9]+$', '*')) AS segs
+        FROM paths
+    ),{levels}
+    judged AS (
+        SELECT page_id, host, path, string_split(found, ' ')[1] AS rule, string_split(found, ' ')[2] AS verdict,
+            CASE WHEN len(segs) > {depth} THEN t || '/**' ELSE t END AS template
+        FROM r{depth}
+    ),
+    stats AS (
+        SELECT host, template, len(string_split(template, '/')) AS depth, count(verdict) AS n,
+            count(*) FILTER (verdict = 'block') AS bad
+        FROM judged GROUP BY host, template
+    ),
+    neighbours AS (
+        SELECT *, lag(n) OVER s AS n0, lag(bad) OVER s AS bad0
+        FROM stats WINDOW s AS (PARTITION BY host, depth, n > 0 ORDER BY (bad + 2.0::DOUBLE) / (n + 4.0::DOUBLE), template)
+    ),
+    runs AS (
+        SELECT *, sum(CASE WHEN n0 IS NULL OR n = 0 THEN 1 WHEN abs(bad / n - bad0 / n0)
+                > 2 * sqrt(((bad + bad0) / (n + n0)) * (1 - (bad + bad0) / (n + n0)) * (1 / n + 1 / n0)) THEN 1 ELSE 0 END) OVER s AS run
+        FROM neighbours WINDOW s AS (PARTITION BY host, depth, n > 0 ORDER BY (bad + 2.0::DOUBLE) / (n + 4.0::DOUBLE), template)
+    ),
+    branches AS (
+        SELECT host, template, min(template) OVER b AS branch, (sum(bad) OVER b + 2.0::DOUBLE) / (sum(n) OVER b + 4.0::DOUBLE) AS purity
+        FROM runs WINDOW b AS (PARTITION BY host, depth, n > 0, run)
+    )
+    SELECT page_id, host, path, rule, template, branch, purity,
+        coalesce(verdict, CASE WHEN purity >= 0.8::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict
+    FROM judged JOIN branches USING (host, template)
+    """
+
+
+@register(_url_sql(URL_RULES))
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 

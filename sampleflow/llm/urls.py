@@ -45,7 +45,7 @@ def matching_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column
 def segments(path: Column) -> Column:
     """The path's segments without a file's ending; one of digits only is ``*``."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    return F.transform(parts, lambda s: F.regexp_replace(F.regexp_replace(s, r"\.[A-Za-z]{1,5}$", ""), r"^[0-9]+$", "*"))
+    return F.transform(parts, lambda s: F.regexp_replace(F.regexp_replace(s, r"\.[A-Za-z]{1,5}\z", ""), r"^[0-9]+\z", "*"))
 
 
 def _generalised(rows: DataFrame, depth: int, variable: int) -> DataFrame:
