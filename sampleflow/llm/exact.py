@@ -22,8 +22,9 @@ def _marked(rows: DataFrame, prefix_chars: int, all_hashes: bool) -> DataFrame:
     rows = rows.withColumns(
         {"size": F.octet_length("text"), "head": F.xxhash64(ascii_lower(F.substring("text", 1, prefix_chars)))}
     )
-    lengths = rows.groupBy("size").count().where("count > 1").select("size")
-    heads = rows.select("size", "head").join(lengths, "size", "left_semi")
+    # As many rows as there are lengths; broadcast while few, so that a frequent length is no one task's.
+    lengths = kept(rows.groupBy("size").count().where("count > 1").select("size"), "lengths")
+    heads = rows.select("size", "head").join(small(lengths), "size", "left_semi")
     heads = kept(heads.groupBy("size", "head").count().where("count > 1").drop("count"), "heads")
     rows = rows.join(small(heads.withColumn("alike", F.lit(True))), ["size", "head"], "left")
     whole = F.sha2(ascii_lower(F.col("text")).cast("binary"), 256)
