@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sampleflow.llm.graph import kept
+from sampleflow.llm.graph import kept, small
 
 #: Rows in a cell of ``places``: what one window partition numbers.
 CELL_ROWS = 20_000
@@ -59,7 +59,7 @@ def balanced_shards(docs: DataFrame, shards: int = 40, max_rounds: int = 12) ->
         F.when(F.col("text").isNotNull(), F.unhex(F.md5(text))).alias("same"),
     )
     copies = rows.groupBy("same").agg(F.count("*").alias("copies")).where("copies > 1 AND same IS NOT NULL")
-    rows = rows.join(copies, "same", "left")
+    rows = rows.join(small(kept(copies, "copies")), "same", "left")
     total = docs.count()
     half = max(1, total // shards // 2)
     cells = -(-total // CELL_ROWS)
