@@ -187,8 +187,11 @@ def _digits(df: DataFrame, name: str) -> Iterator[Column]:
                 return
     elif isinstance(kind, T.LongType | TIMES):
         number = _comparable(df, name)
-        yield F.shiftright(number, 32).cast("double")
-        yield number.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")).cast("double")
+        rows = yield number.cast("double")
+        ends = rows.agg(F.min(number).alias("low"), F.max(number).alias("high")).first()
+        if ends.low is not None and max(-ends.low, ends.high) >= 2**53:
+            # One double stands for several numbers: what it leaves out tells them apart.
+            yield F.coalesce(number - number.cast("double").try_cast("long"), F.lit(0)).cast("double")
     elif isinstance(kind, T.DecimalType):
         # A double, then what it leaves out, twice: some 48 digits.
         rest = column.cast(T.DecimalType(38, kind.scale))
