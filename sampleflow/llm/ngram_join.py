@@ -120,26 +120,34 @@ def _signatures(grams: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
     return tuple(span_hashes(mix(grams ^ U(base)), ends - lengths, ends, base) for base in BASES)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts as a byte each, or as four where one is too large for that."""
+    return counts.astype("u1" if counts.max() < 256 else "<u4").tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "u1" if len(raw) in {cells for _, cells in CELLS} else "<u4").astype(np.int64)
+
+
 def _cells(grams: np.ndarray, lengths: np.ndarray) -> list[bytes]:
-    """How many of a set's n-grams fall into each of its cells, as four-byte numbers (two bytes below the first step)."""
+    """How many of a set's n-grams fall into each of its cells."""
     place, row = mix(grams), np.repeat(np.arange(len(lengths)), lengths)
     (_, few), (first_step, _) = CELLS[:2]
     short = np.where(lengths < first_step, lengths, 0)
     inside = short[row] > 0
     counts = np.bincount(row[inside] * few + (place[inside] >> U(58)).astype(np.int64), minlength=len(lengths) * few)
-    out = [c.tobytes() for c in counts.astype("<u2").reshape(-1, few)]
+    out = [_packed(c) for c in counts.reshape(-1, few)]
     ends = np.cumsum(lengths)
     for i in np.flatnonzero(lengths >= first_step):
         cells = max(c for least, c in CELLS if lengths[i] >= least)
         own = place[ends[i] - lengths[i] : ends[i]] >> U(65 - cells.bit_length())
-        out[i] = np.bincount(own.astype(np.int64), minlength=cells).astype("<u4").tobytes()
+        out[i] = _packed(np.bincount(own.astype(np.int64), minlength=cells))
     return out
 
 
 def _read_cells(raw: list[bytes]) -> dict[int, tuple[int, np.ndarray]]:
     """For each number of cells in use: the first row with as many (rows ascend by size), and all rows from there on, folded to it."""
-    few = CELLS[0][1]
-    own = [np.frombuffer(r, "<u2" if len(r) == 2 * few else "<u4").astype(np.int64) for r in raw]
+    own = [_unpacked(r) for r in raw]
     out = {}
     for cells in {len(o) for o in own}:
         start = next(i for i, o in enumerate(own) if len(o) == cells)
