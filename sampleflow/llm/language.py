@@ -197,7 +197,7 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def known_language(docs: DataFrame, network: Network | None, least: float = 0.4) -> DataFrame:
+def known_language(docs: DataFrame, network: Network | None, least: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose language is recognised with a score of ``least`` or more, with all their columns."""
 
     @F.arrow_udf("boolean")
