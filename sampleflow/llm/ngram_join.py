@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sampleflow.llm.graph import components, kept, small
-from sampleflow.llm.words import BASES, Words, digests, long_lists, mix, pieces, sort_by_row, span_hashes, window_hashes
+from sampleflow.llm.words import BASES, Words, digests, give_back, long_lists, mix, pieces, sort_by_row, span_hashes, window_hashes
 
 U = np.uint64
 BUCKET_BITS = 18
@@ -34,6 +34,8 @@ CHUNK = 4096
 #: A cluster above either goes in blocks.
 BLOCK_GRAMS = 1 << 20
 BLOCK_SETS = 2000
+#: Rows that are taken out of a batch together: a row can hold a long text's n-grams.
+ROWS_AT_ONCE = 64
 #: Cells by which sets are compared before they are read: the number for sets from each size on.
 #: Different sets of n differ by about the square root of n x cells, which must be above a tenth of n.
 CELLS = ((0, 64), (2_000, 1_024), (64_000, 16_384), (2_000_000, 262_144))
@@ -284,20 +286,22 @@ def _groups(
 ) -> Iterator[tuple[list[dict], bool]]:
     """Rows of sorted batches, a list for each run of equal keys, and whether it is the whole run (with over ``most`` rows it comes in parts)."""
     now, rows, whole = None, [], True
-    for batch in batches:
-        for row in batch.to_pylist():
-            key = tuple(row[k] for k in keys)
-            if key != now:
-                if rows:
-                    yield rows, whole
-                now, rows, whole = key, [], True
-            elif most and len(rows) >= most:
-                whole = False
+    parts = (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE))
+    for row in (row for part in parts for row in part.to_pylist()):
+        key = tuple(row[k] for k in keys)
+        if key != now:
+            if rows:
                 yield rows, whole
-                rows = []
-            rows.append(row)
+            now, rows, whole = key, [], True
+        elif most and len(rows) >= most:
+            whole = False
+            yield rows, whole
+            rows = []
+        rows.append(row)
     if rows:
         yield rows, whole
+    rows = []
+    give_back()
 
 
 def _may_link(n: np.ndarray, raw: list[bytes], percent: int, most_partners: int) -> np.ndarray:

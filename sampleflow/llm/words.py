@@ -6,6 +6,7 @@ so words are cut on bytes. Hashes are equal for equal words in every task and ru
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -113,6 +114,14 @@ class Words:
         return at[self.doc[at] == self.doc[at + size - 1]]
 
 
+def give_back() -> None:
+    """Returns memory that a worker has freed: it lives on after its task, next to others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut at rows, into pieces of about ``PIECE_BYTES`` of text."""
     for batch in batches:
@@ -125,6 +134,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             end = min(max(end, start + 1), start + MAX_PIECE_ROWS, batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+    give_back()
 
 
 def sort_by_row(row: np.ndarray, values: np.ndarray) -> np.ndarray:
