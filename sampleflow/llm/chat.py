@@ -68,9 +68,9 @@ def format_batch(own: Encoder, roles: list[str], texts: list[str]) -> tuple[np.n
 def format_chat(turns: DataFrame, path: str, pattern: str) -> DataFrame:
     """``conv_id``, ``turn``, ``text``, ``ids``, ``mask`` for every row of ``turns`` (``conv_id``, ``turn``, ``role``, ``text``).
 
-    A conversation's formatted text, ids and mask are those of its rows, in order of
-    (turn, role, text), one after another: so a conversation of any length is spread over
-    tasks. ``ids`` are little-endian unsigned 32-bit numbers, ``mask`` a byte for each, 1
+    A conversation's formatted text, ids and mask are those of its rows, in order of turn,
+    one after another: so a conversation of any length is spread over tasks. Rows of one
+    turn number stand in a fixed order, by the start of their formatted text and its hash. ``ids`` are little-endian unsigned 32-bit numbers, ``mask`` a byte for each, 1
     on the assistant's own words. Content is escaped and encoded by itself, never across
     a control string; reserved ids cannot come from content. A null text or role is empty.
     Repeated rows are turns like any other; a null turn comes first; a null conv_id is a
@@ -161,7 +161,15 @@ def chat_digests(formatted: DataFrame, path: str, pattern: str) -> DataFrame:
             done.append(row())
         yield out()
 
-    light = formatted.select("conv_id", "turn", F.char_length("text").cast("long").alias("chars"), "ids", "mask", F.substring("text", 1, 200).alias("head"), F.xxhash64("text").alias("tie"))
+    light = formatted.select(
+        "conv_id",
+        "turn",
+        F.char_length("text").cast("long").alias("chars"),
+        "ids",
+        "mask",
+        F.substring("text", 1, 200).alias("head"),
+        F.xxhash64("text").alias("tie"),
+    )
     dealt = light.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "head", "tie").drop("head", "tie")
     return dealt.mapInArrow(
         run,
