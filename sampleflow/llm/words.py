@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 #: Texts are handled in pieces of about so many bytes, so that the arrays of a piece stay small.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 MAX_PIECE_ROWS = 60_000
 
 _random = np.random.default_rng(20240229)
