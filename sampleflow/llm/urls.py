@@ -107,6 +107,9 @@ def url_verdicts(
     branches are merged, and URLs without a rule are blocked where the smoothed share of
     bad labels of their branch is ``reject`` or more: by the defaults that takes six labels,
     all bad. A URL that is null, or without ``://``, has an empty host and path, and is allowed.
+    A segment is generalised where its parent has more than ``variable`` kinds in the whole
+    input, so more input can change a host's verdicts; below ``depth`` segments all is one
+    template, ``/**``, whose branches are not told apart.
     Counts of a host, template and segment are all that meets in one place, so a host with
     most of the rows is no larger there than its tree. Other columns are not used.
     """
