@@ -9,11 +9,14 @@ all others' leave, and clusters part where no two members fit, before whole sets
 read. Then each cluster stores its whole sets in a compressed
 trie, common n-grams first, so that near copies share long paths; a set walks the trie
 with the overlap counted so far, and leaves a subtree when the n-grams that remain cannot
-bring the overlap up, or when all in it are linked with it already.
+bring the overlap up, or when no pair in it is wanted.
 
+Where components are all that is asked for, pairs that are linked already are not wanted.
 Large clusters are dealt out in blocks: first each member is compared with the cluster's
 smallest one; then blocks are joined pairwise, but never two whose members are all linked
-already. Equal sets are one *class* throughout and are never compared.
+already. Where links are counted, every pair is wanted in the first cluster that holds both
+sets, and all blocks are joined pairwise; a task gives each set's number of links, never the
+pairs. Equal sets are one *class* throughout and are never compared.
 """
 
 from __future__ import annotations
@@ -226,8 +229,8 @@ class Trie:
         depth = int(common[lo + 1 : hi].min()) if hi - lo > 1 else len(self.sets[lo])
         return lo, hi, above, depth, int(lengths[lo:hi].min()), int(lengths[lo:hi].max()), []
 
-    def similar(self, q: int, inside: np.ndarray, percent: int, linked: np.ndarray) -> list[int]:
-        """Leaves after ``q`` similar to it; ``inside`` marks q's numbers, ``linked`` holds a label for each leaf."""
+    def similar(self, q: int, inside: np.ndarray, percent: int, skip: np.ndarray) -> list[int]:
+        """Leaves after ``q`` similar to it; ``inside`` marks q's numbers, ``skip`` the leaves that are not wanted."""
         own = self.sets[q]
         n, found = len(own), []
         least, most = -(-percent * n // 100), 100 * n // percent
@@ -236,7 +239,7 @@ class Trie:
             (lo, hi, above, depth, low, high, children), overlap = todo.pop()
             if hi <= q + 1 or high < least or low > most:
                 continue
-            if (linked[max(lo, q + 1) : hi] == linked[q]).all():
+            if skip[max(lo, q + 1) : hi].all():
                 continue
             path = self.sets[lo]
             if depth > above:
@@ -252,26 +255,32 @@ class Trie:
         return found
 
 
-def join_sets(sets: list[np.ndarray], percent: int, joined: np.ndarray | None = None) -> np.ndarray:
-    """A label for each set: equal where links lead from one to the other. Sets marked ``joined`` count as linked."""
-    if len(sets) < 2:
-        return np.arange(len(sets))
+def _sorted_trie(sets: list[np.ndarray]) -> tuple[Trie, list[int], int]:
+    """The sets' trie, the set of each leaf, and how many numbers there are."""
     flat, place = np.unique(np.concatenate(sets), return_inverse=True)
     place = len(flat) - 1 - place  # common n-grams first
     cuts = np.cumsum([len(s) for s in sets])[:-1]
     turned = [part[::-1] for part in np.split(place, cuts)]
     order = sorted(range(len(sets)), key=lambda i: turned[i].astype(">u4").tobytes())
-    trie = Trie([turned[i] for i in order])
+    return Trie([turned[i] for i in order]), order, len(flat)
+
+
+def join_sets(sets: list[np.ndarray], percent: int, joined: np.ndarray | None = None) -> np.ndarray:
+    """A label for each set: equal where links lead from one to the other. Sets marked ``joined`` count as linked."""
+    if len(sets) < 2:
+        return np.arange(len(sets))
+    trie, order, numbers = _sorted_trie(sets)
     labels = np.arange(len(sets))
     if joined is not None and joined.any():
         marked = joined[order]
         labels[marked] = np.flatnonzero(marked)[0]
-    inside = np.zeros(len(flat), bool)
+    inside = np.zeros(numbers, bool)
     for q in range(len(sets) - 1):
-        if (labels[q + 1 :] == labels[q]).all():
+        skip = labels == labels[q]
+        if skip[q + 1 :].all():
             continue
         inside[trie.sets[q]] = True
-        for other in trie.similar(q, inside, percent, labels):
+        for other in trie.similar(q, inside, percent, skip):
             a, b = labels[q], labels[other]
             if a != b:
                 labels[labels == max(a, b)] = min(a, b)
@@ -281,6 +290,46 @@ def join_sets(sets: list[np.ndarray], percent: int, joined: np.ndarray | None =
     return out
 
 
+def count_links(
+    sets: list[np.ndarray], percent: int, copies: np.ndarray, before: list[list[int]], sides: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """A label for each set, equal where links counted here lead from one to the other, and the copies of all sets it is linked with.
+
+    Two sets whose ``before`` share a number are counted elsewhere; with ``sides``, so are two sets of one side.
+    """
+    labels, links = np.arange(len(sets)), np.zeros(len(sets), np.int64)
+    if len(sets) < 2:
+        return labels, links
+    trie, order, numbers = _sorted_trie(sets)
+    copies, before = copies[order], [before[i] for i in order]
+    sides = None if sides is None else sides[order]
+    holders: dict[int, list[int]] = {}
+    for leaf, own in enumerate(before):
+        for k in own:
+            holders.setdefault(k, []).append(leaf)
+    shared = {k: np.array(v) for k, v in holders.items() if len(v) > 1}
+    inside = np.zeros(numbers, bool)
+    for q in range(len(sets) - 1):
+        skip = np.zeros(len(sets), bool) if sides is None else sides == sides[q]
+        for k in before[q]:
+            if k in shared:
+                skip[shared[k]] = True
+        if skip[q + 1 :].all():
+            continue
+        inside[trie.sets[q]] = True
+        found = trie.similar(q, inside, percent, skip)
+        inside[trie.sets[q]] = False
+        if found:
+            links[q] += copies[found].sum()
+            links[found] += copies[q]
+            both = np.append(labels[found], labels[q])
+            if (both != both[0]).any():
+                labels[np.isin(labels, both)] = both.min()
+    out, counts = np.empty(len(sets), np.int64), np.empty(len(sets), np.int64)
+    out[order], counts[order] = labels, links
+    return out, counts
+
+
 def _groups(
     batches: Iterator[pa.RecordBatch], keys: list[str], most: int | None = None
 ) -> Iterator[tuple[list[dict], bool]]:
@@ -383,6 +432,34 @@ def _join_clusters(percent: int):
     return join
 
 
+def _count_clusters(percent: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def part() -> pa.RecordBatch:
+            found = [pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.binary())]
+            return pa.RecordBatch.from_arrays([*found, pa.array([o[2] for o in out], pa.int64())], names=["u", "v", "links"])
+
+        out: list[tuple[bytes, bytes, int]] = []
+        for rows, _ in _groups(batches, ["key", "i", "j"]):
+            rows = list({r["node"]: r for r in rows}.values())  # a row of docs that is repeated gives its set again
+            labels, links = count_links(
+                [np.frombuffer(r["grams"], U) for r in rows],
+                percent,
+                np.array([r["copies"] for r in rows]),
+                [r["before"] for r in rows],
+                np.array([r["own"] for r in rows]) if rows[0]["i"] != rows[0]["j"] else None,
+            )
+            first: dict[int, bytes] = {}
+            for r, label, n in zip(rows, labels.tolist(), links.tolist()):
+                if n:
+                    out.append((first.setdefault(label, r["node"]), r["node"], n))
+            if len(out) > 10_000:
+                yield part()
+                out = []
+        yield part()
+
+    return count
+
+
 def _compare(percent: int):
     """Whether a set is similar to its cluster's smallest one."""
 
@@ -402,9 +479,12 @@ def _compare(percent: int):
 
 
 def _classes(
-    docs: DataFrame, size: int, percent: int, block_grams: int, block_sets: int, most_partners: int
+    docs: DataFrame, size: int, percent: int, block_grams: int, block_sets: int, most_partners: int, counted: bool = False
 ) -> DataFrame:
-    """``row_key``, ``doc_id``, ``n`` of every row; its component's smallest ``component_id``, and the ``lead_key`` of that row."""
+    """``row_key``, ``doc_id``, ``n`` of every row; its component's smallest ``component_id``, and the ``lead_key`` of that row.
+
+    If ``counted``, also ``n_links``: how many other rows have a similar text.
+    """
     spark = docs.sparkSession
     docs = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", "text")
     order = spark.sparkContext.broadcast(gram_order(docs, size))
@@ -416,7 +496,7 @@ def _classes(
         "sketch",
     )
     classes = sketch.where("n > 0").groupBy("node").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("lead"), F.first("n").alias("n"),
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("lead"), F.first("n").alias("n"), F.count("*").alias("copies"),
         F.first("short").alias("short"), F.first("cells").alias("cells"), F.first("prefix").alias("prefix"),
     )
     grams = classes.select("short", "n", F.explode("prefix").alias("gram"))
@@ -440,23 +520,57 @@ def _classes(
     sizes = kept(sizes.select("key", "least", F.ceil("blocks").cast("int").alias("blocks")), "sizes")
     members = kept(members.join(sizes, "key"), "members")
 
+    if counted:
+        links = kept(_counted_links(sets, members, classes.select("short", "copies"), percent), "links_of_sets")
+        found = components(links)
+        counts = links.groupBy(F.col("v").alias("node")).agg(F.sum("links").alias("links"))
+    else:
+        found = components(_component_links(sets, members, sizes, percent))
+
+    by_class = classes.select("node", "lead", "copies").join(found, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    least = by_class.groupBy("component").agg(F.min("lead").alias("lead"))
+    wide = ["node"]
+    if counted:
+        others = F.col("copies") - 1 + F.coalesce("links", F.lit(0))
+        by_class = by_class.join(counts, "node", "left").withColumn("n_links", others)
+        wide.append("n_links")
+    by_class = by_class.select("component", *wide).join(least, "component")
+    by_class = by_class.select(
+        F.col("node").alias("class"), F.col("lead.doc_id").alias("component_id"), F.col("lead.row_key").alias("lead_key"), *wide[1:]
+    )
+    out = sketch.select("row_key", "doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("class"))
+    return out.join(by_class, "class", "left").drop("class")
+
+
+def _component_links(sets: DataFrame, members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Links enough to join the similar sets of every cluster."""
     single = sets.join(small(members.where("blocks <= 1").select("key", "short")), "short").select(
         "key", "node", "grams", F.lit(False).alias("joined"), F.lit(0).alias("i"), F.lit(0).alias("j")
     )
     links = _joined(single, percent)
     if sizes.where("blocks > 1").limit(1).count():
         links = links.union(_large_clusters(sets, members.where("blocks > 1"), percent))
-    found = components(links)
+    return links
 
-    by_class = classes.select("node", "lead").join(found, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
+
+def _counted_links(sets: DataFrame, members: DataFrame, copies: DataFrame, percent: int) -> DataFrame:
+    """``u``, ``v``, ``links``: for each set ``v`` with links counted in a cluster's blocks how many, and one ``u`` that links lead to."""
+    # Two sets are counted in the cluster with the smallest key of those that hold both.
+    several = members.groupBy("short").agg(F.collect_set("key").alias("keys")).where(F.size("keys") > 1)
+    earlier = F.filter("keys", lambda k: k < F.col("key"))
+    placed = members.select("key", "short", "blocks").join(several, "short", "left").join(copies, "short").select(
+        "key", "short", "blocks", "copies", F.coalesce(earlier, F.array().cast("array<long>")).alias("before")
     )
-    least = by_class.groupBy("component").agg(F.min("lead").alias("lead"))
-    by_class = by_class.select("node", "component").join(least, "component")
-    by_class = by_class.select(F.col("node").alias("class"), "lead.doc_id", F.col("lead.row_key").alias("lead_key"))
-    by_class = by_class.withColumnRenamed("doc_id", "component_id")
-    out = sketch.select("row_key", "doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("class"))
-    return out.join(by_class, "class", "left").drop("class")
+    placed = sets.join(small(kept(placed, "placed")), "short")
+    blocks = F.greatest(F.col("blocks"), F.lit(1))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "key", "node", "grams", "copies", "before", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
+    dealt = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(_count_clusters(percent), "u binary, v binary, links long")
 
 
 def ngram_classes(
@@ -482,6 +596,26 @@ def ngram_classes(
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def ngram_links(
+    docs: DataFrame,
+    size: int = 5,
+    percent: int = 80,
+    block_grams: int = BLOCK_GRAMS,
+    block_sets: int = BLOCK_SETS,
+    most_partners: int = MOST_PARTNERS,
+) -> DataFrame:
+    """``ngram_classes`` with ``n_links``: how many other rows a row is linked with, those of an equal text too.
+
+    A text without words has none. Links are counted in the tasks that find them, so
+    a group of near copies takes work with the square of its distinct texts, but no more rows
+    than their number for each pair of blocks.
+    """
+    found = _classes(docs, size, percent, block_grams, block_sets, most_partners, counted=True)
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    links = F.when(F.col("n") > 0, F.col("n_links")).otherwise(0)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), links.alias("n_links"))
+
+
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row of ``docs`` of each component: that of the smallest doc_id (null last), with all its columns. Texts without words all stay."""
     found = kept(_classes(docs, size, percent, BLOCK_GRAMS, BLOCK_SETS, MOST_PARTNERS), "classes")

@@ -14,7 +14,7 @@ from sampleflow.llm.chat import chat_digests, format_chat
 from sampleflow.llm.exact import exact_groups
 from sampleflow.llm.language import held_out, identify, train_network
 from sampleflow.llm.mixing import mix_sources
-from sampleflow.llm.ngram_join import ngram_classes
+from sampleflow.llm.ngram_join import ngram_links
 from sampleflow.llm.quality import judge_quality, train_quality
 from sampleflow.llm.sharding import balanced_shards
 from sampleflow.llm.substrings import remove_repeats
@@ -52,7 +52,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @register()
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_classes(table(spark, sf_dir, "documents"), size=3, percent=90)
+    return ngram_links(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
 @register()

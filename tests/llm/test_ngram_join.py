@@ -1,7 +1,7 @@
 import pytest
 from tests.llm.cases import edge_docs, edge_rows, lower, no_docs, words
 
-from sampleflow.llm.ngram_join import _cells, _may_link, near_dedup, ngram_classes, prefix_lengths
+from sampleflow.llm.ngram_join import _cells, _may_link, near_dedup, ngram_classes, ngram_links, prefix_lengths
 
 import numpy as np
 
@@ -79,3 +79,24 @@ def test_prefixes_meet():
         # A different set that is similar enough shares at least ``need`` of the n-grams, so one of the first n - need + 1.
         assert ((length == 0) | (length == n - need + 1)).all()
         assert (length[100 * n >= percent * (n + 1)] > 0).all()
+
+
+@pytest.mark.parametrize("size,percent,blocks", [(3, 90, {}), (2, 60, {"block_sets": 2, "block_grams": 300, "most_partners": 2})])
+def test_links_are_counted(spark, size, percent, blocks):
+    pick = np.random.default_rng(4)
+    near = [" ".join(f"w{k if pick.random() > 0.02 else 1000 + pick.integers(50)}" for k in range(60)) for _ in range(25)]
+    rows = [r[:2] for r in edge_rows()] + [(1000 + i, t) for i, t in enumerate(near + near[:3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = [grams(t, size) for _, t in rows]
+    links = [0] * len(rows)
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
+                links[a] += 1
+                links[b] += 1
+    want = sorted(((d, len(s), n) for (d, _), s, n in zip(rows, sets, links)), key=repr)
+    got = ngram_links(docs, size, percent, **blocks).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in got), key=repr) == want
+    assert sorted((tuple(r)[:3] for r in got), key=repr) == brute(rows, size, percent)[0]
+    assert max(links) > 3
