@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,10 @@ UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 #: Windows that are scored at once.
 WINDOWS_AT_ONCE = 512
+#: Share of labelled documents, none of them fitted, that may count as text of no learned language.
+REJECTED = 0.001
+#: A text's mean counts so many bytes of usual text besides its own, so that short texts go only if they are far off.
+USUAL_BYTES = 16
 
 
 @dataclass
@@ -33,6 +37,10 @@ class Network:
     biases: dict[int, np.ndarray]
     last: np.ndarray
     last_bias: np.ndarray
+    #: Log probability of each byte after each other, over all languages alike; its mean over fitted text; the least mean that is learned text.
+    follows: np.ndarray | None = None
+    usual: float = 0.0
+    least: float = -np.inf
 
     def tables(self) -> dict[int, tuple[np.ndarray, np.ndarray | None]]:
         """For each width what its filters give for the first two bytes, and for the bytes after them."""
@@ -156,7 +164,65 @@ def train_network(docs: DataFrame, per_lang: int = 500, max_langs: int = 200, se
     # The smaller languages' windows come as often as the larger ones'.
     number = np.bincount(labels, minlength=len(langs))
     times = np.maximum(1, number.max() // np.maximum(number, 1))[labels]
-    return train(np.repeat(windows, times, axis=0), np.repeat(labels, times), langs, seed=seed)
+    network = train(np.repeat(windows, times, axis=0), np.repeat(labels, times), langs, seed=seed)
+    network.follows, network.usual = _follows(windows, labels, len(langs))
+    return network
+
+
+def calibrated(docs: DataFrame, network: Network | None, per_lang: int = 500, seed: int = 11) -> Network | None:
+    """``network`` with the least score of learned text, from held-out documents."""
+    return network and replace(network, least=_least(docs, network, per_lang, seed))
+
+
+def _follows(windows: np.ndarray, labels: np.ndarray, languages: int) -> tuple[np.ndarray, float]:
+    """Log probability of each byte after each other (row: the first), each language weighing the same, and its mean."""
+    counts = np.zeros((languages, 1 << 16))
+    for lang in range(languages):
+        own = windows[labels == lang]
+        pairs = own[:, :-1].astype(np.int32) * 256 + own[:, 1:]
+        counts[lang] = np.bincount(pairs[own[:, 1:] > 0], minlength=1 << 16)
+    share = (counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)).mean(axis=0).reshape(256, 256)
+    # A byte that never follows gets what one pair in a million of the text would be.
+    logs = np.log((share + 1e-6 / 256) / (share.sum(axis=1, keepdims=True) + 1e-6))
+    # After a byte that is never seen all is equally unlikely as that byte itself.
+    logs[share.sum(axis=1) == 0] = np.log(1e-6)
+    return logs.astype(np.float32), float((share * logs).sum())
+
+
+def learned_text(texts: pa.Array, network: Network) -> np.ndarray:
+    """How usual each text's pairs of bytes are in the learned languages: their mean log probability, with ``USUAL_BYTES`` usual ones."""
+    windows, counts = windows_of(*bytes_of(texts))
+    total, number = np.zeros(len(windows)), np.zeros(len(windows), np.int64)
+    for i in range(0, len(windows), WINDOWS_AT_ONCE):
+        part = windows[i : i + WINDOWS_AT_ONCE]
+        there = part[:, 1:] > 0
+        logs = network.follows[part[:, :-1], part[:, 1:]]
+        total[i : i + WINDOWS_AT_ONCE] = np.where(there, logs, 0).sum(axis=1)
+        number[i : i + WINDOWS_AT_ONCE] = there.sum(axis=1)
+    ends = np.concatenate(([0], np.cumsum(counts)))
+    sums = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[ends])
+    return (sums(total) + USUAL_BYTES * network.usual) / (sums(number) + USUAL_BYTES)
+
+
+def _least(docs: DataFrame, network: Network, per_lang: int, seed: int) -> float:
+    """The score of ``learned_text`` under which ``REJECTED`` of labelled documents lie, by about ``per_lang`` held-out ones of each language.
+
+    Where none is held out nothing is rejected.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(learned_text(piece.column("text"), network))], names=["score"])
+
+    known = docs.where(held_out(F.col("doc_id")) & F.col("lang").isin(network.langs) & (F.char_length("text") > 0))
+    known = known.where(F.col("text").rlike(r"\p{L}"))
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return -np.inf
+    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_lang / n))))
+    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+    scores = [r.score for r in chosen.select("text").mapInArrow(run, "score double").collect()]
+    return float(np.quantile(scores, REJECTED)) if scores else -np.inf
 
 
 def predict(texts: pa.Array, network: Network | None, tables) -> tuple[np.ndarray, np.ndarray]:
@@ -197,15 +263,31 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def known_language(docs: DataFrame, network: Network | None, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised with a score of ``least`` or more, with all their columns."""
+def known_language(docs: DataFrame, network: Network | None, least: float | None = None) -> DataFrame:
+    """The rows of ``docs`` whose language is recognised, with all their columns.
+
+    A text is recognised if it has letters and its pairs of bytes are as usual in the
+    learned languages as those of all but ``REJECTED`` of the held-out labelled documents,
+    however many languages there are; texts of several learned languages stay. With
+    ``least`` the network's softmax score decides instead.
+    """
+    if least is None and network and network.least == -np.inf:
+        network = calibrated(docs, network)
 
     @F.arrow_udf("boolean")
     def known(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tables = network.tables() if network else None
+        tables = network.tables() if network and least is not None else None
         for texts in arrays:
             parts = pieces(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]))
-            scores = [predict(p.column("text"), network, tables) for p in parts]
-            yield pa.array([bool(s >= least) and lang != UNKNOWN for ls, ss in scores for lang, s in zip(ls, ss)], pa.bool_())
+            yield pa.array([k for p in parts for k in judge(p.column("text"), tables)], pa.bool_())
+
+    def judge(texts: pa.Array, tables) -> list[bool]:
+        if network is None:
+            return [False] * len(texts)
+        if least is not None:
+            langs, scores = predict(texts, network, tables)
+            return [bool(s >= least) and lang != UNKNOWN for lang, s in zip(langs, scores)]
+        usual = learned_text(texts, network) >= network.least
+        return [bool(u) and t is not None and LETTER.search(t) is not None for u, t in zip(usual, texts.to_pylist())]
 
     return docs.where(known(F.col("text")))

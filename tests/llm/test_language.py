@@ -48,3 +48,16 @@ def test_edges(spark):
     assert stay.columns == docs.columns and stay.count() == sum(r.lang_pred != "und" for r in got)
     assert train_network(no_docs(spark)) is None and identify(no_docs(spark), None).collect() == []
     assert {r.lang_pred for r in identify(docs, None).collect()} == {"und"}
+
+
+def test_unlearned_scripts_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    strange = ["Съешь же ещё этих мягких французских булок да выпей чаю " * 9, "色は匂へど散りぬるを我が世誰ぞ常ならむ" * 9, "Привет, мир", "ξεσκεπάζω τὴν ψυχοφθόρα βδελυγμία " * 5]
+    random = np.random.default_rng(5)
+    strange += ["".join(random.choice(list("bcdfghjklmnpqrstvwxzQZX"), 400)), "".join(random.choice(list("xq zkjvw"), 300))]
+    mixed = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(strange)], docs.schema)
+    for langs in (["de", "en", "fr", "es"], ["en", "fr"], ["en"]):
+        own = docs.where(F.col("lang").isin(langs))
+        network = train_network(own)
+        assert known_language(own.union(mixed), network).where("doc_id < 0").count() == 0
+        assert known_language(own, network).count() >= 0.99 * own.count()
