@@ -1,9 +1,9 @@
 """A small pass-rate predictor: one hidden layer over embeddings.
 
-``sigmoid(w2 . GELU(w1 x + b1) + b2)``.  Training is data-parallel: every epoch
-is one Spark job in which each partition runs mini-batch AdamW from the shared
-weights, and the results are averaged by row count.  With a single partition that
-is plain mini-batch training.
+``sigmoid(w2 . GELU(w1 x + b1) + b2)``.  Training is plain mini-batch AdamW, whatever
+the number of rows: every epoch puts them in a new seeded order, cut into parts; the
+parts are trained on one after the other, each from the weights, moments and left-over
+rows of the one before.  How many parts there are does not change the batches or the steps.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,113 +108,79 @@ class _State:
     v: np.ndarray
     steps: float
 
-    def pack(self) -> np.ndarray:
-        return np.concatenate([self.model.flat, self.m, self.v, [self.steps]])
 
-    def unpack(self, packed: np.ndarray) -> _State:
-        n = len(self.model.flat)
-        flat, m, v, steps = np.split(packed, [n, 2 * n, 3 * n])
-        return _State(Mlp(self.model.input_dim, self.model.hidden_dim, flat), m, v, float(steps[0]))
+_Rows = tuple[np.ndarray, np.ndarray]
 
 
-def _run_partition(
-    state: _State, x: np.ndarray, y: np.ndarray, epoch: int, options: TrainOptions, part: int
-) -> tuple[_State, float]:
-    """One pass over a partition's rows; returns the new state and the squared error sum."""
-    rng = np.random.default_rng([options.seed, epoch, part])
-    order = rng.permutation(len(y))
-    rate, squared = options.rate(epoch), 0.0
+def _run_part(
+    state: _State, waiting: _Rows, rows: _Rows, epoch: int, batch: int, last: bool, options: TrainOptions
+) -> tuple[_State, _Rows, int, float]:
+    """Train on the ``waiting`` rows of earlier parts and this part's ``rows``, from the epoch's ``batch`` on.
+
+    Returns the state, the rows that do not fill a batch (none if this is the ``last``
+    part), the next batch's number and the sum of squared errors.
+    """
+    x, y = (np.concatenate(pair) for pair in zip(waiting, rows))
+    rate, squared, size = options.rate(epoch), 0.0, options.batch_size
     m, v, steps = state.m.copy(), state.v.copy(), state.steps
     model = Mlp(state.model.input_dim, state.model.hidden_dim, state.model.flat.copy())
-    for at in range(0, len(y), options.batch_size):
-        rows = order[at : at + options.batch_size]
-        keep = (rng.random((len(rows), model.hidden_dim)) >= options.dropout) / (1.0 - options.dropout)
-        gradient, out = model.gradient(x[rows], y[rows], keep)
-        squared += float(((out - y[rows]) ** 2).sum())
+    end = len(y) if last else len(y) - len(y) % size
+    for at in range(0, end, size):
+        xs, ys = x[at : min(at + size, end)], y[at : min(at + size, end)]
+        rng = np.random.default_rng([options.seed, epoch, batch])
+        keep = (rng.random((len(ys), model.hidden_dim)) >= options.dropout) / (1.0 - options.dropout)
+        gradient, out = model.gradient(xs, ys, keep)
+        squared += float(((out - ys) ** 2).sum())
         steps += 1
+        batch += 1
         m = 0.9 * m + 0.1 * gradient
         v = 0.999 * v + 0.001 * gradient**2
         step = (m / (1.0 - 0.9**steps)) / (np.sqrt(v / (1.0 - 0.999**steps)) + 1e-8)
         model.flat[:] = model.flat * (1.0 - rate * options.weight_decay) - rate * step
-    return _State(model, m, v, steps), squared
-
-
-# state is a row-weighted sum; the others are plain sums.
-_PARTIAL = pa.schema(
-    [
-        ("state", pa.list_(pa.float64())),
-        ("rows", pa.int64()),
-        ("squared", pa.float64()),
-        ("val_rows", pa.int64()),
-        ("val_squared", pa.float64()),
-        ("val_absolute", pa.float64()),
-    ]
-)
-_PARTIAL_DDL = (
-    "state ARRAY<DOUBLE>, rows BIGINT, squared DOUBLE, "
-    "val_rows BIGINT, val_squared DOUBLE, val_absolute DOUBLE"
-)
+    return _State(model, m, v, steps), (x[end:], y[end:]), batch, squared
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum partial rows one at a time; memory holds two of them."""
-    total, sums = None, np.zeros(5)
+def _packed(batches: Iterable[pa.RecordBatch], dim: int) -> Iterator[pa.RecordBatch]:
+    """A part's vectors and targets, in order, as one row."""
+    xs, ys = [], []
     for batch in batches:
-        for row in range(batch.num_rows):
-            state = batch.column(0).slice(row, 1).flatten().to_numpy(zero_copy_only=False)
-            total = state.copy() if total is None else total + state
-            sums += [batch.column(i)[row].as_py() for i in range(1, 6)]
-    if total is not None:
-        rows, squared, val_rows, val_squared, val_absolute = sums.tolist()
-        values = [[total], [int(rows)], [squared], [int(val_rows)], [val_squared], [val_absolute]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(v, f.type) for v, f in zip(values, _PARTIAL)], schema=_PARTIAL
-        )
+        xs.append(_matrix(batch.column("embedding"), dim))
+        ys.append(batch.column("target").to_numpy(zero_copy_only=False).astype(np.float64))
+    if sum(map(len, ys)):
+        x, y = np.concatenate(xs).tobytes(), np.concatenate(ys).tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()), pa.array([y], pa.binary())], names=["x", "y"])
 
 
 def _epoch(
-    df: DataFrame, tasks: int, state: _State, epoch: int, options: TrainOptions
-) -> tuple[_State, np.ndarray]:
-    shared = df.sparkSession.sparkContext.broadcast(state)  # a few copies of the weights
-
-    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = shared.value
-        xs, ys, sums = [], [], np.zeros(3)
-        for batch in batches:
-            x = _matrix(batch.column("embedding"), start.model.input_dim)
-            y = batch.column("target").to_numpy(zero_copy_only=False)
-            train = batch.column("is_train").to_numpy(zero_copy_only=False).astype(bool)
-            gap = start.model.predict(x[~train]) - y[~train]
-            sums += [len(gap), (gap**2).sum(), np.abs(gap).sum()]
-            xs.append(x[train])
-            ys.append(y[train])
-        rows = sum(map(len, ys))
-        if not rows and not sums[0]:
-            return
-        part = TaskContext.get().partitionId()
-        end, squared = start, 0.0
-        if rows:
-            end, squared = _run_partition(start, np.concatenate(xs), np.concatenate(ys), epoch, options, part)
-        values = [[end.pack() * rows], [rows], [squared], [int(sums[0])], [sums[1]], [sums[2]]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(v, f.type) for v, f in zip(values, _PARTIAL)], schema=_PARTIAL
-        )
-
-    partials = df.mapInArrow(work, _PARTIAL_DDL)
-    while tasks > 16:
-        # Add up in ever fewer places, so the driver sees few vectors.
-        tasks = math.isqrt(tasks)
-        partials = partials.repartition(tasks).mapInArrow(_add_up, _PARTIAL_DDL)
-    rows = partials.collect()
-    shared.unpersist()
-    counts = np.sum([[r.rows, r.squared, r.val_rows, r.val_squared, r.val_absolute] for r in rows], axis=0)
-    if not counts[0]:
-        return state, counts
-    return state.unpack(np.sum([np.asarray(r.state) for r in rows], axis=0) / counts[0]), counts
+    train: DataFrame, key: Sequence[str], parts: int, state: _State, epoch: int, options: TrainOptions
+) -> tuple[_State, float]:
+    """The state after one pass over ``train`` in the epoch's order, and the sum of squared errors."""
+    dim = state.model.input_dim
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(options.seed), F.lit(epoch), *key, "embedding", "target"), 1)
+    # Parts are equal ranges of the place.
+    part = F.floor(F.shiftright(F.col("place"), 31) * F.lit(parts) / F.lit(1 << 32)).cast("int")
+    dealt = train.withColumn("place", place).repartitionById(parts, part).sortWithinPartitions("place")
+    packed = dealt.select("embedding", "target").mapInArrow(lambda b: _packed(b, dim), "x BINARY, y BINARY").persist()
+    rows, context = packed.rdd, train.sparkSession.sparkContext
+    waiting, batch, total = (np.zeros((0, dim)), np.zeros(0)), 0, 0.0
+    try:
+        packed.count()  # all parts are dealt out at once
+        for at in range(parts):
+
+            def work(found, state=state, waiting=waiting, batch=batch, last=at == parts - 1):
+                own = [(np.frombuffer(r.x).reshape(-1, dim), np.frombuffer(r.y)) for r in found]
+                mine = own[0] if own else (np.zeros((0, dim)), np.zeros(0))
+                yield _run_part(state, waiting, mine, epoch, batch, last, options)
+
+            [(state, waiting, batch, squared)] = context.runJob(rows, work, [at])
+            total += squared
+    finally:
+        packed.unpersist()
+    return state, total
 
 
 @dataclass(frozen=True)
@@ -238,10 +203,12 @@ def mlp_train(
 ) -> Trained:
     """Fit the predictor to ``embedding`` and ``target``.
 
-    An epoch's validation loss belongs to the weights that epoch ends with; the
-    next epoch's job measures it on the way.  With ``output_dir`` the weights of
-    every epoch are kept there.  The final weights are the best ones; a loss is null
-    where no row took part.
+    Every epoch takes one AdamW step for each ``batch_size`` rows in a new seeded order.
+    ``rows_per_task`` says how many rows a task holds at once, on average; it does not change
+    the batches.  Steps follow each other, so more machines do not shorten them; rows are
+    dealt out and validated in parallel.  An epoch's validation loss belongs to the weights that epoch ends
+    with.  With ``output_dir`` the weights of every epoch are kept there.  The final
+    weights are the best ones; a loss is null where no row took part.
     """
     spark = df.sparkSession
     marked = train_val_split(df, key, options.seed, options.train_fraction)
@@ -251,55 +218,36 @@ def mlp_train(
         raise ValueError("the training set is empty")
     if vectors < rows or least != dim:
         raise ValueError(f"all vectors must have one size, got {least} to {dim} and {rows - vectors} missing ones")
-    tasks = max(1, math.ceil(rows / options.rows_per_task))
-    # Split by key and sorted, every run and every retry sees the same partitions.
-    data = (
-        marked.repartition(tasks, *key)
-        .sortWithinPartitions(*key)
-        .select("embedding", F.col("target").cast("double").alias("target"), "is_train")
-        .persist()
-    )
+    data = marked.select(*key, "embedding", F.col("target").cast("double").alias("target"), "is_train").persist()
+    train, held = data.where("is_train").drop("is_train"), data.where(~F.col("is_train"))
     model = Mlp.init(dim, options.hidden_dim, options.seed)
     state = _State(model, np.zeros_like(model.flat), np.zeros_like(model.flat), 0.0)
-    history: list[list] = []
+    history: list[tuple] = []
     best, best_loss, waited = model, math.inf, 0
-
-    def judge(counts: np.ndarray, weights: Mlp) -> None:
-        """Enter the validation figures of the epoch that produced ``weights``."""
-        nonlocal best, best_loss, waited
-        if not counts[2]:
-            best = weights
-            return
-        loss = float(counts[3] / counts[2])
-        history[-1][2:4] = [loss, float(counts[4] / counts[2])]
-        if loss < best_loss:
-            best, best_loss, waited = weights, loss, 0
-        else:
-            waited += 1
-
     try:
+        train_rows = train.count()
+        parts = max(1, math.ceil(train_rows / options.rows_per_task))
         for epoch in range(options.num_epochs):
-            start = state.model
-            state, counts = _epoch(data, tasks, state, epoch, options)
-            if history:
-                judge(counts, start)
-                if waited >= options.patience:
-                    state = state.unpack(np.concatenate([start.flat, state.m, state.v, [state.steps]]))
-                    break
-            loss = float(counts[1] / counts[0]) if counts[0] else None
-            history.append([epoch, loss, None, None, options.rate(epoch)])
+            loss = None
+            if train_rows:
+                state, squared = _epoch(train, key, parts, state, epoch, options)
+                loss = squared / train_rows
             if output_dir:
                 save_mlp(spark, state.model, f"{output_dir}/model-epoch-{epoch}")
-        if history and history[-1][2] is None:
-            losses = mlp_evaluate(mlp_score(data.where(~F.col("is_train")), state.model)).first()
-            seen = losses.loss is not None
-            judge(np.array([0, 0, seen, losses.loss or 0.0, losses.mae or 0.0]), state.model)
+            found = mlp_evaluate(mlp_score(held, state.model)).first()
+            history.append((epoch, loss, found.loss, found.mae, options.rate(epoch)))
+            if found.loss is None or found.loss < best_loss:
+                best, best_loss, waited = state.model, found.loss if found.loss is not None else math.inf, 0
+            else:
+                waited += 1
+                if waited >= options.patience:
+                    break
     finally:
         data.unpersist()
     if output_dir:
         save_mlp(spark, best, f"{output_dir}/best_model")
         save_mlp(spark, best, f"{output_dir}/final_model")
-    return Trained(best, best, spark.createDataFrame([tuple(h) for h in history], HISTORY))
+    return Trained(best, best, spark.createDataFrame(history, HISTORY))
 
 
 def mlp_score(df: DataFrame, model: Mlp, column: str = "embedding", batch_size: int = 1024) -> DataFrame:

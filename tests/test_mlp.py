@@ -85,6 +85,14 @@ def test_same_seed_gives_the_same_weights(spark):
     assert np.allclose(a.final.flat, b.final.flat)
 
 
+def test_weights_do_not_depend_on_the_number_of_parts(spark):
+    df, _, _ = vectors(spark, 300)
+    runs = [mlp.mlp_train(df, ["id"], mlp.TrainOptions(hidden_dim=8, num_epochs=2, rows_per_task=n)) for n in (4096, 70, 11)]
+    for run in runs[1:]:
+        assert np.allclose(run.final.flat, runs[0].final.flat, rtol=1e-9, atol=1e-12)
+        assert np.allclose([h.train_loss for h in run.history.collect()], [h.train_loss for h in runs[0].history.collect()])
+
+
 def test_many_partial_results_are_added_up_first(spark):
     df, _, _ = vectors(spark, 400)
     options = mlp.TrainOptions(hidden_dim=8, num_epochs=2, rows_per_task=10)
