@@ -15,6 +15,7 @@ from sampleflow.llm.exact import exact_groups
 from sampleflow.llm.language import held_out, identify, train_network
 from sampleflow.llm.mixing import mix_sources
 from sampleflow.llm.ngram_join import ngram_links
+from sampleflow.llm.phrases import collocations
 from sampleflow.llm.quality import judge_quality, train_quality
 from sampleflow.llm.sharding import balanced_shards
 from sampleflow.llm.substrings import remove_repeats
@@ -233,6 +234,46 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), all_hashes=True)
 
 
+@register(
+    """
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents
+    ),
+    spoken AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+    said AS (SELECT lang, sum(len(w))::BIGINT AS n FROM spoken GROUP BY lang),
+    grams AS (
+        SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS g
+        FROM spoken, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size
+    ),
+    f AS (SELECT lang, size, g, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 10),
+    cuts AS (
+        SELECT lang, size, g, a, k, array_to_string(string_split(g, ' ')[1:k], ' ') AS one, array_to_string(string_split(g, ' ')[k + 1:], ' ') AS two
+        FROM f, (SELECT unnest([1, 2]) AS k) WHERE k < size
+    ),
+    scored AS (
+        SELECT c.lang, c.size, c.g, c.a, x.a AS l, y.a AS r,
+            ((1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a))::BIGINT AS score, k
+        FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.one JOIN f y ON y.lang = c.lang AND y.g = c.two
+    ),
+    least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    longer AS (
+        SELECT lang, part, max(a) AS most
+        FROM (SELECT lang, a, unnest([array_to_string(string_split(g, ' ')[1:2], ' '), array_to_string(string_split(g, ' ')[2:3], ' ')]) AS part
+            FROM f WHERE size = 3)
+        GROUP BY ALL
+    )
+    SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score
+    FROM least s JOIN said USING (lang) LEFT JOIN longer o ON o.lang = s.lang AND o.part = s.g
+    WHERE most IS NULL OR 100 * most < 50 * a
+    QUALIFY row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, g) <= 2000
+    """
+)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=10, longest=3, top=2000, inside=50)
+
+
 @register()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

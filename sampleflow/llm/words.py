@@ -122,15 +122,15 @@ def give_back() -> None:
         trim(0)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut at rows, into pieces of about ``PIECE_BYTES`` of text."""
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut at rows, into pieces of about ``size`` bytes of text."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, offsets = bytes_of(batch.column(column))
         start = 0
         while start < batch.num_rows:
-            end = int(np.searchsorted(offsets, offsets[start] + PIECE_BYTES, "right")) - 1
+            end = int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1
             end = min(max(end, start + 1), start + MAX_PIECE_ROWS, batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
