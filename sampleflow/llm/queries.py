@@ -16,6 +16,7 @@ from sampleflow.llm.language import held_out, identify, train_network
 from sampleflow.llm.mixing import mix_sources
 from sampleflow.llm.ngram_join import ngram_links
 from sampleflow.llm.phrases import collocations
+from sampleflow.llm.prefix_trie import prefix_trie
 from sampleflow.llm.quality import judge_quality, train_quality
 from sampleflow.llm.sharding import balanced_shards
 from sampleflow.llm.substrings import remove_repeats
@@ -234,6 +235,55 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), all_hashes=True)
 
 
+@register(
+    """
+    WITH said AS (
+        SELECT conv_id AS c, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS own
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+    ),
+    -- CRC-32 of the decimal number, bit by bit.
+    borrowed AS (
+        SELECT *, (xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+            lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                lambda s, i: CASE WHEN s % 2 = 1 THEN xor(s // 2, 3988292384::BIGINT) ELSE s // 2 END)), 4294967295::BIGINT) % 9)::INTEGER AS h
+        FROM said
+    ),
+    built AS (
+        SELECT b.c, list_concat(coalesce(o.own, [])[1:b.h], b.own[b.h + 1:]) AS turns
+        FROM borrowed b LEFT JOIN said o ON o.c = b.c - b.c % 5
+    ),
+    prefixes AS (SELECT c, turns, d, turns[1:d] AS prefix FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM built)),
+    nodes AS (
+        SELECT prefix, d AS depth, min(c) AS conv_id, count(*) AS n_convs,
+            sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = len(turns)), '')) AS ends_sha256
+        FROM prefixes GROUP BY prefix, d
+    ),
+    -- A node is named by its smallest member and its depth; its ancestors are those of that member.
+    kids AS (
+        SELECT p.conv_id, p.depth, count(*) AS n_children
+        FROM nodes n JOIN prefixes m ON m.c = n.conv_id AND m.d = n.depth - 1 JOIN nodes p ON p.depth = m.d AND p.prefix = m.prefix
+        GROUP BY ALL
+    ),
+    own AS (
+        SELECT n.*, coalesce(k.n_children, 0) AS n_children,
+            CASE WHEN n.depth > 0 THEN (n.n_convs - 1) * strlen(n.prefix[n.depth].text) ELSE 0 END AS saved
+        FROM nodes n LEFT JOIN kids k USING (conv_id, depth)
+    ),
+    subtrees AS (
+        SELECT a.conv_id, a.depth, count(*) FILTER (n.n_children = 0) AS n_leaves, sum(n.saved)::BIGINT AS saved_tokens
+        FROM own n JOIN prefixes m ON m.c = n.conv_id AND m.d <= n.depth JOIN nodes a ON a.depth = m.d AND a.prefix = m.prefix
+        GROUP BY ALL
+    )
+    SELECT o.conv_id, o.depth, up.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves, s.saved_tokens, o.ends_sha256
+    FROM own o JOIN subtrees s USING (conv_id, depth)
+    LEFT JOIN prefixes m ON m.c = o.conv_id AND m.d = o.depth - 1 LEFT JOIN nodes up ON up.depth = m.d AND up.prefix = m.prefix
+    """
+)
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @register(
     """
     WITH pieces AS (
