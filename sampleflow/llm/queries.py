@@ -15,6 +15,7 @@ from sampleflow.llm.exact import exact_groups
 from sampleflow.llm.language import held_out, identify, train_network
 from sampleflow.llm.mixing import mix_sources
 from sampleflow.llm.ngram_join import ngram_links
+from sampleflow.llm.page_text import main_text
 from sampleflow.llm.phrases import collocations
 from sampleflow.llm.prefix_trie import prefix_trie
 from sampleflow.llm.quality import judge_quality, train_quality
@@ -235,6 +236,28 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), all_hashes=True)
 
 
+# For pages whose text stands in one article, as on all given tables; the tests have others.
+@register(
+    """
+    WITH bodies AS (
+        SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '</?(?:p|h1)>') AS parts
+        FROM pages
+    ),
+    blocks AS (
+        SELECT page_id, url, list_filter(list_transform(parts, lambda b: trim(regexp_replace(
+            replace(replace(replace(replace(regexp_replace(b, '<[^>]*>', ' ', 'g'),
+                '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'),
+            '[\\s\\x0B\\x1C-\\x1F\\x{85}\\x{A0}]+', ' ', 'g'))), lambda b: b <> '') AS lines
+        FROM bodies
+    )
+    SELECT page_id, url, array_to_string(lines, chr(10) || chr(10)) AS text, length(array_to_string(lines, chr(10) || chr(10))) AS n_chars
+    FROM blocks
+    """
+)
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 @register(
     """
     WITH said AS (

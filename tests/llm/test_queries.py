@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each():
-    assert {int(m[1]) for q in queries.QUERIES if (m := re.match(r"op(\d+)_", q))} == set(range(1, 11))
+    assert {int(m[1]) for q in queries.QUERIES if (m := re.match(r"op(\d+)_", q))} == set(range(1, 14))
     assert set(queries.QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
 
 
