@@ -188,7 +188,7 @@ def _frequent(least: int, slice_bits: int):
         flags = np.zeros(slice_bits, bool)
         for place in filter_places(keys, slice_bits):
             flags[place] = True
-        return np.packbits(flags).tobytes()
+        return pa.compress(np.packbits(flags).tobytes(), "zstd", asbytes=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, summary = None, None
@@ -220,7 +220,10 @@ def filter_places(keys: np.ndarray, slice_bits: int) -> tuple[np.ndarray, np.nda
 
 def _exact(sizes: tuple[int, ...], bits: int, slice_bits: int, filter_):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.frombuffer(filter_.value, np.uint8)
+        flags = np.zeros((slice_bits << bits) // 8, np.uint8)
+        for part, piece in filter_.value:
+            held = pa.decompress(piece, slice_bits // 8, "zstd", asbytes=True)
+            flags[part * slice_bits // 8 : (part + 1) * slice_bits // 8] = np.frombuffer(held, np.uint8)
 
         def has(part: np.ndarray, place: np.ndarray) -> np.ndarray:
             bit = part * U(slice_bits) + place
@@ -280,11 +283,8 @@ def phrase_counts(docs: DataFrame, least: int, longest: int) -> DataFrame:
         .sortWithinPartitions("part")
         .mapInArrow(_frequent(least, slice_bits), "part long, bits binary")
     )
-    # Of a fixed size, whatever the input: FILTER_BITS, or a byte for each hash partition.
-    flags = bytearray((slice_bits << bits) // 8)
-    for part, piece in kept(merged, "frequent").toLocalIterator():
-        flags[part * slice_bits // 8 : (part + 1) * slice_bits // 8] = piece
-    filter_ = spark.sparkContext.broadcast(bytes(flags))
+    # At most of a fixed size, whatever the input: FILTER_BITS, or a byte for each hash partition.
+    filter_ = spark.sparkContext.broadcast([(part, bytes(piece)) for part, piece in kept(merged, "frequent").collect()])
     found = rows.mapInArrow(_exact(sizes, bits, slice_bits, filter_), "lang string, phrase string, size int, n long")
     found = found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     return kept(found.where((F.col("size") == 0) | (F.col("n") >= least)), "counts")
