@@ -70,7 +70,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH sized AS (
         SELECT doc_id, source,
             coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-            md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS k
+            md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS k
         FROM documents
     ),
     sources AS (
@@ -86,7 +86,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM sources WINDOW f AS (ORDER BY (3 * source_size)::DOUBLE / w, source)
     ),
     level AS (
-        SELECT arg_min(remain, cap::DOUBLE / w) AS remain, arg_min(weights, cap::DOUBLE / w) AS weights
+        SELECT first(remain ORDER BY cap::DOUBLE / w, source) AS remain, first(weights ORDER BY cap::DOUBLE / w, source) AS weights
         FROM shares WHERE remain * w < cap * weights
     ),
     targets AS (
@@ -101,8 +101,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered AS (
         SELECT d.doc_id, d.size, p.source_size, p.target, p.whole,
             p.target - (p.whole * p.source_size)::DOUBLE AS rest,
-            sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k) AS upto,
-            sum(d.size) OVER (PARTITION BY d.source, substr(d.k, 1, 3)) AS cell
+            sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k ROWS UNBOUNDED PRECEDING) AS upto
         FROM sized d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
     )
     SELECT doc_id, size, source_size, target,
