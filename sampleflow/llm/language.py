@@ -23,8 +23,10 @@ LETTER = regex.compile(r"\p{L}")
 WINDOWS_AT_ONCE = 512
 #: Share of labelled documents, none of them fitted, that may count as text of no learned language.
 REJECTED = 0.001
-#: A text's mean counts so many bytes of usual text besides its own, so that short texts go only if they are far off.
-USUAL_BYTES = 16
+#: Languages that are learned at most, the most frequent ones, and labelled documents that reach the driver.
+MOST_LANGS, MOST_ROWS = 1000, 20_000
+#: Code points from which made-up text of other scripts is drawn, in runs of 64.
+SCRIPTS = ((0x370, 0x2000), (0x3040, 0xD7A0))
 
 
 @dataclass
@@ -37,10 +39,9 @@ class Network:
     biases: dict[int, np.ndarray]
     last: np.ndarray
     last_bias: np.ndarray
-    #: Log probability of each byte after each other, over all languages alike; its mean over fitted text; the least mean that is learned text.
-    follows: np.ndarray | None = None
-    usual: float = 0.0
-    least: float = -np.inf
+    #: Whether a class besides the languages, the last one, stands for text of none of them; from which margin on it decides.
+    other: bool = False
+    least: float | None = None
 
     def tables(self) -> dict[int, tuple[np.ndarray, np.ndarray | None]]:
         """For each width what its filters give for the first two bytes, and for the bytes after them."""
@@ -71,8 +72,10 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], steps: int = 300, batch: int = 96, seed: int = 11) -> Network:
-    """Adam on cross entropy; max pooling sends each filter's gradient to the one place that won."""
+def train(
+    windows: np.ndarray, labels: np.ndarray, langs: list[str], odds: np.ndarray | None = None, steps: int = 300, batch: int = 96, seed: int = 11
+) -> Network:
+    """Adam on cross entropy, windows drawn by ``odds``; max pooling sends each filter's gradient to the one place that won."""
     random = np.random.default_rng(seed)
     size = FILTERS * len(WIDTHS)
     p = {"embed": random.normal(0, 0.5, (256, EMBED)), "last": random.normal(0, 0.2, (size, len(langs))), "last_bias": np.zeros(len(langs))}
@@ -82,7 +85,7 @@ def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], steps: int
     p = {k: v.astype(np.float32) for k, v in p.items()}
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     for step in range(1, steps + 1):
-        rows = random.integers(0, len(windows), batch)
+        rows = random.choice(len(windows), batch, p=odds)
         x, y = windows[rows], labels[rows]
         line, filters = np.arange(batch)[:, None], np.arange(FILTERS)
         embedded, kept, pooled = p["embed"][x], {}, []
@@ -131,98 +134,108 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def train_network(docs: DataFrame, per_lang: int = 500, max_langs: int = 200, seed: int = 11) -> Network | None:
+def _sampled(known: DataFrame, per_lang: int, seed: int) -> tuple[list[str], DataFrame]:
+    """The languages of ``known``, and about ``per_lang`` rows of each, at most ``MOST_ROWS``; equal rows are one."""
+    spark = known.sparkSession
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()
+    per_lang = min(per_lang, max(1, MOST_ROWS // max(1, len(counts))))
+    shares = spark.createDataFrame([(r.lang, min(1.0, per_lang / r.n)) for r in counts], "of string, share double")
+    pick = F.xxhash64("doc_id", "text", F.lit(seed))
+    chosen = known.join(F.broadcast(shares), F.col("lang") == F.col("of"))
+    chosen = chosen.where(F.pmod(pick, F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    return sorted(r.lang for r in counts), chosen.select("doc_id", "lang", "text", pick.alias("pick"))
+
+
+def train_network(docs: DataFrame, per_lang: int = 500, other: bool = False, seed: int = 11) -> Network | None:
     """A network fitted on at most about ``per_lang`` documents of each language, none of them held out.
 
-    The documents are chosen by a hash of their ids, and four windows of each at places
-    chosen by that hash; this is all that reaches the driver. None without labelled texts.
+    The documents are chosen by a hash of their ids and texts, and four windows of each at
+    places chosen by that hash; this is all that reaches the driver, at most about
+    ``MOST_ROWS`` documents, so of many languages fewer each. Beyond ``MOST_LANGS``
+    languages the rarest are not learned: their texts get the nearest learned one. With ``other``
+    a class of its own is learned from made-up windows (``other_windows``). None without labelled texts.
     """
     known = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.char_length("text") > 0))
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(max_langs + 1).collect()}
-    if len(counts) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
-    if not counts:
+    langs, chosen = _sampled(known, per_lang, seed)
+    if not langs:
         return None
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_lang / n))))
-    pick = F.xxhash64("doc_id", F.lit(seed))
-    chosen = known.where(F.pmod(pick, F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
     part = F.array(
-        *(F.substr("text", (F.pmod(F.xxhash64("doc_id", F.lit(seed + i)), F.char_length("text")) + 1).cast("int"), F.lit(WINDOW)) for i in range(4))
+        *(F.substr("text", (F.pmod(F.xxhash64("pick", F.lit(seed + i)), F.char_length("text")) + 1).cast("int"), F.lit(WINDOW)) for i in range(4))
     )
-    rows = chosen.select("lang", part.alias("parts"), pick.alias("pick")).orderBy("lang", "pick", "parts").collect()
+    rows = chosen.select("lang", part.alias("parts"), "pick").distinct().orderBy("lang", "pick", "parts").collect()
     if not rows:
         return None
-    langs = sorted(counts)
-    texts = [p for r in rows for p in r.parts]
-    data, offsets = bytes_of(pa.array(texts))
+    data, offsets = bytes_of(pa.array([p for r in rows for p in r.parts]))
     starts = offsets[:-1]
     kept = np.minimum(np.diff(offsets), WINDOW)
-    windows = np.zeros((len(texts), WINDOW), np.uint8)
+    windows = np.zeros((len(starts), WINDOW), np.uint8)
     inside = np.arange(WINDOW) < kept[:, None]
     windows[inside] = LOWER[data[np.arange(int(kept.sum())) + np.repeat(starts - (np.cumsum(kept) - kept), kept)]]
-    labels = np.repeat([langs.index(r.lang) for r in rows], 4)
-    # The smaller languages' windows come as often as the larger ones'.
-    number = np.bincount(labels, minlength=len(langs))
-    times = np.maximum(1, number.max() // np.maximum(number, 1))[labels]
-    network = train(np.repeat(windows, times, axis=0), np.repeat(labels, times), langs, seed=seed)
-    network.follows, network.usual = _follows(windows, labels, len(langs))
-    return network
-
-
-def calibrated(docs: DataFrame, network: Network | None, per_lang: int = 500, seed: int = 11) -> Network | None:
-    """``network`` with the least score of learned text, from held-out documents."""
-    return network and replace(network, least=_least(docs, network, per_lang, seed))
-
-
-def _follows(windows: np.ndarray, labels: np.ndarray, languages: int) -> tuple[np.ndarray, float]:
-    """Log probability of each byte after each other (row: the first), each language weighing the same, and its mean."""
-    counts = np.zeros((languages, 1 << 16))
-    for lang in range(languages):
-        own = windows[labels == lang]
-        pairs = own[:, :-1].astype(np.int32) * 256 + own[:, 1:]
-        counts[lang] = np.bincount(pairs[own[:, 1:] > 0], minlength=1 << 16)
-    share = (counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)).mean(axis=0).reshape(256, 256)
-    # A byte that never follows gets what one pair in a million of the text would be.
-    logs = np.log((share + 1e-6 / 256) / (share.sum(axis=1, keepdims=True) + 1e-6))
-    # After a byte that is never seen all is equally unlikely as that byte itself.
-    logs[share.sum(axis=1) == 0] = np.log(1e-6)
-    return logs.astype(np.float32), float((share * logs).sum())
-
-
-def learned_text(texts: pa.Array, network: Network) -> np.ndarray:
-    """How usual each text's pairs of bytes are in the learned languages: their mean log probability, with ``USUAL_BYTES`` usual ones."""
-    windows, counts = windows_of(*bytes_of(texts))
-    total, number = np.zeros(len(windows)), np.zeros(len(windows), np.int64)
-    for i in range(0, len(windows), WINDOWS_AT_ONCE):
-        part = windows[i : i + WINDOWS_AT_ONCE]
-        there = part[:, 1:] > 0
-        logs = network.follows[part[:, :-1], part[:, 1:]]
-        total[i : i + WINDOWS_AT_ONCE] = np.where(there, logs, 0).sum(axis=1)
-        number[i : i + WINDOWS_AT_ONCE] = there.sum(axis=1)
-    ends = np.concatenate(([0], np.cumsum(counts)))
-    sums = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[ends])
-    return (sums(total) + USUAL_BYTES * network.usual) / (sums(number) + USUAL_BYTES)
-
-
-def _least(docs: DataFrame, network: Network, per_lang: int, seed: int) -> float:
-    """The score of ``learned_text`` under which ``REJECTED`` of labelled documents lie, by about ``per_lang`` held-out ones of each language.
-
-    Where none is held out nothing is rejected.
+    place = {lang: i for i, lang in enumerate(langs)}
+    labels = np.repeat([place[r.lang] for r in rows], 4)
+    classes = langs
+    if other:
+        made_up = other_windows(windows, seed)
+        windows = np.concatenate((windows, made_up))
+        labels = np.concatenate((labels, np.full(len(made_up), len(langs))))
+        classes = [*langs, UNKNOWN]
+    # The smaller classes' windows come as often as the larger ones'.
+    odds = (1 / np.bincount(labels, minlength=len(classes)).clip(1))[labels]
+    steps = 300 * min(5, -(-len(classes) // 8))
+    return replace(train(windows, labels, classes, odds / odds.sum(), steps, seed=seed), other=other)
+
+
+def other_windows(windows: np.ndarray, seed: int) -> np.ndarray:
+    """Windows of no language: bytes of learned windows in another order, letters at random, and letters of other scripts."""
+    random = np.random.default_rng(seed)
+    shuffled = random.permuted(windows[random.permutation(len(windows))[: max(64, len(windows) // 4)]], axis=1)
+    out = [shuffled]
+    for _ in range(max(64, len(windows) // 8)):
+        letters = random.choice(np.arange(97, 123), random.integers(3, 27), replace=False).astype(np.uint8)
+        row = random.choice(letters, WINDOW)
+        row[random.random(WINDOW) < random.choice((0, 0.1, 0.2))] = 0x20
+        low, high = SCRIPTS[int(random.integers(0, len(SCRIPTS)))]
+        start = int(random.integers(low, high - 64))
+        script = random.integers(start, start + 64, WINDOW)
+        script[random.random(WINDOW) < random.choice((0, 0.15))] = 0x20
+        foreign = np.frombuffer("".join(map(chr, script)).encode()[:WINDOW], np.uint8)
+        both = np.stack((row, np.pad(foreign, (0, WINDOW - len(foreign)))))
+        both[:, random.choice((12, 40, 100, WINDOW, WINDOW)) :] = 0
+        out.append(both)
+    return np.concatenate(out)
+
+
+def calibrated(docs: DataFrame, network: Network | None, per_lang: int = 2000, seed: int = 11) -> Network | None:
+    """``network`` with the margin that all but ``REJECTED`` of about ``per_lang`` held-out documents of each language stay below.
+
+    The margin is the logit of the other class above that of the likeliest language; it
+    is at least 0, so a text that reads more like a language never goes.
     """
+    if network is None:
+        return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = network.tables()
         for piece in pieces(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(learned_text(piece.column("text"), network))], names=["score"])
+            yield pa.RecordBatch.from_arrays([pa.array(margins(piece.column("text"), network, tables))], names=["margin"])
 
-    known = docs.where(held_out(F.col("doc_id")) & F.col("lang").isin(network.langs) & (F.char_length("text") > 0))
-    known = known.where(F.col("text").rlike(r"\p{L}"))
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return -np.inf
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, per_lang / n))))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
-    scores = [r.score for r in chosen.select("text").mapInArrow(run, "score double").collect()]
-    return float(np.quantile(scores, REJECTED)) if scores else -np.inf
+    known = docs.where(held_out(F.col("doc_id")) & F.col("lang").isin(network.langs) & F.col("text").rlike(r"\p{L}"))
+    _, chosen = _sampled(known, per_lang, seed)
+    found = [r.margin for r in chosen.select("text").distinct().mapInArrow(run, "margin double").collect()]
+    return replace(network, least=max(0.0, float(np.quantile(found, 1 - REJECTED))) if found else np.inf)
+
+
+def margins(texts: pa.Array, network: Network, tables) -> np.ndarray:
+    """By how much each text's mean logit of the other class is above that of its likeliest language."""
+    windows, counts = windows_of(*bytes_of(texts))
+    out = np.full(len(counts), -np.inf)
+    if len(windows):
+        parts = range(0, len(windows), WINDOWS_AT_ONCE)
+        logits = np.concatenate([network.logits(windows[i : i + WINDOWS_AT_ONCE], tables) for i in parts]).astype(np.float64)
+        some = np.flatnonzero(counts > 0)
+        means = np.add.reduceat(logits, (np.cumsum(counts) - counts)[some], axis=0) / counts[some][:, None]
+        out[some] = means[:, -1] - means[:, :-1].max(axis=1)
+    return out
 
 
 def predict(texts: pa.Array, network: Network | None, tables) -> tuple[np.ndarray, np.ndarray]:
@@ -266,17 +279,17 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
 def known_language(docs: DataFrame, network: Network | None, least: float | None = None) -> DataFrame:
     """The rows of ``docs`` whose language is recognised, with all their columns.
 
-    A text is recognised if it has letters and its pairs of bytes are as usual in the
-    learned languages as those of all but ``REJECTED`` of the held-out labelled documents,
-    however many languages there are; texts of several learned languages stay. With
-    ``least`` the network's softmax score decides instead.
+    A text is recognised if it has letters and the network, trained with ``other``, does not
+    find it more like no language than all but ``REJECTED`` of the held-out labelled documents,
+    however many languages there are; texts of several learned languages stay. Without
+    held-out documents nothing with a letter goes. With ``least`` the softmax score of the likeliest language decides instead.
     """
-    if least is None and network and network.least == -np.inf:
+    if least is None and network and network.least is None:
         network = calibrated(docs, network)
 
     @F.arrow_udf("boolean")
     def known(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tables = network.tables() if network and least is not None else None
+        tables = network.tables() if network else None
         for texts in arrays:
             parts = pieces(iter([pa.RecordBatch.from_arrays([texts], names=["text"])]))
             yield pa.array([k for p in parts for k in judge(p.column("text"), tables)], pa.bool_())
@@ -287,7 +300,7 @@ def known_language(docs: DataFrame, network: Network | None, least: float | None
         if least is not None:
             langs, scores = predict(texts, network, tables)
             return [bool(s >= least) and lang != UNKNOWN for lang, s in zip(langs, scores)]
-        usual = learned_text(texts, network) >= network.least
-        return [bool(u) and t is not None and LETTER.search(t) is not None for u, t in zip(usual, texts.to_pylist())]
+        like = margins(texts, network, tables) <= network.least
+        return [bool(k) and t is not None and LETTER.search(t) is not None for k, t in zip(like, texts.to_pylist())]
 
     return docs.where(known(F.col("text")))
