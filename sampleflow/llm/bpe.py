@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,14 +26,13 @@ REMEMBERED = 150_000
 class PairTable:
     """Ranks of token pairs in an open-addressed hash table."""
 
-    def __init__(self, pairs: dict[tuple[int, int], int], tokens: int):
+    def __init__(self, keys: np.ndarray, ranks: np.ndarray, tokens: int):
+        """``keys`` are first id times ``tokens`` plus second id, all distinct."""
         self.tokens = np.int64(tokens)
-        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.bits = max(4, (4 * len(keys)).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.ranks = np.full(1 << self.bits, NONE, np.int32)
         self.listed: dict[tuple[int, int], int] = {}
-        both = np.array(list(pairs), np.int64).reshape(-1, 2)
-        keys, ranks = both[:, 0] * self.tokens + both[:, 1], np.array(list(pairs.values()), np.int32)
         slots, self.probes = self._slot(keys), 0
         while len(keys):
             self.probes += 1
@@ -84,15 +84,15 @@ class Encoder:
         self.size = max(ranks.values()) + 1
         self.split = regex.compile(pattern).findall
         self.bytes_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.table = PairTable(
-            {
-                (ranks[t[:i]], ranks[t[i:]]): r
-                for t, r in ranks.items()
-                for i in range(1, len(t))
-                if t[:i] in ranks and t[i:] in ranks
-            },
-            self.size,
-        )
+        # Flat arrays from the start: several workers of a host build this at once.
+        keys, found = array("q"), array("i")
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                first, second = ranks.get(token[:i]), ranks.get(token[i:])
+                if first is not None and second is not None:
+                    keys.append(first * self.size + second)
+                    found.append(rank)
+        self.table = PairTable(np.array(keys, np.int64), np.array(found, np.int32), self.size)
         tokens = [b""] * self.size
         for token, rank in ranks.items():
             tokens[rank] = token
@@ -254,6 +254,22 @@ def encode_texts(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(encode, "doc_id long, ids binary")
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``doc_id``, ``ids`` and ``decoded`` of every row: ``encode_texts`` and ``decode_ids`` by one worker a core, with one table."""
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path, pattern)
+        for piece in pieces(batches):
+            ids, counts = own.encode_batch([t or "" for t in piece.column("text").to_pylist()])
+            raw, ends = own.decode_batch(ids.astype(np.int64), counts)
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id"), binaries(ids.astype("<u4"), 4 * np.cumsum(counts)), binaries(raw, ends)],
+                names=["doc_id", "ids", "decoded"],
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(both, "doc_id long, ids binary, decoded binary")
+
+
 def decode_ids(rows: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id``, ``ids`` and ``decoded`` (the bytes that the ids stand for; null: none) of every row."""
 

@@ -21,14 +21,14 @@ OTHER_LANG = "und"
 #: A summary names an n-gram, within its hash partition, by so many bytes of its hash.
 KEY_BYTES = 5
 #: N-grams that a task counts together before it hands out their summaries.
-HELD_GRAMS = 1 << 21
+HELD_GRAMS = 3 << 19
 #: Counters that a summary may always hold; more only if its partition's mass asks for it.
-COUNTERS = 1 << 21
+COUNTERS = 1 << 20
 #: Text bytes for each hash partition, so that most summaries stay within ``COUNTERS``.
-PARTITION_BYTES = 1 << 23
+PARTITION_BYTES = 1 << 22
 #: Bits of the filter that the frequent n-grams leave for the second pass.
 FILTER_BITS = 1 << 27
-TEXT_BYTES = 1 << 21
+TEXT_BYTES = 1 << 20
 
 _kind = np.zeros(256, np.uint8)
 _kind[list(ENDS_WORD)] = 1

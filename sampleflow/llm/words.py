@@ -115,7 +115,8 @@ class Words:
 
 
 def give_back() -> None:
-    """Returns memory that a worker has freed: it lives on after its task, next to others."""
+    """Returns memory that a worker has freed or can make again: it lives on after its task, next to others."""
+    _powers.clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
     if trim:
