@@ -89,6 +89,50 @@ def mlp_score(spark, sf):
     return rounded(mlp.mlp_score(examples(spark, sf), MODEL).select("vec_id", "score"))
 
 
+def _gradient_sql(model):
+    """The gradient over all rows, and the first AdamW step along it, with the weights as numbers."""
+    w1, b1, w2, b2 = model.layers()
+    h, d = w1.shape
+
+    def numbers(values):
+        return "[" + ", ".join(f"{v!r}::DOUBLE" for v in map(float, values)) + "]"
+
+    units = ", ".join(f"list_dot_product(x, {numbers(w)}) + {float(b)!r}" for w, b in zip(w1, b1))
+    power = "pow(z / sqrt(2::DOUBLE), 2 * n + 1)"
+    series = f"list_sum(list_transform(range(0, 80), lambda n: pow(-1::DOUBLE, n) * {power} / (gamma(n + 1) * (2 * n + 1))))"
+    cdf = f"0.5 * (1 + (2 / sqrt(pi())) * {series})"
+    return f"""
+        WITH v AS (SELECT CAST(embedding AS DOUBLE[]) AS x, label / 9 AS y FROM embeddings),
+             z AS (SELECT *, [{units}] AS zs FROM v),
+             c AS (SELECT *, list_transform(zs, lambda z: {cdf}) AS cs FROM z),
+             o AS (SELECT *, list_transform(range(1, {h} + 1), lambda i: zs[i] * cs[i]) AS hs FROM c),
+             e AS (SELECT *, 1 / (1 + exp(-(list_dot_product(hs, {numbers(w2)}) + {float(b2)!r}))) AS p FROM o),
+             g AS (SELECT *, 2 * (p - y) * p * (1 - p) AS dp FROM e),
+             s AS (SELECT *, list_transform(range(1, {h} + 1), lambda i:
+                       dp * {numbers(w2)}[i] * (cs[i] + zs[i] * exp(-0.5 * zs[i] * zs[i]) / sqrt(2 * pi()))) AS dz FROM g),
+             parts AS (
+                 SELECT i * {d} + j AS place, dz[i + 1] * x[j + 1] AS part FROM s, range({h}) a(i), range({d}) b(j)
+                 UNION ALL SELECT {h * d} + i, dz[i + 1] FROM s, range({h}) a(i)
+                 UNION ALL SELECT {h * d + h} + i, dp * hs[i + 1] FROM s, range({h}) a(i)
+                 UNION ALL SELECT {h * d + 2 * h}, dp FROM s
+             ),
+             sums AS (SELECT place, avg(part) AS gradient, {numbers(model.flat)}[place + 1] AS weight FROM parts GROUP BY place)
+        SELECT place, round(gradient, 9) AS gradient,
+               round(weight * (1 - 0.001::DOUBLE * 0.00001) - 0.001::DOUBLE * gradient / (abs(gradient) + 1e-8), 6) AS weight
+        FROM sums
+    """
+
+
+@register(_gradient_sql(MODEL))
+def mlp_step(spark, sf):
+    """One full-batch step: the gradient summed over all partitions, and the weights after it."""
+    gradient = mlp.mlp_gradient(examples(spark, sf), MODEL, ["vec_id"], mlp.TrainOptions(rows_per_task=256))
+    state = mlp.AdamW.start(MODEL.flat)
+    state.step(gradient, rate=1e-3, decay=1e-5)
+    rows = [(i, round(float(g), 9), round(float(w), 6)) for i, (g, w) in enumerate(zip(gradient, state.flat))]
+    return spark.createDataFrame(rows, "place BIGINT, gradient DOUBLE, weight DOUBLE")
+
+
 @register("""
     SELECT round(avg(pow(l_discount * 10 - l_tax * 10, 2)), 6) AS loss,
            round(avg(abs(l_discount * 10 - l_tax * 10)), 6) AS mae

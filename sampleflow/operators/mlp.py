@@ -1,19 +1,21 @@
 """A small pass-rate predictor: one hidden layer over embeddings.
 
-``sigmoid(w2 . GELU(w1 x + b1) + b2)``.  Training is plain mini-batch AdamW, whatever
-the number of rows: every epoch puts them in a new seeded order, cut into parts; the
-parts are trained on one after the other, each from the weights, moments and left-over
-rows of the one before.  How many parts there are does not change the batches or the steps.
+``sigmoid(w2 . GELU(w1 x + b1) + b2)``.  Training is data-parallel: rows stay in place, each
+step adds up the gradients of a global batch over all partitions by a tree, and takes one
+AdamW step.  Batches are drawn by a hash of the row, so neither they nor the weights
+depend on how many partitions there are.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,7 +68,7 @@ class Mlp:
         return 1.0 / (1.0 + np.exp(-((z * _normal_cdf(z)) @ w2 + b2)))
 
     def gradient(
-        self, x: np.ndarray, y: np.ndarray, keep: np.ndarray
+        self, x: np.ndarray, y: np.ndarray, keep: np.ndarray | float
     ) -> tuple[np.ndarray, np.ndarray]:
         """Gradient of the mean squared error, and the outputs; ``keep`` masks hidden units."""
         w1, b1, w2, b2 = self.layers()
@@ -83,8 +85,14 @@ class Mlp:
 
 @dataclass(frozen=True)
 class TrainOptions:
+    """How to train. Steps are taken over ``batches`` global batches an epoch, or batches of about ``batch_size`` rows if that is set.
+
+    A step is a Spark job, so small batches suit small tables only.
+    """
+
     hidden_dim: int = 64
-    batch_size: int = 16
+    batches: int = 8
+    batch_size: int | None = None
     learning_rate: float = 1e-3
     weight_decay: float = 1e-5
     num_epochs: int = 50
@@ -100,87 +108,104 @@ class TrainOptions:
 
 
 @dataclass
-class _State:
-    """What epochs hand on: weights, AdamW moments and the number of steps taken."""
+class AdamW:
+    """Weights, moments and the number of steps taken."""
 
-    model: Mlp
+    flat: np.ndarray
     m: np.ndarray
     v: np.ndarray
-    steps: float
+    steps: int = 0
 
+    @classmethod
+    def start(cls, flat: np.ndarray) -> AdamW:
+        return cls(flat.copy(), np.zeros_like(flat), np.zeros_like(flat))
 
-_Rows = tuple[np.ndarray, np.ndarray]
-
+    def step(self, gradient: np.ndarray, rate: float, decay: float) -> None:
+        self.steps += 1
+        self.m = 0.9 * self.m + 0.1 * gradient
+        self.v = 0.999 * self.v + 0.001 * gradient**2
+        move = (self.m / (1.0 - 0.9**self.steps)) / (np.sqrt(self.v / (1.0 - 0.999**self.steps)) + 1e-8)
+        self.flat = self.flat * (1.0 - rate * decay) - rate * move
 
-def _run_part(
-    state: _State, waiting: _Rows, rows: _Rows, epoch: int, batch: int, last: bool, options: TrainOptions
-) -> tuple[_State, _Rows, int, float]:
-    """Train on the ``waiting`` rows of earlier parts and this part's ``rows``, from the epoch's ``batch`` on.
 
-    Returns the state, the rows that do not fill a batch (none if this is the ``last``
-    part), the next batch's number and the sum of squared errors.
-    """
-    x, y = (np.concatenate(pair) for pair in zip(waiting, rows))
-    rate, squared, size = options.rate(epoch), 0.0, options.batch_size
-    m, v, steps = state.m.copy(), state.v.copy(), state.steps
-    model = Mlp(state.model.input_dim, state.model.hidden_dim, state.model.flat.copy())
-    end = len(y) if last else len(y) - len(y) % size
-    for at in range(0, end, size):
-        xs, ys = x[at : min(at + size, end)], y[at : min(at + size, end)]
-        rng = np.random.default_rng([options.seed, epoch, batch])
-        keep = (rng.random((len(ys), model.hidden_dim)) >= options.dropout) / (1.0 - options.dropout)
-        gradient, out = model.gradient(xs, ys, keep)
-        squared += float(((out - ys) ** 2).sum())
-        steps += 1
-        batch += 1
-        m = 0.9 * m + 0.1 * gradient
-        v = 0.999 * v + 0.001 * gradient**2
-        step = (m / (1.0 - 0.9**steps)) / (np.sqrt(v / (1.0 - 0.999**steps)) + 1e-8)
-        model.flat[:] = model.flat * (1.0 - rate * options.weight_decay) - rate * step
-    return _State(model, m, v, steps), (x[end:], y[end:]), batch, squared
+def _dropped(place: np.ndarray, units: int, epoch: int, seed: int, share: float) -> np.ndarray:
+    """Which hidden units each row keeps in an epoch, scaled; by the row's hash, not by where it lies."""
+    x = place[:, None] + np.arange(1, units + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x += np.uint64((seed * 1_000_003 + epoch) & (2**64 - 1))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x >> np.uint64(11)) >= share * 2.0**53) / (1.0 - share)
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _packed(batches: Iterable[pa.RecordBatch], dim: int) -> Iterator[pa.RecordBatch]:
-    """A part's vectors and targets, in order, as one row."""
-    xs, ys = [], []
+_PACKED = "batch INT, x BINARY, y BINARY, place BINARY"
+
+
+def _packed(batches: Iterable[pa.RecordBatch], dim: int, rows: int) -> Iterator[pa.RecordBatch]:
+    """Rows of one partition, sorted by batch, as one row for each batch, or each ``rows`` rows of one."""
+    held: list[pa.RecordBatch] = []
+
+    def out() -> pa.RecordBatch:
+        parts = [(_matrix(b.column("embedding"), dim), *(b.column(c).to_numpy(zero_copy_only=False) for c in ("target", "place"))) for b in held]
+        x, y, place = (np.concatenate(p).tobytes() for p in zip(*parts))
+        number = held[0].column("batch")[0].as_py()
+        held.clear()
+        columns = [pa.array([number], pa.int32()), *(pa.array([c], pa.binary()) for c in (x, y, place))]
+        return pa.RecordBatch.from_arrays(columns, names=["batch", "x", "y", "place"])
+
     for batch in batches:
-        xs.append(_matrix(batch.column("embedding"), dim))
-        ys.append(batch.column("target").to_numpy(zero_copy_only=False).astype(np.float64))
-    if sum(map(len, ys)):
-        x, y = np.concatenate(xs).tobytes(), np.concatenate(ys).tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()), pa.array([y], pa.binary())], names=["x", "y"])
-
-
-def _epoch(
-    train: DataFrame, key: Sequence[str], parts: int, state: _State, epoch: int, options: TrainOptions
-) -> tuple[_State, float]:
-    """The state after one pass over ``train`` in the epoch's order, and the sum of squared errors."""
-    dim = state.model.input_dim
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(options.seed), F.lit(epoch), *key, "embedding", "target"), 1)
-    # Parts are equal ranges of the place.
-    part = F.floor(F.shiftright(F.col("place"), 31) * F.lit(parts) / F.lit(1 << 32)).cast("int")
-    dealt = train.withColumn("place", place).repartitionById(parts, part).sortWithinPartitions("place")
-    packed = dealt.select("embedding", "target").mapInArrow(lambda b: _packed(b, dim), "x BINARY, y BINARY").persist()
-    rows, context = packed.rdd, train.sparkSession.sparkContext
-    waiting, batch, total = (np.zeros((0, dim)), np.zeros(0)), 0, 0.0
-    try:
-        packed.count()  # all parts are dealt out at once
-        for at in range(parts):
+        number = batch.column("batch").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and (held[0].column("batch")[0].as_py() != number[a] or sum(h.num_rows for h in held) >= rows):
+                yield out()
+            held += [batch.slice(a, b - a)] if b > a else []
+    if held:
+        yield out()
 
-            def work(found, state=state, waiting=waiting, batch=batch, last=at == parts - 1):
-                own = [(np.frombuffer(r.x).reshape(-1, dim), np.frombuffer(r.y)) for r in found]
-                mine = own[0] if own else (np.zeros((0, dim)), np.zeros(0))
-                yield _run_part(state, waiting, mine, epoch, batch, last, options)
 
-            [(state, waiting, batch, squared)] = context.runJob(rows, work, [at])
-            total += squared
-    finally:
-        packed.unpersist()
-    return state, total
+_Sum = tuple[np.ndarray, int, float]
+
+
+def _added(one: _Sum, two: _Sum) -> _Sum:
+    return one[0] + two[0], one[1] + two[1], one[2] + two[2]
+
+
+def _batch_sum(rows: RDD, model: Mlp, parts: int, keep: Callable[[np.ndarray], np.ndarray | float]) -> _Sum:
+    """Summed gradient, rows and squared errors of packed rows, added up by a tree over the partitions."""
+
+    def work(found: Iterator) -> Iterator[_Sum]:
+        total = (np.zeros_like(model.flat), 0, 0.0)
+        for r in found:
+            x, y, place = np.frombuffer(r.x).reshape(-1, model.input_dim), np.frombuffer(r.y), np.frombuffer(r.place, np.uint64)
+            gradient, out = model.gradient(x, y, keep(place))
+            total = _added(total, (gradient * len(y), len(y), float(((out - y) ** 2).sum())))
+        yield total
+
+    zero = (np.zeros_like(model.flat), 0, 0.0)
+    return rows.mapPartitions(work).treeAggregate(zero, _added, _added, depth=1 if parts <= 64 else 2)
+
+
+def pack_rows(df: DataFrame, key: Sequence[str], dim: int, parts: int, batches: int, options: TrainOptions) -> DataFrame:
+    """``embedding`` and ``target`` of ``df`` dealt over ``parts`` partitions, packed by batch."""
+    place = F.xxhash64(F.lit(options.seed), *key, "embedding", "target")
+    # A batch is a range of the hash; what decides the partition is another hash of it.
+    batch = F.pmod(F.shiftright("place", 20), F.lit(batches)).cast("int")
+    part = F.pmod(F.xxhash64("place"), F.lit(parts)).cast("int")
+    dealt = df.withColumn("place", place).withColumn("batch", batch).repartitionById(parts, part).sortWithinPartitions("batch", "place")
+    rows = dealt.select("embedding", F.col("target").cast("double").alias("target"), "place", "batch")
+    return rows.mapInArrow(lambda b: _packed(b, dim, options.rows_per_task), _PACKED)
+
+
+def mlp_gradient(df: DataFrame, model: Mlp, key: Sequence[str], options: TrainOptions = TrainOptions()) -> np.ndarray:
+    """The gradient of the mean squared error over all rows of ``df``, without dropout."""
+    parts = max(1, math.ceil(df.count() / options.rows_per_task))
+    packed = pack_rows(df, key, model.input_dim, parts, 1, options)
+    gradient, rows, _ = _batch_sum(packed.rdd, model, parts, lambda place: 1.0)
+    return gradient / max(rows, 1)
 
 
 @dataclass(frozen=True)
@@ -203,10 +228,10 @@ def mlp_train(
 ) -> Trained:
     """Fit the predictor to ``embedding`` and ``target``.
 
-    Every epoch takes one AdamW step for each ``batch_size`` rows in a new seeded order.
-    ``rows_per_task`` says how many rows a task holds at once, on average; it does not change
-    the batches.  Steps follow each other, so more machines do not shorten them; rows are
-    dealt out and validated in parallel.  An epoch's validation loss belongs to the weights that epoch ends
+    Rows are dealt out once, in partitions of about ``rows_per_task``, and stay in memory there.
+    An epoch goes through the batches in a seeded order: each step sums the batch's gradients
+    over all partitions and takes one AdamW step, so more machines shorten a step. Equal rows
+    share a batch. An epoch's validation loss belongs to the weights that epoch ends
     with.  With ``output_dir`` the weights of every epoch are kept there.  The final
     weights are the best ones; a loss is null where no row took part.
     """
@@ -218,32 +243,43 @@ def mlp_train(
         raise ValueError("the training set is empty")
     if vectors < rows or least != dim:
         raise ValueError(f"all vectors must have one size, got {least} to {dim} and {rows - vectors} missing ones")
-    data = marked.select(*key, "embedding", F.col("target").cast("double").alias("target"), "is_train").persist()
-    train, held = data.where("is_train").drop("is_train"), data.where(~F.col("is_train"))
-    model = Mlp.init(dim, options.hidden_dim, options.seed)
-    state = _State(model, np.zeros_like(model.flat), np.zeros_like(model.flat), 0.0)
+    data = marked.select(*key, "embedding", F.col("target").cast("double").alias("target"), "is_train")
+    held = data.where(~F.col("is_train")).persist()
+    train = data.where("is_train")
+    train_rows = train.count()
+    parts = max(1, math.ceil(train_rows / options.rows_per_task))
+    batches = max(1, math.ceil(train_rows / options.batch_size) if options.batch_size else options.batches)
+    packed = pack_rows(train, key, dim, parts, batches, options).persist()
+    by_batch = [packed.where(F.col("batch") == b).rdd for b in range(batches)]
+    first = Mlp.init(dim, options.hidden_dim, options.seed)
+    state = AdamW.start(first.flat)
     history: list[tuple] = []
-    best, best_loss, waited = model, math.inf, 0
+    best, best_loss, waited = first, math.inf, 0
     try:
-        train_rows = train.count()
-        parts = max(1, math.ceil(train_rows / options.rows_per_task))
         for epoch in range(options.num_epochs):
-            loss = None
-            if train_rows:
-                state, squared = _epoch(train, key, parts, state, epoch, options)
-                loss = squared / train_rows
+            squared = 0.0
+            for b in np.random.default_rng([options.seed, epoch]).permutation(batches):
+                model = Mlp(dim, options.hidden_dim, state.flat)
+                keep = partial(_dropped, units=options.hidden_dim, epoch=epoch, seed=options.seed, share=options.dropout)
+                gradient, n, errors = _batch_sum(by_batch[b], model, parts, keep)
+                if n:
+                    state.step(gradient / n, options.rate(epoch), options.weight_decay)
+                squared += errors
+            loss = squared / train_rows if train_rows else None
+            model = Mlp(dim, options.hidden_dim, state.flat)
             if output_dir:
-                save_mlp(spark, state.model, f"{output_dir}/model-epoch-{epoch}")
-            found = mlp_evaluate(mlp_score(held, state.model)).first()
+                save_mlp(spark, model, f"{output_dir}/model-epoch-{epoch}")
+            found = mlp_evaluate(mlp_score(held, model)).first()
             history.append((epoch, loss, found.loss, found.mae, options.rate(epoch)))
             if found.loss is None or found.loss < best_loss:
-                best, best_loss, waited = state.model, found.loss if found.loss is not None else math.inf, 0
+                best, best_loss, waited = model, found.loss if found.loss is not None else math.inf, 0
             else:
                 waited += 1
                 if waited >= options.patience:
                     break
     finally:
-        data.unpersist()
+        packed.unpersist()
+        held.unpersist()
     if output_dir:
         save_mlp(spark, best, f"{output_dir}/best_model")
         save_mlp(spark, best, f"{output_dir}/final_model")

@@ -63,7 +63,7 @@ def test_gradient_agrees_with_differences():
 @pytest.mark.parametrize("rows_per_task", [4096, 100])
 def test_training_beats_a_constant(spark, folder, rows_per_task):
     df, _, y = vectors(spark, 800)
-    options = mlp.TrainOptions(hidden_dim=16, num_epochs=12, learning_rate=0.02, rows_per_task=rows_per_task)
+    options = mlp.TrainOptions(hidden_dim=16, num_epochs=12, batches=40, learning_rate=0.02, rows_per_task=rows_per_task)
     trained = mlp.mlp_train(df.repartition(5), ["id"], options, output_dir=folder)
     history = trained.history.orderBy("epoch").collect()
     assert [h.epoch for h in history] == list(range(12))
@@ -94,10 +94,26 @@ def test_weights_do_not_depend_on_the_number_of_parts(spark):
 
 
 def test_many_partial_results_are_added_up_first(spark):
-    df, _, _ = vectors(spark, 400)
-    options = mlp.TrainOptions(hidden_dim=8, num_epochs=2, rows_per_task=10)
-    history = mlp.mlp_train(df, ["id"], options).history.collect()
-    assert len(history) == 2 and all(0 < h.train_loss < 1 for h in history)
+    """More partitions than one level of the tree takes give the plain gradient."""
+    df, x, y = vectors(spark, 400)
+    model = mlp.Mlp.init(6, 8, seed=1)
+    got = mlp.mlp_gradient(df, model, ["id"], mlp.TrainOptions(rows_per_task=5))
+    want, _ = model.gradient(x.astype(np.float64), y, 1.0)
+    assert np.allclose(got, want, rtol=1e-9, atol=1e-12)
+
+
+def test_batch_size_sets_the_steps(spark):
+    df, _, _ = vectors(spark, 100)
+    few, many = (mlp.TrainOptions(hidden_dim=4, num_epochs=1, batch_size=n) for n in (90, 30))
+    a, b = (mlp.mlp_train(df, ["id"], o).final.flat for o in (few, many))
+    assert not np.allclose(a, b)
+
+
+def test_dropout_is_by_row(spark):
+    place = np.arange(5000, dtype=np.uint64) * np.uint64(977)
+    keep = mlp._dropped(place, 8, 3, 42, 0.1)
+    assert abs((keep == 0).mean() - 0.1) < 0.01 and np.allclose(keep[keep > 0], 1 / 0.9)
+    assert (mlp._dropped(place[::-1], 8, 3, 42, 0.1)[::-1] == keep).all() and (mlp._dropped(place, 8, 4, 42, 0.1) != keep).any()
 
 
 def test_early_stop(spark):

@@ -71,7 +71,7 @@ def test_counts_and_remaining(spark):
 def test_shortest_prompt_first_wins(spark):
     rows = positioned(spark, ["abc", "zz", "aa", None, "y" * 5], "q")
     assert shortest_prompt(rows, "q", ["row_pos"]).first()[0] == "zz"
-    assert shortest_prompt(positioned(spark, ["y" * 1_000_000], "q"), "q", ["row_pos"]).collect() == []
+    assert len(shortest_prompt(positioned(spark, ["y" * 1_000_000], "q"), "q", ["row_pos"]).first()[0]) == 1_000_000
 
 
 def test_columns(spark):
