@@ -40,6 +40,7 @@ SAMPLES_PER_BUCKET = 100
 HASH_BUCKET_ROWS = 100_000
 # How often buckets are cut further; it decides how even they are, and nothing else.
 MAX_DIGITS = 12
+FILE_GROUPS = 256
 # Stands before every number; a missing value that is cut by is this one.
 LOWEST = -1.79e308
 
@@ -82,6 +83,21 @@ def quantile_bucket(
     return bucketizer.transform(df).withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(-1))), heavy
 
 
+def _some_files(df: DataFrame) -> list[str]:
+    """At most ``FILE_GROUPS`` of the files a table is read from, in order: they cut the others into groups."""
+    files = df._jdf.inputFiles()
+    size = len(files)
+    return sorted({files[i * size // FILE_GROUPS] for i in range(FILE_GROUPS)}) if size > FILE_GROUPS else sorted(files)
+
+
+def count_true(tests: list[Column]) -> Column:
+    """How many of the tests hold, given that each one implies those before it."""
+    if not tests:
+        return F.lit(0)
+    middle = len(tests) // 2
+    return F.when(tests[middle], count_true(tests[middle + 1 :]) + middle + 1).otherwise(count_true(tests[:middle]))
+
+
 @dataclass(frozen=True)
 class FileOrder:
     """The order rows have in their files: by path, then by row within the file.
@@ -94,7 +110,8 @@ class FileOrder:
 
     def bucketed(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
         block = F.floor(F.col("src_row") / F.lit(self.block_rows))
-        return df.withColumn("_block", block), ["src_file", "_block"]
+        group = count_true([F.col("src_file") >= name for name in _some_files(df)])
+        return df.withColumn("_group", group).withColumn("_block", block), ["_group", "src_file", "_block"]
 
 
 @dataclass(frozen=True)
@@ -117,7 +134,8 @@ class HashOrder:
         rows, digits = df.count(), 4
         while 16**digits * HASH_BUCKET_ROWS < rows:
             digits += 1
-        return keyed(df, self).withColumn("_bucket", F.substring("_hash", 1, digits)), ["_bucket"]
+        out = keyed(df, self).withColumn("_bucket", F.substring("_hash", 1, digits))
+        return out.withColumn("_group", F.substring("_hash", 1, 2)), ["_group", "_bucket"]
 
 
 @dataclass(frozen=True)
@@ -231,20 +249,29 @@ def _with_tie(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumn("_tie", F.xxhash64(*plain))
 
 
+def _group_starts(groups: DataFrame, group: str) -> DataFrame:
+    """Where each group of buckets starts; their number is fixed by the session and the order, not by the data."""
+    before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    return groups.select(group, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_from"))
+
+
+def _bucket_starts(counts: DataFrame, buckets: list[str]) -> DataFrame:
+    """Where each bucket starts inside its group: running sums in each group apart."""
+    before = Window.partitionBy(buckets[0]).orderBy(*buckets[1:] or buckets).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+
+
 def with_row_pos(df: DataFrame, order: RowOrder, name: str = "row_pos") -> DataFrame:
     """Add the dense 0-based position of every row in ``order``."""
     bucketed, buckets = order.bucketed(df)
     tie = _ties(df, order)
     if tie:
         bucketed = _with_tie(bucketed, df.columns)
-    # One row per bucket, so this unpartitioned window is small by construction.
-    before = Window.orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        bucketed.groupBy(*buckets)
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .drop("_rows")
-    )
+    # Totals of groups, then sums inside each group: nothing that grows with the table meets in one place.
+    counts = bucketed.groupBy(*buckets).agg(F.count("*").alias("_rows"))
+    groups = _group_starts(counts.groupBy(buckets[0]).agg(F.sum("_rows").alias("_rows")), buckets[0])
+    starts = _bucket_starts(counts, buckets).join(F.broadcast(groups), buckets[0])
+    starts = starts.select(*buckets, (F.col("_from") + F.col("_start")).alias("_start"))
     # Window and join share partitioning and sort order: the rows move and sort once.
     inside = _inside(order, buckets, tie)
     numbered = bucketed.withColumn("_nth", F.row_number().over(inside))
@@ -255,7 +282,7 @@ def with_row_pos(df: DataFrame, order: RowOrder, name: str = "row_pos") -> DataF
 
 @dataclass(frozen=True)
 class OrderedCounts:
-    """Rows per bucket, in order; ``total`` is the number of rows."""
+    """Rows per group of buckets, in order; ``total`` is the number of rows."""
 
     bucketed: DataFrame
     buckets: list[str]
@@ -266,7 +293,7 @@ class OrderedCounts:
     def cuts_at(self, ranks: Sequence[int]) -> dict[int, tuple] | None:
         """``rows_at``, or None if one of the ranks cuts through rows with equal order values."""
         found = self.rows_at([*ranks, *(r - 1 for r in ranks)])
-        if any(r in found and found.get(r - 1) == found[r] for r in ranks):
+        if any(r in found and r - 1 in found and _same(found[r - 1], found[r]) for r in ranks):
             return None
         return {r: found[r] for r in ranks if r in found}
 
@@ -276,12 +303,12 @@ class OrderedCounts:
         Only the buckets that hold such a rank are sorted.  Ranks outside the
         table are left out of the answer.  Meant for a few hundred ranks.
         """
-        wanted, start, left = {}, 0, sorted(r for r in set(ranks) if r >= 0)
-        for *bucket, rows in self.counts:
+        asked, start, left = [], 0, sorted(r for r in set(ranks) if r >= 0)
+        for group, rows in self.counts:
             while left and left[0] < start + rows:
-                rank = left.pop(0)
-                wanted[(*bucket, rank - start + 1)] = rank
+                asked.append((group, left[0] - start, left.pop(0)))
             start += rows
+        wanted = self._places(asked)
         if not wanted:
             return {}
         columns = list(self.order.columns)
@@ -300,6 +327,27 @@ class OrderedCounts:
         return {wanted[tuple(row.place)]: tuple(row.values) for row in found.collect()}
 
 
+    def _places(self, asked: list[tuple]) -> dict[tuple, int]:
+        """The bucket, and the place in it from 1, of each rank (group, place in the group, rank): sums of those groups only."""
+        first = self.buckets[0]
+        if len(self.buckets) == 1 or not asked:
+            return {(group, place + 1): rank for group, place, rank in asked}
+        groups = sorted({group for group, _, _ in asked})
+        counts = self.bucketed.where(F.col(first).isin(groups)).groupBy(*self.buckets).agg(F.count("*").alias("_rows"))
+        places = F.create_map(
+            *(x for g in groups for x in (F.lit(g), F.array(*(F.struct(F.lit(p).cast("long").alias("p"), F.lit(r).cast("long").alias("r")) for a, p, r in asked if a == g))))
+        )
+        starts = _bucket_starts(counts, self.buckets)
+        held = F.filter(places[F.col(first)], lambda x: (x["p"] >= F.col("_start")) & (x["p"] < F.col("_start") + F.col("_rows")))
+        found = starts.select(*self.buckets, "_start", F.explode(held).alias("at")).collect()
+        return {(*row[:-2], row.at.p - row._start + 1): row.at.r for row in found}
+
+
+def _same(one: tuple, other: tuple) -> bool:
+    """Equal order values, as Spark compares them: a NaN equals a NaN, a null a null."""
+    return all(a == b or (a != a and b != b) for a, b in zip(one, other))
+
+
 def _any_of(names: list[str], places: Iterable[tuple]) -> Column:
     """True where the named columns hold one of the given rows of values."""
     same = (reduce(and_, (F.col(n) == F.lit(v) for n, v in zip(names, place))) for place in places)
@@ -326,10 +374,10 @@ def _literal(value: object, kind: T.DataType) -> Column:
 
 
 def ordered_counts(df: DataFrame, order: RowOrder) -> OrderedCounts:
-    """Count the rows of every bucket; one row per bucket reaches the driver."""
+    """Count the rows of every group of buckets; a fixed number of groups reaches the driver."""
     bucketed, buckets = order.bucketed(df)
-    rows = bucketed.groupBy(*buckets).agg(F.count("*").alias("_rows")).collect()
-    counts = sorted(tuple(r) for r in rows)  # bucket numbers and paths are never null
+    rows = bucketed.groupBy(buckets[0]).agg(F.count("*").alias("_rows")).collect()
+    counts = sorted(tuple(r) for r in rows)  # groups are never null
     return OrderedCounts(bucketed, buckets, order, counts, sum(c[-1] for c in counts))
 
 

@@ -14,6 +14,7 @@ from sampleflow.operators.ordering import (
     at_or_after,
     before,
     before_rank,
+    count_true,
     keyed,
     ordered_counts,
     unkeyed,
@@ -67,20 +68,10 @@ def split_rows(df: DataFrame, num_splits: int, order: RowOrder) -> DataFrame:
         split = F.when(pos < longer, F.floor(pos / (size + 1))).otherwise(short) + 1
         return with_row_pos(df, order, "_pos").withColumn("split_id", split.cast("int")).drop("_pos")
     beyond = [at_or_after(df, order, cut) for _, cut in sorted(cuts.items())]
-    numbered = keyed(df, order).withColumn("split_id", _count_true(beyond, 0, len(beyond)) + 1)
+    numbered = keyed(df, order).withColumn("split_id", count_true(beyond) + 1)
     return unkeyed(numbered)
 
 
-def _count_true(tests: list[Column], low: int, high: int) -> Column:
-    """How many of the tests hold, given that each one implies those before it."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(tests[middle], _count_true(tests, middle + 1, high)).otherwise(
-        _count_true(tests, low, middle)
-    )
-
-
 def select_split(df: DataFrame, split_id: int, num_splits: int, order: RowOrder) -> DataFrame:
     """Rows of one split; the bounds become scan filters."""
     if not 1 <= split_id <= num_splits:

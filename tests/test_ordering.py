@@ -17,6 +17,11 @@ from sampleflow.sources.tables import scan_prompts
 BY_ID = KeyOrder(("id",))
 
 
+def largest_bucket(df, order):
+    counted = ordered_counts(df, order)
+    return counted.bucketed.groupBy(*counted.buckets).count().agg(F.max("count")).first()[0]
+
+
 def ids(df, column="id"):
     return sorted(r[column] for r in df.collect())
 
@@ -82,8 +87,7 @@ def test_positions_by_text(spark):
 def test_keys_with_a_long_shared_prefix_spread(spark):
     prefix = "https://www.example.org/" + "section/" * 8
     keys = spark.range(2000).select(F.format_string(prefix + "%06d", "id").alias("id"))
-    counts = ordered_counts(keys, BY_ID).counts
-    assert max(c[-1] for c in counts) < 200
+    assert largest_bucket(keys, BY_ID) < 200
     got = with_row_pos(keys, BY_ID).agg(F.sum(F.when(F.substring("id", -6, 6).cast("int") == F.col("row_pos"), 1)))
     assert got.first()[0] == 2000
 
@@ -96,7 +100,7 @@ def test_one_leading_value_with_a_third_of_the_rows(spark):
     got = {(r.a, r.b): r.row_pos for r in with_row_pos(df, order).collect()}
     assert got == {r: i for i, r in enumerate(sorted(rows))}
     # The large value is spread over many buckets.
-    assert max(c[-1] for c in ordered_counts(df, order).counts) < 300
+    assert largest_bucket(df, order) < 300
     halves = ops.split_rows(df, 2, order).groupBy("split_id").count().collect()
     assert {r["split_id"]: r["count"] for r in halves} == {1: 1500, 2: 1500}
 
@@ -263,16 +267,45 @@ def test_keys_of_other_types(spark):
 
 def test_large_numbers_and_long_prefixes_are_cut_further(spark):
     big = spark.range(3000).select((F.lit(2**62) + F.col("id")).alias("id"))
-    assert max(c[-1] for c in ordered_counts(big, BY_ID).counts) < 400
+    assert largest_bucket(big, BY_ID) < 400
     same = spark.range(3000).select(F.lit(2**62).alias("a"), "id")
-    assert max(c[-1] for c in ordered_counts(same, KeyOrder(("a", "id"))).counts) < 400
+    assert largest_bucket(same, KeyOrder(("a", "id"))) < 400
     text = spark.range(3000).select(F.format_string("x" * 500 + "%06d", "id").alias("id"))
-    assert max(c[-1] for c in ordered_counts(text, BY_ID).counts) < 400
+    assert largest_bucket(text, BY_ID) < 400
     empty = spark.range(3000).select(F.lit(None).cast("int").alias("a"), "id")
-    assert max(c[-1] for c in ordered_counts(empty, KeyOrder(("a", "id"))).counts) < 400
+    assert largest_bucket(empty, KeyOrder(("a", "id"))) < 400
 
 
 def test_null_parts_of_a_hash_key_stay_apart(spark):
     rows = [(None, "x"), ("x", None), (None, None), ("\\N", "x"), ("", "x")]
     hashed = spark.createDataFrame(rows, "x STRING, y STRING").select(HashOrder(("x", "y"), 1).hash_column())
     assert hashed.distinct().count() == len(rows)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_nan_keys_give_exact_sizes(spark, kind):
+    """Equal keys that are no numbers: sizes are those of ntile, and no row is lost."""
+    values = [float("nan")] * 50 + [0.0, -0.0] * 5 + [float("inf"), -float("inf"), None, None] + [float(i) for i in range(36)]
+    df = spark.createDataFrame(list(enumerate(values)), f"n INT, id {kind.upper()}").repartition(3)
+    for n in (1, 2, 3, 12, 30, 49, 70, 99, 100, -20):
+        assert ops.limit_rows(df, n, BY_ID).count() == (n if n > 0 else 80)
+    for parts in (2, 4, 7):
+        sizes = [100 // parts + (i < 100 % parts) for i in range(parts)]
+        got = ops.split_rows(df, parts, BY_ID)
+        assert [r["count"] for r in got.groupBy("split_id").count().orderBy("split_id").collect()] == sizes
+        assert [ops.select_split(df, i + 1, parts, BY_ID).count() for i in range(parts)] == sizes
+
+
+def test_counts_in_two_levels(spark, folder):
+    """Many files: a fixed number of totals reaches the driver, whatever the number of files."""
+    spark.range(3000).repartition(600, "id").write.parquet(f"{folder}/many")
+    df = scan_prompts(spark, f"{folder}/many", "id", positions=True)
+    counted = ordered_counts(df, FileOrder())
+    files = df.select("src_file").distinct().count()
+    assert files > 400 and len(counted.counts) <= 257 and counted.total == 3000
+    order = [r.id for r in df.orderBy("src_file", "src_row").collect()]
+    placed = {r.row_pos: r.id for r in with_row_pos(df, FileOrder()).collect()}
+    assert [placed[i] for i in range(3000)] == order
+    got = ops.split_rows(df, 7, FileOrder()).collect()
+    split = {r.id: r.split_id for r in got}
+    assert [split[i] for i in order] == [k + 1 for k in range(7) for _ in range(3000 // 7 + (k < 3000 % 7))]
