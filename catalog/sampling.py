@@ -11,7 +11,7 @@ from catalog.selection import documents
 from sampleflow.operators import sampling as ops
 from sampleflow.operators.ordering import FileOrder, shuffle_partitions
 from sampleflow.operators.select import filter_rows, limit_rows, split_rows
-from sampleflow.operators.telemetry import endpoint_summary
+from sampleflow.operators.telemetry import endpoint_summary, run_stats
 from sampleflow.plans import generation
 from sampleflow.sources.storage import work_dir
 from sampleflow.spec import DataOptions, JobSpec, RetryOptions, SamplingOptions
@@ -223,3 +223,15 @@ def run_with_telemetry(spark, sf):
 @register(_SAID + "SELECT doc_id, lang, sample_idx, response, '' AS thinking_text FROM a")
 def run_incremental(spark, sf):
     return generation.run_incremental(spark, _job(spark, sf, "saved"), RequestBackend, 5000).drop("text")
+
+
+@register(_SAID + "SELECT count(*) FILTER (sample_idx = 0) AS total_items, count(*) AS total_responses, true AS same FROM a")
+def run_with_stats(spark, sf):
+    """Numbers observed while a run is written; ``same`` says that they are those of its telemetry, read afterwards."""
+    written, seen = generation.run_with_stats(spark, _job(spark, sf, "stats", keep_telemetry=True), RequestBackend)
+    after = run_stats(written, ["doc_id"])
+    same = F.lit(True)
+    for name in ("processing_time", "items_per_second", "responses_per_second"):
+        same = same & (F.abs(F.col(name) - F.lit(float(seen[name]))) <= 1e-6 * F.greatest(F.lit(1.0), F.col(name)))
+    counts = (F.lit(seen["total_items"]) == F.col("total_items")) & (F.lit(seen["total_responses"]) == F.col("total_responses"))
+    return after.select("total_items", "total_responses", (same & counts).alias("same"))

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from catalog import register, rounded
 from sampleflow.operators import telemetry as ops
+from sampleflow.sources.storage import work_dir
+from sampleflow.streaming import incremental, totals
 
 _REQUESTS = """
     WITH r AS (
@@ -103,6 +105,34 @@ def batch_rollup(spark, sf):
     return rounded(ops.batch_rollup(requests(spark, sf)))
 
 
+def _streamed(spark, sf, by):
+    """Requests that arrive as files in two lots; the stream stops in between and goes on from its state."""
+    base, rows = work_dir(spark, "totals"), requests(spark, sf)
+    for lot in range(2):
+        part = rows.where(F.col("event_id") % 2 == lot)
+        incremental.stage_prompts(part, f"{base}/in", rows_per_file=20_000)
+        stream = incremental.read_prompt_stream(spark, f"{base}/in", rows.schema, files_per_batch=8)
+        totals.running_totals(stream, by, f"{base}/out", f"{base}/state", salts=4)
+    return f"{base}/out"
+
+
+@register(
+    _REQUESTS
+    + """
+    SELECT count(*) AS total_requests, count(*) FILTER (success) AS successful_requests,
+           round(avg(latency), 6) AS average_latency, min(timestamp) AS first, max(ended) AS last
+    FROM r
+"""
+)
+def stream_request_counters(spark, sf):
+    return rounded(totals.request_totals(spark, _streamed(spark, sf, [])))
+
+
+@register(_BATCHES + "SELECT * REPLACE (round(total_latency, 6) AS total_latency) FROM b")
+def stream_batch_rollup(spark, sf):
+    return rounded(totals.batch_totals(spark, _streamed(spark, sf, ["batch_id"])))
+
+
 _BATCH_RATIOS = """
     , m AS (SELECT *, successful_requests / (successful_requests + failed_requests) AS success_rate,
         total_latency / batch_size AS average_latency,

@@ -6,6 +6,7 @@ from sampleflow.plans.generation import (
     run_all_splits,
     run_generation,
     run_incremental,
+    run_with_stats,
 )
 from sampleflow.spec import (
     DataOptions,
@@ -26,5 +27,6 @@ __all__ = [
     "run_all_splits",
     "run_generation",
     "run_incremental",
+    "run_with_stats",
     "score_prompts",
 ]

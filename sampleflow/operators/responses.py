@@ -80,9 +80,34 @@ def total_count_check(df: DataFrame, expected: int) -> DataFrame:
     return df.agg(F.count("*").alias("responses")).withColumn("complete", F.col("responses") == expected)
 
 
-def resume_remaining(df: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
-    """Rows that have no answer yet."""
-    return df.join(done.select(*key), key, "left_anti")
+#: Bits of the filter on done keys, at most: 8 MB of bitmaps.
+DONE_BITS = 1 << 26
+#: Types whose equal values always have the same hash.
+HASHED_ALIKE = ("string", "binary", "boolean", "tinyint", "smallint", "int", "bigint", "date", "timestamp")
+
+
+def resume_remaining(df: DataFrame, done: DataFrame, key: list[str], bits: int = DONE_BITS) -> DataFrame:
+    """Rows that have no answer yet.
+
+    Done keys set bits of a filter of at most ``bits``, which is sent to all tasks: rows whose
+    bit is not set are new and stay where they are, only the others move to be looked
+    up among the done keys. Keys of types whose hashes may differ, and streams, are all looked up.
+    """
+    keys, kinds = done.select(*key), dict(done.dtypes)
+    alike = all(t == kinds[c] and t in HASHED_ALIKE for c, t in df.select(*key).dtypes)
+    if df.isStreaming or not alike:
+        return df.join(keys, key, "left_anti")
+    # Bitmap functions count places from 1.
+    place = F.pmod(F.xxhash64(*key), F.lit(bits)) + 1
+    marks = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("_bucket"))
+    marks = marks.agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = df.join(F.broadcast(marks), F.bitmap_bucket_number(place) == F.col("_bucket"), "left")
+    seen = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    marked = marked.withColumn("_seen", seen).drop("_bucket", "_bits")
+    new = marked.where(~F.col("_seen")).drop("_seen")
+    return new.unionByName(marked.where("_seen").drop("_seen").join(keys, key, "left_anti").select(*new.columns))
 
 
 def merge_stats(df: DataFrame, key: list[str]) -> DataFrame:

@@ -235,6 +235,31 @@ def run_stats(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
+def run_metrics(sample: str | None) -> list[Column]:
+    """What to observe of answers as they pass: an item is its first sample (column ``sample``; None: one each)."""
+    items = F.count_if(F.col(sample) == 0) if sample else F.count(F.lit(1))
+    return [
+        items.alias("total_items"),
+        F.count(F.lit(1)).alias("total_responses"),
+        F.min(F.unix_micros("timestamp")).alias("first"),
+        F.max(F.unix_micros(call_end())).alias("last"),
+    ]
+
+
+def observed_stats(found: dict) -> dict[str, float]:
+    """The numbers of ``run_stats`` from what ``run_metrics`` observed."""
+    items, responses = found.get("total_items") or 0, found.get("total_responses") or 0
+    seconds = (found["last"] - found["first"]) / 1e6 if responses and found["last"] is not None else 0.0
+    rate = lambda n: n / seconds if seconds else 0.0
+    return {
+        "total_items": items,
+        "total_responses": responses,
+        "processing_time": seconds,
+        "items_per_second": rate(items),
+        "responses_per_second": rate(responses),
+    }
+
+
 def column_statistics(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, min, max and sample standard deviation; zeros when there are no values."""
     value = F.col(column)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from dataclasses import fields
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sampleflow.functions.prompts import build_prompt
@@ -28,6 +28,7 @@ from sampleflow.operators.sampling import (
     sample_fanout,
     temperature_schedule,
 )
+from sampleflow.operators.telemetry import observed_stats, run_metrics
 from sampleflow.operators.select import filter_rows, limit_rows, select_split, split_rows
 from sampleflow.sources.sinks import split_path, write_splits, write_table
 from sampleflow.sources.storage import exists, remove, stored_files
@@ -95,7 +96,9 @@ def _endpoint(spec: JobSpec, rows: DataFrame) -> Column:
     return F.get(choices, F.pmod(turn, F.lit(len(spec.endpoints))).cast("int"))
 
 
-def _answer(rows: DataFrame, spec: JobSpec, factory: BackendFactory, num_splits: int = 1) -> DataFrame:
+def _answer(
+    rows: DataFrame, spec: JobSpec, factory: BackendFactory, num_splits: int = 1, observed: Observation | None = None
+) -> DataFrame:
     """The rows with their answers; the input's own columns travel as one, whatever they are called."""
     data, sampling = spec.data, spec.sampling
     index = ["sample_idx"] if sampling.num_samples > 1 else []
@@ -120,6 +123,8 @@ def _answer(rows: DataFrame, spec: JobSpec, factory: BackendFactory, num_splits:
         retry=spec.retry,
         concurrency=spec.concurrency,
     )
+    if observed:
+        answered = answered.observe(observed, *run_metrics("sample_idx" if index else None))
     named = {"model_endpoint": F.col("endpoint")} if spec.endpoints else {}
     # A batch is what one task answers.
     named |= {"batch_id": F.spark_partition_id().cast("long")}
@@ -135,6 +140,18 @@ def run_generation(spark: SparkSession, spec: JobSpec, factory: BackendFactory)
     return write_table(answered, split_path(spec.data.output_path, spec.split))
 
 
+def run_with_stats(spark: SparkSession, spec: JobSpec, factory: BackendFactory) -> tuple[DataFrame, dict[str, float]]:
+    """``run_generation``, and what ``run_stats`` says of it, observed while it was written.
+
+    There is no second pass, and the output needs no telemetry. A task that ran again after a
+    loss counts once, as its output does.
+    """
+    observed = Observation("run")
+    answered = _answer(_selected(spark, spec), spec, factory, observed=observed)
+    written = write_table(answered, split_path(spec.data.output_path, spec.split))
+    return written, observed_stats(observed.get)
+
+
 def _claim(spark: SparkSession, spec: JobSpec, output: str) -> None:
     """Note next to ``output`` which job it belongs to, or raise if it is another one's."""
     asked = {f.name: getattr(spec, f.name) for f in fields(spec)}
