@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,17 +39,37 @@ def embed_texts(
 
 
 def vector_statistics(df: DataFrame, column: str = "embedding") -> DataFrame:
-    """Rows, dimension, and mean, population deviation, min and max over all elements."""
-    elements = df.select(F.size(column).alias("dim"), F.posexplode(column).alias("i", "x"))
-    x = F.col("x").cast("double")
-    return elements.agg(
-        F.count_if(F.col("i") == 0).alias("vectors"),
+    """Rows, dimension, and mean, population deviation, min and max over all elements; null elements do not count.
+
+    Each vector is reduced to its moments in place, those of vectors of one length are
+    merged by Spark's own variance, and those of different lengths by Chan's formula.
+    """
+    x = F.filter(F.transform(column, lambda v: v.cast("double")), lambda v: v.isNotNull())
+    rows = df.where(F.size(column) > 0).select(F.size(column).alias("dim"), x.alias("x"), F.size(x).alias("k"))
+    total = F.aggregate("x", F.lit(0.0), lambda a, v: a + v)
+    rows = rows.select("*", (total / F.nullif("k", F.lit(0))).alias("m"))
+    spread = F.aggregate("x", F.lit(0.0), lambda a, v: a + (v - F.col("m")) * (v - F.col("m")))
+    alike = rows.groupBy("k").agg(
+        F.count("*").alias("vectors"),
         F.max("dim").alias("dim"),
-        F.avg(x).alias("mean"),
-        F.stddev_pop(x).alias("std"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
+        F.avg("m").alias("mean"),
+        (F.sum(spread) + F.col("k") * F.count("*") * F.var_pop("m")).alias("m2"),
+        F.min(F.array_min("x")).alias("min"),
+        F.max(F.array_max("x")).alias("max"),
     )
+    held = F.collect_list(F.when(F.col("k") > 0, F.struct((F.col("k") * F.col("vectors")).cast("double").alias("n"), "mean", "m2")))
+    both = alike.agg(F.coalesce(F.sum("vectors"), F.lit(0)).alias("vectors"), F.max("dim").alias("dim"), held.alias("parts"), F.min("min").alias("min"), F.max("max").alias("max"))
+    none = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def chan(a: Column, b: Column) -> Column:
+        n, gap = a["n"] + b["n"], b["mean"] - a["mean"]
+        mean, m2 = a["mean"] + gap * b["n"] / n, a["m2"] + b["m2"] + gap * gap * a["n"] * b["n"] / n
+        return F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"))
+
+    merged = both.select("*", F.aggregate("parts", none, chan).alias("all"))
+    some = F.col("all.n") > 0
+    mean, std = F.when(some, F.col("all.mean")), F.when(some, F.sqrt(F.try_divide("all.m2", "all.n")))
+    return merged.select("vectors", "dim", mean.alias("mean"), std.alias("std"), "min", "max")
 
 
 def target_range(df: DataFrame, target: str = "target", column: str = "embedding") -> DataFrame:

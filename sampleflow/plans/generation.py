@@ -31,7 +31,7 @@ from sampleflow.operators.sampling import (
 from sampleflow.operators.telemetry import observed_stats, run_metrics
 from sampleflow.operators.select import filter_rows, limit_rows, select_split, split_rows
 from sampleflow.sources.sinks import split_path, write_splits, write_table
-from sampleflow.sources.storage import exists, remove, stored_files
+from sampleflow.sources.storage import exists, files_digest, remove
 from sampleflow.sources.tables import check_columns, scan_prompts
 from sampleflow.spec import JobSpec
 from sampleflow.streaming.incremental import incremental_save, read_prompt_stream, stage_prompts
@@ -157,8 +157,7 @@ def _claim(spark: SparkSession, spec: JobSpec, output: str) -> None:
     asked = {f.name: getattr(spec, f.name) for f in fields(spec)}
     for name in ("retry", "concurrency", "partitions", "endpoints"):  # they do not change what is asked
         del asked[name]
-    files = sorted((f, length, changed) for f, length, changed in stored_files(spark, spec.data.input_path))
-    job = hashlib.md5(repr((asked, files)).encode()).hexdigest()
+    job = hashlib.md5(repr((asked, files_digest(spark, spec.data.input_path))).encode()).hexdigest()
     note = f"{output}.job"
     if exists(spark, note):
         known = spark.read.text(note).first()

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampleflow.sources.storage import exists, remove
+from sampleflow.sources.storage import exists, publish, remove
 from sampleflow.spec import SplitOptions
 
 
@@ -30,8 +30,8 @@ def batch_path(path: str, batch_id: int) -> str:
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Write a whole table as snappy parquet, replacing what was there; returns it read back."""
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    """Write a whole table as snappy parquet, replacing what was there once it is whole; returns it read back."""
+    publish(df.sparkSession, path, df.write.option("compression", "snappy").parquet)
     return df.sparkSession.read.parquet(path)
 
 
@@ -41,7 +41,7 @@ def write_split(df: DataFrame, path: str, split: SplitOptions) -> DataFrame:
 
 
 def _write_parts(df: DataFrame, path: str, column: str) -> DataFrame:
-    df.write.mode("overwrite").option("compression", "snappy").partitionBy(column).parquet(path)
+    publish(df.sparkSession, path, df.write.option("compression", "snappy").partitionBy(column).parquet)
     # Folder names carry no type, so say what the column was.
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -131,7 +131,7 @@ def read_checkpoint(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str
 def write_scores(df: DataFrame, path: str) -> DataFrame:
     """Write text and score as JSON lines, one per distinct text."""
     scores = df.select("text", "score").dropDuplicates(["text"])
-    scores.write.mode("overwrite").json(path)
+    publish(df.sparkSession, path, scores.write.json)
     return df.sparkSession.read.schema(scores.schema).json(path)
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 _local: dict[str, str] = {}  # folder by application
 
@@ -41,12 +43,40 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
-def stored_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
-    """Path, size and time of change of the files at ``path``, or below it."""
-    target, files = _path(spark, path)
-    found = files.listFiles(target, True)
-    out = []
-    while found.hasNext():
-        status = found.next()
-        out.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
-    return out
+def move(spark: SparkSession, path: str, target: str) -> None:
+    source, files = _path(spark, path)
+    if not files.rename(source, _path(spark, target)[0]):
+        raise OSError(f"{path} could not be renamed to {target}")
+
+
+def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Have ``write`` fill a folder aside and put it at ``path``; what was there stays until then.
+
+    A write that fails or dies leaves the old output whole. Should the job die between
+    the two renames, both lie next to ``path``, each whole, as ``.new-`` and ``.old-`` folders.
+    """
+    target, mark = path.rstrip("/"), uuid.uuid4().hex
+    new, old = f"{target}.new-{mark}", f"{target}.old-{mark}"
+    try:
+        write(new)
+    except BaseException:
+        remove(spark, new)
+        raise
+    replaced = exists(spark, target)
+    if replaced:
+        move(spark, target, old)
+    try:
+        move(spark, new, target)
+    except BaseException:
+        if replaced:
+            move(spark, old, target)
+        raise
+    if replaced:
+        remove(spark, old)
+
+
+def files_digest(spark: SparkSession, path: str) -> str:
+    """A digest of the paths, sizes and times of change of the files at ``path`` or below it; Spark lists and adds up."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    sums = [F.sum(F.xxhash64("path", "length", "modificationTime", F.lit(seed)).cast("decimal(38,0)")) for seed in (1, 2)]
+    return repr(tuple(files.select("path", "length", "modificationTime").agg(F.count("*"), *sums).first()))

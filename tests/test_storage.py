@@ -1,9 +1,11 @@
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from sampleflow.operators.embeddings import vector_statistics
 from sampleflow.operators.sampling import preview_generate, sample_fanout
 from sampleflow.sources import sinks
 from sampleflow.sources.storage import work_dir
@@ -159,3 +161,32 @@ def test_stateless_operators_accept_a_stream(spark, folder):
 
     got = incremental_save(stream, whole, f"{folder}/out", f"{folder}/state").collect()
     assert len(got) == 20 and all(r.box == r.q for r in got)
+
+
+def test_a_failing_write_leaves_the_old_table(spark, folder):
+    """The output changes only once the new one is whole, and nothing else is left behind."""
+    path = f"{folder}/table.parquet"
+    sinks.write_table(spark.range(10), path)
+    broken = spark.range(100).select(F.when(F.col("id") == 77, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).alias("id"))
+    for write in (sinks.write_table, sinks.write_scores):
+        with pytest.raises(Exception):
+            rows = broken if write is sinks.write_table else broken.select(F.col("id").cast("string").alias("text"), F.lit(1.0).alias("score"))
+            write(rows, path)
+        assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(10))
+    assert [p.name for p in Path(folder).iterdir() if "table" in p.name] == ["table.parquet"]
+    # A table can be replaced by what is read from it.
+    assert sinks.write_table(spark.read.parquet(path).where("id < 3"), path).count() == 3
+
+
+def test_vector_moments(spark):
+    """Vectors of several lengths, with nulls, against numpy; no row is exploded."""
+    rng = np.random.default_rng(3)
+    rows = [[float(v) + 1e6 for v in rng.normal(size=n)] for n in (3, 3, 3, 5, 1, 8, 8)] + [[], None, [None, 1e6], [None]]
+    df = spark.createDataFrame([(r,) for r in rows], "embedding ARRAY<DOUBLE>")
+    got = vector_statistics(df)
+    flat = np.array([v for r in rows if r for v in r if v is not None])
+    row = got.first()
+    assert (row.vectors, row.dim) == (9, 8) and "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert np.allclose([row.mean, row.std, row.min, row.max], [flat.mean(), flat.std(), flat.min(), flat.max()], rtol=1e-9)
+    empty = vector_statistics(df.limit(0)).first()
+    assert (empty.vectors, empty.mean, empty.std) == (0, None, None)
