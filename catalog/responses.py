@@ -10,6 +10,8 @@ from sampleflow.operators import evaluate
 from sampleflow.operators import responses as ops
 from sampleflow.operators.ordering import FileOrder, HashOrder, KeyOrder, with_row_pos
 from sampleflow.operators.sampling import sample_fanout
+from sampleflow.sources import sinks, tables
+from sampleflow.sources.storage import work_dir
 
 TURNS = KeyOrder(("conv_id", "turn"))
 
@@ -174,6 +176,24 @@ def join_embedding(spark, sf):
     return joined.select("doc_id", "text", first.alias("first"), last.alias("last"))
 
 
+@register(
+    "WITH"
+    + _VECTORS
+    + """
+    SELECT doc_id, text, CAST(embedding[1] AS DOUBLE) AS first, CAST(embedding[-1] AS DOUBLE) AS last
+    FROM documents JOIN v USING (text)
+"""
+)
+def join_embedding_buckets(spark, sf):
+    """The same from vectors in buckets: they stay where they are stored."""
+    path = work_dir(spark, "buckets")
+    sinks.write_embedding_buckets(text_vectors(spark, sf), path, buckets=8)
+    rows = documents(spark, sf).select("doc_id", "text")
+    joined = evaluate.join_embedding(rows, tables.read_embedding_buckets(spark, path), "text", strict=False)
+    first, last = (F.element_at("embedding", i).cast("double") for i in (1, -1))
+    return joined.select("doc_id", "text", first.alias("first"), last.alias("last"))
+
+
 @register(
     "WITH m AS ("
     + _MATCH.format(problem="d.text")

@@ -60,15 +60,26 @@ def join_embedding(
 
     ``embeddings`` has ``text`` and ``embedding``; chat-form texts are unwrapped
     first when ``wrapped`` is set.  A text without a vector makes a strict join
-    fail when it runs; otherwise its rows are left out.
+    fail when it runs; otherwise its rows are left out.  Embeddings read from buckets
+    (``read_embedding_buckets``) are joined by their digests there: only ``df`` moves,
+    and texts are compared where digests match.
     """
-    key = chat_unwrap("text") if wrapped else F.col("text")
-    vectors = embeddings.select(key.alias(text), "embedding")
+    if "text_key" in embeddings.columns:
+        vectors = embeddings.select("text_key", F.col("text").alias("_text"), "embedding")
+        how = "left" if strict else "inner"
+        rows = df.withColumn("_key", F.md5(F.col(text)))
+        # Two comparisons: an equation would be a key beside the buckets' own, and make the vectors move.
+        same = (F.col(text) <= F.col("_text")) & (F.col(text) >= F.col("_text"))
+        joined = rows.join(vectors, (F.col("_key") == F.col("text_key")) & same, how)
+        joined = joined.drop("_key", "text_key", "_text")
+    else:
+        key = chat_unwrap("text") if wrapped else F.col("text")
+        joined = df.join(embeddings.select(key.alias(text), "embedding"), text, "left" if strict else "inner")
     if not strict:
-        return df.join(vectors, text)
+        return joined
     missing = F.raise_error(F.concat(F.lit("no embedding for: "), F.coalesce(text, F.lit("null"))))
     checked = F.when(F.col("embedding").isNull(), missing).otherwise(F.col("embedding"))
-    return df.join(vectors, text, "left").withColumn("embedding", checked)
+    return joined.withColumn("embedding", checked)
 
 
 def training_set(rates: DataFrame, embeddings: DataFrame, problem: str = "problem", **options) -> DataFrame:

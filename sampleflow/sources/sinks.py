@@ -9,7 +9,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampleflow.sources.storage import exists, publish, remove
+from sampleflow.functions.prompts import chat_unwrap
+from sampleflow.sources.storage import bucket_table, exists, publish, remove
 from sampleflow.spec import SplitOptions
 
 
@@ -139,3 +140,20 @@ def write_embeddings(df: DataFrame, path: str) -> DataFrame:
     """Write text and vector pairs."""
     vectors = F.col("embedding").cast("array<float>").alias("embedding")
     return write_table(df.select("text", vectors), path)
+
+
+def write_embedding_buckets(df: DataFrame, path: str, buckets: int, wrapped: bool = False) -> DataFrame:
+    """Write text and vector pairs in ``buckets`` by a digest of the text, for joins that leave the vectors where they are.
+
+    ``wrapped`` texts are in chat form: the digest is of the text inside. ``read_embedding_buckets``
+    finds the table again, in any session.
+    """
+    spark = df.sparkSession
+    inner = chat_unwrap("text") if wrapped else F.col("text")
+    rows = df.select(F.md5(inner).alias("text_key"), inner.alias("text"), F.col("embedding").cast("array<float>").alias("embedding"))
+    name = bucket_table(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    writer = rows.repartition(buckets, "text_key").write.mode("overwrite").format("parquet")
+    writer.option("path", path).bucketBy(buckets, "text_key").sortBy("text_key").saveAsTable(name)
+    publish(spark, f"{path.rstrip('/')}.buckets", spark.range(1).select(F.lit(str(buckets)).alias("value")).write.text)
+    return spark.table(name)

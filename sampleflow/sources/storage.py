@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
@@ -80,3 +81,8 @@ def files_digest(spark: SparkSession, path: str) -> str:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     sums = [F.sum(F.xxhash64("path", "length", "modificationTime", F.lit(seed)).cast("decimal(38,0)")) for seed in (1, 2)]
     return repr(tuple(files.select("path", "length", "modificationTime").agg(F.count("*"), *sums).first()))
+
+
+def bucket_table(path: str) -> str:
+    """The table name under which a session knows the buckets at ``path``."""
+    return f"buckets_{hashlib.md5(path.rstrip('/').encode()).hexdigest()}"

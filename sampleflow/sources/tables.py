@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sampleflow.operators.ordering import FILE_COLUMNS
+from sampleflow.sources.storage import bucket_table
 
 
 def scan_prompts(
@@ -51,3 +52,14 @@ def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
     """Text and vector pairs as ``write_embeddings`` stores them."""
     df = scan_prompts(spark, path)
     return check_columns(df, "text", ["embedding"]).select("text", "embedding")
+
+
+def read_embedding_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """``text_key``, ``text`` and ``embedding`` as ``write_embedding_buckets`` stores them, with their buckets."""
+    name, buckets = bucket_table(path), int(spark.read.text(f"{path.rstrip('/')}.buckets").first().value)
+    place = path.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} (text_key STRING, text STRING, embedding ARRAY<FLOAT>) USING parquet "
+        f"CLUSTERED BY (text_key) SORTED BY (text_key) INTO {buckets} BUCKETS LOCATION '{place}'"
+    )
+    return spark.table(name)

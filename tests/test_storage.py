@@ -6,10 +6,11 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from sampleflow.operators.embeddings import vector_statistics
+from sampleflow.operators.evaluate import join_embedding
 from sampleflow.operators.sampling import preview_generate, sample_fanout
 from sampleflow.sources import sinks
-from sampleflow.sources.storage import work_dir
-from sampleflow.sources.tables import read_embeddings, scan_prompts
+from sampleflow.sources.storage import bucket_table, work_dir
+from sampleflow.sources.tables import read_embedding_buckets, read_embeddings, scan_prompts
 from sampleflow.spec import SplitOptions
 from sampleflow.streaming.incremental import incremental_save, read_prompt_stream, stage_prompts
 
@@ -190,3 +191,25 @@ def test_vector_moments(spark):
     assert np.allclose([row.mean, row.std, row.min, row.max], [flat.mean(), flat.std(), flat.min(), flat.max()], rtol=1e-9)
     empty = vector_statistics(df.limit(0)).first()
     assert (empty.vectors, empty.mean, empty.std) == (0, None, None)
+
+
+def test_vectors_in_buckets_stay(spark, folder):
+    """The same rows as a plain join, and only the prompts are shuffled."""
+    vectors = spark.range(500).select(F.format_string("p%d", "id").alias("text"), F.array(F.col("id").cast("float")).alias("embedding"))
+    sinks.write_embedding_buckets(vectors, f"{folder}/v", 8)
+    spark.sql(f"DROP TABLE {bucket_table(f'{folder}/v')}")  # as in a new session
+    stored = read_embedding_buckets(spark, f"{folder}/v")
+    rows = spark.range(0, 900, 3).select(F.format_string("p%d", F.col("id") % 700).alias("problem"), "id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = join_embedding(rows, stored, strict=False)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        want = join_embedding(rows, vectors, strict=False)
+        pick = lambda df: sorted((r.id, r.problem, r.embedding) for r in df.collect())
+        assert pick(got) == pick(want)
+        with pytest.raises(Exception, match="no embedding for"):
+            join_embedding(rows, stored).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
