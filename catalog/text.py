@@ -101,7 +101,7 @@ def batch_hash(spark, sf):
 def batch_hash_struct(spark, sf):
     events = spark.read.parquet(f"{sf}/events.parquet")
     record = F.from_json("props", "k INT")
-    return events.select("event_id", text.batch_hash_struct(record).alias("batch"))
+    return events.select("event_id", text.batch_hash_struct(record, "k INT").alias("batch"))
 
 
 @register("""

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sampleflow.functions.text import clean_text
+from sampleflow.functions.text import clean_text, let
 
 BOX = "\\boxed{"
 
@@ -37,11 +35,6 @@ def normal_answer(answer: Column) -> Column:
     return clean_text(F.replace(answer, F.lit("$"), F.lit("")))
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)``, with the value worked out once however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _finite(text: Column) -> Column:
     """Digits as a finite double; words a cast would also take (NaN, 1d) are not numbers here."""
     value = F.when(F.rlike(text, F.lit(_NUMBER)), text.try_cast("double"))
@@ -57,34 +50,130 @@ def _exact(text: Column) -> Column:
     return F.when(F.rlike(text, F.lit(_PLAIN)), signed)
 
 
+#: Digits in a limb of a long product.
+_LIMB = 6
+
+
+def _times(a: Column, b: Column) -> Column:
+    """The product of two digit texts, of any length; its work grows with the product of their lengths."""
+
+    def limbs(text: Column) -> Column:
+        n = F.ceil(F.length(text) / _LIMB).cast("int")
+        padded = F.lpad(text, n * _LIMB, "0")
+        return F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(padded, (n - i) * _LIMB + 1, F.lit(_LIMB)).cast("long"))
+
+    def summed(pair: Column) -> Column:
+        x, y = pair["x"], pair["y"]
+        n, m = F.size(x), F.size(y)
+
+        def place(k: Column) -> Column:
+            ways = F.sequence(F.greatest(F.lit(0), k - m + 1), F.least(k, n - 1))
+            return F.aggregate(ways, F.lit(0).cast("long"), lambda sum_, i: sum_ + F.get(x, i) * F.get(y, k - i))
+
+        places = F.transform(F.sequence(F.lit(0), n + m - 2), place)
+        start = F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("over"))
+
+        def carried(done: Column, value: Column) -> Column:
+            total = done["over"] + value
+            digits = F.lpad((total % 10**_LIMB).cast("string"), _LIMB, "0")
+            return F.struct(
+                F.concat(digits, done["text"]).alias("text"), F.call_function("div", total, F.lit(10**_LIMB)).alias("over")
+            )
+
+        whole = F.aggregate(places, start, carried, lambda done: F.concat(done["over"].cast("string"), done["text"]))
+        return F.regexp_replace(whole, r"^0+(?=\d)", "")
+
+    short = (a.cast("long") * b.cast("long")).cast("string")
+    long = let(F.struct(limbs(a).alias("x"), limbs(b).alias("y")), summed)
+    return F.when(F.length(a) + F.length(b) <= 18, short).otherwise(long)
+
+
+# How fractions are spelled, with at most one fraction inside each part.
+_INNER = r"^([+-]?)\\[dt]?frac\{([^{}]+)\}\{([^{}]+)\}$"
+_OUTER = r"^([+-]?)\\[dt]?frac\{((?:[^{}]|\{[^{}]*\})+)\}\{((?:[^{}]|\{[^{}]*\})+)\}$"
+
+
+def _spelled(text: Column) -> Column:
+    """``a/b`` for a fraction without fractions inside, with the sign before ``a``; other texts as they are."""
+    return F.regexp_replace(text, _INNER, "$1$2/$3")
+
+
+def _numbers(text: Column) -> Column:
+    """The four numbers of ``(a/b)/(c/d)`` with what is not there as 1, and a sign; not all plain if the text is no fraction."""
+    outer = F.rlike(text, F.lit(_OUTER)) & ~F.rlike(text, F.lit(_INNER))
+    top = _spelled(F.when(outer, F.regexp_extract(text, _OUTER, 2)).otherwise(text))
+    bottom = _spelled(F.when(outer, F.regexp_extract(text, _OUTER, 3)).otherwise(F.lit("1")))
+
+    def halves(part: Column) -> Column:
+        return F.when(F.contains(part, F.lit("/")), F.split(part, "/", -1)).otherwise(F.array(part, F.lit("1")))
+
+    sign = F.when(outer & text.startswith("-"), F.lit("-1")).otherwise(F.lit("1"))
+    return F.concat(halves(top), halves(bottom), F.array(sign))
+
+
+def _ratio(n: Column) -> Column:
+    """Struct ``minus``, ``top``, ``bottom`` (lists of digits to multiply) of four numbers and a sign; null if one is not plain or divides as 0."""
+    a, b, c, d = (F.get(n, F.lit(i)) for i in range(4))
+
+    def digits(text: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(text, r"[+.-]", ""), r"^0+(?=\d)", "")
+
+    def shifted(text: Column, *others: Column) -> Column:
+        """Zeros for the places that the other side of the fraction has after its points."""
+        places = sum((F.length(F.regexp_extract(o, r"\.(\d*)$", 1)) for o in others[1:]), F.length(F.regexp_extract(others[0], r"\.(\d*)$", 1)))
+        number = digits(text)
+        return F.when(number == "0", number).otherwise(F.concat(number, F.repeat(F.lit("0"), places)))
+
+    zero = digits(a) == "0"
+    minus = (F.size(F.filter(n, lambda x: x.startswith("-"))) % 2 == 1) & ~zero
+    plain = (F.size(n) == 5) & F.forall(n, lambda x: F.rlike(x, F.lit(_PLAIN)))
+    defined = (digits(b) != "0") & (digits(c) != "0") & (digits(d) != "0")
+    top, bottom = F.array(shifted(a, b, c), digits(d)), F.array(shifted(b, a, d), digits(c))
+    ratio = F.struct(minus.alias("minus"), top.alias("top"), bottom.alias("bottom"))
+    return F.when(plain & defined, ratio)
+
+
 def answer_number(normal: Column) -> Column:
     """The number a normalised answer spells: plain, with thousands commas, or a fraction.
 
     ``exact`` is the spelling of a plain number without what does not count, however
-    long; ``near`` is the closest double, null if it would not be finite.
+    long; ``ratio`` a plain number or fraction (``a/b``, ``\\frac{a}{b}``, with fractions of
+    plain numbers inside) as sign and factors of its two parts, not reduced; ``near`` is the
+    closest double, null if it would not be finite.
     """
 
-    def read(digits: Column) -> Column:
-        spelled = F.regexp_replace(digits, r"^(-?)\\[dt]?frac\{([^{}]+)\}\{([^{}]+)\}$", "$1$2/$3")
-
-        def divided(parts: Column) -> Column:
-            over = F.try_divide(_finite(F.get(parts, F.lit(0))), _finite(F.get(parts, F.lit(1))))
-            return F.when(F.size(parts) == 2, over)
-
-        fraction = F.when(F.rlike(digits, F.lit(r"[/\\]")), _let(F.split(spelled, "/", -1), divided))
-        return F.struct(_exact(digits).alias("exact"), F.coalesce(_finite(digits), fraction).alias("near"))
+    def valued(at: Column) -> Column:
+        numbers = F.slice(at["numbers"], 1, 4)
+        x = [_finite(F.get(numbers, F.lit(i))) for i in range(4)]
+        over = F.try_divide(F.try_divide(x[0], x[1]), F.try_divide(x[2], x[3])) * F.get(at["numbers"], F.lit(4)).cast("double")
+        over = F.when((F.size(at["numbers"]) == 5) & (F.abs(over) < float("inf")), over)
+        near = F.coalesce(_finite(at["digits"]), over)
+        return F.struct(_exact(at["digits"]).alias("exact"), _ratio(at["numbers"]).alias("ratio"), near.alias("near"))
 
     grouped = F.when(F.rlike(normal, F.lit(_GROUPED)), F.replace(normal, F.lit(","), F.lit(""))).otherwise(normal)
-    return _let(grouped, read)
+    read = let(grouped, lambda t: F.struct(t.alias("digits"), _numbers(t).alias("numbers")))
+    return let(read, valued)
 
 
 def same_answer(text: Column, number: Column, gold_text: Column, gold_number: Column) -> Column:
     """Whether two normalised answers, with the numbers they spell, say the same.
 
-    Plain numbers are compared digit by digit; doubles decide only for fractions and powers of ten.
+    Plain numbers are compared digit by digit, fractions by their cross products, both exactly;
+    doubles decide only where a power of ten is spelled with an exponent.
     """
-    both = F.coalesce(number["exact"].isNotNull() & gold_number["exact"].isNotNull(), F.lit(False))
-    same = F.when(both, number["exact"] == gold_number["exact"]).otherwise(number["near"] == gold_number["near"])
+
+    def both(name: str) -> Column:
+        return number[name].isNotNull() & gold_number[name].isNotNull()
+
+    a, b = number["ratio"], gold_number["ratio"]
+    sides = F.array(F.concat(a["top"], b["bottom"]), F.concat(b["top"], a["bottom"]))
+    products = F.transform(sides, lambda factors: F.aggregate(factors, F.lit("1"), _times))
+    crossed = (a["minus"] == b["minus"]) & (F.size(F.array_distinct(products)) == 1)
+    same = (
+        F.when(both("exact"), number["exact"] == gold_number["exact"])
+        .when(both("ratio"), crossed)
+        .otherwise(number["near"] == gold_number["near"])
+    )
     return F.coalesce(text == gold_text, F.lit(False)) | F.coalesce(same, F.lit(False))
 
 
@@ -93,10 +182,10 @@ def answer_match(answer: Column | str, gold: Column | str) -> Column:
 
     def forms(value: Column | str) -> Column:
         text = normal_answer(F.col(value) if isinstance(value, str) else value)
-        return _let(text, lambda t: F.struct(t.alias("text"), answer_number(t).alias("number")))
+        return let(text, lambda t: F.struct(t.alias("text"), answer_number(t).alias("number")))
 
     def same(pair: Column) -> Column:
         a, g = pair["a"], pair["g"]
         return same_answer(a["text"], a["number"], g["text"], g["number"])
 
-    return _let(F.struct(forms(answer).alias("a"), forms(gold).alias("g")), same)
+    return let(F.struct(forms(answer).alias("a"), forms(gold).alias("g")), same)
