@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.ml.functions import predict_batch_udf
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sampleflow.functions.prompts import USER_END, USER_START, chat_wrap
-from sampleflow.operators.ordering import shuffle_partitions
 from sampleflow.operators.select import distinct_texts
 
 # Opens a model; the model turns an array of texts into a matrix of vectors.
 ModelFactory = Callable[[], Callable[[np.ndarray], np.ndarray]]
 
 
+def _alike(lengths: np.ndarray, batch_size: int, batch_chars: int) -> list[slice]:
+    """Runs of sorted lengths with at most ``batch_size`` rows whose padded size stays within ``batch_chars``; a longer text alone."""
+    cuts, start = [], 0
+    for i, n in enumerate(lengths):
+        if i > start and (i - start == batch_size or (i - start + 1) * n > batch_chars):
+            cuts.append(slice(start, i))
+            start = i
+    return [*cuts, slice(start, len(lengths))] if len(lengths) else []
+
+
 def embed_texts(
     df: DataFrame,
     column: str,
@@ -25,17 +33,34 @@ def embed_texts(
     prefix: str | None = USER_START,
     suffix: str = USER_END,
     batch_size: int = 64,
+    batch_chars: int = 65_536,
     partitions: int | None = None,
 ) -> DataFrame:
     """Distinct texts of a column in chat form, each with its vector.
 
-    The model is the costly step, so the texts are spread over ``partitions`` tasks
-    (by default as many as a shuffle has), however small they are.
+    The one shuffle is that of the distinct texts; each task then sorts its texts by length
+    and gives the model batches of like lengths: at most ``batch_size`` texts and, padded to
+    the longest, ``batch_chars`` characters (a longer text goes alone).  ``partitions`` asks
+    for so many tasks, at the price of a second shuffle.  The model is opened once a task.
     """
-    embed = predict_batch_udf(factory, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
     wrapped = distinct_texts(df, column).select(chat_wrap(column, prefix, suffix).alias("text"))
-    wrapped = wrapped.repartition(partitions or shuffle_partitions(df), "text")
-    return wrapped.withColumn("embedding", embed("text"))
+    if partitions:
+        wrapped = wrapped.repartition(partitions, "text")
+
+    def embedded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = None
+        for frame in frames:
+            model = model or factory()
+            texts = frame["text"].to_numpy(dtype=object)
+            lengths = np.fromiter((len(t or "") for t in texts), dtype=np.int64, count=len(texts))
+            for batch in _alike(lengths, batch_size, batch_chars):
+                found = np.asarray(model(texts[batch]), dtype=np.float32)
+                if len(found) != batch.stop - batch.start:
+                    raise ValueError(f"{batch.stop - batch.start} texts, but {len(found)} vectors")
+                yield pd.DataFrame({"text": texts[batch], "embedding": list(found)})
+
+    ordered = wrapped.sortWithinPartitions(F.length("text"), "text")
+    return ordered.mapInPandas(embedded, "text string, embedding array<float>")
 
 
 def vector_statistics(df: DataFrame, column: str = "embedding") -> DataFrame:

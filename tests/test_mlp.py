@@ -159,3 +159,25 @@ def test_from_answers_to_scores(spark):
     assert result.rates.count() == 40 and result.embeddings.count() == 40
     scores = score_prompts(rows, "problem", counting_model, result.trained.best).collect()
     assert len(scores) == 40 and all(0 < s.score < 1 and s.text.endswith("<think>\n\n") for s in scores)
+
+
+def seen_model():
+    """Each text's vector tells how many texts came with it, and the longest of them."""
+    return lambda texts: np.array([[len(texts), max(len(t) for t in texts)] for _ in texts], dtype=np.float32)
+
+
+def test_embed_batches_of_like_lengths(spark):
+    texts = ["x" * (n % 97 * 10 + 1) + str(n) for n in range(900)] + ["y" * 5000, "z" * 20_000]
+    df = spark.createDataFrame([(t,) for t in texts + texts[:50]], "q STRING")
+    got = embed_texts(df, "q", seen_model, prefix=None, batch_size=16, batch_chars=4000)
+    rows = got.collect()
+    assert sorted(r.text for r in rows) == sorted(texts)
+    assert all(r.embedding[0] <= 16 and (r.embedding[0] * r.embedding[1] <= 4000 or r.embedding[0] == 1) for r in rows)
+    padded, real = sum(r.embedding[1] for r in rows), sum(map(len, texts))
+    mixed = np.random.default_rng(1).permutation([len(t) for t in texts])
+    assert padded < 1.15 * real < sum(16 * max(mixed[i : i + 16]) for i in range(0, len(mixed), 16)) / 1.5
+    plan = got.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange round" not in plan
+    assert embed_texts(df.where("false"), "q", seen_model).collect() == []
+    again = embed_texts(df, "q", seen_model, prefix=None, partitions=3)
+    assert again.rdd.getNumPartitions() == 3 and again.count() == len(texts)
