@@ -121,20 +121,22 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
 
 
-def _url_sql(rules: tuple[Rule, ...], depth: int = 4, variable: int = 20) -> str:
-    """The whole of ``url_verdicts`` by its default options."""
+def _url_sql(rules: tuple[Rule, ...], depth: int = 4, least: int = 6) -> str:
+    """The whole of ``url_verdicts`` by its default options, for labelled URLs of up to ``depth`` segments (two on the given tables)."""
     cases = " ".join(
         f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.name} {r.verdict}'"
         for r in sorted(rules, key=lambda r: (-len(r.name), r.name))
     )
     levels = "".join(
         f"""
-    kinds{d} AS (SELECT host, t, segs[{d + 1}] AS seg FROM r{d} WHERE len(segs) > {d} GROUP BY ALL),
-    wide{d} AS (SELECT host, t FROM kinds{d} GROUP BY ALL HAVING count(*) > {variable}),
+    named{d} AS (
+        SELECT host, t, segs[{d + 1}] AS seg FROM r{d} WHERE len(segs) > {d} AND found IS NOT NULL
+        GROUP BY ALL HAVING count(*) >= {least}
+    ),
     r{d + 1} AS (
         SELECT r.* EXCLUDE (t), CASE WHEN len(segs) <= {d} THEN r.t
-            ELSE r.t || '/' || CASE WHEN w.t IS NULL THEN segs[{d + 1}] ELSE '*' END END AS t
-        FROM r{d} r LEFT JOIN wide{d} w ON r.host = w.host AND r.t = w.t
+            ELSE r.t || '/' || CASE WHEN n.t IS NULL THEN '*' ELSE segs[{d + 1}] END END AS t
+        FROM r{d} r LEFT JOIN named{d} n ON r.host = n.host AND r.t = n.t AND segs[{d + 1}] = n.seg
     ),"""
         for d in range(depth)
     )
@@ -156,28 +158,43 @@ def _url_sql(rules: tuple[Rule, ...], depth: int = 4, variable: int = 20) -> str
     ),{levels}
     judged AS (
         SELECT page_id, host, path, string_split(found, ' ')[1] AS rule, string_split(found, ' ')[2] AS verdict,
-            CASE WHEN len(segs) > {depth} THEN t || '/**' ELSE t END AS template
+            t || repeat('/*', greatest(len(segs) - {depth}, 0)) AS template
         FROM r{depth}
     ),
     stats AS (
-        SELECT host, template, len(string_split(template, '/')) AS depth, count(verdict) AS n,
-            count(*) FILTER (verdict = 'block') AS bad
+        SELECT host, template, string_split(template, '/') AS parts, count(verdict) AS n,
+            count(*) FILTER (verdict = 'block') AS bad, count(*) AS total
         FROM judged GROUP BY host, template
     ),
     neighbours AS (
         SELECT *, lag(n) OVER s AS n0, lag(bad) OVER s AS bad0
-        FROM stats WINDOW s AS (PARTITION BY host, depth, n > 0 ORDER BY (bad + 2.0::DOUBLE) / (n + 4.0::DOUBLE), template)
+        FROM stats WHERE n > 0 WINDOW s AS (PARTITION BY host, len(parts) ORDER BY bad / n, template)
     ),
     runs AS (
-        SELECT *, sum(CASE WHEN n0 IS NULL OR n = 0 THEN 1 WHEN abs(bad / n - bad0 / n0)
+        SELECT *, sum(CASE WHEN n0 IS NULL THEN 1 WHEN abs(bad / n - bad0 / n0)
                 > 2 * sqrt(((bad + bad0) / (n + n0)) * (1 - (bad + bad0) / (n + n0)) * (1 / n + 1 / n0)) THEN 1 ELSE 0 END) OVER s AS run
-        FROM neighbours WINDOW s AS (PARTITION BY host, depth, n > 0 ORDER BY (bad + 2.0::DOUBLE) / (n + 4.0::DOUBLE), template)
+        FROM neighbours WINDOW s AS (PARTITION BY host, len(parts) ORDER BY bad / n, template)
+    ),
+    nodes AS (
+        SELECT host, template, n, bad, total, level, array_to_string(parts[1:level], '/') AS node
+        FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS level FROM stats)
+    ),
+    above AS (SELECT host, node, sum(n) AS n, sum(bad) AS bad, sum(total) AS total FROM nodes GROUP BY host, node HAVING sum(n) > 0),
+    counted AS (
+        SELECT host, template, min(template) OVER b AS branch, sum(n) OVER b AS n, sum(bad) OVER b AS bad, sum(total) OVER b AS total
+        FROM runs WINDOW b AS (PARTITION BY host, len(parts), run)
+        UNION ALL
+        SELECT s.host, s.template, coalesce(arg_max(a.node, level), s.template), coalesce(arg_max(a.n, level), 0),
+            coalesce(arg_max(a.bad, level), 0), coalesce(arg_max(a.total, level), 0)
+        FROM nodes s LEFT JOIN above a ON s.host = a.host AND s.node = a.node
+        WHERE s.n = 0 AND (a.n > 0 OR level = 1) GROUP BY s.host, s.template
     ),
     branches AS (
-        SELECT host, template, min(template) OVER b AS branch, (sum(bad) OVER b + 2.0::DOUBLE) / (sum(n) OVER b + 4.0::DOUBLE) AS purity
-        FROM runs WINDOW b AS (PARTITION BY host, depth, n > 0, run)
+        SELECT host, template, branch, n::BIGINT AS evidence,
+            (bad + 0.5::DOUBLE * (4 + 0.5::DOUBLE * (total - n))) / (n + (4 + 0.5::DOUBLE * (total - n))) AS purity
+        FROM counted
     )
-    SELECT page_id, host, path, rule, template, branch, purity,
+    SELECT page_id, host, path, rule, template, branch, purity, evidence,
         coalesce(verdict, CASE WHEN purity >= 0.8::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict
     FROM judged JOIN branches USING (host, template)
     """

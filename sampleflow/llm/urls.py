@@ -48,82 +48,117 @@ def segments(path: Column) -> Column:
     return F.transform(parts, lambda s: F.regexp_replace(F.regexp_replace(s, r"\.[A-Za-z]{1,5}\z", ""), r"^[0-9]+\z", "*"))
 
 
-def _generalised(rows: DataFrame, depth: int, variable: int) -> DataFrame:
-    """``rows`` (``host``, ``segs``) with ``template``: from the root down, a segment is ``*`` where its parent has more than ``variable`` kinds."""
+def _generalised(rows: DataFrame, least: int) -> DataFrame:
+    """``rows`` (``host``, ``segs``, ``bad``) with ``template``: from the root down, a segment with fewer than ``least`` labels below its parent is ``*``.
+
+    ``bad`` is null without a label. Rows without one never change a template.
+    """
+    labelled = rows.where("bad IS NOT NULL")
+    # Below the depth that ``least`` labelled rows reach, no segment can have as many.
+    longest = labelled.select(F.size("segs").alias("n")).orderBy(F.desc("n")).limit(least)
+    reached = longest.agg(F.count("*").alias("rows"), F.min("n").alias("n")).first()
+    levels = reached.n if reached.rows == least else 0
     rows = rows.withColumn("template", F.lit(""))
-    for level in range(depth):
+    for level in range(levels):
         here = F.get("segs", F.lit(level))
-        kinds = rows.where(here.isNotNull()).groupBy("host", "template", here.alias("seg")).count()
-        wide = kinds.groupBy("host", "template").agg(F.count("*").alias("kinds")).where(F.col("kinds") > variable)
-        wide = small(kept(wide.select("host", "template", F.lit(True).alias("wide")), "wide"))
-        step = F.concat("template", F.lit("/"), F.when(F.col("wide"), F.lit("*")).otherwise(here))
-        rows = rows.join(wide, ["host", "template"], "left").withColumn(
-            "template", F.when(here.isNull(), F.col("template")).otherwise(step)
-        ).drop("wide")
-    deeper = F.size("segs") > depth
-    return rows.withColumn("template", F.when(deeper, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
+        named = rows.where(here.isNotNull() & F.col("bad").isNotNull()).groupBy("host", "template", here.alias("_here")).count()
+        named = named.where(F.col("count") >= least).select("host", "template", "_here", F.lit(True).alias("named"))
+        rows = rows.withColumn("_here", here).join(small(kept(named, "named")), ["host", "template", "_here"], "left")
+        step = F.concat("template", F.lit("/"), F.when(F.col("named"), F.col("_here")).otherwise(F.lit("*")))
+        rows = rows.withColumn("template", F.when(F.col("_here").isNull(), F.col("template")).otherwise(step)).drop("named", "_here")
+    return rows.withColumn("template", F.concat("template", F.repeat(F.lit("/*"), F.greatest(F.size("segs") - levels, F.lit(0)))))
 
 
-def _purity(bad: Column, labelled: Column, prior: float, weight: float) -> Column:
-    return (bad + prior * weight) / (labelled + weight)
+@dataclass(frozen=True)
+class _Smoothing:
+    prior: float
+    weight: float
+    doubt: float
+
+    def purity(self, bad: Column, labelled: Column, rows: Column) -> Column:
+        """Share of bad labels, with ``weight`` labels more and ``doubt`` of one for each row without a label, of which ``prior`` are bad."""
+        more = self.weight + self.doubt * (rows - labelled)
+        return (bad + self.prior * more) / (labelled + more)
 
 
-def judged_templates(stats: DataFrame, z: float, prior: float, weight: float) -> DataFrame:
-    """``host``, ``template``, ``branch``, ``purity`` from each template's ``labelled`` and ``bad`` counts.
+def judged_templates(stats: DataFrame, z: float, smoothing: _Smoothing) -> DataFrame:
+    """``host``, ``template``, ``branch``, ``purity``, ``evidence`` from each template's ``labelled``, ``bad`` and ``rows`` counts.
 
     Labelled templates of a host with as many segments stand in order of their share of
-    bad labels; neighbours whose shares differ by less than ``z`` standard errors are
-    merged into one branch, named by its smallest template. The purity is a branch's share
-    of bad labels, smoothed by ``weight`` labels of which ``prior`` are bad.
+    bad labels, then by name; neighbours whose shares differ by less than ``z`` standard
+    errors are merged into one branch, named by its smallest template. A template without
+    labels takes the nearest node above it that has labels below it, down to the host
+    itself (``branch`` is empty); on a host without labels it stands alone. ``evidence`` is
+    the number of labels that speak.
     """
     depth = F.size(F.split("template", "/"))
-    siblings = Window.partitionBy("host", depth, F.col("labelled") > 0).orderBy(_purity(F.col("bad"), F.col("labelled"), prior, weight), "template")
+    labelled = stats.where("labelled > 0").withColumn("depth", depth)
+    siblings = Window.partitionBy("host", "depth").orderBy(F.col("bad") / F.col("labelled"), "template")
     before = lambda c: F.lag(c).over(siblings)
-    both, all_bad = F.col("labelled") + before("labelled"), F.col("bad") + before("bad")
-    share = all_bad / both
+    share = (F.col("bad") + before("bad")) / (F.col("labelled") + before("labelled"))
     error = F.sqrt(share * (1 - share) * (1 / F.col("labelled") + 1 / before("labelled")))
     apart = F.abs(F.col("bad") / F.col("labelled") - before("bad") / before("labelled"))
-    new = F.when(before("template").isNull() | (F.col("labelled") == 0), F.lit(1)).otherwise((apart > z * error).cast("int"))
-    found = stats.withColumn("new", new).withColumn("run", F.sum("new").over(siblings)).withColumn("depth", depth)
-    branch = Window.partitionBy("host", "depth", F.col("labelled") > 0, "run")
-    purity = _purity(F.sum("bad").over(branch), F.sum("labelled").over(branch), prior, weight)
-    return found.select("host", "template", F.min("template").over(branch).alias("branch"), purity.alias("purity"))
+    new = F.when(before("template").isNull(), F.lit(1)).otherwise((apart > z * error).cast("int"))
+    found = labelled.withColumn("new", new).withColumn("run", F.sum("new").over(siblings))
+    branch = Window.partitionBy("host", "depth", "run")
+    total = lambda c: F.sum(c).over(branch)
+    own = found.select(
+        "host", "template", F.min("template").over(branch).alias("branch"),
+        smoothing.purity(total("bad"), total("labelled"), total("rows")).alias("purity"), total("labelled").alias("evidence"),
+    )
+
+    parts = F.split("template", "/")
+    nodes = stats.withColumn("level", F.explode(F.sequence(F.lit(1), F.size(parts)))).withColumn(
+        "node", F.array_join(F.slice(parts, 1, F.col("level")), "/")
+    )
+    above = nodes.groupBy("host", "node").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"), F.sum("rows").alias("r")).where("n > 0")
+    value = F.struct(F.col("node").alias("branch"), smoothing.purity(F.col("b"), F.col("n"), F.col("r")).alias("purity"), F.col("n").alias("evidence"))
+    others = nodes.where("labelled = 0").join(above, ["host", "node"], "left").groupBy("host", "template").agg(
+        F.max_by(value, F.when(F.col("n") > 0, F.col("level"))).alias("found")
+    )
+    return own.unionByName(others.select(
+        "host", "template", F.coalesce("found.branch", "template").alias("branch"),
+        F.coalesce("found.purity", F.lit(smoothing.prior)).alias("purity"), F.coalesce("found.evidence", F.lit(0)).alias("evidence"),
+    ))
 
 
 def url_verdicts(
     pages: DataFrame,
     rules: tuple[Rule, ...],
-    depth: int = 4,
-    variable: int = 20,
+    least: int = 6,
     z: float = 2.0,
     reject: float = 0.8,
     prior: float = 0.5,
     weight: float = 4.0,
+    doubt: float = 0.5,
 ) -> DataFrame:
-    """``page_id``, ``host``, ``path``, ``rule``, ``template``, ``branch``, ``purity``, ``verdict`` for every row of ``pages``.
+    """``page_id``, ``host``, ``path``, ``rule``, ``template``, ``branch``, ``purity``, ``evidence``, ``verdict`` for every row of ``pages``.
 
     The longest rule that fits decides. It also labels the URL for the tree: block is
-    bad. Each host's paths are generalised into templates from the root down, similar
-    branches are merged, and URLs without a rule are blocked where the smoothed share of
-    bad labels of their branch is ``reject`` or more: by the defaults that takes six labels,
-    all bad. A URL that is null, or without ``://``, has an empty host and path, and is allowed.
-    A segment is generalised where its parent has more than ``variable`` kinds in the whole
-    input, so more input can change a host's verdicts; below ``depth`` segments all is one
-    template, ``/**``, whose branches are not told apart.
+    bad. Each host's paths are generalised into templates from the root down: a segment
+    keeps its name where at least ``least`` labelled URLs have it below the same template, at
+    any depth, and is ``*`` elsewhere. Similar branches are merged, and a branch without labels
+    takes its nearest labelled ancestor's. URLs without a rule are blocked where the
+    smoothed share of bad labels is ``reject`` or more: by the defaults that takes six
+    labels, all bad, and a third more than the unlabelled URLs at most. URLs without a rule
+    change no template and only draw a branch's purity towards ``prior``, so more of
+    them never block a URL that was allowed. A URL that is null, or without ``://``, has an empty
+    host and path, and is allowed unless a rule says otherwise. Repeated rows all come out, each is a label.
+    One join with a small table is planned for each level that ``least`` labelled URLs reach.
     Counts of a host, template and segment are all that meets in one place, so a host with
     most of the rows is no larger there than its tree. Other columns are not used.
     """
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("found", matching_rule(F.col("host"), F.col("path"), rules)).withColumn("segs", segments(F.col("path")))
-    rows = _generalised(rows, depth, variable)
-    verdict = F.col("found.verdict")
+    rows = _generalised(rows.withColumn("bad", F.col("found.verdict") == "block"), least)
     stats = rows.groupBy("host", "template").agg(
-        F.count(verdict).alias("labelled"), F.count_if(verdict == "block").alias("bad")
+        F.count("bad").alias("labelled"), F.count_if("bad").alias("bad"), F.count("*").alias("rows")
     )
-    judged = small(kept(judged_templates(stats, z, prior, weight), "judged"))
+    stats = kept(stats, "stats")
+    judged = small(kept(judged_templates(stats, z, _Smoothing(prior, weight, doubt)), "judged"))
     own = F.when(F.col("purity") >= reject, F.lit("block")).otherwise(F.lit("allow"))
     return rows.join(judged, ["host", "template"]).select(
-        "page_id", "host", "path", F.col("found.rule").alias("rule"), "template", "branch", "purity",
-        F.coalesce(verdict, own).alias("verdict"),
+        "page_id", "host", "path", F.col("found.rule").alias("rule"), "template", "branch", "purity", "evidence",
+        F.coalesce("found.verdict", own).alias("verdict"),
     )
