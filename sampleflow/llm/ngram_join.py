@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sampleflow.llm.graph import components, kept, small
@@ -478,6 +478,11 @@ def _compare(percent: int):
     return compare
 
 
+def _row_key(doc_id: Column, text: Column) -> Column:
+    """128 bits for a row's doc_id and text; null counts as a text of its own, never as an id."""
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), text)))
+
+
 def _classes(
     docs: DataFrame, size: int, percent: int, block_grams: int, block_sets: int, most_partners: int, counted: bool = False
 ) -> DataFrame:
@@ -486,12 +491,12 @@ def _classes(
     If ``counted``, also ``n_links``: how many other rows have a similar text.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), "doc_id", "text")
+    docs = docs.select(_row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "doc_id", "text")
     order = spark.sparkContext.broadcast(gram_order(docs, size))
     sketch = kept(
         docs.mapInArrow(
             _sketch(size, percent, order),
-            "row_key long, doc_id long, n long, short long, node binary, cells binary, prefix array<long>",
+            "row_key binary, doc_id long, n long, short long, node binary, cells binary, prefix array<long>",
         ),
         "sketch",
     )
@@ -514,14 +519,14 @@ def _classes(
     wanted = small(kept(wanted.select("row_key").distinct(), "wanted"))
     texts = docs.join(wanted, "row_key").select("text")
     sets = texts.mapInArrow(_whole_sets(size, order), "short long, node binary, grams binary")
-    sizes = classes.select("short", "n").join(members, "short").groupBy("key").agg(
-        F.min("short").alias("least"), F.greatest(F.count("*") / block_sets, F.sum("n") / block_grams).alias("blocks")
+    sizes = classes.select("short", "node", "n").join(members, "short").groupBy("key").agg(
+        F.min("node").alias("least"), F.greatest(F.count("*") / block_sets, F.sum("n") / block_grams).alias("blocks")
     )
     sizes = kept(sizes.select("key", "least", F.ceil("blocks").cast("int").alias("blocks")), "sizes")
     members = kept(members.join(sizes, "key"), "members")
 
     if counted:
-        links = kept(_counted_links(sets, members, classes.select("short", "copies"), percent), "links_of_sets")
+        links = kept(_counted_links(sets, members, classes.select("short", "node", "copies"), percent), "links_of_sets")
         found = components(links)
         counts = links.groupBy(F.col("v").alias("node")).agg(F.sum("links").alias("links"))
     else:
@@ -561,9 +566,9 @@ def _counted_links(sets: DataFrame, members: DataFrame, copies: DataFrame, perce
     several = members.groupBy("short").agg(F.collect_set("key").alias("keys")).where(F.size("keys") > 1)
     earlier = F.filter("keys", lambda k: k < F.col("key"))
     placed = members.select("key", "short", "blocks").join(several, "short", "left").join(copies, "short").select(
-        "key", "short", "blocks", "copies", F.coalesce(earlier, F.array().cast("array<long>")).alias("before")
+        "key", "short", "node", "blocks", "copies", F.coalesce(earlier, F.array().cast("array<long>")).alias("before")
     )
-    placed = sets.join(small(kept(placed, "placed")), "short")
+    placed = sets.join(small(kept(placed, "placed")), ["short", "node"])
     blocks = F.greatest(F.col("blocks"), F.lit(1))
     placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
@@ -588,7 +593,8 @@ def ngram_classes(
     doc_id that links lead to. Texts that are null, empty or without words have no n-grams
     and stay alone. Repeated rows, also of one doc_id, all come out. A null doc_id is
     never the smallest; a component of nothing else gets null. Other columns are not used.
-    N-grams are compared by 64-bit, whole sets by 128-bit hashes. The last three options
+    N-grams are compared by 64-bit, whole sets and rows by 128-bit hashes: sets that share
+    their first 64 bits only meet in more clusters. The last three options
     bound what a task holds and do not change the result.
     """
     found = _classes(docs, size, percent, block_grams, block_sets, most_partners)
@@ -619,7 +625,7 @@ def ngram_links(
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row of ``docs`` of each component: that of the smallest doc_id (null last), with all its columns. Texts without words all stay."""
     found = kept(_classes(docs, size, percent, BLOCK_GRAMS, BLOCK_SETS, MOST_PARTNERS), "classes")
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.struct("*").alias("row"))
+    rows = docs.select(_row_key(F.col("doc_id"), F.col("text")).alias("key"), F.struct("*").alias("row"))
     dropped = found.where("n > 0 AND row_key <> lead_key").select(F.col("row_key").alias("key")).distinct()
     rows = rows.join(small(kept(dropped, "dropped")), "key", "left_anti")
     twins = found.where("n > 0").groupBy("row_key").count().where("count > 1").select(F.col("row_key").alias("key"))
@@ -638,9 +644,9 @@ def _joined(blocks: DataFrame, percent: int) -> DataFrame:
 
 def _large_clusters(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Links within clusters of several blocks."""
-    least = sets.select(F.col("short").alias("least"), F.col("grams").alias("least_grams"), F.col("node").alias("least_node"))
+    least = sets.select(F.col("node").alias("least"), F.col("grams").alias("least_grams"))
     dealt = sets.join(members, "short").join(least, "least").select(
-        "key", "short", "node", "grams", "blocks", "least_node", "least_grams"
+        "key", "short", "node", "grams", "blocks", F.col("least").alias("least_node"), "least_grams"
     )
     marked = dealt.mapInArrow(
         _compare(percent), "key long, short long, node binary, grams binary, blocks int, least_node binary, joined boolean"

@@ -1,7 +1,7 @@
 import pytest
 from tests.llm.cases import edge_docs, edge_rows, lower, no_docs, words
 
-from sampleflow.llm.ngram_join import _cells, _may_link, near_dedup, ngram_classes, ngram_links, prefix_lengths
+from sampleflow.llm.ngram_join import _cells, _may_link, _row_key, near_dedup, ngram_classes, ngram_links, prefix_lengths
 
 import numpy as np
 
@@ -100,3 +100,10 @@ def test_links_are_counted(spark, size, percent, blocks):
     assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in got), key=repr) == want
     assert sorted((tuple(r)[:3] for r in got), key=repr) == brute(rows, size, percent)[0]
     assert max(links) > 3
+
+
+def test_row_keys_tell_null_from_empty(spark):
+    rows = [(None, None), (None, ""), (1, None), (1, ""), (1, "1"), (11, ""), (1, ":"), (None, "null"), (1, "1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = [bytes(r.k) for r in docs.select(_row_key(docs.doc_id, docs.text).alias("k")).collect()]
+    assert {len(k) for k in keys} == {16} and len(set(keys)) == 8 and keys[4] == keys[8]
