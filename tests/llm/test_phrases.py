@@ -76,6 +76,16 @@ def test_small_summaries(spark, monkeypatch):
     assert got(collocations(df, 10, 3, 50)) == want
 
 
+def test_words_of_one_hash(spark):
+    """Words that polynomials modulo 2^64 cannot tell apart (Thue and Morse) are different words."""
+    one, two = "a", "b"
+    for _ in range(11):
+        one, two = one + two, two + one
+    rows = [("en", f"{one} c {two} c {two} d, {one} e {two} e")] * 12
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    assert got(collocations(df)) == plain(rows, 10, 3, 2000, 50)
+
+
 def test_edges(spark):
     rows = [(r[2], r[1]) for r in edge_rows()]
     assert got(collocations(edge_docs(spark), 3, 3, 40)) == plain(rows, 3, 3, 40, 50)
