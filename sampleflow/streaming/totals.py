@@ -7,8 +7,10 @@ partial's last value and adds them up.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +25,15 @@ _STATE = "requests BIGINT, ok BIGINT, latencies BIGINT, latency DOUBLE, first BI
 
 def _advance(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     requests, ok, latencies, latency, first, last = state.get if state.exists else (0, 0, 0, 0.0, None, None)
+    # Most groups have a few rows at a time: plain arrays, as each pandas call costs more than those rows.
     for part in rows:
         requests += len(part)
-        ok += int(part["_ok"].sum())
-        latencies += int(part["latency"].notna().sum())
-        latency += float(part["latency"].sum())
-        starts, ends = part["_start"].dropna(), part["_end"].dropna()
+        ok += int(np.count_nonzero(part["_ok"].to_numpy()))
+        values = part["latency"].to_numpy()
+        values = values[~np.isnan(values)]
+        latencies += len(values)
+        latency += float(values.sum())
+        starts, ends = (part[c].to_numpy()[~part[f"_no{c}"].to_numpy()] for c in ("_start", "_end"))
         if len(starts):
             first = min(int(starts.min()), int(starts.min()) if first is None else first)
         if len(ends):
@@ -36,7 +41,7 @@ def _advance(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Ite
     now = (requests, ok, latencies, latency, first, last)
     state.update(now)
     names = [f"key{i}" for i in range(len(key))] + [c.split()[0] for c in _STATE.split(", ")]
-    yield pd.DataFrame([(*key, *now)], columns=names).astype({"first": "Int64", "last": "Int64"})
+    yield pd.DataFrame({n: pd.Series([v], dtype=object) for n, v in zip(names, (*key, *now))})
 
 
 def _micros(column: Column, kind: T.DataType) -> Column:
@@ -57,17 +62,23 @@ def running_totals(
     """Take what is new in a stream of requests into the totals of each ``by`` group (none: of all).
 
     Stops when nothing new is left; called again, also after a crash, it goes on from the
-    state in ``state_path``. A group is kept as ``salts`` partial totals, so that a frequent one
-    is spread over tasks. Only the columns that are counted reach Python.
+    state in ``state_path``. A group is kept as up to ``salts`` partial totals, by the part of the input
+    that a row comes from: a frequent one is spread over tasks, a rare one is touched once or twice
+    a trigger. Only the columns that are counted reach Python. The state has a partition for
+    each salt, or two for each core: every trigger opens and commits all of them.
     """
+    spark = stream.sparkSession
     kind = stream.schema["timestamp"].dataType
+    start, end = _micros(F.col("timestamp"), kind), _micros(call_end(), kind)
     light = stream.select(
         *(F.col(c).alias(f"key{i}") for i, c in enumerate(by)),
-        F.pmod(F.xxhash64("timestamp", "latency", "success"), F.lit(salts)).cast("int").alias(f"key{len(by)}"),
+        F.pmod(F.spark_partition_id(), F.lit(salts)).cast("int").alias(f"key{len(by)}"),
         F.coalesce("success", F.lit(False)).alias("_ok"),
-        F.col("latency").cast("double").alias("latency"),
-        _micros(F.col("timestamp"), kind).alias("_start"),
-        _micros(call_end(), kind).alias("_end"),
+        F.coalesce(F.col("latency").cast("double"), F.lit(math.nan)).alias("latency"),
+        F.coalesce(start, F.lit(0)).alias("_start"),
+        start.isNull().alias("_no_start"),
+        F.coalesce(end, F.lit(0)).alias("_end"),
+        end.isNull().alias("_no_end"),
     )
     keys = [f"key{i}" for i in range(len(by) + 1)]
     kinds = ", ".join(f"{k} {light.schema[k].dataType.simpleString()}" for k in keys)
@@ -75,15 +86,21 @@ def running_totals(
         _advance, f"{kinds}, {_STATE}", _STATE, "append", GroupStateTimeout.NoTimeout
     )
     partial = partial.withColumns({name: _timestamp(name, kind) for name in ("first", "last")})
-    query = (
+    writer = (
         partial.writeStream.format("parquet")
         .option("checkpointLocation", state_path)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start(output_path)
     )
+    # A query takes the setting when it starts, and keeps it in its checkpoint; the session's stays as it is.
+    setting = "spark.sql.shuffle.partitions"
+    given, most = spark.conf.get(setting), 2 * spark.sparkContext.defaultParallelism if by else salts
+    spark.conf.set(setting, str(min(int(given), most)))
+    try:
+        query = writer.start(output_path)
+    finally:
+        spark.conf.set(setting, given)
     query.awaitTermination()
-    spark = stream.sparkSession
     if not exists(spark, output_path):
         spark.createDataFrame([], partial.schema).write.parquet(output_path)
 

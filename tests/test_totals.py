@@ -1,5 +1,7 @@
 """Running totals over a stream, and what a run observes of itself, against the batch operators."""
 
+from pathlib import Path
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -62,3 +64,19 @@ def test_remaining_is_exact(spark, bits, kind):
         assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect()) and set(got.columns) == set(df.columns)
     other = df.select(F.col("k").cast("int").alias("k"), "j", "id").where("k < 10")
     assert ops.resume_remaining(df, other, ["k", "j"]).count() == df.join(other.select("k", "j"), ["k", "j"], "left_anti").count()
+
+
+def test_state_has_few_partitions(spark, folder):
+    """A trigger opens as many partitions of the state as its groups or the cores need, whatever a shuffle has."""
+    df, setting = requests(spark, 60), "spark.sql.shuffle.partitions"
+    given = spark.conf.get(setting)
+    spark.conf.set(setting, "40")
+    try:
+        incremental.stage_prompts(df, f"{folder}/in", rows_per_file=20)
+        for by, most in (([], 3), (["batch_id"], 2 * spark.sparkContext.defaultParallelism)):
+            base = f"{folder}/{len(by)}"
+            totals.running_totals(incremental.read_prompt_stream(spark, f"{folder}/in", df.schema), by, f"{base}/out", f"{base}/state", salts=3)
+            assert len(list(Path(f"{base}/state/state/0").glob("[0-9]*"))) == most
+        assert spark.conf.get(setting) == "40"
+    finally:
+        spark.conf.set(setting, given)
