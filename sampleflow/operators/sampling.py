@@ -247,14 +247,17 @@ def _answered(
     def calls(backend: Backend, batch: pa.RecordBatch) -> Iterator[tuple[Callable[[], Any], str]]:
         taken = inspect.signature(backend.generate).parameters
         every = any(p.kind is p.VAR_KEYWORD for p in taken.values())
-        values = {name: batch.column(column).to_pylist() for name, column in given.items()}
-        named = [n for n in ("request", "endpoint") if n in values and (every or n in taken)]
-        for i, text in enumerate(batch.column(prompt).to_pylist()):
-            # A missing prompt is asked as the text None, like any other value.
-            heat = values["temperature"][i] if "temperature" in values else None
-            number = values["index"][i] if "index" in values else 0
-            more = {n: values[n][i] for n in named}
-            yield (lambda t=str(text), h=heat, n=number, m=more: backend.generate(t, h, n, **m)), str(text)
+        named = [n for n in ("request", "endpoint") if n in given and (every or n in taken)]
+        for start in range(0, batch.num_rows, batch_rows):
+            # A batch can hold thousands of long prompts: only a few rows at a time become Python objects.
+            part = batch.slice(start, batch_rows)
+            values = {name: part.column(column).to_pylist() for name, column in given.items() if name not in ("request", "endpoint") or name in named}
+            for i, text in enumerate(part.column(prompt).to_pylist()):
+                # A missing prompt is asked as the text None, like any other value.
+                heat = values["temperature"][i] if "temperature" in values else None
+                number = values["index"][i] if "index" in values else 0
+                more = {n: values[n][i] for n in named}
+                yield (lambda t=str(text), h=heat, n=number, m=more: backend.generate(t, h, n, **m)), str(text)
 
     def in_turn(pool: ThreadPoolExecutor, asked: Iterator[tuple[Callable[[], Any], str]]) -> Iterator[dict[str, Any]]:
         """The records in order, a few times ``concurrency`` calls ahead at most."""

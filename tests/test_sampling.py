@@ -1,3 +1,4 @@
+import gc
 import json
 from pathlib import Path
 
@@ -318,3 +319,21 @@ def test_job_errors(spark, prompt_folder):
         run_generation(spark, spec, Echo)
     with pytest.raises(FileNotFoundError):
         run_generation(spark, JobSpec(DataOptions(f"{prompt_folder}/no.parquet", "o.parquet")), Echo)
+
+
+class CountsRequests:
+    """Answers with the number of requests that its process holds as Python objects."""
+
+    def generate(self, prompt, temperature, sample_idx, request):
+        held = sum(isinstance(o, dict) and "messages" in o for o in gc.get_objects())
+        return {"choices": [{"text": str(held)}]}
+
+
+def test_few_rows_become_objects(spark):
+    """A batch of many prompts is turned into Python objects a few rows at a time."""
+    rows = spark.range(200).select(F.concat(F.lit("p"), F.col("id")).alias("q"), F.lit(0.5).alias("temperature")).coalesce(1)
+    asked = ops.request_params(rows, "q", SamplingOptions(), "m")
+    for concurrency in (1, 2):
+        answered = ops.generate(asked, CountsRequests, "q", concurrency=concurrency, batch_rows=10)
+        held = [int(r.response) for r in answered.collect()]
+        assert len(held) == 200 and max(held) <= 40
