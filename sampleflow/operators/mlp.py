@@ -142,6 +142,14 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 _PACKED = "batch INT, x BINARY, y BINARY, place BINARY"
+#: Rows of a partition at most, however few cores there are.
+HELD_ROWS = 1 << 20
+
+
+def _partitions(spark: SparkSession, rows: int, options: TrainOptions) -> int:
+    """Partitions of ``rows_per_task`` rows, but no more than two for each core: a step is a job over all of them."""
+    most = max(2 * spark.sparkContext.defaultParallelism, math.ceil(rows / HELD_ROWS))
+    return max(1, min(math.ceil(rows / options.rows_per_task), most))
 
 
 def _packed(batches: Iterable[pa.RecordBatch], dim: int, rows: int) -> Iterator[pa.RecordBatch]:
@@ -202,7 +210,7 @@ def pack_rows(df: DataFrame, key: Sequence[str], dim: int, parts: int, batches:
 
 def mlp_gradient(df: DataFrame, model: Mlp, key: Sequence[str], options: TrainOptions = TrainOptions()) -> np.ndarray:
     """The gradient of the mean squared error over all rows of ``df``, without dropout."""
-    parts = max(1, math.ceil(df.count() / options.rows_per_task))
+    parts = _partitions(df.sparkSession, df.count(), options)
     packed = pack_rows(df, key, model.input_dim, parts, 1, options)
     gradient, rows, _ = _batch_sum(packed.rdd, model, parts, lambda place: 1.0)
     return gradient / max(rows, 1)
@@ -228,7 +236,8 @@ def mlp_train(
 ) -> Trained:
     """Fit the predictor to ``embedding`` and ``target``.
 
-    Rows are dealt out once, in partitions of about ``rows_per_task``, and stay in memory there.
+    Rows are dealt out once, in partitions of about ``rows_per_task`` or, of a large table, more
+    rows (two partitions for each core), and stay in memory there, packed by ``rows_per_task``.
     An epoch goes through the batches in a seeded order: each step sums the batch's gradients
     over all partitions and takes one AdamW step, so more machines shorten a step. Equal rows
     share a batch. An epoch's validation loss belongs to the weights that epoch ends
@@ -247,7 +256,7 @@ def mlp_train(
     held = data.where(~F.col("is_train")).persist()
     train = data.where("is_train")
     train_rows = train.count()
-    parts = max(1, math.ceil(train_rows / options.rows_per_task))
+    parts = _partitions(spark, train_rows, options)
     batches = max(1, math.ceil(train_rows / options.batch_size) if options.batch_size else options.batches)
     packed = pack_rows(train, key, dim, parts, batches, options).persist()
     by_batch = [packed.where(F.col("batch") == b).rdd for b in range(batches)]

@@ -181,3 +181,11 @@ def test_embed_batches_of_like_lengths(spark):
     assert embed_texts(df.where("false"), "q", seen_model).collect() == []
     again = embed_texts(df, "q", seen_model, prefix=None, partitions=3)
     assert again.rdd.getNumPartitions() == 3 and again.count() == len(texts)
+
+
+def test_steps_have_few_tasks(spark):
+    """A large table has two partitions for each core: a step is a job, and its tasks do not grow with the rows."""
+    cores = spark.sparkContext.defaultParallelism
+    options = mlp.TrainOptions(rows_per_task=512)
+    assert [mlp._partitions(spark, n, options) for n in (0, 512, 513, 10_000_000)] == [1, 1, 2, 2 * cores]
+    assert mlp._partitions(spark, 100 * cores * mlp.HELD_ROWS, options) == 100 * cores
