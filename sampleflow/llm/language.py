@@ -11,7 +11,9 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sampleflow.llm.graph import kept
 from sampleflow.llm.words import LOWER, bytes_of, pieces
+from sampleflow.operators.telemetry import index_percentiles
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -205,11 +207,12 @@ def other_windows(windows: np.ndarray, seed: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def calibrated(docs: DataFrame, network: Network | None, per_lang: int = 2000, seed: int = 11) -> Network | None:
-    """``network`` with the margin that all but ``REJECTED`` of about ``per_lang`` held-out documents of each language stay below.
+def calibrated(docs: DataFrame, network: Network | None) -> Network | None:
+    """``network`` with the margin that all but ``REJECTED`` of the texts of all held-out labelled documents stay at or below.
 
     The margin is the logit of the other class above that of the likeliest language; it
-    is at least 0, so a text that reads more like a language never goes.
+    is at least 0, so a text that reads more like a language never goes. Equal texts count once.
+    Only digests and margins move, and the one margin that is wanted reaches the driver.
     """
     if network is None:
         return None
@@ -217,12 +220,14 @@ def calibrated(docs: DataFrame, network: Network | None, per_lang: int = 2000, s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = network.tables()
         for piece in pieces(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(margins(piece.column("text"), network, tables))], names=["margin"])
+            found = pa.array(margins(piece.column("text"), network, tables))
+            yield pa.RecordBatch.from_arrays([piece.column("text_hash"), found], names=["text_hash", "margin"])
 
     known = docs.where(held_out(F.col("doc_id")) & F.col("lang").isin(network.langs) & F.col("text").rlike(r"\p{L}"))
-    _, chosen = _sampled(known, per_lang, seed)
-    found = [r.margin for r in chosen.select("text").distinct().mapInArrow(run, "margin double").collect()]
-    return replace(network, least=max(0.0, float(np.quantile(found, 1 - REJECTED))) if found else np.inf)
+    hashed = known.select(F.sha2("text", 256).alias("text_hash"), "text")
+    found = hashed.mapInArrow(run, "text_hash string, margin double").groupBy("text_hash").agg(F.max("margin").alias("margin"))
+    least = index_percentiles(kept(found.select("margin"), "margins"), "margin", (1 - REJECTED,)).first()
+    return replace(network, least=max(0.0, least.margin) if least else np.inf)
 
 
 def margins(texts: pa.Array, network: Network, tables) -> np.ndarray:

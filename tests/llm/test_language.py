@@ -1,9 +1,12 @@
 import zlib
+from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tests.llm.cases import edge_docs, edge_rows, no_docs
 
+import sampleflow.llm.language as language
 from sampleflow.llm.language import FILTERS, WIDTHS, WINDOW, calibrated, held_out, identify, known_language, softmax, train, train_network
 
 SF = "/root/testdata/sf0.01"
@@ -77,3 +80,16 @@ def test_unlearned_scripts_are_rejected(spark):
         stay = {r.doc_id for r in known_language(own.union(mixed), network).where("doc_id < 0").collect()}
         assert not stay, (langs, [strange[-1 - i] for i in stay])
         assert known_language(own, network).count() >= 0.99 * own.count()
+
+
+def test_margin_of_all_held_out_texts(spark, monkeypatch):
+    """However few documents are fitted, the margin is that of all held-out texts, equal ones once."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    network = train_network(docs, other=True)
+    # The other class ahead, so that margins are positive.
+    ahead = replace(network, last_bias=network.last_bias + np.where(np.arange(len(network.langs)) == len(network.langs) - 1, 50, 0))
+    monkeypatch.setattr(language, "MOST_ROWS", 8)
+    held = {r.text for r in docs.where(held_out(F.col("doc_id")) & F.col("lang").isNotNull()).collect() if any(c.isalpha() for c in r.text or "")}
+    found = sorted(language.margins(pa.array(sorted(held)), ahead, ahead.tables()))
+    got = calibrated(docs.union(docs).repartition(5), ahead).least
+    assert got > 0 and np.isclose(got, found[int(len(found) * (1 - language.REJECTED))], atol=1e-3)
