@@ -7,8 +7,9 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from sampleflow.llm.page_text import GONE, KEPT, OPEN, common_lines, main_text, page_lines
+from sampleflow.llm.page_text import GONE, KEPT, OPEN, common_lines, differences, main_text, page_lines
 
 KIND = "page_id long, url string, html string, text string, gone binary, host string"
 
@@ -94,6 +95,45 @@ def test_copies_stay(spark):
     assert [t for _, _, t in got] == [whole, whole, whole, whole + "\n\none more", "same\n\ntext", "same\n\ntext", "other\n\nthird"]
 
 
+def article(lines):
+    return "<nav>menu</nav><article>" + "".join(f"<p>{references.escape(line)}</p>" for line in lines) + "</article><footer>f</footer>"
+
+
+def test_frames_of_articles(spark):
+    """Lines that all articles of a host or section share go; quoted lines, copies and few pages lose nothing."""
+    rows, want = [], []
+
+    def page(url, own, above=(), below=()):
+        rows.append((len(rows), url, article([*above, *own, *below])))
+        want.append((len(rows) - 1, url, "\n\n".join(own)))
+
+    for i in range(24):
+        own = [f"own {i} {k}" for k in range(4)]
+        if i % 2:
+            own.insert(2, "a licence & more")
+        page(f"http://h.example/{'ab'[i > 11]}/{i}", own, ["Home > News"], ["Share <this>"] + ["Only in b"] * (i > 11))
+    for i in range(6):
+        page(f"http://h.example/a/7-copy{i}", ["own 7 0", "own 7 1", "a licence & more", "own 7 2", "own 7 3"], ["Home > News"], ["Share <this>"])
+    for i in range(20):
+        page(f"http://copies.example/{i}", ["title", "text", f"version {i}"])
+    for i in range(7):
+        page(f"http://few.example/{i}", ["same", *(f"few {i} {k}" for k in range(5))])
+    for i in range(12):
+        page(None, ["same", *(f"nowhere {i} {k}" for k in range(5))])
+    assert texts(main_text(frame(spark, [*rows, *rows[:30]]))) == sorted([*want, *want[:30]], key=repr)
+
+
+def test_every_page_is_compared(spark):
+    """Blocks of the order meet: the nearest pages are those of the whole order, for pages with an article too."""
+    rows = [(i, f"http://h/{i:04}", article([f"{i} {k}" for k in range(3)] + [f"pair {i // 2}"])) for i in range(150)]
+    pages = frame(spark, rows).withColumn("page_hash", F.unhex(F.md5("html")))
+    found = {r.page_id: r for r in differences(pages.select("page_id", "url", "page_hash", "html")).collect()}
+    assert len(found) == 150 and all(r.met for r in found.values())
+    got = {i: [(x.i, x.vote) for x in r.repeated] for i, r in found.items()}
+    # The earlier neighbour comes first, so only the later one of a pair meets the other there.
+    assert got == {i: [(4, True)] if i % 2 or i == 0 else [] for i in range(150)}
+
+
 def test_edges(spark):
     long = "<p>" + "word " * 200_000 + "</p>" + "<p>x</p>" * 5000
     rows = [(1, None, None), (None, "http://h/", ""), (2, "no scheme", "<p>a"), (2, "no scheme", "<p>a"), (None, None, "<p>b"), (3, "http://h/l", long)]
